@@ -1,0 +1,196 @@
+"""Keys, declared schemas, their differences, and Avro declarations."""
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from rillstone.functions import schemas
+from rillstone.functions.keys import check_keys, split_keys
+from rillstone.functions.schemas import Change
+
+
+def ddl(text):
+    return T.StructType.fromDDL(text)
+
+
+def test_split_keys():
+    assert [k.name for k in split_keys("user_id")] == ["user_id"]
+    assert [k.path for k in split_keys("o_custkey, o_orderkey")] == ["o_custkey", "o_orderkey"]
+    assert split_keys("meta.user_id")[0] == ("meta.user_id", "meta_user_id")
+
+
+@pytest.mark.parametrize("text", ["", "a,,b", " ", "a.b,a_b", "a,A", "timestamp", "value", "a,value_raw"])
+def test_refused_keys(text):
+    with pytest.raises(ValueError):
+        split_keys(text)
+
+
+def test_check_keys(spark):
+    schema = ddl("id bigint, m struct<id: bigint>, m_id int, xs array<int>")
+    check_keys(split_keys("id"), schema)
+    for bad in ("nope", "m", "m.nope", "id.x", "m.id", "xs"):
+        with pytest.raises(ValueError):
+            check_keys(split_keys(bad), schema)
+
+
+@pytest.mark.parametrize(
+    "name", ["timestamp", "current", "value_raw", "_corrupt_record", "batch_id", "outcome"]
+)
+def test_reserved_payload_fields(name):
+    document = T.StructType([T.StructField(name, T.StringType())]).jsonValue()
+    with pytest.raises(ValueError):
+        schemas.from_document(document)
+
+
+def test_payload_may_have_value(spark):
+    schema = ddl("value double")
+    assert schemas.from_document(schema.jsonValue()) == schema
+
+
+def test_extend_target_leaves_its_input_alone(spark):
+    schema = ddl("event_id bigint")
+    extended = schemas.extend_target(schema)
+    assert schema.names == ["event_id"]
+    assert extended.simpleString() == "struct<event_id:bigint,timestamp:timestamp,current:string>"
+    assert all(f.nullable for f in extended.fields[1:])
+
+
+def test_diff(spark):
+    old = ddl("id bigint, n string, a struct<b: int>")
+    new = ddl("id string, a struct<b: int, c: int>, z date")
+    assert schemas.diff(old, new) == [
+        Change("id", "type_changed", "bigint", "string"),
+        Change("n", "removed", "string", None),
+        Change("a.c", "added", None, "int"),
+        Change("z", "added", None, "date"),
+    ]
+    frame = schemas.diff_frame(spark, schemas.diff(old, new))
+    assert frame.columns == ["path", "kind", "old_type", "new_type"]
+    assert frame.count() == 4
+
+
+def test_diff_of_order_nullability_and_containers(spark):
+    assert schemas.diff(ddl("a int, b int"), ddl("b int, a int")) == [
+        Change("*", "order", "a,b", "b,a")
+    ]
+    assert schemas.diff(ddl("a int not null"), ddl("a int")) == [
+        Change("a", "nullability", "required", "nullable")
+    ]
+    assert schemas.diff(ddl("a array<struct<b: int>>"), ddl("a array<struct<b: int, c: int>>")) == [
+        Change("a.element.c", "added", None, "int")
+    ]
+    assert schemas.diff(ddl("a map<string, int>"), ddl("a map<string, bigint>")) == [
+        Change("a.value", "type_changed", "int", "bigint")
+    ]
+
+
+def test_comment_changes_the_schema_but_is_no_difference(spark):
+    old, new = ddl("a int"), ddl("a int comment 'x'")
+    assert old != new
+    assert schemas.diff(old, new) == []
+
+
+def test_incompatible(spark):
+    with pytest.raises(schemas.IncompatibleSchema, match="id: bigint -> string"):
+        schemas.require_compatible(schemas.diff(ddl("id bigint"), ddl("id string")))
+
+
+def test_merge_keeps_removed_columns(spark):
+    old = ddl("id bigint not null, n string, a struct<b: int>")
+    new = ddl("id bigint, a struct<c: int>, z date")
+    assert schemas.merge(old, new) == ddl("id bigint, n string, a struct<b: int, c: int>, z date")
+
+
+names = st.text("abc", min_size=1, max_size=2)
+leaf = st.sampled_from([T.IntegerType(), T.StringType(), T.DateType()])
+kinds = st.recursive(
+    leaf,
+    lambda inner: st.one_of(
+        st.builds(T.ArrayType, inner, st.booleans()),
+        st.dictionaries(names, inner, min_size=1, max_size=3).map(
+            lambda fields: T.StructType([T.StructField(n, t) for n, t in fields.items()])
+        ),
+    ),
+    max_leaves=5,
+)
+structs = st.dictionaries(names, kinds, min_size=1, max_size=4).map(
+    lambda fields: T.StructType([T.StructField(n, t) for n, t in fields.items()])
+)
+
+
+@settings(max_examples=200, deadline=None)
+@given(structs, structs)
+def test_diff_properties(old, new):
+    assert schemas.diff(old, old) == []
+    changes = schemas.diff(old, new)
+    assert bool(changes) == (old != new)
+    if not any(c.kind == "type_changed" for c in changes):
+        merged = schemas.merge(old, new)
+        kinds_after = {c.kind for c in schemas.diff(new, merged)}
+        assert kinds_after <= {"added", "order", "nullability"}
+        assert "added" not in {c.kind for c in schemas.diff(merged, new)}
+
+
+def test_expand_refs():
+    template = {"type": "record", "name": "REF_NAME", "fields": [{"name": "id", "type": "REF_Z"}]}
+    schema = {
+        "fields": [
+            {"name": "a", "type": ["null", "REF_Party"]},
+            {"name": "b", "type": "REF_Site"},
+            {"name": "c", "type": "MYREF_Party"},
+            {"name": "d", "type": "see REF_Party"},
+        ]
+    }
+    a, b, c, d = schemas.expand_refs(schema, template)["fields"]
+    inner = [{"name": "id", "type": "REF_Z"}]
+    assert a["type"] == ["null", {"type": "record", "name": "Party", "fields": inner}]
+    assert b["type"] == {"type": "record", "name": "Site", "fields": inner}
+    assert (c["type"], d["type"]) == ("MYREF_Party", "see REF_Party")
+
+
+def record(*fields):
+    return {"type": "record", "name": "R", "fields": [{"name": n, "type": t} for n, t in fields]}
+
+
+def test_from_avro(spark):
+    found = schemas.from_avro(
+        spark,
+        record(
+            ("id", "long"),
+            ("n", ["null", "string"]),
+            ("t", {"type": "long", "logicalType": "timestamp-micros"}),
+            ("l", {"type": "long", "logicalType": "local-timestamp-micros"}),
+            ("d", {"type": "bytes", "logicalType": "decimal", "precision": 8, "scale": 2}),
+            ("e", {"type": "enum", "name": "E", "symbols": ["A", "B"]}),
+            ("w", ["int", "long"]),
+            ("xs", {"type": "array", "items": "int"}),
+        ),
+    )
+    assert found.simpleString() == (
+        "struct<id:bigint,n:string,t:timestamp,l:timestamp_ntz,d:decimal(8,2),e:string,"
+        "w:bigint,xs:array<int>>"
+    )
+    assert [f.nullable for f in found.fields[:2]] == [False, True]
+
+
+def test_from_avro_with_a_reference_used_twice(spark):
+    template = record(("id", "long")) | {"name": "REF_NAME"}
+    schema = record(("a", "REF_Party"), ("b", ["null", "REF_Party"]))
+    found = schemas.from_avro(spark, schemas.expand_refs(schema, template))
+    assert found.simpleString() == "struct<a:struct<id:bigint>,b:struct<id:bigint>>"
+
+
+@pytest.mark.parametrize(
+    "kind",
+    [
+        ["int", "string"],
+        ["null", "int", "string"],
+        {"type": "array", "items": ["int", "string"]},
+        {"type": "map", "values": ["null", "long", "double"]},
+        {"type": "record", "name": "I", "fields": [{"name": "x", "type": ["string", "int"]}]},
+    ],
+)
+def test_unions_without_one_json_form(spark, kind):
+    with pytest.raises(ValueError, match="union"):
+        schemas.from_avro(spark, record(("f", kind)))
