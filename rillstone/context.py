@@ -103,6 +103,10 @@ class IngestContext:
     def raw_path(self) -> str:
         return f"{self.table_path}_src"
 
+    @property
+    def latest_path(self) -> str:
+        return f"{self.table_path}_latest"
+
     @property
     def state_path(self) -> str:
         prefix = self.generic["formatted_checkpoint_prefix"]
@@ -116,6 +120,11 @@ class IngestContext:
         """Last declared target schema that was applied."""
         return f"{self.state_path}.target_schema.json"
 
+    @property
+    def published_path(self) -> str:
+        """Number of the last run whose rows are in the latest-row snapshot."""
+        return f"{self.state_path}.published.json"
+
     @property
     def table_schema_path(self) -> str:
         """Columns of the formatted table, including ones no longer declared."""

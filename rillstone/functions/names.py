@@ -7,6 +7,7 @@ CURRENT = "current"
 VALID_TO = "valid_to"
 OUTCOME = "outcome"
 BATCH_ID = "batch_id"
+RUN_ID = "run_id"
 CORRUPT = "_corrupt_record"
 
 # Kafka partition and offset of the record: the tie-break between rows of one
@@ -21,5 +22,5 @@ NULL_VALUE = "null_value"
 MISSING_REQUIRED = "missing_required"
 
 RESERVED = frozenset(
-    {TIMESTAMP, VALUE_RAW, CURRENT, VALID_TO, OUTCOME, BATCH_ID, CORRUPT, *POSITION}
+    {TIMESTAMP, VALUE_RAW, CURRENT, VALID_TO, OUTCOME, BATCH_ID, RUN_ID, CORRUPT, *POSITION}
 )

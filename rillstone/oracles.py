@@ -80,6 +80,9 @@ ORACLES: dict[str, str] = {
     "write_hook": "SELECT event_id, user_id, value FROM events WHERE event_type = 'error'",
     "stream_drain": "SELECT event_id, user_id, event_type FROM events",
     "stream_restart": "SELECT event_id, user_id, ts AS timestamp FROM events",
+    "stream_latest": """
+        SELECT user_id, event_id, ts, 'Y' AS current FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_rejects": """
         SELECT ts AS timestamp, '{"event_id":' || event_id AS value_raw, 'malformed' AS reason
         FROM events WHERE event_id % 97 = 0""",

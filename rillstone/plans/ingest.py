@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.context import IngestContext
-from rillstone.plans.tables import Provisioned, provision
+from rillstone.plans.tables import Provisioned, provision, publish_latest
 from rillstone.streaming.drain import drain, progress
 from rillstone.streaming.stages import start_formatting, start_landing
 
@@ -46,6 +46,12 @@ def run_topics(contexts: Iterable[IngestContext]) -> list[Run]:
             errors.append(error)
     landing = _drain_all(contexts, provisioned, start_landing, errors)
     formatting = _drain_all(contexts, landing, start_formatting, errors)
+    for ctx in contexts:
+        if ctx.table_path in formatting and ctx.hooks.write is None:
+            try:
+                publish_latest(ctx)
+            except Exception as error:
+                errors.append(error)
     for ctx in contexts:
         if ctx.register_tables and ctx.table_path in landing:
             ctx.spark.catalog.refreshTable(ctx.table_name)

@@ -4,6 +4,10 @@ Every topic has a raw archive ``<name>_src`` and a formatted table ``<name>``, b
 append-only. Rejected messages are partitions of the raw archive. Appended files
 cannot be updated, so the formatted table's ``current`` column stays NULL on disk
 and ``read_history`` resolves it.
+
+The formatted table is partitioned by run. After each run the latest row of every
+key is published beside it, from the previous snapshot and that run's rows only:
+the cost follows the number of keys and new rows, not the length of the log.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from pyspark.sql import types as T
 from rillstone.context import IngestContext
 from rillstone.functions import names, schemas
 from rillstone.functions.keys import key_names, key_type
-from rillstone.operators.versions import history, latest
+from rillstone.operators.versions import history, latest, merge_latest
 from rillstone.sources import documents
 
 _POSITION_FIELDS = [
@@ -30,14 +34,15 @@ _POSITION_FIELDS = [
 
 
 def formatted_schema(ctx: IngestContext, target: T.StructType) -> T.StructType:
-    """Extended target, key columns that are not target fields, record position."""
+    """Extended target, key columns that are not target fields, position, run."""
     extended = schemas.extend_target(target)
     lifted = [
         T.StructField(key.name, key_type(ctx.source_schema, key.path))
         for key in ctx.keys
         if key.name not in target.names
     ]
-    return T.StructType([*extended.fields, *lifted, *_POSITION_FIELDS])
+    run = T.StructField(names.RUN_ID, T.LongType())
+    return T.StructType([*extended.fields, *lifted, *_POSITION_FIELDS, run])
 
 
 def raw_schema(ctx: IngestContext) -> T.StructType:
@@ -100,7 +105,7 @@ def provision(ctx: IngestContext) -> Provisioned:
         table = schemas.merge(before, ctx.target_schema)
 
     if ctx.table_format != "parquet":
-        _append_nothing(ctx, formatted_schema(ctx, table), ctx.table_path)
+        _append_nothing(ctx, formatted_schema(ctx, table), ctx.table_path, names.RUN_ID)
         if not _is_table(ctx, ctx.raw_path):
             _append_nothing(ctx, raw_schema(ctx), ctx.raw_path, names.OUTCOME)
     else:
@@ -124,19 +129,18 @@ def _is_table(ctx: IngestContext, path: str) -> bool:
 
 
 def _append_nothing(
-    ctx: IngestContext, schema: T.StructType, path: str, partition: str | None = None
+    ctx: IngestContext, schema: T.StructType, path: str, partition: str
 ) -> None:
     """Create or widen a table by appending no rows of the wanted schema."""
-    writer = ctx.spark.createDataFrame([], schema).write.format(ctx.table_format)
-    if partition is not None:
-        writer = writer.partitionBy(partition)
+    nothing = ctx.spark.createDataFrame([], schema)
+    writer = nothing.write.format(ctx.table_format).partitionBy(partition)
     writer.mode("append").option("mergeSchema", "true").save(path)
 
 
 def register(ctx: IngestContext, formatted: T.StructType) -> None:
     """Make both tables known to the catalog, with columns added since."""
     spark = ctx.spark
-    _create(ctx, ctx.table_name, formatted, ctx.table_path)
+    _create(ctx, ctx.table_name, formatted, ctx.table_path, names.RUN_ID)
     _create(ctx, ctx.raw_table_name, raw_schema(ctx), ctx.raw_path, names.OUTCOME)
     if ctx.table_format != "parquet":
         return
@@ -147,12 +151,12 @@ def register(ctx: IngestContext, formatted: T.StructType) -> None:
 
 
 def _create(
-    ctx: IngestContext, name: str, schema: T.StructType, path: str, partition: str | None = None
+    ctx: IngestContext, name: str, schema: T.StructType, path: str, partition: str
 ) -> None:
     columns, layout = "", ""
     if ctx.table_format == "parquet":
         columns = f"({_ddl(schema.fields)})"
-        layout = f"PARTITIONED BY ({partition})" if partition else ""
+        layout = f"PARTITIONED BY ({partition})"
     location = path.replace("\\", "\\\\").replace("'", "\\'")
     ctx.spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {ctx.table_format} "
@@ -181,10 +185,19 @@ def read_path(spark: SparkSession, path: str, schema: T.StructType, fmt: str) ->
     return reader.load(path)
 
 
+def stored_schema(ctx: IngestContext) -> T.StructType:
+    """Columns of the formatted table as it stands."""
+    table = T.StructType.fromJson(documents.read_json(ctx.spark, ctx.table_schema_path))
+    return formatted_schema(ctx, table)
+
+
+def _read_log(ctx: IngestContext) -> DataFrame:
+    return read_path(ctx.spark, ctx.table_path, stored_schema(ctx), ctx.table_format)
+
+
 def read_formatted(ctx: IngestContext) -> DataFrame:
     """All accepted rows, as appended."""
-    table = T.StructType.fromJson(documents.read_json(ctx.spark, ctx.table_schema_path))
-    return read_path(ctx.spark, ctx.table_path, formatted_schema(ctx, table), ctx.table_format)
+    return _read_log(ctx).drop(names.RUN_ID)
 
 
 def read_archive(ctx: IngestContext) -> DataFrame:
@@ -205,12 +218,50 @@ def read_rejects(ctx: IngestContext) -> DataFrame:
 
 
 def read_latest(ctx: IngestContext) -> DataFrame:
-    """The newest row of every key."""
-    order = [names.TIMESTAMP, *names.POSITION]
-    rows = latest(read_formatted(ctx), key_names(ctx.keys), order)
+    """The newest row of every key: the snapshot, and rows not yet published."""
+    run = open_run(ctx)
+    keys, order = key_names(ctx.keys), [names.TIMESTAMP, *names.POSITION]
+    new = _read_log(ctx).where(F.col(names.RUN_ID) >= run).drop(names.RUN_ID)
+    if run == 0:
+        rows = latest(new, keys, order)
+    else:
+        schema = T.StructType([f for f in stored_schema(ctx).fields if f.name != names.RUN_ID])
+        rows = ctx.spark.read.schema(schema).parquet(_snapshot(ctx, run - 1))
+        if _has_rows(ctx, run):
+            rows = merge_latest(rows, new, keys, order)
     return rows.withColumn(names.CURRENT, F.lit("Y"))
 
 
+def open_run(ctx: IngestContext) -> int:
+    """Number of the run whose rows are not in the snapshot yet."""
+    published = documents.read_json_if_present(ctx.spark, ctx.published_path)
+    return 0 if published is None else published[names.RUN_ID] + 1
+
+
+def _snapshot(ctx: IngestContext, run: int) -> str:
+    return f"{ctx.latest_path}/{names.RUN_ID}={run}"
+
+
+def _has_rows(ctx: IngestContext, run: int) -> bool:
+    return documents.exists(ctx.spark, f"{ctx.table_path}/{names.RUN_ID}={run}")
+
+
+def publish_latest(ctx: IngestContext) -> bool:
+    """Write the next snapshot of latest rows, if there are new rows.
+
+    The published number is replaced last. An attempt that dies earlier leaves its
+    run open: the next run adds to it and writes the snapshot again. The previous
+    snapshot stays for readers, the one before it goes.
+    """
+    run = open_run(ctx)
+    if not _has_rows(ctx, run):
+        return False
+    read_latest(ctx).write.mode("overwrite").parquet(_snapshot(ctx, run))
+    documents.write_json(ctx.spark, ctx.published_path, {names.RUN_ID: run})
+    documents.remove(ctx.spark, _snapshot(ctx, run - 2))
+    return True
+
+
 def read_history(ctx: IngestContext) -> DataFrame:
     """Every row with ``valid_to`` and ``current`` resolved."""
     rows = read_formatted(ctx).drop(names.CURRENT)

@@ -23,6 +23,12 @@ def make_directory(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and its content; nothing happens when it is not there."""
+    fs, target = _locate(spark, path)
+    fs.delete(target, True)
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes below ``path``."""
     fs, target = _locate(spark, path)

@@ -61,8 +61,16 @@ def credential_options(cluster: Mapping[str, Any]) -> dict[str, str]:
     }
 
 
+# One Kafka partition may hold much of the topic; this bounds what one task reads.
+RECORDS_PER_TASK = 1_000_000
+
+
 def kafka_options(cluster: Mapping[str, Any], job: Mapping[str, Any]) -> dict[str, str]:
-    return {**consumer_options(cluster, job), **credential_options(cluster)}
+    return {
+        **consumer_options(cluster, job),
+        **credential_options(cluster),
+        "maxRecordsPerPartition": str(RECORDS_PER_TASK),
+    }
 
 
 def kafka_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:

@@ -66,8 +66,10 @@ def start_formatting(ctx: IngestContext) -> StreamingQuery:
     if ctx.hooks.write is not None:
         sink = _sink(ctx, rows, "formatting").outputMode("update")
         return sink.foreachBatch(partial(ctx.hooks.write, ctx)).start()
-    shaped = tables.conform(rows, tables.formatted_schema(ctx, ctx.target_schema))
-    return _sink(ctx, shaped, "formatting").outputMode("append").start(ctx.table_path)
+    numbered = rows.withColumn(names.RUN_ID, F.lit(tables.open_run(ctx)))
+    shaped = tables.conform(numbered, tables.formatted_schema(ctx, ctx.target_schema))
+    sink = _sink(ctx, shaped, "formatting").partitionBy(names.RUN_ID)
+    return sink.outputMode("append").start(ctx.table_path)
 
 
 def _sink(ctx: IngestContext, rows: DataFrame, stage: str) -> DataStreamWriter:

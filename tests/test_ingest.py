@@ -138,6 +138,7 @@ def test_provision_creates_then_leaves_alone(spark, tmp_path):
     assert tables.read_formatted(ctx).columns == [
         "id", "n", "timestamp", "current", "record_partition", "record_offset",
     ]
+    assert tables.read_latest(ctx).count() == 0
 
 
 def test_provision_evolves(spark, tmp_path):
@@ -231,6 +232,53 @@ def test_drain_restart_and_late_rows(spark, tmp_path):
     ]
 
 
+def test_snapshot_of_latest_rows(spark, tmp_path, monkeypatch):
+    """Each run merges its rows into the previous snapshot; a run that dies before
+    publishing stays open, and its rows are seen all the same."""
+    ctx = context(spark, tmp_path)
+
+    def newest():
+        return {row.id: (row.n, row.current) for row in tables.read_latest(ctx).collect()}
+
+    send(ctx, message(1, "a"), message(2, "b"), at=10)
+    run_ingest(ctx)
+    assert (newest(), tables.open_run(ctx)) == ({1: ("a", "Y"), 2: ("b", "Y")}, 1)
+
+    run_ingest(ctx)
+    assert tables.open_run(ctx) == 1
+
+    send(ctx, message(1, "late"), message(3, "c"), at=0, offset=5)
+    with monkeypatch.context() as broken:
+        broken.setattr("rillstone.plans.ingest.publish_latest", lambda ctx: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_ingest(ctx)
+    expected = {1: ("a", "Y"), 2: ("b", "Y"), 3: ("c", "Y")}
+    assert (newest(), tables.open_run(ctx)) == (expected, 1)
+
+    for number in (2, 3, 4):
+        send(ctx, message(2, f"b{number}"), at=100 * number, offset=10 * number)
+        run_ingest(ctx)
+        expected[2] = (f"b{number}", "Y")
+        assert (newest(), tables.open_run(ctx)) == (expected, number)
+    kept = sorted(p.name for p in (tmp_path / "tables" / "pre_demo_events_latest").iterdir())
+    assert kept == ["run_id=2", "run_id=3"]
+    everything = tables.latest(
+        tables.read_formatted(ctx), ["id"], ["timestamp", "record_partition", "record_offset"]
+    )
+    assert {r.id: (r.n, "Y") for r in everything.collect()} == expected
+
+
+def test_snapshot_follows_an_added_column(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    send(ctx, message(1))
+    run_ingest(ctx)
+    ctx = with_schema(spark, tmp_path, EXTRA)
+    send(ctx, '{"id":2,"z":"2024-01-02"}', offset=5)
+    run_ingest(ctx)
+    found = tables.read_latest(ctx).select("id", "n", "z").orderBy("id").collect()
+    assert [tuple(r) for r in found] == [(1, "x", None), (2, None, dt.date(2024, 1, 2))]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     ctx = context(spark, tmp_path)
     send(ctx, message(1), "oops", None, "{}", message(2, "ä\\n"))

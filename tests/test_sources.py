@@ -33,6 +33,7 @@ def test_consumer_options():
 
 
 def test_credential_options():
+    assert "maxRecordsPerPartition" in records.kafka_options(CLUSTER, JOB)
     options = records.kafka_options(CLUSTER, JOB)
     assert options["kafka.security.protocol"] == "SASL_SSL"
     assert options["kafka.sasl.mechanism"] == "PLAIN"
