@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from rillstone.context import Hooks, IngestContext, config_root, find_hooks, load_context
 from rillstone.functions.schemas import IncompatibleSchema
-from rillstone.plans import tables
+from rillstone.plans import merge, tables
 from rillstone.plans.ingest import run_ingest, run_topics
 from rillstone.sources import documents
 from rillstone.sources.records import RECORD_SCHEMA
@@ -444,3 +444,30 @@ def test_rejects_read_their_partitions_only(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(outcome" in plan
     narrow = physical(tables.read_formatted(ctx).select("id"))
     assert "ReadSchema: struct<id:bigint>" in narrow
+
+
+# ---------------------------------------------------------------------- merge
+
+
+def test_merge_statement_is_valid_sql(spark):
+    text = merge.merge_statement(
+        "c.t", "incoming", ["a", "b"], ["a", "b", "odd name"], ["timestamp", "record_offset"]
+    )
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    assert "MergeIntoTable" in plan
+    assert "old.`a` <=> new.`a` AND old.`b` <=> new.`b`" in text
+    assert "struct(new.`timestamp`, new.`record_offset`) > struct(old.`timestamp`" in text
+
+
+def test_merge_write_sends_one_current_row_per_key(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    send(ctx, message(1, "a"), message(1, "b"), message(2, "c"))
+    archive = landing_rows(ctx, spark.read.parquet(ctx.record_path))
+    rows = merge.newest_in_batch(ctx, formatted_rows(ctx, archive))
+    assert sorted((r.id, r.n, r.current) for r in rows.collect()) == [(1, "b", "Y"), (2, "c", "Y")]
+    # A Parquet table has no MERGE; the statement reaches the table and is refused.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS demo LOCATION '{tmp_path}/db'")
+    merged = context(spark, f"{tmp_path}/other", topic="merged", register_tables=True)
+    tables.provision(merged)
+    with pytest.raises(Exception, match="MERGE"):
+        merge.merge_write(merged, formatted_rows(ctx, archive), 0)
