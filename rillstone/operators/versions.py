@@ -55,7 +55,7 @@ def history(
       a window) lets adaptive execution split an instant that is itself hot.
     """
     keys, tie = list(keys), list(tie)
-    last, piece, following = "__last", "__slice", "__next"
+    last, piece, start, end, following = "__last", "__slice", "__start", "__end", "__next"
     order = F.col(tie[0]) if len(tie) == 1 else F.struct(*tie)
     if not isinstance(rows.schema[time].dataType, T.TimestampType):
         raise TypeError(f"{time!r} must be a timestamp")
@@ -66,19 +66,19 @@ def history(
         rows.select(*keys, time, order.alias(last))
         .groupBy(*keys, time)
         .agg(F.max(last).alias(last))
-        .withColumn(piece, cut)
+        .select(*keys, cut.alias(piece), time, last, F.col(time).alias(start), F.lit(0).alias(end))
     )
-    heads = (
-        instants.groupBy(*keys, piece)
-        .agg(F.min(time).alias(following))
-        .withColumn(
-            following, F.lead(following).over(Window.partitionBy(*keys).orderBy(piece))
-        )
-    )
-    in_slice = Window.partitionBy(*keys, piece).orderBy(time)
-    stepped = instants.withColumn("__step", F.lead(time).over(in_slice))
-    ends = _join_same(stepped, heads, [*keys, piece]).select(
-        *keys, time, last, F.coalesce("__step", following).alias(following)
+    # One closing row per slice, carrying the first instant of the next slice.
+    heads = rows.select(*keys, cut.alias(piece), time).groupBy(*keys, piece)
+    heads = heads.agg(F.min(time).alias(start))
+    by_slice = Window.partitionBy(*keys).orderBy(piece)
+    closings = heads.withColumn(start, F.lead(start).over(by_slice)).withColumn(end, F.lit(1))
+    in_slice = Window.partitionBy(*keys, piece).orderBy(end, time)
+    ends = (
+        instants.unionByName(closings, allowMissingColumns=True)
+        .withColumn(following, F.lead(start).over(in_slice))
+        .where(F.col(end) == 0)
+        .select(*keys, time, last, following)
     )
 
     matched = _join_same(rows, ends, [*keys, time])

@@ -222,8 +222,9 @@ def read_latest(ctx: IngestContext) -> DataFrame:
     run = open_run(ctx)
     keys, order = key_names(ctx.keys), [names.TIMESTAMP, *names.POSITION]
     new = _read_log(ctx).where(F.col(names.RUN_ID) >= run).drop(names.RUN_ID)
-    if run == 0:
-        rows = latest(new, keys, order)
+    if run == 0 or _published(ctx)["keys"] != keys:
+        # No snapshot, or one by other keys: start from the whole log.
+        rows = latest(read_formatted(ctx), keys, order)
     else:
         schema = T.StructType([f for f in stored_schema(ctx).fields if f.name != names.RUN_ID])
         rows = ctx.spark.read.schema(schema).parquet(_snapshot(ctx, run - 1))
@@ -234,8 +235,13 @@ def read_latest(ctx: IngestContext) -> DataFrame:
 
 def open_run(ctx: IngestContext) -> int:
     """Number of the run whose rows are not in the snapshot yet."""
-    published = documents.read_json_if_present(ctx.spark, ctx.published_path)
-    return 0 if published is None else published[names.RUN_ID] + 1
+    return _published(ctx)[names.RUN_ID] + 1
+
+
+def _published(ctx: IngestContext) -> dict:
+    """Last published run and the keys of its snapshot."""
+    found = documents.read_json_if_present(ctx.spark, ctx.published_path)
+    return {names.RUN_ID: -1, "keys": []} if found is None else found
 
 
 def _snapshot(ctx: IngestContext, run: int) -> str:
@@ -257,7 +263,8 @@ def publish_latest(ctx: IngestContext) -> bool:
     if not _has_rows(ctx, run):
         return False
     read_latest(ctx).write.mode("overwrite").parquet(_snapshot(ctx, run))
-    documents.write_json(ctx.spark, ctx.published_path, {names.RUN_ID: run})
+    published = {names.RUN_ID: run, "keys": key_names(ctx.keys)}
+    documents.write_json(ctx.spark, ctx.published_path, published)
     documents.remove(ctx.spark, _snapshot(ctx, run - 2))
     return True
 

@@ -79,7 +79,8 @@ def kafka_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int | None) -> DataFrame:
     """Stream of record files, read from the earliest on the first run."""
-    reader = spark.readStream.schema(RECORD_SCHEMA)
+    # By default files a week older than the newest one seen would be skipped.
+    reader = spark.readStream.schema(RECORD_SCHEMA).option("maxFileAge", "36500d")
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)

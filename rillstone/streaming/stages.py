@@ -25,6 +25,10 @@ from rillstone.plans import tables
 from rillstone.sources import records
 
 
+# Input of one formatting batch: a long backlog is worked off in restartable pieces.
+FORMATTING_BATCH_BYTES = 2**40
+
+
 def open_records(ctx: IngestContext) -> DataFrame:
     """The topic's record stream, limited per batch as configured."""
     if ctx.record_path is None:
@@ -59,7 +63,9 @@ def start_landing(ctx: IngestContext) -> StreamingQuery:
 
 
 def start_formatting(ctx: IngestContext) -> StreamingQuery:
-    reader = ctx.spark.readStream.format(ctx.table_format)
+    reader = ctx.spark.readStream.format(ctx.table_format).option(
+        "maxBytesPerTrigger", FORMATTING_BATCH_BYTES
+    )
     if ctx.table_format == "parquet":
         reader = reader.schema(tables.raw_schema(ctx))
     rows = formatted_rows(ctx, reader.load(ctx.raw_path))

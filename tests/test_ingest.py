@@ -268,6 +268,24 @@ def test_snapshot_of_latest_rows(spark, tmp_path, monkeypatch):
     assert {r.id: (r.n, "Y") for r in everything.collect()} == expected
 
 
+def test_snapshot_by_other_keys_is_not_reused(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    send(ctx, message(1, "a"), message(1, "b"))
+    run_ingest(ctx)
+    assert tables.read_latest(ctx).count() == 1
+    documents.write_json(
+        spark, f"{tmp_path}/conf/src/demo.Events/config.json", {"primary_keys": "id,n"}
+    )
+    finer = load_context(
+        spark, ctx.job, ctx.generic, ctx.cluster, record_path=ctx.record_path, register_tables=False
+    )
+    assert tables.read_latest(finer).count() == 2
+    send(finer, message(1, "c"), offset=5)
+    run_ingest(finer)
+    assert sorted(r.n for r in tables.read_latest(finer).collect()) == ["a", "b", "c"]
+    assert tables.open_run(finer) == 2
+
+
 def test_snapshot_follows_an_added_column(spark, tmp_path):
     ctx = context(spark, tmp_path)
     send(ctx, message(1))
