@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from typing import NamedTuple
+from collections.abc import Iterable, Mapping
+from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from rillstone.context import IngestContext
+from rillstone.context import HookRegistry, IngestContext, load_context
 from rillstone.plans.tables import Provisioned, provision, publish_latest
 from rillstone.streaming.drain import drain, progress
 from rillstone.streaming.stages import start_formatting, start_landing
@@ -66,6 +66,21 @@ def run_topics(contexts: Iterable[IngestContext]) -> list[Run]:
     ]
 
 
+def run_jobs(
+    spark: SparkSession,
+    jobs: Iterable[Mapping[str, Any]],
+    generic: Mapping[str, Any] | str,
+    clusters: Mapping[str, Mapping[str, Any] | str],
+    registry: HookRegistry | None = None,
+    **options: Any,
+) -> list[Run]:
+    """Ingest the topics of a list of job parameters; ``clusters`` goes by source."""
+    return run_topics(
+        load_context(spark, job, generic, clusters[job["source"]], registry, **options)
+        for job in jobs
+    )
+
+
 def _drain_all(contexts, ready, start, errors) -> dict[str, StreamingQuery]:
     """Start a stage for every topic that is ready, then wait for all of them."""
     started, finished = {}, {}

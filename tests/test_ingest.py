@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from rillstone.context import Hooks, IngestContext, config_root, find_hooks, load_context
 from rillstone.functions.schemas import IncompatibleSchema
 from rillstone.plans import merge, tables
-from rillstone.plans.ingest import run_ingest, run_topics
+from rillstone.plans.ingest import run_ingest, run_jobs, run_topics
 from rillstone.sources import documents
 from rillstone.sources.records import RECORD_SCHEMA
 from rillstone.streaming import drain as draining
@@ -341,6 +341,28 @@ def test_one_failing_topic_does_not_stop_the_others(spark, tmp_path):
     assert ids(tables.read_formatted(good)) == [1]
 
 
+def test_run_jobs(spark, tmp_path):
+    """A list of job parameters, documents by path, hooks by registry."""
+    hooks = Hooks(transform=lambda ctx, rows: rows.select("timestamp", "id", F.lit("h").alias("n")))
+    contexts = [context(spark, tmp_path, topic=topic) for topic in ("one", "two")]
+    jobs = [{**ctx.job, "max_offsets_per_trigger": 10} for ctx in contexts]
+    for name in ("generic", "cluster"):
+        documents.write_json(spark, f"{tmp_path}/{name}.json", getattr(contexts[0], name))
+    for ctx in contexts:
+        send(ctx, message(1), message(2))
+    run_jobs(
+        spark,
+        jobs,
+        f"{tmp_path}/generic.json",
+        {"src": f"{tmp_path}/cluster.json"},
+        {("src", "two"): hooks},
+        register_tables=False,
+        record_path=contexts[0].record_path,
+    )
+    found = [[r.n for r in tables.read_formatted(ctx).collect()] for ctx in contexts]
+    assert found == [["x", "x"], ["h", "h"]]
+
+
 def test_topics_may_not_share_a_table(spark, tmp_path):
     with pytest.raises(ValueError, match="share"):
         run_topics([context(spark, tmp_path, topic="a.b"), context(spark, tmp_path, topic="a_b")])

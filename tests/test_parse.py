@@ -4,6 +4,8 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -58,6 +60,13 @@ CASES = {
 }
 
 
+# Text that is often close to a message.
+messages_like = st.lists(
+    st.sampled_from(['{"id":', "1", "null", ',"n":', '"x"', "}", "{", "[", " ", "1.5", '"a":{"b":2}']),
+    max_size=8,
+).map("".join)
+
+
 def texts(spark, *messages):
     rows = [(EPOCH, message) for message in messages]
     return spark.createDataFrame(rows, "timestamp timestamp, value string")
@@ -105,6 +114,15 @@ def test_accepted_and_rejects_cover_everything(spark):
     assert "_corrupt_record" not in sorted_out.schema["value"].dataType.names
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.none(), st.text(), messages_like), min_size=1, max_size=60))
+def test_every_message_has_one_outcome(spark, drawn):
+    sorted_out = classify(texts(spark, *drawn), SCHEMA, KEYS)
+    good = [row.value_raw for row in accepted(sorted_out).collect()]
+    bad = [row.value_raw for row in rejects(sorted_out).collect()]
+    assert sorted(map(repr, good + bad)) == sorted(map(repr, drawn))
+
+
 def test_invalid_utf8_is_replaced(spark):
     records = spark.createDataFrame(
         [(EPOCH, bytearray(b'{"id":1,"n":"\xffA"}'))], "timestamp timestamp, value binary"
