@@ -1,8 +1,9 @@
-"""Whole runs: provision the tables, drain the topic, stop."""
+"""Whole runs: provision the tables, drain the topic, publish, stop."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,45 +26,37 @@ class Run(NamedTuple):
 
 def run_ingest(ctx: IngestContext) -> Run:
     """Ingest everything available now; a rerun continues from the checkpoints."""
-    return run_topics([ctx])[0]
-
-
-def run_topics(contexts: Iterable[IngestContext]) -> list[Run]:
+    provisioned = provision(ctx)
+    landing = start_landing(ctx)
+    drain(landing, ctx.timeout_seconds)
+    formatting = start_formatting(ctx)
+    drain(formatting, ctx.timeout_seconds)
+    if ctx.hooks.write is None:
+        publish_latest(ctx)
+    if ctx.register_tables:
+        ctx.spark.catalog.refreshTable(ctx.table_name)
+        ctx.spark.catalog.refreshTable(ctx.raw_table_name)
+    return Run(provisioned, landing, formatting)
+
+
+def run_topics(contexts: Iterable[IngestContext], at_once: int = 8) -> list[Run]:
     """Ingest several topics side by side, each with its own checkpoints.
 
-    A failing topic does not keep the others from finishing; its error is raised
-    at the end.
+    The threads only submit work to Spark. A failing topic does not keep the others
+    from finishing; its error is raised at the end.
     """
     contexts = list(contexts)
     paths = [ctx.table_path for ctx in contexts]
     if len(set(paths)) != len(paths):
         raise ValueError("two topics share one table")
-    provisioned, errors = {}, []
-    for ctx in contexts:
-        try:
-            provisioned[ctx.table_path] = provision(ctx)
-        except Exception as error:
-            errors.append(error)
-    landing = _drain_all(contexts, provisioned, start_landing, errors)
-    formatting = _drain_all(contexts, landing, start_formatting, errors)
-    for ctx in contexts:
-        if ctx.table_path in formatting and ctx.hooks.write is None:
-            try:
-                publish_latest(ctx)
-            except Exception as error:
-                errors.append(error)
-    for ctx in contexts:
-        if ctx.register_tables and ctx.table_path in landing:
-            ctx.spark.catalog.refreshTable(ctx.table_name)
-            ctx.spark.catalog.refreshTable(ctx.raw_table_name)
+    with ThreadPoolExecutor(at_once) as pool:
+        runs = [pool.submit(run_ingest, ctx) for ctx in contexts]
+    errors = [run.exception() for run in runs if run.exception() is not None]
     if len(errors) == 1:
         raise errors[0]
     if errors:
         raise ExceptionGroup("topics failed", errors)
-    return [
-        Run(provisioned[ctx.table_path], landing[ctx.table_path], formatting[ctx.table_path])
-        for ctx in contexts
-    ]
+    return [run.result() for run in runs]
 
 
 def run_jobs(
@@ -79,23 +72,3 @@ def run_jobs(
         load_context(spark, job, generic, clusters[job["source"]], registry, **options)
         for job in jobs
     )
-
-
-def _drain_all(contexts, ready, start, errors) -> dict[str, StreamingQuery]:
-    """Start a stage for every topic that is ready, then wait for all of them."""
-    started, finished = {}, {}
-    for ctx in contexts:
-        if ctx.table_path in ready:
-            try:
-                started[ctx.table_path] = start(ctx)
-            except Exception as error:
-                errors.append(error)
-    for ctx in contexts:
-        query = started.get(ctx.table_path)
-        if query is not None:
-            try:
-                drain(query, ctx.timeout_seconds)
-                finished[ctx.table_path] = query
-            except Exception as error:
-                errors.append(error)
-    return finished
