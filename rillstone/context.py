@@ -103,6 +103,10 @@ class IngestContext:
     def raw_path(self) -> str:
         return f"{self.table_path}_src"
 
+    @property
+    def latest_table_name(self) -> str:
+        return f"{self.table_name}_latest"
+
     @property
     def latest_path(self) -> str:
         return f"{self.table_path}_latest"

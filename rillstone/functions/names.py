@@ -1,5 +1,6 @@
 """Column names the library adds, and the names payloads may not use."""
 
+# Columns of the structured rows and of the tables.
 TIMESTAMP = "timestamp"
 VALUE = "value"
 VALUE_RAW = "value_raw"
@@ -16,6 +17,7 @@ RECORD_PARTITION = "record_partition"
 RECORD_OFFSET = "record_offset"
 POSITION = (RECORD_PARTITION, RECORD_OFFSET)
 
+# Outcomes of a message.
 ACCEPTED = "accepted"
 MALFORMED = "malformed"
 NULL_VALUE = "null_value"

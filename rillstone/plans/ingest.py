@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.context import HookRegistry, IngestContext, load_context
-from rillstone.plans.tables import Provisioned, provision, publish_latest
+from rillstone.plans.tables import Provisioned, provision, publish_latest, register_latest
 from rillstone.streaming.drain import drain, progress
-from rillstone.streaming.stages import start_formatting, start_landing
+from rillstone.streaming.stages import ship_hook_code, start_formatting, start_landing
 
 
 class Run(NamedTuple):
@@ -27,6 +27,7 @@ class Run(NamedTuple):
 def run_ingest(ctx: IngestContext) -> Run:
     """Ingest everything available now; a rerun continues from the checkpoints."""
     provisioned = provision(ctx)
+    ship_hook_code(ctx)
     landing = start_landing(ctx)
     drain(landing, ctx.timeout_seconds)
     formatting = start_formatting(ctx)
@@ -36,6 +37,8 @@ def run_ingest(ctx: IngestContext) -> Run:
     if ctx.register_tables:
         ctx.spark.catalog.refreshTable(ctx.table_name)
         ctx.spark.catalog.refreshTable(ctx.raw_table_name)
+        if ctx.hooks.write is None:
+            register_latest(ctx)
     return Run(provisioned, landing, formatting)
 
 

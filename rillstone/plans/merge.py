@@ -1,4 +1,4 @@
-"""A ``write`` hook for tables that support MERGE (Delta): one row per key."""
+"""``write`` hooks for Delta tables: one row per key, or every row once."""
 
 from __future__ import annotations
 
@@ -59,3 +59,20 @@ def merge_write(ctx: IngestContext, batch: DataFrame, batch_id: int) -> None:
     rows.sparkSession.sql(
         merge_statement(ctx.table_name, source, key_names(ctx.keys), rows.columns, _ORDER)
     )
+
+
+def transaction_options(ctx: IngestContext, batch: DataFrame, batch_id: int) -> dict[str, str]:
+    """Options by which Delta skips a batch it already holds.
+
+    Batch ids count within one checkpoint, so the id of the checkpointed query goes
+    with them: after a reset, batch 0 is a new batch.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return {"txnAppId": f"{ctx.resource_name}.{query}", "txnVersion": str(batch_id)}
+
+
+def append_write(ctx: IngestContext, batch: DataFrame, batch_id: int) -> None:
+    """``Hooks(write=append_write)``: append each micro-batch exactly once."""
+    rows = conform(batch, formatted_schema(ctx, ctx.target_schema))
+    options = transaction_options(ctx, batch, batch_id)
+    rows.write.format(ctx.table_format).mode("append").options(**options).save(ctx.table_path)

@@ -138,34 +138,52 @@ def _append_nothing(
 
 
 def register(ctx: IngestContext, formatted: T.StructType) -> None:
-    """Make both tables known to the catalog, with columns added since."""
-    spark = ctx.spark
-    _create(ctx, ctx.table_name, formatted, ctx.table_path, names.RUN_ID)
-    _create(ctx, ctx.raw_table_name, raw_schema(ctx), ctx.raw_path, names.OUTCOME)
-    if ctx.table_format != "parquet":
-        return
-    known = {name.lower() for name in spark.table(ctx.table_name).columns}
-    added = [f for f in formatted.fields if f.name.lower() not in known]
-    if added:
-        spark.sql(f"ALTER TABLE {ctx.table_name} ADD COLUMNS ({_ddl(added)})")
+    """Make both tables known to the catalog, following added columns."""
+    _register(ctx, ctx.table_name, formatted, ctx.table_path, names.RUN_ID)
+    _register(ctx, ctx.raw_table_name, raw_schema(ctx), ctx.raw_path, names.OUTCOME)
 
 
-def _create(
-    ctx: IngestContext, name: str, schema: T.StructType, path: str, partition: str
+def register_latest(ctx: IngestContext) -> None:
+    """Point the table of latest rows at the published snapshot."""
+    run = _published(ctx)[names.RUN_ID]
+    if run >= 0:
+        _register(ctx, ctx.latest_table_name, _snapshot_schema(ctx), _snapshot(ctx, run))
+
+
+def _register(
+    ctx: IngestContext, name: str, schema: T.StructType, path: str, partition: str | None = None
 ) -> None:
-    columns, layout = "", ""
-    if ctx.table_format == "parquet":
-        columns = f"({_ddl(schema.fields)})"
-        layout = f"PARTITIONED BY ({partition})"
-    location = path.replace("\\", "\\\\").replace("'", "\\'")
-    ctx.spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {ctx.table_format} "
-        f"{layout} LOCATION '{location}'"
+    spark = ctx.spark
+    if ctx.table_format != "parquet" and partition is not None:
+        create = f"CREATE TABLE IF NOT EXISTS {name} USING {ctx.table_format} LOCATION"
+        spark.sql(f"{create} {_quoted(path)}")
+        return
+    if spark.catalog.tableExists(name):
+        known = {f.name.lower(): f.dataType.simpleString() for f in spark.table(name).schema}
+        added = [f for f in schema.fields if f.name.lower() not in known]
+        kept = [f for f in schema.fields if f.name.lower() in known]
+        if any(known[f.name.lower()] != f.dataType.simpleString() for f in kept):
+            # Fields inside a column cannot be added in place. The files of a table
+            # with a location outlive its catalog entry.
+            spark.sql(f"DROP TABLE {name}")
+        elif added:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(added)})")
+    layout = f"PARTITIONED BY ({partition})" if partition else ""
+    # Created over files a stream has written, a table would take the columns of those
+    # files and not the declared ones; hence the location is set afterwards.
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema.fields)}) USING parquet {layout} "
+        f"LOCATION {_quoted(path + '.declared')}"
     )
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(path)}")
+
+
+def _quoted(path: str) -> str:
+    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _ddl(fields: list[T.StructField]) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields]).toDDL()
 
 
 def read_saved_schema(ctx: IngestContext) -> T.StructType | None:
@@ -226,8 +244,7 @@ def read_latest(ctx: IngestContext) -> DataFrame:
         # No snapshot, or one by other keys: start from the whole log.
         rows = latest(read_formatted(ctx), keys, order)
     else:
-        schema = T.StructType([f for f in stored_schema(ctx).fields if f.name != names.RUN_ID])
-        rows = ctx.spark.read.schema(schema).parquet(_snapshot(ctx, run - 1))
+        rows = ctx.spark.read.schema(_snapshot_schema(ctx)).parquet(_snapshot(ctx, run - 1))
         if _has_rows(ctx, run):
             rows = merge_latest(rows, new, keys, order)
     return rows.withColumn(names.CURRENT, F.lit("Y"))
@@ -248,6 +265,10 @@ def _snapshot(ctx: IngestContext, run: int) -> str:
     return f"{ctx.latest_path}/{names.RUN_ID}={run}"
 
 
+def _snapshot_schema(ctx: IngestContext) -> T.StructType:
+    return T.StructType([f for f in stored_schema(ctx).fields if f.name != names.RUN_ID])
+
+
 def _has_rows(ctx: IngestContext, run: int) -> bool:
     return documents.exists(ctx.spark, f"{ctx.table_path}/{names.RUN_ID}={run}")
 
@@ -283,7 +304,8 @@ def write_batch(
 ) -> None:
     """Write one batch so that writing it again replaces it.
 
-    For ``write`` hooks: Spark delivers a batch at least once.
+    For ``write`` hooks: Spark delivers a batch at least once. Batch ids count within
+    one checkpoint; after resetting a checkpoint, write to another path.
     """
     target = f"{path}/{names.BATCH_ID}={int(batch_id)}"
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(target)

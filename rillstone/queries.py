@@ -464,9 +464,12 @@ REF_TEMPLATE = {
 
 @query
 def ref_type_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "refs")
+    documents.write_json(spark, f"{folder}/conf/workflow/ref_type.json", REF_TEMPLATE)
+    ctx = event_context(spark, folder, schema=AVRO_WITH_REF)
     payload = ["event_id", F.struct(F.col("user_id").alias("id")).alias("user")]
-    schema = schemas.from_avro(spark, schemas.expand_refs(AVRO_WITH_REF, REF_TEMPLATE))
-    rows = structured(event_texts(spark, sf_dir, payload), schema, EVENT_KEY)
+    texts = event_texts(spark, sf_dir, payload)
+    rows = structured(texts, ctx.source_schema, ctx.keys)
     return rows.select("event_id", F.col("value.user.id").alias("user_ref_id"))
 
 

@@ -31,6 +31,7 @@ MICROSECONDS = {
 
 def consumer_options(cluster: Mapping[str, Any], job: Mapping[str, Any]) -> dict[str, str]:
     """Topic, starting point, rate limit and group of the Kafka consumer."""
+    # Option names of Spark's Kafka source.
     return {
         "kafka.bootstrap.servers": cluster["bootstrap_servers"],
         "subscribe": job["kafka_topic_name"],
@@ -51,6 +52,7 @@ def credential_options(cluster: Mapping[str, Any]) -> dict[str, str]:
         f"username={quoted(cluster['sasl_plain_user'])} "
         f"password={quoted(cluster['sasl_plain_password'])};"
     )
+    # Option names and security settings of the Kafka client.
     return {
         "kafka.security.protocol": "SASL_SSL",
         "kafka.sasl.mechanism": "PLAIN",

@@ -29,6 +29,14 @@ from rillstone.sources import records
 FORMATTING_BATCH_BYTES = 2**40
 
 
+def ship_hook_code(ctx: IngestContext) -> None:
+    """Send the archive with the hooks' modules to the executors, if one is named."""
+    archive = ctx.generic.get("installed_py_files_archive_name", "").strip()
+    if archive:
+        place = ctx.generic.get("installed_py_files_server_location", "").strip()
+        ctx.spark.sparkContext.addPyFile(place + archive)
+
+
 def open_records(ctx: IngestContext) -> DataFrame:
     """The topic's record stream, limited per batch as configured."""
     if ctx.record_path is None:

@@ -1,8 +1,13 @@
 """Provisioning, streaming runs, restarts, failures, hooks."""
 
+import dataclasses
 import datetime as dt
+import pathlib
+import re
 import time
+import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -198,6 +203,24 @@ def test_registered_tables(spark, tmp_path):
     table = spark.table("demo.pre_demo_events")
     assert sorted(r.id for r in table.where("z IS NULL").collect()) == [1, 2]
     assert table.where("z IS NOT NULL").first().id == 3
+    newest = spark.table("demo.pre_demo_events_latest")
+    assert sorted((r.id, r.current, r.z is None) for r in newest.collect()) == [
+        (1, "Y", True), (2, "Y", True), (3, "Y", False),
+    ]
+
+    # A field added inside a column, and a name that needs quoting.
+    for fields, sent in (
+        ("b: int", '{"id":4,"a":{"b":1},"odd.name":1}'),
+        ("b: int, c: int", '{"id":5,"a":{"b":1,"c":2}}'),
+    ):
+        nested = T.StructType.fromDDL(f"a struct<{fields}>, `odd.name` int")
+        schema = T.StructType([*wider.fields, *nested.fields])
+        ctx = context(spark, tmp_path, schema=schema, register_tables=True)
+        send(ctx, sent)
+        run_ingest(ctx)
+    for name in ("demo.pre_demo_events", "demo.pre_demo_events_latest"):
+        found = {r.id: r.a and r.a.c for r in spark.table(name).collect()}
+        assert found == {1: None, 2: None, 3: None, 4: None, 5: 2}
 
 
 # -------------------------------------------------------------------- streams
@@ -454,6 +477,32 @@ def test_replayed_batch_replaces_itself_only(spark, tmp_path):
     assert ids(tables.read_batches(spark, path, frame.schema)) == [0, 2, 4, 6, 8, 10, 11]
 
 
+def test_hook_code_reaches_the_executors(spark, tmp_path):
+    """The archive named in the generic document can be imported inside tasks."""
+    with zipfile.ZipFile(tmp_path / "hooks.zip", "w") as archive:
+        archive.writestr("shipped_hooks.py", "def shout(text):\n    return text.upper()\n")
+
+    def transform(ctx, rows):
+        @F.pandas_udf("string")
+        def shouted(texts: pd.Series) -> pd.Series:
+            from shipped_hooks import shout
+
+            return texts.map(shout)
+
+        return rows.select("timestamp", "id", shouted("value.n").alias("n"))
+
+    ctx = context(spark, tmp_path, registry={("src", "demo_events"): Hooks(transform=transform)})
+    generic = {
+        **ctx.generic,
+        "installed_py_files_archive_name": " hooks.zip ",
+        "installed_py_files_server_location": f"{tmp_path}/",
+    }
+    ctx = dataclasses.replace(ctx, generic=generic)
+    send(ctx, message(1, "shout"))
+    run_ingest(ctx)
+    assert tables.read_formatted(ctx).first().n == "SHOUT"
+
+
 # ---------------------------------------------------------------------- plans
 
 
@@ -511,3 +560,30 @@ def test_merge_write_sends_one_current_row_per_key(spark, tmp_path):
     tables.provision(merged)
     with pytest.raises(Exception, match="MERGE"):
         merge.merge_write(merged, formatted_rows(ctx, archive), 0)
+
+
+def test_library_keeps_rows_on_the_executors():
+    """No row is collected, no lineage cut machine-locally, no table broadcast by hand."""
+    refused = re.compile(r"\.collect\(|toPandas|localCheckpoint|crossJoin|broadcast\(|\.rdd\b")
+    package = pathlib.Path(tables.__file__).parent.parent
+    for source in package.rglob("*.py"):
+        assert not refused.search(source.read_text()), source
+
+
+def test_append_write_names_query_and_batch(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    send(ctx, message(1), message(2))
+    batch = formatted_rows(ctx, landing_rows(ctx, spark.read.parquet(ctx.record_path)))
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q-1")
+    try:
+        assert merge.transaction_options(ctx, batch, 7) == {
+            "txnAppId": "pre_demo_events.q-1",
+            "txnVersion": "7",
+        }
+        # Parquet ignores the transaction options; the shape of the rows is checked.
+        merge.append_write(ctx, batch, 7)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    written = spark.read.parquet(ctx.table_path)
+    assert written.columns == tables.formatted_schema(ctx, ctx.target_schema).names
+    assert ids(written) == [1, 2]
