@@ -32,7 +32,7 @@ def split_keys(declared: str) -> list[KeyColumn]:
     if len(set(column_names)) != len(column_names):
         raise ValueError(f"primary keys collide: {declared!r}")
     for key in keys:
-        if key.name in names.RESERVED or key.name == names.VALUE:
+        if key.name.lower() in {*names.RESERVED, names.VALUE}:
             raise ValueError(f"{key.name!r} is reserved and cannot be a primary key")
     return keys
 
@@ -53,7 +53,7 @@ def check_keys(keys: list[KeyColumn], schema: T.StructType) -> None:
     """Refuse keys that do not exist or whose column would hide a payload field."""
     for key in keys:
         key_type(schema, key.path)
-        if key.name != key.path and key.name in schema.names:
+        if key.name != key.path and key.name.lower() in {n.lower() for n in schema.names}:
             raise ValueError(f"key column {key.name!r} collides with a payload field")
 
 

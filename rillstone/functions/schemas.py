@@ -19,11 +19,14 @@ REF_NAME = "REF_NAME"
 
 
 def from_document(document: dict[str, Any]) -> T.StructType:
-    """Schema from Spark's JSON form, with reserved field names refused."""
+    """Schema from Spark's JSON form; refuses reserved names and names that Spark,
+    which ignores case, could not tell apart."""
     schema = T.StructType.fromJson(document)
-    taken = sorted(names.RESERVED.intersection(schema.names))
+    taken = sorted(name for name in schema.names if name.lower() in names.RESERVED)
     if taken:
         raise ValueError(f"payload fields use reserved names: {', '.join(taken)}")
+    if len({name.lower() for name in schema.names}) < len(schema.names):
+        raise ValueError(f"payload fields differ in case only: {', '.join(schema.names)}")
     return schema
 
 

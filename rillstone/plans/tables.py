@@ -60,13 +60,13 @@ def raw_schema(ctx: IngestContext) -> T.StructType:
 
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the table's columns, cast to its types; absent nullable ones are NULL."""
-    present = set(rows.columns)
-    missing = [f.name for f in schema.fields if f.name not in present and not f.nullable]
+    present = {name.lower() for name in rows.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in present and not f.nullable]
     if missing:
         raise ValueError(f"required columns are missing: {', '.join(missing)}")
     return rows.select(
         *[
-            (F.col(f"`{f.name}`") if f.name in present else F.lit(None))
+            (F.col(f"`{f.name}`") if f.name.lower() in present else F.lit(None))
             .cast(f.dataType)
             .alias(f.name)
             for f in schema.fields

@@ -90,8 +90,15 @@ def naive(column: str) -> Column:
     return F.col(column).cast("timestamp_ntz").alias(column)
 
 
-def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
-    records.write.mode(mode).parquet(path)
+def topic_files(spark: SparkSession, sf_dir: str, table: str) -> int:
+    """Files of a topic's fixture: eight, as if of eight partitions, or as many times
+    eight as keep each below 64 MB of its table."""
+    size = documents.size(spark, f"{sf_dir}/{table}.parquet")
+    return 8 * (size // (8 * 64 * 2**20) + 1)
+
+
+def write_records(records: DataFrame, path: str, files: int) -> None:
+    records.repartition(files, "offset").write.mode("append").parquet(path)
 
 
 def topic_context(
@@ -414,11 +421,12 @@ def schema_evolve_add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even events arrive under a declaration without props, the others with it."""
     folder = new_folder(spark, "evolve")
     events = read(spark, sf_dir, "events")
+    files = topic_files(spark, sf_dir, "events")
     before = struct(event_id=LONG, user_id=LONG)
     after = struct(event_id=LONG, user_id=LONG, props=TEXT)
     for schema, arrived in ((before, F.col("event_id") % 2 == 0), (after, F.col("event_id") % 2 == 1)):
         ctx = event_context(spark, folder, schema=schema)
-        write_records(event_records(events.where(arrived), schema.names), ctx.record_path)
+        write_records(event_records(events.where(arrived), schema.names), ctx.record_path, files)
         run_ingest(ctx)
     return tables.read_formatted(ctx).select("event_id", "user_id", "props")
 
@@ -429,7 +437,8 @@ def target_schema_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "target")
     target = struct(event_id=LONG, user_id=LONG, event_type=TEXT)
     ctx = event_context(spark, folder, primary_keys="user_id", target=target)
-    write_records(event_records(read(spark, sf_dir, "events")), ctx.record_path)
+    files = topic_files(spark, sf_dir, "events")
+    write_records(event_records(read(spark, sf_dir, "events")), ctx.record_path, files)
     run_ingest(ctx)
     rows = tables.read_history(ctx)
     kept = [f.name for f in schemas.extend_target(target).fields]
@@ -523,7 +532,8 @@ def write_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = event_context(spark, new_folder(spark, "drain"))
-    write_records(event_records(read(spark, sf_dir, "events")), ctx.record_path)
+    files = topic_files(spark, sf_dir, "events")
+    write_records(event_records(read(spark, sf_dir, "events")), ctx.record_path, files)
     run_ingest(ctx)
     return tables.read_formatted(ctx).select("event_id", "user_id", "event_type")
 
@@ -533,9 +543,10 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half the events, a run, the other half, two more runs: every event once."""
     ctx = event_context(spark, new_folder(spark, "restart"))
     events = read(spark, sf_dir, "events")
+    files = topic_files(spark, sf_dir, "events")
     for half in (0, 1):
         part = events.where(F.col("event_id") % 2 == half)
-        write_records(event_records(part), ctx.record_path)
+        write_records(event_records(part), ctx.record_path, files)
         run_ingest(ctx)
     run_ingest(ctx)
     return tables.read_formatted(ctx).select("event_id", "user_id", naive("timestamp"))
@@ -546,9 +557,10 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later ids first, then the earlier ones: the published latest rows."""
     ctx = event_context(spark, new_folder(spark, "latest"), primary_keys="user_id")
     events = read(spark, sf_dir, "events")
+    files = topic_files(spark, sf_dir, "events")
     middle = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
     for part in (F.col("event_id") > middle, F.col("event_id") <= middle):
-        write_records(event_records(events.where(part)), ctx.record_path)
+        write_records(event_records(events.where(part)), ctx.record_path, files)
         run_ingest(ctx)
     return tables.read_latest(ctx).select("user_id", "event_id", "ts", "current")
 
@@ -559,7 +571,8 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = event_context(spark, new_folder(spark, "rejects"))
     tail = F.when(F.col("event_id") % 97 == 0, F.lit("")).otherwise(F.lit("}"))
     message = F.concat(F.lit('{"event_id":'), F.col("event_id"), tail)
-    write_records(event_records(read(spark, sf_dir, "events"), message), ctx.record_path)
+    files = topic_files(spark, sf_dir, "events")
+    write_records(event_records(read(spark, sf_dir, "events"), message), ctx.record_path, files)
     run_ingest(ctx)
     return tables.read_rejects(ctx).select(naive("timestamp"), "value_raw", "reason")
 
@@ -577,7 +590,7 @@ def stream_raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         offset=F.col("o_orderkey"),
         topic="orders",
     )
-    write_records(records, ctx.record_path)
+    write_records(records, ctx.record_path, topic_files(spark, sf_dir, "orders"))
     run_ingest(ctx)
     raw = tables.read_raw(ctx)
     price = F.get_json_object("value_raw", "$.o_totalprice").cast("double")
@@ -590,12 +603,9 @@ def stream_raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rate_limited_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rate limit of a quarter of the files gives four batches."""
     folder = new_folder(spark, "rate")
-    path = f"{sf_dir}/events.parquet"
-    # Files of at most 64 MB of input, a multiple of four of them.
-    per_batch = documents.size(spark, path) // (4 * 64 * 2**20) + 1
-    ctx = event_context(spark, folder, rate_limit=per_batch)
-    records = event_records(spark.read.parquet(path))
-    write_records(records.repartition(4 * per_batch, "offset"), ctx.record_path)
+    files = topic_files(spark, sf_dir, "events")
+    ctx = event_context(spark, folder, rate_limit=files // 4)
+    write_records(event_records(read(spark, sf_dir, "events")), ctx.record_path, files)
     run = run_ingest(ctx)
     batches = run.progress(spark).where(F.col("query").endswith(".landing"))
     counted = tables.read_formatted(ctx).agg(F.count("*").alias("n"))
@@ -616,7 +626,7 @@ def multi_topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         records = envelope(
             read(spark, sf_dir, topic), schema.names, time=time, offset=F.col(key), topic=topic
         )
-        write_records(records, ctx.record_path)
+        write_records(records, ctx.record_path, topic_files(spark, sf_dir, topic))
         contexts.append(ctx)
     run_topics(contexts)
     counts = [

@@ -438,6 +438,14 @@ def test_transform_receives_context_and_structured_rows(spark, tmp_path):
     ]
 
 
+def test_transform_columns_match_without_case(spark, tmp_path):
+    hooks = Hooks(transform=lambda ctx, rows: rows.select("timestamp", "id", F.lit("y").alias("N")))
+    ctx = context(spark, tmp_path, registry={("src", "demo_events"): hooks})
+    send(ctx, message(1))
+    run_ingest(ctx)
+    assert tables.read_formatted(ctx).first().n == "y"
+
+
 def test_transform_must_keep_required_columns(spark, tmp_path):
     hooks = Hooks(transform=lambda ctx, rows: rows.select("timestamp", "value_raw"))
     ctx = context(spark, tmp_path, registry={("src", "demo_events"): hooks})

@@ -20,7 +20,7 @@ def test_split_keys():
     assert split_keys("meta.user_id")[0] == ("meta.user_id", "meta_user_id")
 
 
-@pytest.mark.parametrize("text", ["", "a,,b", " ", "a.b,a_b", "a,A", "timestamp", "value", "a,value_raw"])
+@pytest.mark.parametrize("text", ["", "a,,b", " ", "a.b,a_b", "a,A", "timestamp", "Value", "a,value_raw"])
 def test_refused_keys(text):
     with pytest.raises(ValueError):
         split_keys(text)
@@ -43,6 +43,15 @@ def test_reserved_payload_fields(name):
         schemas.from_document(document)
 
 
+def test_names_are_compared_without_case(spark):
+    for fields in (["Timestamp"], ["id", "ID"]):
+        document = T.StructType([T.StructField(n, T.LongType()) for n in fields]).jsonValue()
+        with pytest.raises(ValueError):
+            schemas.from_document(document)
+    with pytest.raises(ValueError):
+        check_keys(split_keys("m.id"), ddl("M_ID int, m struct<id: bigint>"))
+
+
 def test_payload_may_have_value(spark):
     schema = ddl("value double")
     assert schemas.from_document(schema.jsonValue()) == schema
