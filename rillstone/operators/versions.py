@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,10 @@ from rillstone.functions import names
 
 HOUR = 3600
 
+# Bounds what ``history`` broadcasts. Of any more keys, each holds less than this
+# part of the rows, and an ordinary window can bear it.
+MOST_HOT_KEYS = 10_000
+
 
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row of each key; ``order`` runs from time to tie-breaks.
@@ -38,15 +44,58 @@ def history(
     *,
     tie: Sequence[str] = names.POSITION,
     time: str = names.TIMESTAMP,
+    hot_rows: int = 1_000_000,
     slice_seconds: int = HOUR,
 ) -> DataFrame:
     """Every version with ``valid_to`` (start of the next one) and ``current``.
 
     ``tie`` must tell versions of one key at one instant apart.
 
-    A window over the key would sort a hot key in one task. Instead, only the
-    distinct instants of a key go through windows, cut into slices of time; the
-    rows meet their instant in an equi-join on key *and* time:
+    A window over the key sorts all rows of a key in one task. That is the cheapest
+    way for most keys; keys with at least ``hot_rows`` rows take ``_by_instant``.
+    Both ways give the same rows, so the choice is a matter of cost alone. Without
+    hot keys adaptive execution drops the second way before it reads anything.
+    """
+    if not isinstance(rows.schema[time].dataType, T.TimestampType):
+        raise TypeError(f"{time!r} must be a timestamp")
+    keys, tie = list(keys), list(tie)
+    hot = F.broadcast(_hot_keys(rows, keys, hot_rows))
+    in_order = Window.partitionBy(*keys).orderBy(time, *tie)
+    usual = _join_same(rows, hot, keys, "left_anti").withColumn(
+        names.VALID_TO, F.lead(time).over(in_order)
+    )
+    crowded = _by_instant(
+        _join_same(rows, hot, keys, "left_semi"), keys, tie, time, slice_seconds
+    )
+    ended = F.col(names.VALID_TO).isNotNull()
+    return usual.unionByName(crowded).withColumn(
+        names.CURRENT, F.when(ended, F.lit("N")).otherwise(F.lit("Y"))
+    )
+
+
+def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """The keys with most rows: at most ``MOST_HOT_KEYS``, so they can be broadcast.
+
+    The order is total, for every use has to see the same keys.
+    """
+    count = "__count"
+    return (
+        rows.groupBy(*keys)
+        .agg(F.count("*").alias(count))
+        .where(F.col(count) >= hot_rows)
+        .orderBy(F.col(count).desc(), *keys)
+        .limit(MOST_HOT_KEYS)
+        .select(*keys)
+    )
+
+
+def _by_instant(
+    rows: DataFrame, keys: list[str], tie: list[str], time: str, slice_seconds: int
+) -> DataFrame:
+    """``valid_to`` of keys with any number of rows.
+
+    Only the distinct instants of a key go through windows, cut into slices of time;
+    the rows meet their instant in an equi-join on key *and* time:
 
     * copies at one instant collapse before the shuffle;
     * a slice holds at most ``slice_seconds`` worth of instants, and the pass over
@@ -54,11 +103,8 @@ def history(
     * full rows are shuffled once, spread over their instants, and a join (unlike
       a window) lets adaptive execution split an instant that is itself hot.
     """
-    keys, tie = list(keys), list(tie)
     last, piece, start, end, following = "__last", "__slice", "__start", "__end", "__next"
     order = F.col(tie[0]) if len(tie) == 1 else F.struct(*tie)
-    if not isinstance(rows.schema[time].dataType, T.TimestampType):
-        raise TypeError(f"{time!r} must be a timestamp")
     seconds = F.unix_seconds(time)
     cut = seconds - F.pmod(seconds, F.lit(slice_seconds))
 
@@ -80,31 +126,14 @@ def history(
         .where(F.col(end) == 0)
         .select(*keys, time, last, following)
     )
-
-    matched = _join_same(rows, ends, [*keys, time])
-    is_last = order.eqNullSafe(F.col(last))
-    return (
-        matched.withColumn(
-            names.VALID_TO, F.when(is_last, F.col(following)).otherwise(F.col(time))
-        )
-        .withColumn(
-            names.CURRENT,
-            F.when(is_last & F.col(following).isNull(), F.lit("Y")).otherwise(F.lit("N")),
-        )
-        .drop(last, following)
-    )
+    matched = _join_same(rows, ends, [*keys, time], "left")
+    valid_to = F.when(order.eqNullSafe(F.col(last)), F.col(following)).otherwise(F.col(time))
+    return matched.withColumn(names.VALID_TO, valid_to).drop(last, following)
 
 
-def _join_same(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Left join on equal columns, NULL matching NULL; keeps the left's columns."""
-    renamed = right.select(
-        *[
-            F.col(name).alias(f"__r_{name}") if name in on else F.col(name)
-            for name in right.columns
-        ]
-    )
-    condition = None
-    for name in on:
-        same = F.col(name).eqNullSafe(F.col(f"__r_{name}"))
-        condition = same if condition is None else condition & same
-    return left.join(renamed, condition, "left").drop(*[f"__r_{name}" for name in on])
+def _join_same(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join on equal columns, NULL matching NULL; the right's copies are dropped."""
+    renamed = right.withColumnsRenamed({name: f"__r_{name}" for name in on})
+    same = [F.col(name).eqNullSafe(F.col(f"__r_{name}")) for name in on]
+    joined = left.join(renamed, reduce(and_, same), how)
+    return joined.drop(*[f"__r_{name}" for name in on])

@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rillstone.operators.versions import history, latest, merge_latest
+from rillstone.operators import versions
+from rillstone.operators.versions import _by_instant, history, latest, merge_latest
 
 START = dt.datetime(2024, 3, 9, 23, 59, 58)
 SCHEMA = "k string, timestamp timestamp, record_partition int, record_offset bigint, x int"
@@ -43,10 +44,15 @@ def expected_history(built):
 
 
 @few
-@given(drawn=rows, slice_seconds=st.sampled_from([1, 60, 3600]))
-def test_history(spark, drawn, slice_seconds):
+@given(
+    drawn=rows,
+    slice_seconds=st.sampled_from([1, 60, 3600]),
+    hot_rows=st.sampled_from([1, 5, 10**6]),
+)
+def test_history(spark, drawn, slice_seconds, hot_rows):
+    """The same whether all, some or no keys count as hot."""
     frame, built = table(spark, drawn)
-    found = history(frame, ["k"], slice_seconds=slice_seconds).collect()
+    found = history(frame, ["k"], slice_seconds=slice_seconds, hot_rows=hot_rows).collect()
     assert sorted(map(tuple, found), key=str) == expected_history(built)
 
 
@@ -106,7 +112,7 @@ def test_history_under_skew(spark, tmp_path):
     try:
         for name, value in settings_for_small_data.items():
             spark.conf.set(name, value)
-        found = history(frame, ["k"])
+        found = history(frame, ["k"], hot_rows=1000)
         rows_found = found.collect()
         plan = found._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -121,10 +127,31 @@ def test_history_under_skew(spark, tmp_path):
     assert len(rows_found) == 60_000
 
 
-def test_full_rows_never_meet_a_window(spark):
-    plan = history(skewed(spark), ["k"])._jdf.queryExecution().optimizedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window" in line]
-    assert windows and all("x#" not in line for line in windows)
+def test_full_rows_of_hot_keys_never_meet_a_window(spark):
+    frame = _by_instant(skewed(spark), ["k"], ["record_offset"], "timestamp", 3600)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    # The payload column is computed on the rows' side of the join, and there only.
+    rows_side = plan[: plan.index("Window")]
+    assert rows_side.count("sha2(") == plan.count("sha2(") == 1
+
+
+def test_history_without_hot_keys_is_one_window(spark, tmp_path):
+    """Adaptive execution drops the way for hot keys before reading for it."""
+    skewed(spark).write.parquet(str(tmp_path / "rows"))
+    found = history(spark.read.parquet(str(tmp_path / "rows")), ["k"])
+    assert found.count() == 60_000
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in final and final.count("lead(") == 1
+
+
+def test_at_most_so_many_keys_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(versions, "MOST_HOT_KEYS", 3)
+    frame = skewed(spark)
+    assert versions._hot_keys(frame, ["k"], 1).count() == 3
+    plain = set(map(tuple, history(frame, ["k"], hot_rows=10**6).collect()))
+    assert set(map(tuple, history(frame, ["k"], hot_rows=1).collect())) == plain
 
 
 def test_latest_aggregates_before_the_shuffle(spark):
