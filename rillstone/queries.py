@@ -358,7 +358,7 @@ def history_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lineitem_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three keys for the whole table, many rows at one instant."""
+    """Three keys for the whole table, all of them hot, many rows at one instant."""
     tie = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     schema = struct(
         l_orderkey=LONG, l_partkey=LONG, l_suppkey=LONG, l_linenumber=INT, l_returnflag=TEXT
@@ -373,7 +373,11 @@ def lineitem_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = split_keys("l_returnflag")
     rows = flatten(accepted(classify(reduce_records(records), schema, keys)))
     versions = history(
-        stored(spark, rows, "history"), key_names(keys), tie=tie, slice_seconds=30 * 86400
+        stored(spark, rows, "history"),
+        key_names(keys),
+        tie=tie,
+        hot_rows=1000,
+        slice_seconds=30 * 86400,
     )
     return versions.select(*schema.names, naive("timestamp"), naive("valid_to"), "current")
 

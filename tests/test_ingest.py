@@ -21,6 +21,7 @@ from rillstone.plans.ingest import run_ingest, run_jobs, run_topics
 from rillstone.sources import documents
 from rillstone.sources.records import RECORD_SCHEMA
 from rillstone.streaming import drain as draining
+from rillstone.streaming import stages
 from rillstone.streaming.stages import formatted_rows, landing_rows, start_landing
 
 START = dt.datetime(2024, 1, 1)
@@ -320,6 +321,17 @@ def test_snapshot_follows_an_added_column(spark, tmp_path):
     assert [tuple(r) for r in found] == [(1, "x", None), (2, None, dt.date(2024, 1, 2))]
 
 
+def test_a_backlog_is_formatted_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stages, "FORMATTING_BATCH_BYTES", 1)
+    ctx = context(spark, tmp_path, job={"max_offsets_per_trigger": 1})
+    for number in range(3):
+        send(ctx, message(number), offset=number)
+    run = run_ingest(ctx)
+    pieces = run.progress(spark).where(F.col("query").endswith(".formatting"))
+    assert [row.input_rows for row in pieces.collect()] == [1, 1, 1]
+    assert ids(tables.read_latest(ctx)) == [0, 1, 2]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     ctx = context(spark, tmp_path)
     send(ctx, message(1), "oops", None, "{}", message(2, "ä\\n"))
