@@ -47,6 +47,14 @@ ORACLES: dict[str, str] = {
         SELECT user_id, event_id, ts AS timestamp, lead(ts) OVER w AS valid_to,
                CASE WHEN lead(ts) OVER w IS NULL THEN 'Y' ELSE 'N' END AS current
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+    "lineitem_latest": """
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag,
+               l_shipdate AS timestamp
+        FROM lineitem
+        QUALIFY row_number() OVER (
+            PARTITION BY l_returnflag
+            ORDER BY l_shipdate DESC, l_orderkey DESC, l_partkey DESC, l_suppkey DESC,
+                     l_linenumber DESC) = 1""",
     "lineitem_history": """
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag,
                l_shipdate AS timestamp, lead(l_shipdate) OVER w AS valid_to,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.context import Hooks, IngestContext, load_context
-from rillstone.functions import names, schemas
+from rillstone.functions import schemas
 from rillstone.functions.keys import key_names, split_keys
 from rillstone.operators.drift import drift_report
 from rillstone.operators.parse import flatten, raw_rows, reduce_records, structured
@@ -356,30 +356,43 @@ def history_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def lineitem_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three keys for the whole table, all of them hot, many rows at one instant."""
-    tie = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-    schema = struct(
-        l_orderkey=LONG, l_partkey=LONG, l_suppkey=LONG, l_linenumber=INT, l_returnflag=TEXT
-    )
+ITEM_KEY = split_keys("l_returnflag")
+ITEM_TIE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+ITEM = struct(
+    l_orderkey=LONG, l_partkey=LONG, l_suppkey=LONG, l_linenumber=INT, l_returnflag=TEXT
+)
+
+
+def item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items keyed by return flag: three keys for the whole table."""
     records = envelope(
         read(spark, sf_dir, "lineitem"),
-        schema.names,
+        ITEM.names,
         time=F.col("l_shipdate"),
         offset=F.col("l_orderkey"),
         topic="lineitem",
     )
-    keys = split_keys("l_returnflag")
-    rows = flatten(accepted(classify(reduce_records(records), schema, keys)))
+    return flatten(accepted(classify(reduce_records(records), ITEM, ITEM_KEY)))
+
+
+@query
+def lineitem_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three keys, each with a large part of the table."""
+    newest = latest(item_rows(spark, sf_dir), key_names(ITEM_KEY), ["timestamp", *ITEM_TIE])
+    return newest.select(*ITEM.names, naive("timestamp"))
+
+
+@query
+def lineitem_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three keys, all of them taken as hot, with many rows at one instant."""
     versions = history(
-        stored(spark, rows, "history"),
-        key_names(keys),
-        tie=tie,
+        stored(spark, item_rows(spark, sf_dir), "history"),
+        key_names(ITEM_KEY),
+        tie=ITEM_TIE,
         hot_rows=1000,
         slice_seconds=30 * 86400,
     )
-    return versions.select(*schema.names, naive("timestamp"), naive("valid_to"), "current")
+    return versions.select(*ITEM.names, naive("timestamp"), naive("valid_to"), "current")
 
 
 @query
@@ -428,9 +441,10 @@ def schema_evolve_add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = topic_files(spark, sf_dir, "events")
     before = struct(event_id=LONG, user_id=LONG)
     after = struct(event_id=LONG, user_id=LONG, props=TEXT)
-    for schema, arrived in ((before, F.col("event_id") % 2 == 0), (after, F.col("event_id") % 2 == 1)):
+    for rest, schema in enumerate((before, after)):
         ctx = event_context(spark, folder, schema=schema)
-        write_records(event_records(events.where(arrived), schema.names), ctx.record_path, files)
+        arrived = event_records(events.where(F.col("event_id") % 2 == rest), schema.names)
+        write_records(arrived, ctx.record_path, files)
         run_ingest(ctx)
     return tables.read_formatted(ctx).select("event_id", "user_id", "props")
 

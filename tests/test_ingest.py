@@ -30,7 +30,9 @@ SCHEMA = T.StructType(
 )
 
 
-def context(spark, folder, schema=SCHEMA, target=None, topic="demo.Events", registry=None, **options):
+def context(
+    spark, folder, schema=SCHEMA, target=None, topic="demo.Events", registry=None, **options
+):
     home = f"{folder}/conf/src/{topic}"
     has_target = target is not None
     documents.write_json(

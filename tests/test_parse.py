@@ -62,7 +62,9 @@ CASES = {
 
 # Text that is often close to a message.
 messages_like = st.lists(
-    st.sampled_from(['{"id":', "1", "null", ',"n":', '"x"', "}", "{", "[", " ", "1.5", '"a":{"b":2}']),
+    st.sampled_from(
+        ['{"id":', "1", "null", ',"n":', '"x"', "}", "{", "[", " ", "1.5", '"a":{"b":2}']
+    ),
     max_size=8,
 ).map("".join)
 

@@ -20,7 +20,9 @@ def test_split_keys():
     assert split_keys("meta.user_id")[0] == ("meta.user_id", "meta_user_id")
 
 
-@pytest.mark.parametrize("text", ["", "a,,b", " ", "a.b,a_b", "a,A", "timestamp", "Value", "a,value_raw"])
+@pytest.mark.parametrize(
+    "text", ["", "a,,b", " ", "a.b,a_b", "a,A", "timestamp", "Value", "a,value_raw"]
+)
 def test_refused_keys(text):
     with pytest.raises(ValueError):
         split_keys(text)

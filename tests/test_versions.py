@@ -71,9 +71,10 @@ def test_latest_in_any_order_of_arrival(spark, drawn, cut):
 
 
 def test_merge_latest_across_an_added_column(spark):
-    state = spark.createDataFrame([("a", START, 1), ("b", START, 1)], "k string, t timestamp, x int")
+    narrow = "k string, t timestamp, x int"
+    state = spark.createDataFrame([("a", START, 1), ("b", START, 1)], narrow)
     later = START + dt.timedelta(seconds=1)
-    changes = spark.createDataFrame([("a", later, 2, "new")], "k string, t timestamp, x int, y string")
+    changes = spark.createDataFrame([("a", later, 2, "new")], narrow + ", y string")
     found = merge_latest(state, changes, ["k"], ["t"]).collect()
     assert sorted(map(tuple, found)) == [("a", later, 2, "new"), ("b", START, 1, None)]
 
