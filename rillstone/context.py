@@ -62,6 +62,8 @@ class IngestContext:
     table_format: str = "parquet"
     # False makes one bad message fail the run instead of becoming a reject.
     dead_letters: bool = True
+    # New rows, as a share of the snapshot's bytes, that make a new snapshot worth it.
+    publish_share: float = 0.25
     # False leaves the catalog alone and works on paths only.
     register_tables: bool = True
 
@@ -108,8 +110,12 @@ class IngestContext:
         return f"{self.table_name}_latest"
 
     @property
-    def latest_path(self) -> str:
-        return f"{self.table_path}_latest"
+    def snapshot_table_name(self) -> str:
+        return f"{self.table_name}_snapshot"
+
+    @property
+    def snapshot_path(self) -> str:
+        return f"{self.table_path}_snapshot"
 
     @property
     def state_path(self) -> str:
@@ -126,7 +132,7 @@ class IngestContext:
 
     @property
     def published_path(self) -> str:
-        """Number of the last run whose rows are in the latest-row snapshot."""
+        """Number of the last snapshot of latest rows, and its keys."""
         return f"{self.state_path}.published.json"
 
     @property

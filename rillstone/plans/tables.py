@@ -5,9 +5,11 @@ append-only. Rejected messages are partitions of the raw archive. Appended files
 cannot be updated, so the formatted table's ``current`` column stays NULL on disk
 and ``read_history`` resolves it.
 
-The formatted table is partitioned by run. After each run the latest row of every
-key is published beside it, from the previous snapshot and that run's rows only:
-the cost follows the number of keys and new rows, not the length of the log.
+Beside it lies a snapshot of the latest row of every key. The formatted table is
+partitioned by snapshot number, so that the next snapshot needs the previous one and
+the rows since, not the whole log. It is written once those rows amount to a share of
+the snapshot: keys that are mostly new would else rewrite everything in every run.
+Readers of latest rows merge the snapshot with the rows since.
 """
 
 from __future__ import annotations
@@ -144,10 +146,30 @@ def register(ctx: IngestContext, formatted: T.StructType) -> None:
 
 
 def register_latest(ctx: IngestContext) -> None:
-    """Point the table of latest rows at the published snapshot."""
-    run = _published(ctx)[names.RUN_ID]
-    if run >= 0:
-        _register(ctx, ctx.latest_table_name, _snapshot_schema(ctx), _snapshot(ctx, run))
+    """Let the view of latest rows follow the snapshot and the rows since."""
+    spark, run = ctx.spark, open_run(ctx)
+    columns = ", ".join(f"`{f.name}`" for f in _snapshot_schema(ctx) if f.name != names.CURRENT)
+    if _snapshot_usable(ctx):
+        _register(ctx, ctx.snapshot_table_name, _snapshot_schema(ctx), _snapshot(ctx, run - 1))
+        spark.catalog.refreshTable(ctx.snapshot_table_name)
+        rows = f"SELECT {columns} FROM {ctx.snapshot_table_name}"
+        if _has_rows(ctx, run):
+            new = f"SELECT {columns} FROM {ctx.table_name} WHERE {names.RUN_ID} >= {run}"
+            rows = _latest_sql(ctx, columns, f"{rows} UNION ALL {new}")
+    else:
+        rows = _latest_sql(ctx, columns, f"SELECT {columns} FROM {ctx.table_name}")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {ctx.latest_table_name} AS "
+        f"SELECT {columns}, 'Y' AS {names.CURRENT} FROM ({rows})"
+    )
+
+
+def _latest_sql(ctx: IngestContext, columns: str, rows: str) -> str:
+    """``latest`` as text, for the view."""
+    order = ", ".join([names.TIMESTAMP, *names.POSITION])
+    keys = ", ".join(f"`{name}`" for name in key_names(ctx.keys))
+    newest = f"max_by(struct({columns}), struct({order})) AS newest"
+    return f"SELECT newest.* FROM (SELECT {newest} FROM ({rows}) GROUP BY {keys})"
 
 
 def _register(
@@ -240,8 +262,7 @@ def read_latest(ctx: IngestContext) -> DataFrame:
     run = open_run(ctx)
     keys, order = key_names(ctx.keys), [names.TIMESTAMP, *names.POSITION]
     new = _read_log(ctx).where(F.col(names.RUN_ID) >= run).drop(names.RUN_ID)
-    if run == 0 or _published(ctx)["keys"] != keys:
-        # No snapshot, or one by other keys: start from the whole log.
+    if not _snapshot_usable(ctx):
         rows = latest(read_formatted(ctx), keys, order)
     else:
         rows = ctx.spark.read.schema(_snapshot_schema(ctx)).parquet(_snapshot(ctx, run - 1))
@@ -251,10 +272,15 @@ def read_latest(ctx: IngestContext) -> DataFrame:
 
 
 def open_run(ctx: IngestContext) -> int:
-    """Number of the run whose rows are not in the snapshot yet."""
+    """Number under which rows are appended that are not in the snapshot yet."""
     return _published(ctx)[names.RUN_ID] + 1
 
 
+def _snapshot_usable(ctx: IngestContext) -> bool:
+    """Whether there is a snapshot, and by the present keys."""
+    return _published(ctx)["keys"] == key_names(ctx.keys)
+
+
 def _published(ctx: IngestContext) -> dict:
     """Last published run and the keys of its snapshot."""
     found = documents.read_json_if_present(ctx.spark, ctx.published_path)
@@ -262,7 +288,7 @@ def _published(ctx: IngestContext) -> dict:
 
 
 def _snapshot(ctx: IngestContext, run: int) -> str:
-    return f"{ctx.latest_path}/{names.RUN_ID}={run}"
+    return f"{ctx.snapshot_path}/{names.RUN_ID}={run}"
 
 
 def _snapshot_schema(ctx: IngestContext) -> T.StructType:
@@ -274,15 +300,19 @@ def _has_rows(ctx: IngestContext, run: int) -> bool:
 
 
 def publish_latest(ctx: IngestContext) -> bool:
-    """Write the next snapshot of latest rows, if there are new rows.
+    """Write the next snapshot of latest rows, once enough rows are new.
 
-    The published number is replaced last. An attempt that dies earlier leaves its
-    run open: the next run adds to it and writes the snapshot again. The previous
+    The published number is replaced last. An attempt that dies earlier leaves the
+    number open: later rows join it and the snapshot is written again. The previous
     snapshot stays for readers, the one before it goes.
     """
     run = open_run(ctx)
     if not _has_rows(ctx, run):
         return False
+    if _snapshot_usable(ctx):
+        new = documents.size(ctx.spark, f"{ctx.table_path}/{names.RUN_ID}={run}")
+        if new < ctx.publish_share * documents.size(ctx.spark, _snapshot(ctx, run - 1)):
+            return False
     read_latest(ctx).write.mode("overwrite").parquet(_snapshot(ctx, run))
     published = {names.RUN_ID: run, "keys": key_names(ctx.keys)}
     documents.write_json(ctx.spark, ctx.published_path, published)

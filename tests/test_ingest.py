@@ -53,6 +53,7 @@ def context(
     }
     options = {
         "register_tables": False,
+        "publish_share": 0.0,
         "record_path": f"{folder}/records/{topic}",
         **options,
     }
@@ -207,9 +208,21 @@ def test_registered_tables(spark, tmp_path):
     assert sorted(r.id for r in table.where("z IS NULL").collect()) == [1, 2]
     assert table.where("z IS NOT NULL").first().id == 3
     newest = spark.table("demo.pre_demo_events_latest")
-    assert sorted((r.id, r.current, r.z is None) for r in newest.collect()) == [
-        (1, "Y", True), (2, "Y", True), (3, "Y", False),
-    ]
+    expected = [(1, "Y", True), (2, "Y", True), (3, "Y", False)]
+    assert sorted((r.id, r.current, r.z is None) for r in newest.collect()) == expected
+
+    # Rows that do not make a new snapshot worth it are in the view all the same.
+    ctx = context(spark, tmp_path, schema=wider, register_tables=True, publish_share=100.0)
+    send(ctx, '{"id":1,"z":"2024-01-02"}', offset=50, at=500)
+    number = tables.open_run(ctx)
+    run_ingest(ctx)
+    assert tables.open_run(ctx) == number
+    newest = spark.table("demo.pre_demo_events_latest")
+    expected[0] = (1, "Y", False)
+    assert sorted((r.id, r.current, r.z is None) for r in newest.collect()) == expected
+    assert sorted(map(str, newest.select("id", "z").collect())) == sorted(
+        map(str, tables.read_latest(ctx).select("id", "z").collect())
+    )
 
     # A field added inside a column, and a name that needs quoting.
     for fields, sent in (
@@ -224,6 +237,7 @@ def test_registered_tables(spark, tmp_path):
     for name in ("demo.pre_demo_events", "demo.pre_demo_events_latest"):
         found = {r.id: r.a and r.a.c for r in spark.table(name).collect()}
         assert found == {1: None, 2: None, 3: None, 4: None, 5: 2}
+    assert spark.table("demo.pre_demo_events").count() == 6
 
 
 # -------------------------------------------------------------------- streams
@@ -286,7 +300,7 @@ def test_snapshot_of_latest_rows(spark, tmp_path, monkeypatch):
         run_ingest(ctx)
         expected[2] = (f"b{number}", "Y")
         assert (newest(), tables.open_run(ctx)) == (expected, number)
-    kept = sorted(p.name for p in (tmp_path / "tables" / "pre_demo_events_latest").iterdir())
+    kept = sorted(p.name for p in (tmp_path / "tables" / "pre_demo_events_snapshot").iterdir())
     assert kept == ["run_id=2", "run_id=3"]
     everything = tables.latest(
         tables.read_formatted(ctx), ["id"], ["timestamp", "record_partition", "record_offset"]
@@ -294,6 +308,19 @@ def test_snapshot_of_latest_rows(spark, tmp_path, monkeypatch):
     assert {r.id: (r.n, "Y") for r in everything.collect()} == expected
 
 
+def test_snapshot_waits_for_its_share_of_new_rows(spark, tmp_path):
+    ctx = context(spark, tmp_path, publish_share=100.0)
+    for number in range(4):
+        send(ctx, message(number % 2, f"n{number}"), offset=number, at=10 * number)
+        run_ingest(ctx)
+        assert tables.open_run(ctx) == 1
+    newest = {row.id: row.n for row in tables.read_latest(ctx).collect()}
+    assert newest == {0: "n2", 1: "n3"}
+    run_ingest(dataclasses.replace(ctx, publish_share=0.1))
+    assert tables.open_run(ctx) == 2
+    assert {row.id: row.n for row in tables.read_latest(ctx).collect()} == newest
+
+
 def test_snapshot_by_other_keys_is_not_reused(spark, tmp_path):
     ctx = context(spark, tmp_path)
     send(ctx, message(1, "a"), message(1, "b"))
