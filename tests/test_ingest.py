@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from rillstone.context import Hooks, IngestContext, config_root, find_hooks, load_context
+from rillstone.functions import names
 from rillstone.functions.schemas import IncompatibleSchema
 from rillstone.plans import merge, tables
 from rillstone.plans.ingest import run_ingest, run_jobs, run_topics
@@ -395,6 +396,26 @@ def test_poison_with_dead_letters_is_one_reject(spark, tmp_path):
     assert [row.value_raw for row in tables.read_rejects(ctx).collect()] == ['{"id":"zz"}']
 
 
+def test_a_run_that_dies_while_formatting_is_made_up_for(spark, tmp_path):
+    """Landed rows wait; the next run formats them, each once."""
+
+    def broken(ctx, rows):
+        n = F.when(F.col("id") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("value.n"))
+        return rows.select("timestamp", "id", n.alias("n"), *names.POSITION)
+
+    ctx = context(spark, tmp_path)
+    send(ctx, message(0))
+    run_ingest(ctx)
+    send(ctx, message(1), message(2), offset=5)
+    with pytest.raises(StreamingQueryException):
+        run_ingest(dataclasses.replace(ctx, hooks=Hooks(transform=broken)))
+    assert ids(tables.read_raw(ctx)) == ["0", "1", "2"]
+    assert ids(tables.read_formatted(ctx)) == ids(tables.read_latest(ctx)) == [0]
+    send(ctx, message(3), offset=9)
+    run_ingest(ctx)
+    assert ids(tables.read_formatted(ctx)) == ids(tables.read_latest(ctx)) == [0, 1, 2, 3]
+
+
 def test_one_failing_topic_does_not_stop_the_others(spark, tmp_path):
     bad = context(spark, tmp_path, topic="bad", dead_letters=False)
     good = context(spark, tmp_path, topic="good")
