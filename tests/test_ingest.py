@@ -9,6 +9,8 @@ import zipfile
 
 import pandas as pd
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -309,6 +311,36 @@ def test_snapshot_of_latest_rows(spark, tmp_path, monkeypatch):
     assert {r.id: (r.n, "Y") for r in everything.collect()} == expected
 
 
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    runs=st.lists(
+        st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5)), min_size=1, max_size=6),
+        min_size=1,
+        max_size=3,
+    ),
+    share=st.sampled_from([0.0, 0.5, 100.0]),
+)
+def test_versions_do_not_depend_on_runs(spark, tmp_path_factory, runs, share):
+    """Any split into runs, any order of time: latest rows and history are the same."""
+    ctx = context(spark, tmp_path_factory.mktemp("runs"), publish_share=share)
+    sent = []
+    for rows in runs:
+        for key, seconds in rows:
+            send(ctx, message(key, len(sent)), at=seconds, offset=len(sent))
+            sent.append((key, seconds, len(sent)))
+        run_ingest(ctx)
+    expected = set()
+    for key in {row[0] for row in sent}:
+        ordered = sorted(row for row in sent if row[0] == key)
+        for row, after in zip(ordered, [*ordered[1:], None]):
+            until = after and START + dt.timedelta(seconds=after[1])
+            expected.add((key, str(row[2]), until, "N" if after else "Y"))
+    found = tables.read_history(ctx).select("id", "n", "valid_to", "current").collect()
+    assert {tuple(row) for row in found} == expected and len(found) == len(sent)
+    newest = tables.read_latest(ctx).select("id", "n").collect()
+    assert {tuple(row) for row in newest} == {row[:2] for row in expected if row[3] == "Y"}
+
+
 def test_snapshot_waits_for_its_share_of_new_rows(spark, tmp_path):
     ctx = context(spark, tmp_path, publish_share=100.0)
     for number in range(4):
