@@ -94,6 +94,8 @@ def provision(ctx: IngestContext) -> Provisioned:
     exists = table_exists(ctx)
     saved = read_saved_schema(ctx) if exists else None
     if saved == ctx.target_schema:
+        if ctx.register_tables and not spark.catalog.tableExists(ctx.table_name):
+            register(ctx, stored_schema(ctx))
         return Provisioned("unchanged", [])
 
     changes = [] if saved is None else schemas.diff(saved, ctx.target_schema)
@@ -181,6 +183,8 @@ def _register(
         spark.sql(f"{create} {_quoted(path)}")
         return
     if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} exists and is not a table of this library")
         known = {f.name.lower(): f.dataType.simpleString() for f in spark.table(name).schema}
         added = [f for f in schema.fields if f.name.lower() not in known]
         kept = [f for f in schema.fields if f.name.lower() in known]

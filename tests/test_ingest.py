@@ -243,6 +243,30 @@ def test_registered_tables(spark, tmp_path):
     assert spark.table("demo.pre_demo_events").count() == 6
 
 
+def test_catalog_entries_are_restored(spark, tmp_path):
+    """A catalog that forgot the tables, as a new local session does, learns them anew."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS demo LOCATION '{tmp_path}/db'")
+    ctx = context(spark, tmp_path, topic="forgotten", register_tables=True)
+    send(ctx, message(1))
+    run_ingest(ctx)
+    for name in (ctx.table_name, ctx.raw_table_name, ctx.snapshot_table_name):
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP VIEW {ctx.latest_table_name}")
+    send(ctx, message(2), offset=5)
+    run_ingest(ctx)
+    for name in (ctx.table_name, ctx.raw_table_name, ctx.latest_table_name):
+        assert spark.table(name).count() == 2
+
+
+def test_a_foreign_table_is_left_alone(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS demo LOCATION '{tmp_path}/db'")
+    ctx = context(spark, tmp_path, topic="taken", register_tables=True)
+    spark.range(3).write.saveAsTable(ctx.table_name)
+    with pytest.raises(ValueError, match="not a table of this library"):
+        tables.provision(ctx)
+    assert spark.table(ctx.table_name).count() == 3
+
+
 # -------------------------------------------------------------------- streams
 
 
@@ -383,6 +407,22 @@ def test_snapshot_follows_an_added_column(spark, tmp_path):
     assert [tuple(r) for r in found] == [(1, "x", None), (2, None, dt.date(2024, 1, 2))]
 
 
+def test_runs_without_records(spark, tmp_path):
+    """An empty topic, then rejects only, then a message."""
+    ctx = context(spark, tmp_path)
+    documents.make_directory(spark, ctx.record_path)
+    run_ingest(ctx)
+    send(ctx, "oops")
+    run_ingest(ctx)
+    assert tables.read_rejects(ctx).count() == 1
+    for read in (tables.read_formatted, tables.read_latest, tables.read_history, tables.read_raw):
+        assert read(ctx).count() == 0
+    send(ctx, message(1), offset=5)
+    run_ingest(ctx)
+    for read in (tables.read_formatted, tables.read_latest, tables.read_history, tables.read_raw):
+        assert read(ctx).count() == 1
+
+
 def test_a_backlog_is_formatted_in_pieces(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(stages, "FORMATTING_BATCH_BYTES", 1)
     ctx = context(spark, tmp_path, job={"max_offsets_per_trigger": 1})
