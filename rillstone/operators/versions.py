@@ -24,8 +24,9 @@ def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     """The newest row of each key; ``order`` runs from time to tie-breaks.
 
     ``max_by`` aggregates before the shuffle, so a key holding a third of all rows
-    sends one row per task. On 5 million rows with such a key it took 0.8 s where
-    ``row_number() = 1`` took 2.1 s.
+    sends one row per task. Against ``row_number() = 1``, which Spark also limits
+    before the shuffle: 0.8 s to 2.1 s on 5 million rows of 150 keys, about equal with
+    100,000 keys, and 5.6 s to 4.7 s on 15 million rows of as many keys.
     """
     newest = F.max_by(F.struct(*[F.col(f"`{name}`") for name in rows.columns]), F.struct(*order))
     return rows.groupBy(*keys).agg(newest.alias("__row")).select("__row.*")
