@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from rillstone.llm.licenses import ORACLE_OP1, op1_license_scan
 from rillstone.llm.sharding import op10_sharding
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_license_scan": ORACLE_OP1,
+}
