@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from rillstone.llm.bpe import op8_bpe
 from rillstone.llm.licenses import ORACLE_OP1, op1_license_scan
 from rillstone.llm.sharding import op10_sharding
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op8_bpe": op8_bpe,
     "op10_sharding": op10_sharding,
 }
 
