@@ -11,10 +11,11 @@ figures that decide for the second form. ``decode`` is one expression.
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 import zlib
 from collections.abc import Iterator
-from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,12 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm.shared import batches, table
+from rillstone.llm.shared import batches, mix, table
 
 #: Text that is turned into words at a time, and distinct words that a task remembers.
-BATCH_BYTES, REMEMBERED = 4 << 20, 400_000
+BATCH_BYTES, REMEMBERED = 1 << 20, 200_000
+#: The rank of a pair that does not merge.
+NONE = np.iinfo(np.int32).max
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -34,31 +37,120 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
-def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one word: the adjacent pair of lowest rank is merged until none has one."""
-    whole = ranks.get(word)
-    if whole is not None:
-        return [whole]
-    parts = [word[i : i + 1] for i in range(len(word))]
-    pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-    if len(word) > 64:
-        return _fold_long(word, ranks)
-    while True:
-        best, at = min(((r, i) for i, r in enumerate(pairs) if r is not None), default=(None, 0))
-        if best is None:
-            return [ranks[p] for p in parts]
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        del pairs[at]
-        if at:
-            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at])
-        if at < len(pairs):
-            pairs[at] = ranks.get(parts[at] + parts[at + 1])
+class Merges:
+    """Which pairs of pieces merge, and into what, as an open-addressed table of arrays."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        pairs = [
+            (a << 32 | b, rank)
+            for piece, rank in ranks.items()
+            for i in range(1, len(piece))
+            if (a := ranks.get(piece[:i])) is not None and (b := ranks.get(piece[i:])) is not None
+        ]
+        keys = np.array([k for k, _ in pairs] or [-2], dtype=np.int64)
+        into = np.array([r for _, r in pairs] or [NONE], dtype=np.int32)
+        self.mask = (1 << (2 * len(keys)).bit_length()) - 1
+        self.keys = np.full(self.mask + 1, -1, dtype=np.int64)
+        self.into = np.full(self.mask + 1, NONE, dtype=np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slot] == -1)
+            taken, first = np.unique(slot[free], return_index=True)
+            self.keys[taken], self.into[taken] = keys[free[first]], into[free[first]]
+            rest = np.ones(len(keys), dtype=bool)
+            rest[free[first]] = False
+            keys, into, slot = keys[rest], into[rest], (slot[rest] + 1) & self.mask
+        self.byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], dtype=np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.view(np.uint64)) & np.uint64(self.mask)).astype(np.int64)
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each merged pair, ``NONE`` where it is no piece."""
+        keys = (a.astype(np.int64) << 32) | b
+        slot = self._slot(keys)
+        found = self.keys[slot]
+        out = np.where(found == keys, self.into[slot], NONE)
+        open_ = np.flatnonzero((found != keys) & (found != -1) & (a >= 0) & (b >= 0))
+        slot = slot[open_]
+        while len(open_):
+            slot = (slot + 1) & self.mask
+            found, wanted = self.keys[slot], keys[open_]
+            hit = found == wanted
+            out[open_[hit]] = self.into[slot[hit]]
+            more = ~hit & (found != -1)
+            open_, slot = open_[more], slot[more]
+        return out
+
+
+def fold_words(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """All words' ids, one after another, and where each word's begin (and the end).
+
+    In each word the adjacent pair of lowest rank is merged, the first of equals, until
+    none has a rank. Words of similar lengths take their steps together; a word that is
+    a piece itself takes none.
+    """
+    length = np.array([len(w) for w in words], dtype=np.int64)
+    whole = np.array([merges.ranks.get(w, -1) for w in words], dtype=np.int64)
+    count = np.where(whole >= 0, 1, 0)
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    low = 0
+    for high in (8, 16, 32, 64):
+        at = np.flatnonzero((whole < 0) & (length > low) & (length <= high))
+        low = high
+        for some in np.array_split(at, max(1, len(at) // 20_000)):
+            if len(some):
+                ids = _fold_rows([words[i] for i in some], length[some], high, merges)
+                parts.append((some, ids))
+                count[some] = (ids >= 0).sum(axis=1)
+    long = [(i, _fold_long(words[i], merges.ranks)) for i in np.flatnonzero((whole < 0) & (length > low))]
+    for i, ids in long:
+        count[i] = len(ids)
+    start = np.concatenate([[0], np.cumsum(count)])
+    out = np.zeros(start[-1], dtype=np.int32)
+    out[start[:-1][whole >= 0]] = whole[whole >= 0]
+    for some, ids in parts:
+        row, column = np.nonzero(ids >= 0)
+        out[start[some[row]] + column] = ids[row, column]
+    for i, ids in long:
+        out[start[i] : start[i + 1]] = ids
+    return out, start
+
+
+def _fold_rows(words: list[bytes], length: np.ndarray, width: int, merges: Merges) -> np.ndarray:
+    data = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), dtype=np.uint8)
+    out = merges.byte[data].reshape(len(words), width)
+    out[np.arange(width) >= length[:, None]] = -1
+    ids, rows = out.copy(), np.arange(len(words))
+    rank = merges.of(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(words), width - 1)
+    while len(rows):
+        at = rank.argmin(axis=1)
+        best = rank[np.arange(len(rows)), at]
+        go = best != NONE
+        if not go.all():
+            out[rows[~go], : ids.shape[1]] = ids[~go]
+            out[rows[~go], ids.shape[1] :] = -1
+            ids, rank, rows, at, best = ids[go], rank[go], rows[go], at[go], best[go]
+            if not len(rows):
+                break
+        n, wide = np.arange(len(rows)), ids.shape[1]
+        column = np.arange(wide - 1)
+        shifted = column + (column > at[:, None])  # the part after the pair's first is gone
+        ids = np.take_along_axis(ids, shifted, axis=1)
+        ids[n, at] = best
+        rank = np.take_along_axis(rank, shifted[:, :-1], axis=1) if wide > 2 else rank[:, :0]
+        if wide <= 2:
+            out[rows, :1], out[rows, 1:] = ids, -1
+            break
+        before, after = np.flatnonzero(at > 0), np.flatnonzero(at < wide - 2)
+        rank[before, at[before] - 1] = merges.of(ids[before, at[before] - 1], best[before])
+        rank[after, at[after]] = merges.of(best[after], ids[after, at[after] + 1])
+    return out
 
 
 def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same for words of any length, with a heap of pairs and a linked list of parts."""
-    import heapq
-
     n = len(word)
     end = list(range(1, n + 1))  # of the part that begins here
     before = list(range(-1, n - 1))
@@ -91,17 +183,16 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Ids(dict):
-    """Word -> its place in ``start``; a new word is folded when it is first asked for."""
+class _Places(dict):
+    """Word -> its place; a new word gets the next one and waits in ``new``."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self) -> None:
         super().__init__()
-        self.ranks, self.ids, self.start = ranks, [], [0]
+        self.new: list[bytes] = []
 
     def __missing__(self, word: str) -> int:
-        self.ids += fold(word.encode("utf-8", "surrogatepass"), self.ranks)
-        self.start.append(len(self.ids))
-        self[word] = at = len(self.start) - 2
+        self[word] = at = len(self)
+        self.new.append(word.encode("utf-8", "surrogatepass"))
         return at
 
 
@@ -119,13 +210,21 @@ def encode(
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = regex.compile(pattern).findall
-        ids = _Ids(shared.value)
+        merges = Merges(shared.value)
+        places: _Places | None = None
         for batch in batches(rows, "t", BATCH_BYTES):
-            if len(ids) > REMEMBERED:
-                ids = _Ids(shared.value)
+            if places is None or len(places) > REMEMBERED:
+                places = _Places()
+                all_ids, start = np.zeros(0, np.int32), np.zeros(1, np.int64)
             found = [words_of(x) if x else [] for x in batch.column("t").to_pylist()]
-            at = np.array([ids[w] for words in found for w in words], dtype=np.int64)
-            start, all_ids = np.array(ids.start), np.array(ids.ids, dtype=np.int32)
+            at = np.fromiter(
+                map(places.__getitem__, chain.from_iterable(found)), np.int64, sum(map(len, found))
+            )
+            if places.new:
+                ids, begin = fold_words(places.new, merges)
+                places.new = []
+                start = np.concatenate([start, start[-1] + begin[1:]])
+                all_ids = np.concatenate([all_ids, ids])
             length = start[at + 1] - start[at]
             ends = np.concatenate([[0], np.cumsum(length)])
             flat = all_ids[np.repeat(start[at] - ends[:-1], length) + np.arange(ends[-1])]

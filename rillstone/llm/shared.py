@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -175,7 +176,7 @@ def batches(rows: Iterator[pa.RecordBatch], text: str, most_bytes: int) -> Itera
     for batch in rows:
         column = batch.column(text)
         length = np.zeros(batch.num_rows + 1, dtype=np.int64)
-        np.cumsum([len(x) for x in column.cast(pa.large_binary()).fill_null(b"").to_pylist()], out=length[1:])
+        np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False), out=length[1:])
         at = 0
         while at < batch.num_rows:
             upto = int(np.searchsorted(length, length[at] + most_bytes, side="right")) - 1
