@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from rillstone.llm.bpe import op8_bpe
 from rillstone.llm.licenses import ORACLE_OP1, op1_license_scan
+from rillstone.llm.linededup import ORACLE_OP6, op6_line_dedup
 from rillstone.llm.minhash import op9_minhash
 from rillstone.llm.sharding import op10_sharding
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op6_line_dedup": op6_line_dedup,
     "op8_bpe": op8_bpe,
     "op9_minhash": op9_minhash,
     "op10_sharding": op10_sharding,
@@ -16,4 +18,5 @@ QUERIES = {
 
 ORACLES = {
     "op1_license_scan": ORACLE_OP1,
+    "op6_line_dedup": ORACLE_OP6,
 }
