@@ -7,9 +7,11 @@ from rillstone.llm.licenses import ORACLE_OP1, op1_license_scan
 from rillstone.llm.linededup import ORACLE_OP6, op6_line_dedup
 from rillstone.llm.minhash import op9_minhash
 from rillstone.llm.sharding import op10_sharding
+from rillstone.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_toxicity": op2_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op8_bpe": op8_bpe,
     "op9_minhash": op9_minhash,
@@ -18,5 +20,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_license_scan": ORACLE_OP1,
+    "op2_toxicity": op2_toxicity,
     "op6_line_dedup": ORACLE_OP6,
 }

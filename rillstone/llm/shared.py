@@ -132,9 +132,15 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span, from one running sum over all bytes."""
-    out = np.empty(len(begin), dtype=np.uint64)
+def span_hashes(
+    data: np.ndarray, begin: np.ndarray, end: np.ndarray, prefixes: tuple[int, ...] = ()
+) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, from one running sum over all bytes.
+
+    With ``prefixes``, one row for the whole spans and one for their first bytes, for each
+    of the given numbers; a shorter span is its own prefix.
+    """
+    out = np.empty((1 + len(prefixes), len(begin)), dtype=np.uint64)
     step = 1 << 22
     at = 0
     while at < len(begin):  # by stretches, so that the sums stay small
@@ -144,10 +150,13 @@ def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
         power, inverse = _power_tables(high - low + 1)
         total = np.zeros(high - low + 1, dtype=np.uint64)
         np.cumsum(_BYTE_VALUE[data[low:high]] * power[: high - low], out=total[1:])
-        b, e = begin[at:upto] - low, end[at:upto] - low
-        out[at:upto] = mix((total[e] - total[b]) * inverse[b] + (e - b).astype(np.uint64))
+        b = begin[at:upto] - low
+        for row, size in enumerate((None, *prefixes)):
+            e = end[at:upto] - low
+            e = e if size is None else np.minimum(e, b + size)
+            out[row, at:upto] = mix((total[e] - total[b]) * inverse[b] + (e - b).astype(np.uint64))
         at = upto
-    return out
+    return out if prefixes else out[0]
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
