@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rillstone.llm.bpe import op8_bpe
+from rillstone.llm.langid import op4_language
 from rillstone.llm.licenses import ORACLE_OP1, op1_license_scan
 from rillstone.llm.linededup import ORACLE_OP6, op6_line_dedup
 from rillstone.llm.minhash import op9_minhash
@@ -12,6 +13,7 @@ from rillstone.llm.toxicity import op2_toxicity
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
+    "op4_language": op4_language,
     "op6_line_dedup": op6_line_dedup,
     "op8_bpe": op8_bpe,
     "op9_minhash": op9_minhash,
