@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rillstone.llm.bpe import op8_bpe
+from rillstone.llm.decontaminate import op7_decontamination
 from rillstone.llm.langid import op4_language
 from rillstone.llm.licenses import ORACLE_OP1, op1_license_scan
 from rillstone.llm.linededup import ORACLE_OP6, op6_line_dedup
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op4_language": op4_language,
     "op6_line_dedup": op6_line_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
     "op9_minhash": op9_minhash,
     "op10_sharding": op10_sharding,
