@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.llm.graph import components
-from rillstone.llm.shared import Words, batches, cut, mix, shingles, table
+from rillstone.llm.shared import Words, batches, cut, mix, runs, shingles, table
 
 #: Values in a sketch; values that similar sketches share at least.
 K, SHARED = 48, 28
@@ -217,50 +217,29 @@ def _compared(rows: DataFrame, key: str, percent: int, compare) -> DataFrame:
         .sortWithinPartitions("task", "key", "i", "j", "mine")
     )
 
-    def group(tables: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-        whole = pa.Table.from_batches(tables)
+    def group(whole: pa.Table) -> pa.RecordBatch:
         node, n = whole["node"].to_numpy(), whole["n"].to_numpy()
-        sets = [np.asarray(x, dtype=np.int64) for x in whole["hashes"].to_numpy()]
-        if compare is _by_sketch:
-            sets = [x.view(np.uint64) for x in sets]
+        sets = [np.asarray(x).view(np.uint64) for x in whole["hashes"].to_numpy()]
         i, mine = whole["i"].to_numpy(), whole["mine"].to_numpy()
-        left = int((mine == i).sum())
-        part = compare(n, sets, left, percent)
+        part = compare(n, sets, int((mine == i).sum()), percent)
         order = np.lexsort((node, part))
         head = np.concatenate([[True], part[order][1:] != part[order][:-1]])
         least = node[order][head][np.cumsum(head) - 1]
         apart = node[order] != least
-        return node[order][apart], least[apart]
-
-    def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: list[pa.RecordBatch] = []
-        u: list[np.ndarray] = []
-        v: list[np.ndarray] = []
-
-        def close() -> None:
-            if open_ and sum(b.num_rows for b in open_) > 1:
-                a, b = group(open_)
-                u.append(a), v.append(b)
-            open_.clear()
-
-        last = None
-        for batch in batches_:
-            names = [batch.column(c).to_numpy() for c in ("key", "i", "j")]
-            change = np.flatnonzero(np.any([x[1:] != x[:-1] for x in names], axis=0)) + 1
-            edges = [0, *change.tolist(), batch.num_rows]
-            for low, high in zip(edges, edges[1:]):
-                if high > low:
-                    now = tuple(x[low] for x in names)
-                    if now != last:
-                        close()
-                    last = now
-                    open_.append(batch.slice(low, high - low))
-            if u:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
-                u.clear(), v.clear()
-        close()
-        if u:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(node[order][apart]), pa.array(least[apart])], names=["u", "v"]
+        )
+
+    def run(rows_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for whole in runs(rows_, ("key", "i", "j")):
+            if whole.num_rows > 1:
+                waiting.append(group(whole))
+            if len(waiting) >= 1000:
+                yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+                waiting = []
+        if waiting:
+            yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
 
     return dealt.mapInArrow(run, "u long, v long")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rillstone.llm.bpe import op8_bpe
 from rillstone.llm.decontaminate import op7_decontamination
+from rillstone.llm.embeddings import ORACLE_OP3, op3_embeddings
 from rillstone.llm.langid import op4_language
 from rillstone.llm.licenses import ORACLE_OP1, op1_license_scan
 from rillstone.llm.linededup import ORACLE_OP6, op6_line_dedup
@@ -14,6 +15,7 @@ from rillstone.llm.toxicity import op2_toxicity
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
+    "op3_embeddings": op3_embeddings,
     "op4_language": op4_language,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
@@ -25,5 +27,6 @@ QUERIES = {
 ORACLES = {
     "op1_license_scan": ORACLE_OP1,
     "op2_toxicity": op2_toxicity,
+    "op3_embeddings": ORACLE_OP3,
     "op6_line_dedup": ORACLE_OP6,
 }

@@ -192,3 +192,23 @@ def batches(rows: Iterator[pa.RecordBatch], text: str, most_bytes: int) -> Itera
             upto = min(max(upto, at + 1), batch.num_rows)
             yield batch.slice(at, upto - at)
             at = upto
+
+
+def runs(rows: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal values in the named columns, whatever batches they are in."""
+    open_: list[pa.RecordBatch] = []
+    last = None
+    for batch in rows:
+        values = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+        change = np.any([v[1:] != v[:-1] for v in values], axis=0)
+        edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for low, high in zip(edges, edges[1:]):
+            if high > low:
+                now = tuple(v[low] for v in values)
+                if open_ and now != last:
+                    yield pa.Table.from_batches(open_)
+                    open_ = []
+                last = now
+                open_.append(batch.slice(low, high - low))
+    if open_:
+        yield pa.Table.from_batches(open_)
