@@ -5,6 +5,7 @@ from __future__ import annotations
 from rillstone.llm.bpe import op8_bpe
 from rillstone.llm.decontaminate import op7_decontamination
 from rillstone.llm.embeddings import ORACLE_OP3, op3_embeddings
+from rillstone.llm.hpylm import op5_lm_scores
 from rillstone.llm.langid import op4_language
 from rillstone.llm.licenses import ORACLE_OP1, op1_license_scan
 from rillstone.llm.linededup import ORACLE_OP6, op6_line_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_embeddings": op3_embeddings,
     "op4_language": op4_language,
+    "op5_lm_scores": op5_lm_scores,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
