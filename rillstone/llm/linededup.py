@@ -42,7 +42,7 @@ def chunk_starts(of_lines: str) -> Column:
         rolled = F.transform(
             h, lambda x, i: (F.coalesce(F.get(h, i - 1), F.lit(0)) * FACTOR + x) % F.lit(MODULUS)
         )
-        return F.transform(F.array(rolled), starts)[0]
+        return _let(rolled, starts)
 
     def starts(r: Column) -> Column:
         at = F.transform(
@@ -55,13 +55,22 @@ def chunk_starts(of_lines: str) -> Column:
         )
         return F.filter(at, lambda i: i.isNotNull())
 
-    return F.transform(F.array(hashes), from_hashes)[0]
+    return _let(hashes, from_hashes)
 
 
-def _chunk(of_lines: str, start: Column, stop: Column) -> Column:
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once for the row, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _chunk(of_lines: str | Column, start: Column, stop: Column) -> Column:
     return F.array_join(F.slice(of_lines, start + 1, stop - start), "")
 
 
+def _key(chunk: Column) -> Column:
+    return F.xxhash64(chunk)
+
+
 def chunked(docs: DataFrame) -> DataFrame:
     """For each document, by its id and the hash of its text: its chunks and their keys.
 
@@ -79,13 +88,13 @@ def chunked(docs: DataFrame) -> DataFrame:
     )
     keyed = F.transform(
         F.filter(spans, lambda c: c["stop"] - c["start"] >= LEAST_LINES),
-        lambda c: F.transform(
-            F.array(_chunk("l", c["start"], c["stop"])),
+        lambda c: _let(
+            _chunk("l", c["start"], c["stop"]),
             lambda text: F.struct(
                 c["start"].alias("start"), c["stop"].alias("stop"),
-                F.when(F.octet_length(text) >= LEAST_BYTES, F.xxhash64(text)).alias("key"),
+                F.when(F.octet_length(text) >= LEAST_BYTES, _key(text)).alias("key"),
             ),
-        )[0],
+        ),
     )
     return known.select(
         "id", "of", "before", F.size("l").alias("n_lines"),
@@ -123,10 +132,13 @@ def _touched(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def _clashing(touched: DataFrame) -> DataFrame:
     """Keys under which different bytes meet; there are hardly ever any."""
-    each = (
-        touched.select(lines(F.col("text")).alias("l"), F.explode("found").alias("c"))
-        .select("c.key", _chunk("l", F.col("c.start"), F.col("c.stop")).alias("bytes"))
-    )
+    spelled = _let(
+        lines(F.col("text")),
+        lambda l: F.transform(
+            "found", lambda c: F.struct(c["key"].alias("key"), _chunk(l, c["start"], c["stop"]).alias("bytes"))
+        ),
+    )
+    each = touched.select(F.explode(spelled).alias("c")).select("c.*")
     return each.distinct().groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
 
 
@@ -167,10 +179,14 @@ def clean(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _without(touched: DataFrame, clashing: DataFrame) -> DataFrame:
     """The same, where chunks of clashing keys are told apart by their bytes."""
-    each = touched.select("id", "of", lines(F.col("text")).alias("l"), F.explode("found").alias("c"))
+    spelled = _let(
+        lines(F.col("text")),
+        lambda l: F.transform("found", lambda c: F.struct(c.alias("c"), _chunk(l, c["start"], c["stop"]).alias("bytes"))),
+    )
+    each = touched.select("id", "of", F.explode(spelled).alias("x")).select("id", "of", "x.*")
     each = each.join(clashing, each["c.key"] == clashing["key"], "left").select(
         "id", "of", "c", F.col("key").isNotNull().alias("clash"),
-        F.when(F.col("key").isNotNull(), _chunk("l", F.col("c.start"), F.col("c.stop"))).alias("bytes"),
+        F.when(F.col("key").isNotNull(), F.col("bytes")).alias("bytes"),
     )
     place = _place(F.col("id"), F.col("c.start"))
     first = each.where("clash").groupBy("c.key", "bytes").agg(F.min(place).alias("first"))
