@@ -203,6 +203,20 @@ def _without(touched: DataFrame, clashing: DataFrame) -> DataFrame:
     return mine.join(found, same).select(mine["id"], mine["of"], "text", "found")
 
 
+def cleaned_documents(docs: DataFrame) -> DataFrame:
+    """All documents with the same columns, their texts cleaned and ``n_chars`` counted anew.
+
+    Documents that nothing is left of are dropped; those that were null or empty stay.
+    """
+    _, cleaned = clean(docs)
+    cleaned = cleaned.select(F.col("id").alias("i_"), F.col("of").alias("t_"), F.col("cleaned").alias("c_"))
+    same = docs["doc_id"].eqNullSafe(cleaned["i_"]) & (F.xxhash64(docs["text"]) == cleaned["t_"])
+    text = F.coalesce("c_", docs["text"])
+    new = {"text": text, "n_chars": F.when(F.col("c_").isNull(), docs["n_chars"]).otherwise(F.length("c_"))}
+    joined = docs.join(cleaned, same, "left").where("c_ is null or c_ <> ''")
+    return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, removed lines and the cleaned text's MD5 of all documents."""
     chunks, cleaned = clean(table(spark, sf_dir, "documents"))

@@ -3,9 +3,9 @@
 1. Every document's set of word shingles is hashed once; its sketch is the K smallest
    values. Documents with equal sets form a class, and one row stands for it.
 2. Inverted lists of retained values. Two sets with a Jaccard index at the threshold share
-   at least ``SHARED`` of their retained values (five standard deviations below what is
-   expected; all of it where a sketch is the whole set), so that one of the rarest
-   ``K - SHARED + 1`` values of either is in both. Only those are listed: values that
+   at least S of their retained values (five standard deviations below what is expected;
+   exactly what follows from their sizes where sketches are whole sets), so that one of
+   the rarest ``K - S + 1`` values of either is in both. Only those are listed: values that
    many documents share (common lines, passages) drop out by their frequency, and a
    document with enough values of its own has no entry at all.
 3. The members of a list are compared where they are, and the sketch of the union
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from rillstone.llm.graph import components
 from rillstone.llm.shared import Words, batches, cut, mix, runs, shingles, table
 
-#: Values in a sketch; values that similar sketches share at least.
-K, SHARED = 48, 28
+#: Values in a sketch.
+K = 48
 #: Text that is turned into shingles at a time.
 BATCH_BYTES = 4 << 20
 #: Members of a list or a family that one task compares with as many others.
@@ -93,13 +93,19 @@ def full_sets(docs: DataFrame, size: int = 5) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, high long, low long, full array<long>")
 
 
+def least_shared(percent: int) -> int:
+    """Values of K that sketches of similar sets share, but for five standard deviations."""
+    p = percent / 100
+    return int(K * p - 5 * (K * p * (1 - p)) ** 0.5)
+
+
 def _shared(n: Column, percent: int) -> Column:
     """Values that a sketch of a set of ``n`` shares with that of any similar set, at least.
 
     Sketches of sets small enough that no similar set exceeds K are whole sets.
     """
     exact = F.ceil(n * percent / F.lit(100.0))
-    return F.when(n <= K * percent // 100, exact).otherwise(F.lit(SHARED)).cast("int")
+    return F.when(n <= K * percent // 100, exact).otherwise(F.lit(least_shared(percent))).cast("int")
 
 
 def _inverted(classes: DataFrame, percent: int) -> DataFrame:
@@ -171,11 +177,11 @@ def _shared_of(n: np.ndarray, percent: int) -> np.ndarray:
 
     Sketches of sets small enough that no similar set exceeds K are whole sets.
     """
-    return np.where(n <= K * percent // 100, -(-n * percent // 100), SHARED)
+    return np.where(n <= K * percent // 100, -(-n * percent // 100), least_shared(percent))
 
 
 def _by_sketch(n: np.ndarray, sets: list[np.ndarray], left: int, percent: int) -> np.ndarray:
-    need = np.minimum(_shared_of(n, percent), SHARED)
+    need = np.minimum(_shared_of(n, percent), least_shared(percent))
 
     def near(overlap: np.ndarray, i: int) -> np.ndarray:
         sizes = np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent
@@ -247,6 +253,8 @@ def _compared(rows: DataFrame, key: str, percent: int, compare) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for each document.
 
+    Links are pairs whose Jaccard index is ``percent`` hundredths or more.
+
     Shingles are runs of ``size`` words (parted by ASCII white space, A to Z in lower
     case); a text with fewer words is one shingle. Texts without words, null ones too,
     and rows without an id are linked with nothing and kept. ``component_id`` is the

@@ -38,6 +38,7 @@ PREFIXES = (4, 5, 6, 7)
 RAISED, SURE, SUPPORT = 6.0, 30.0, 3.0
 #: Text that is scored at a time, and tokens in a stretch of the scan.
 BATCH_BYTES, STRETCH = 4 << 20, 32
+SPANS = "array<struct<begin:int,end:int,probability:double>>"
 #: What parts words: ASCII that is neither a letter nor a digit.
 APART = bytes(b for b in range(128) if not chr(b).isalnum())
 
@@ -313,9 +314,8 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = MOST_ROWS) -> tuple[l
     known = known.where("toxic in (0, 1)")
     total = dict(known.groupBy("toxic").count().collect())
     order = F.xxhash64("doc_id")
-    some = reduce_union(
-        [known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(rows) for c in (0, 1)]
-    )
+    clean, bad = (known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(rows) for c in (0, 1))
+    some = clean.union(bad)
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     joined = text.join(F.broadcast(some), "doc_id")  # two times ``rows`` ids at most
     so_far = F.sum(F.octet_length("text")).over(Window.orderBy(order, "text"))
@@ -326,28 +326,23 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = MOST_ROWS) -> tuple[l
     return got["text"], toxic, share
 
 
-def reduce_union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.union(frame)
-    return out
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``score`` and ``spans`` of each document.
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns, ``score`` and ``spans`` of each document.
 
     A span is a run of tokens that are toxic with probability one half or more: its first
     and last byte (exclusive) in the text's UTF-8 form, and its largest probability.
     Null and empty texts have no tokens, no spans and the score of a text without toxic
     words. Repeated rows give repeated results; other columns are left out.
     """
+    names = [f"k{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(c).alias(n) for n, c in zip(names, keep)], F.col("text").alias("t"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few MB, whatever the corpus
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
-        for batch in batches(rows, "text", BATCH_BYTES):
-            texts = batch.column("text").to_pylist()
+        for batch in batches(rows, "t", BATCH_BYTES):
+            texts = batch.column("t").to_pylist()
             words = Words(texts, APART)
             marginal = marginals(model.evidence(token_ids(words), words.first), words.first, model.moves)
             p = 1 / (1 + np.exp(-np.clip(_of_texts(marginal, words.first) @ model.score, -30, 30)))
@@ -364,12 +359,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 else:
                     spans[t].append({"begin": int(words.begin[i] - offset[t]), "end": end, "probability": float(marginal[i])})
                 last = (i, t)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(p), pa.array(spans, kind)], names=["doc_id", "score", "spans"]
-            )
+            kept = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(p), pa.array(spans, kind)], names=[*names, "p", "s"])
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, spans array<struct<begin:int,end:int,probability:double>>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    none = F.lit(None)
+    schema = rows.select(*names, none.cast("double").alias("p"), none.cast(SPANS).alias("s")).schema
+    scored = rows.mapInArrow(run, schema)
+    return scored.select(
+        *[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("p").alias("score"), F.col("s").alias("spans")
+    )
 
 
 def model_of(docs: DataFrame, labels: DataFrame, held_out: int | None = 0) -> Model:
