@@ -179,9 +179,13 @@ def sample(docs: DataFrame, rows: int = MOST_ROWS) -> tuple[list[str], list[str]
     as all texts have ``MOST_BYTES`` together.
     """
     order = F.xxhash64("doc_id")
+    named = docs.where("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang")
+    # a hash below this leaves three times the rows wanted of each language, however many it has
+    total = named.groupBy("lang").agg(F.count("*").alias("total"))
+    share = (order / F.lit(2.0**63) + 1) / 2
+    near = named.join(total, "lang").where(share < 3.0 * rows / F.col("total")).drop("total")
     place = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    ids = docs.where("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang")
-    ids = cut(ids.withColumn("place", place).where(F.col("place") <= rows).select("doc_id", "lang").distinct())
+    ids = cut(near.withColumn("place", place).where(F.col("place") <= rows).select("doc_id", "lang").distinct())
     few = ids.count() <= MOST_SENT
     found = docs.select("doc_id", "lang", "text").where("text is not null")
     found = found.join(F.broadcast(ids) if few else ids, ["doc_id", "lang"])

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from rillstone.llm.shared import Words, batches, mix, remainder, shingles, span_hashes, table
 
 #: Labelled rows of each class, and bytes of text, that a model is trained on at most.
-MOST_ROWS, MOST_BYTES = 2_000, 24 << 20
+MOST_ROWS, MOST_BYTES = 2_000, 12 << 20
 #: Tokens that the random field's gradient runs over at most, and its steps.
 MOST_TOKENS, STEPS = 500_000, 40
 #: Hashed weights of each kind.

@@ -1,0 +1,125 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from rillstone.llm import linededup
+
+
+def plain_lines(text):
+    out, at = [], 0
+    text = text or ""
+    while at < len(text):
+        m = re.compile(r"[^\n]*?(?:\n|[.!?] )|[^\n]+").match(text, at)
+        out.append(m[0])
+        at = m.end()
+    return out
+
+
+def plain_chunks(text):
+    u = plain_lines(text)
+    h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in u]
+    r = [((h[i - 1] if i else 0) * linededup.FACTOR + h[i]) % linededup.MODULUS for i in range(len(u))]
+    s = [i for i in range(len(u)) if i == 0 or (r[i] < r[i - 1] and (i + 1 == len(u) or r[i] < r[i + 1]))]
+    return u, list(zip(s, [*s[1:], len(u)]))
+
+
+def plain_clean(docs):
+    """The same by plain Python; docs are distinct (id, text)."""
+    seen, out = set(), {}
+    order = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0))
+    for id_, text in order:
+        u, chunks = plain_chunks(text)
+        kept = ""
+        for a, b in chunks:
+            part = "".join(u[a:b])
+            removable = b - a >= 2 and len(part.encode()) >= linededup.LEAST_BYTES
+            if not (removable and part in seen):
+                kept += part
+            if removable:
+                seen.add(part)
+        out[id_] = kept
+    return out
+
+
+PASSAGE = (
+    "Never before had anyone seen it. The river ran black for three days. People came from afar. "
+    "Some said it was the mine, others the weather. Nobody knew for certain. A man was sent to look. "
+    "He never came back to the village. His dog did, two weeks later. It would not eat. "
+    "The water cleared in spring. By then most had left for good. The mill stood empty until May. "
+    "Rats took the flour that was left. Children dared each other to go in. One did, and found a ledger. "
+    "Every page had the same date. The ink was not ink at all. She put it back and said nothing. "
+    "Years later she wrote it down. Her brother thought she made it up. He had not seen the page. "
+    "The ledger is in the county archive now. Anyone can ask to see it. Few ever do. "
+)
+
+
+@pytest.fixture(scope="module")
+def docs():
+    rows = [(1, "Intro one. " + PASSAGE + "Out one.\nTail of one. And more of it.\n")]
+    rows += [(i, f"Head {i} differs here. So does {i * 7}. " + PASSAGE + f"End {i} too. Really {i}.\n") for i in range(2, 9)]
+    rows += [(20, "Wholly its own text. With nothing shared at all. Not one line.\n"), (21, None), (22, ""), (23, "x")]
+    rows += [(30, "Same again. Same again. Same again and again and again.\n" * 6)]
+    return rows
+
+
+def cleaned(spark, docs):
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    chunks, touched = linededup.clean(frame)
+    after = {(r.id, r.of): r.cleaned for r in touched.collect()}
+    texts = frame.select("doc_id", "text", F.xxhash64("text").alias("of")).collect()
+    return {r.doc_id: after.get((r.doc_id, r.of), r.text or "") for r in texts}
+
+
+def test_against_plain_version(spark, docs):
+    assert cleaned(spark, docs) == plain_clean(docs)
+
+
+def test_a_shared_passage_goes_from_all_but_the_first(spark, docs):
+    got = cleaned(spark, docs)
+    assert PASSAGE in got[1]
+    lines = plain_lines(PASSAGE)
+    for i in range(2, 9):
+        # what lies between the passage's edges and its first and last boundary stays
+        assert sum(s in got[i] for s in lines) <= 0.4 * len(lines)
+        assert got[i].startswith(f"Head {i}") and f"Really {i}." in got[i]
+    assert got[20] == dict(docs)[20]
+
+
+def test_lines_make_up_the_text(spark, odd_docs):
+    frame = odd_docs.select(F.array_join(linededup.lines(F.col("text")), "").alias("a"), F.coalesce("text", F.lit("")).alias("b"))
+    assert all(r.a == r.b for r in frame.collect())
+
+
+def test_keys_that_clash_remove_only_equal_bytes(spark, docs, monkeypatch):
+    monkeypatch.setattr(linededup, "_key", lambda chunk: F.length(chunk) % 3)
+    assert cleaned(spark, docs) == plain_clean(docs)
+
+
+def test_repeated_rows_and_null_ids(spark, docs):
+    assert cleaned(spark, [*docs, docs[0], docs[0], docs[5]]) == plain_clean(docs)
+    with_null = [(None, docs[0][1]), *docs]
+    got = cleaned(spark, with_null)
+    assert got[None] == docs[0][1] and got == plain_clean(with_null)
+
+
+def test_documents_keep_their_columns(spark, odd_docs, no_docs):
+    got = linededup.cleaned_documents(odd_docs)
+    assert got.columns == odd_docs.columns
+    assert {0, 1, 2, 3, 4} <= {r.doc_id for r in got.collect()}
+    assert linededup.cleaned_documents(no_docs).count() == 0
+
+
+def test_what_is_emptied_is_dropped(spark):
+    copies = {i: f"Copy number one of the text here {i // 2}. And its second line, also long {i // 2}.\n" for i in range(40)}
+    frame = spark.createDataFrame(list(copies.items()), "doc_id long, text string").selectExpr("*", "length(text) as n_chars")
+    plain = {i: x for i, x in plain_clean(copies.items()).items() if x}
+    got = {r.doc_id: (r.text, r.n_chars) for r in linededup.cleaned_documents(frame).collect()}
+    assert got == {i: (x, len(x)) for i, x in plain.items()}
+    assert len(got) < 40
+
+
+def test_plan_is_native(spark):
+    plan = linededup.op6_line_dedup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,106 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from rillstone.llm import shared
+from rillstone.llm.graph import components
+
+TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab AB\n\t.,éñ漢0", max_size=40)), max_size=8)
+
+
+@settings(max_examples=200, deadline=None)
+@given(TEXTS)
+def test_words_are_those_of_the_pattern(texts):
+    words = shared.Words(texts)
+    for i, text in enumerate(texts):
+        low = (text or "").encode().translate(shared.LOWER_BYTES)
+        expected = re.findall(rb"[^\x20\x09-\x0D]+", low)
+        got = [words.word(j) for j in range(words.first[i], words.first[i + 1])]
+        assert got == expected
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXTS)
+def test_hashes_agree_exactly_when_words_do(texts):
+    words = shared.Words(texts)
+    of = {}
+    for i in range(len(words)):
+        of.setdefault(int(words.hash[i]), set()).add(words.word(i))
+    assert all(len(x) == 1 for x in of.values())
+    assert len(of) == len({words.word(i) for i in range(len(words))})
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXTS, st.integers(1, 5))
+def test_shingles_are_runs_of_words(texts, size):
+    words = shared.Words(texts)
+    hashes, of = shared.shingles(words, size)
+    meaning = {}
+    for i in range(len(texts)):
+        own = [words.word(j) for j in range(words.first[i], words.first[i + 1])]
+        runs = [tuple(own[j : j + size]) for j in range(max(1, len(own) - size + 1))] if own else []
+        got = hashes[of == i].tolist()
+        assert len(got) == len(runs)
+        for h, run in zip(got, runs):
+            assert meaning.setdefault(h, run) == run
+
+
+def test_long_data_is_hashed_in_stretches():
+    text = " ".join(f"w{i}" for i in range(900_000))
+    words = shared.Words([text, "w5 w899999"])
+    assert words.hash[5] == words.hash[-2] and words.hash[899_999] == words.hash[-1]
+    assert len(np.unique(words.hash)) == 900_000
+
+
+def test_prefixes():
+    words = shared.Words(["abcdef abcxyz ab"])
+    rows = shared.span_hashes(words.data, words.begin, words.end, (3,))
+    assert rows[1, 0] == rows[1, 1] != rows[1, 2] and rows[1, 2] == rows[0, 2]
+
+
+def test_batches_keep_all_rows_in_order():
+    batch = pa.RecordBatch.from_pydict({"i": list(range(5)), "t": ["a" * 10, None, "b" * 50, "", "c"]})
+    parts = list(shared.batches(iter([batch]), "t", 12))
+    assert [x for p in parts for x in p.column("i").to_pylist()] == list(range(5))
+    assert len(parts) > 1
+
+
+def test_runs_cross_batches():
+    a = pa.RecordBatch.from_pydict({"k": [1, 1, 2]})
+    b = pa.RecordBatch.from_pydict({"k": [2, 2, 3]})
+    assert [t["k"].to_pylist() for t in shared.runs(iter([a, b]), ("k",))] == [[1, 1], [2, 2, 2], [3]]
+    assert list(shared.runs(iter([]), ("k",))) == []
+
+
+def test_cut_needs_a_shared_folder_on_a_cluster(spark):
+    frame = spark.range(5)
+    assert shared.cut(frame).count() == 5
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_components(spark, seed):
+    rng = np.random.default_rng(seed)
+    n = 60
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, n, (45, 2))]
+    edges += [(i, i + 1) for i in range(100, 130)] + [(200, i) for i in range(201, 230)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = root(a), root(b)
+        parent[max(x, y)] = min(x, y)
+    frame = spark.createDataFrame([*edges, edges[0], (7, 7), (None, 3)], "u long, v long")
+    got = {r.node: r.root for r in components(frame).collect()}
+    assert got == {x: root(x) for x in parent if root(x) != x}
+
+
+def test_components_of_nothing(spark):
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
