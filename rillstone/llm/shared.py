@@ -141,9 +141,9 @@ def span_hashes(
     of the given numbers; a shorter span is its own prefix.
     """
     out = np.empty((1 + len(prefixes), len(begin)), dtype=np.uint64)
-    step = 1 << 22
+    step = 1 << 18
     at = 0
-    while at < len(begin):  # by stretches, so that the sums stay small
+    while at < len(begin):  # by stretches, so that the sums stay in the processor's cache
         low = int(begin[at])
         upto = max(at + 1, int(np.searchsorted(end, low + step, side="right")))
         high = int(end[upto - 1])
