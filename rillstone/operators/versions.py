@@ -6,18 +6,16 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rillstone.functions import names
+from rillstone.workspace import new_folder
 
-HOUR = 3600
-
-# Bounds what ``history`` broadcasts. Of any more keys, each holds less than this
-# part of the rows, and an ordinary window can bear it.
-MOST_HOT_KEYS = 10_000
+# Quantiles are found in two steps of so many comparisons each.
+STEPS = 32
 
 
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -46,78 +44,102 @@ def history(
     tie: Sequence[str] = names.POSITION,
     time: str = names.TIMESTAMP,
     hot_rows: int = 1_000_000,
-    slice_seconds: int = HOUR,
+    slices: int = STEPS * STEPS,
 ) -> DataFrame:
-    """Every version with ``valid_to`` (start of the next one) and ``current``.
+    """Every version with ``valid_to`` and ``current``.
 
-    ``tie`` must tell versions of one key at one instant apart.
+    Versions of a key are ordered by time and ``tie``; ``valid_to`` is the time of the
+    next later position. Rows at one position (repeated deliveries) are one version and
+    end alike.
 
     A window over the key sorts all rows of a key in one task. That is the cheapest
-    way for most keys; keys with at least ``hot_rows`` rows take ``_by_instant``.
-    Both ways give the same rows, so the choice is a matter of cost alone. Without
-    hot keys adaptive execution drops the second way before it reads anything.
+    way for most keys; those with at least ``hot_rows`` rows take ``_by_instant``. Both
+    ways give the same rows, so that the choice is a matter of cost alone. Counting
+    the keys runs at once; the hot ones go to a scratch table, so that the join with
+    them knows its size.
     """
     if not isinstance(rows.schema[time].dataType, T.TimestampType):
         raise TypeError(f"{time!r} must be a timestamp")
     keys, tie = list(keys), list(tie)
-    hot = F.broadcast(_hot_keys(rows, keys, hot_rows))
-    in_order = Window.partitionBy(*keys).orderBy(time, *tie)
-    usual = _join_same(rows, hot, keys, "left_anti").withColumn(
-        names.VALID_TO, F.lead(time).over(in_order)
-    )
-    crowded = _by_instant(
-        _join_same(rows, hot, keys, "left_semi"), keys, tie, time, slice_seconds
-    )
+    hot = _hot_keys(rows, keys, hot_rows)
+    if hot.isEmpty():
+        found = _by_window(rows, keys, tie, time)
+    else:
+        crowded = _join_same(rows, hot, keys, "left_semi")
+        bounds = _written(_bounds(crowded, keys, time, slices), "bounds")
+        usual = _by_window(_join_same(rows, hot, keys, "left_anti"), keys, tie, time)
+        found = usual.unionByName(_by_instant(crowded, bounds, keys, tie, time))
     ended = F.col(names.VALID_TO).isNotNull()
-    return usual.unionByName(crowded).withColumn(
-        names.CURRENT, F.when(ended, F.lit("N")).otherwise(F.lit("Y"))
-    )
+    return found.withColumn(names.CURRENT, F.when(ended, F.lit("N")).otherwise(F.lit("Y")))
+
+
+def _written(small: DataFrame, label: str) -> DataFrame:
+    """A small table, read back from a scratch folder: its size is known to the planner."""
+    path = new_folder(small.sparkSession, label)
+    small.write.parquet(path)
+    return small.sparkSession.read.schema(small.schema).parquet(path)
 
 
 def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """The keys with most rows: at most ``MOST_HOT_KEYS``, so they can be broadcast.
+    """The keys with so many rows; there are at most rows / ``hot_rows`` of them."""
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("__count"))
+    return _written(counted.where(F.col("__count") >= hot_rows).select(*keys), "hot-keys")
 
-    The order is total, for every use has to see the same keys.
-    """
-    count = "__count"
-    return (
-        rows.groupBy(*keys)
-        .agg(F.count("*").alias(count))
-        .where(F.col(count) >= hot_rows)
-        .orderBy(F.col(count).desc(), *keys)
-        .limit(MOST_HOT_KEYS)
-        .select(*keys)
+
+def _by_window(rows: DataFrame, keys: list[str], tie: list[str], time: str) -> DataFrame:
+    """``valid_to`` by one window; rows at one position share that of the last of them."""
+    in_order = Window.partitionBy(*keys).orderBy(time, *tie)
+    at_position = in_order.rangeBetween(Window.currentRow, Window.currentRow)
+    following = rows.withColumn("__next", F.lead(time).over(in_order))
+    return following.withColumn(names.VALID_TO, F.last("__next").over(at_position)).drop("__next")
+
+
+def _bounds(rows: DataFrame, keys: list[str], time: str, slices: int) -> DataFrame:
+    """For each key, the times that cut its rows into slices of about equal counts."""
+    shares = [(i + 1) / slices for i in range(slices - 1)] or [0.5]
+    found = F.percentile_approx(time, shares, 10 * max(slices, 100))
+    cuts = F.array_sort(F.array_distinct(found)).alias("__cuts")
+    return rows.groupBy(*keys).agg(cuts)
+
+
+def _slice_of(time: str) -> Column:
+    """How many of the cuts a time has reached, by steps of ``STEPS`` and then single ones."""
+    at = F.col(time)
+    coarse = F.filter(
+        "__cuts", lambda cut, i: (F.pmod(i + 1, F.lit(STEPS)) == 0) & (cut <= at)
     )
+    begun = F.size(coarse) * STEPS
+    fine = F.filter(F.slice("__cuts", begun + 1, F.lit(STEPS)), lambda cut: cut <= at)
+    return F.when(at.isNull() | F.col("__cuts").isNull(), 0).otherwise(begun + F.size(fine))
 
 
 def _by_instant(
-    rows: DataFrame, keys: list[str], tie: list[str], time: str, slice_seconds: int
+    rows: DataFrame, bounds: DataFrame, keys: list[str], tie: list[str], time: str
 ) -> DataFrame:
     """``valid_to`` of keys with any number of rows.
 
-    Only the distinct instants of a key go through windows, cut into slices of time;
+    Only the distinct instants of a key go through windows, cut into slices by count;
     the rows meet their instant in an equi-join on key *and* time:
 
     * copies at one instant collapse before the shuffle;
-    * a slice holds at most ``slice_seconds`` worth of instants, and the pass over
-      a key's slices one row per slice;
+    * a slice holds its share of a key's instants, however dense they are, and the pass
+      over a key's slices one row per slice;
     * full rows are shuffled once, spread over their instants, and a join (unlike
       a window) lets adaptive execution split an instant that is itself hot.
     """
     last, piece, start, end, following = "__last", "__slice", "__start", "__end", "__next"
     order = F.col(tie[0]) if len(tie) == 1 else F.struct(*tie)
-    seconds = F.unix_seconds(time)
-    cut = seconds - F.pmod(seconds, F.lit(slice_seconds))
 
     instants = (
         rows.select(*keys, time, order.alias(last))
         .groupBy(*keys, time)
         .agg(F.max(last).alias(last))
-        .select(*keys, cut.alias(piece), time, last, F.col(time).alias(start), F.lit(0).alias(end))
+    )
+    instants = _join_same(instants, bounds, keys, "left").select(
+        *keys, _slice_of(time).alias(piece), time, last, F.col(time).alias(start), F.lit(0).alias(end)
     )
     # One closing row per slice, carrying the first instant of the next slice.
-    heads = rows.select(*keys, cut.alias(piece), time).groupBy(*keys, piece)
-    heads = heads.agg(F.min(time).alias(start))
+    heads = instants.groupBy(*keys, piece).agg(F.min(time).alias(start))
     by_slice = Window.partitionBy(*keys).orderBy(piece)
     closings = heads.withColumn(start, F.lead(start).over(by_slice)).withColumn(end, F.lit(1))
     in_slice = Window.partitionBy(*keys, piece).orderBy(end, time)

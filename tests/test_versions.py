@@ -8,20 +8,19 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rillstone.operators import versions
-from rillstone.operators.versions import _by_instant, history, latest, merge_latest
+from rillstone.operators.versions import _bounds, _by_instant, _slice_of, history, latest, merge_latest
 
 START = dt.datetime(2024, 3, 9, 23, 59, 58)
 SCHEMA = "k string, timestamp timestamp, record_partition int, record_offset bigint, x int"
 ORDER = ["timestamp", "record_partition", "record_offset"]
 
-# key, seconds after START (or no time), partition; the offset is the row number
-rows = st.lists(
-    st.tuples(
-        st.sampled_from(["a", "b", None]),
-        st.sampled_from([0, 0, 1, 2, 3, 59, 60, 61, 3600, 7200, 10**6, -(10**9)]),
-        st.sampled_from([0, 1]),
-    ),
+TIMES = [0, 0, 1, 2, 3, 59, 60, 61, 3600, 7200, 10**6, -(10**9)]
+KEYS = st.sampled_from(["a", "b", None])
+# key, seconds after START, partition; the offset is the row number
+rows = st.lists(st.tuples(KEYS, st.sampled_from(TIMES), st.sampled_from([0, 1])), max_size=25)
+# the same with no time, and offsets that repeat
+repeated = st.lists(
+    st.tuples(KEYS, st.sampled_from([*TIMES, None]), st.sampled_from([0, 1]), st.sampled_from([0, 1, 2])),
     max_size=25,
 )
 few = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -35,24 +34,29 @@ def table(spark, drawn, first=0):
 
 
 def expected_history(built):
+    """Each row ends at the next later position of its key; no time comes first."""
+
+    def position(row):
+        return (row[1] is not None, row[1] or START, *row[2:4])
+
     result = []
-    for key in {row[0] for row in built}:
-        ordered = sorted((r for r in built if r[0] == key), key=lambda r: r[1:4])
-        for row, after in zip(ordered, [*ordered[1:], None]):
-            result.append((*row, after and after[1], "N" if after else "Y"))
+    for row in built:
+        later = [r for r in built if r[0] == row[0] and position(r) > position(row)]
+        after = min(later, key=position, default=None)
+        result.append((*row, after and after[1], "N" if after else "Y"))
     return sorted(result, key=str)
 
 
 @few
-@given(
-    drawn=rows,
-    slice_seconds=st.sampled_from([1, 60, 3600]),
-    hot_rows=st.sampled_from([1, 5, 10**6]),
-)
-def test_history(spark, drawn, slice_seconds, hot_rows):
-    """The same whether all, some or no keys count as hot."""
-    frame, built = table(spark, drawn)
-    found = history(frame, ["k"], slice_seconds=slice_seconds, hot_rows=hot_rows).collect()
+@given(drawn=repeated, slices=st.sampled_from([1, 2, 5, 1024]), hot_rows=st.sampled_from([1, 5, 10**6]))
+def test_history(spark, drawn, slices, hot_rows):
+    """The same whether all, some or no keys count as hot, repeated positions included."""
+    built = [
+        (k, None if s is None else START + dt.timedelta(seconds=s), p, o, n)
+        for n, (k, s, p, o) in enumerate(drawn)
+    ]
+    frame = spark.createDataFrame(built, SCHEMA)
+    found = history(frame, ["k"], slices=slices, hot_rows=hot_rows).collect()
     assert sorted(map(tuple, found), key=str) == expected_history(built)
 
 
@@ -129,7 +133,8 @@ def test_history_under_skew(spark, tmp_path):
 
 
 def test_full_rows_of_hot_keys_never_meet_a_window(spark):
-    frame = _by_instant(skewed(spark), ["k"], ["record_offset"], "timestamp", 3600)
+    bounds = _bounds(skewed(spark), ["k"], "timestamp", 16)
+    frame = _by_instant(skewed(spark), bounds, ["k"], ["record_offset"], "timestamp")
     plan = frame._jdf.queryExecution().executedPlan().toString()
     # The payload column is computed on the rows' side of the join, and there only.
     rows_side = plan[: plan.index("Window")]
@@ -137,22 +142,31 @@ def test_full_rows_of_hot_keys_never_meet_a_window(spark):
 
 
 def test_history_without_hot_keys_is_one_window(spark, tmp_path):
-    """Adaptive execution drops the way for hot keys before reading for it."""
     skewed(spark).write.parquet(str(tmp_path / "rows"))
     found = history(spark.read.parquet(str(tmp_path / "rows")), ["k"])
     assert found.count() == 60_000
-    found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("== Initial Plan ==")[0]
-    assert "SortMergeJoin" not in final and final.count("lead(") == 1
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
 
+def test_slices_hold_their_share_however_dense_the_instants(spark):
+    """A topic read in one go: all instants of a hot key within one hour."""
+    rows = spark.range(40_000).select(
+        F.lit("a").alias("k"), F.timestamp_micros(F.col("id") * 90_000).alias("timestamp")
+    )
+    cuts = _bounds(rows, ["k"], "timestamp", 100)
+    sliced = rows.join(cuts, "k").groupBy(_slice_of("timestamp").alias("s")).count()
+    sizes = [r["count"] for r in sliced.collect()]
+    assert len(sizes) >= 95 and max(sizes) <= 2 * 40_000 / 100
 
-def test_at_most_so_many_keys_are_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(versions, "MOST_HOT_KEYS", 3)
-    frame = skewed(spark)
-    assert versions._hot_keys(frame, ["k"], 1).count() == 3
-    plain = set(map(tuple, history(frame, ["k"], hot_rows=10**6).collect()))
-    assert set(map(tuple, history(frame, ["k"], hot_rows=1).collect())) == plain
+
+def test_slices_of_many_cuts(spark):
+    rows = spark.range(5000).select(
+        F.lit("a").alias("k"), F.timestamp_seconds((F.col("id") * F.col("id")) % 9973).alias("timestamp")
+    )
+    joined = rows.join(_bounds(rows, ["k"], "timestamp", 500), "k")
+    plain = F.size(F.filter("__cuts", lambda cut: cut <= F.col("timestamp")))
+    assert joined.where(_slice_of("timestamp") != plain).isEmpty()
 
 
 def test_latest_aggregates_before_the_shuffle(spark):
