@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from rillstone.llm.shared import Words, batches, mix, remainder, shingles, span_hashes, table
 
 #: Labelled rows of each class, and bytes of text, that a model is trained on at most.
-MOST_ROWS, MOST_BYTES = 2_000, 12 << 20
+MOST_ROWS, MOST_BYTES = 2_000, 8 << 20
 #: Tokens that the random field's gradient runs over at most, and its steps.
 MOST_TOKENS, STEPS = 500_000, 40
 #: Hashed weights of each kind.
@@ -58,7 +58,9 @@ class Model:
     def evidence(self, all_ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Log odds of each token for the toxic state, without transitions."""
         ids = all_ids[0]
-        out = self.bias + self.now[all_ids].sum(axis=0, dtype=np.float64)
+        out = np.full(len(ids), self.bias)
+        for row in all_ids:
+            out += self.now[row]
         if len(ids):
             inner = np.ones(len(ids), dtype=bool)
             inner[first[:-1][first[:-1] < len(ids)]] = False
@@ -70,8 +72,11 @@ class Model:
 def token_ids(words: Words) -> np.ndarray:
     """A row of hashed features for the words, and one for each length of prefix."""
     rows = span_hashes(words.data, words.begin, words.end, PREFIXES)
-    salt = np.arange(len(rows), dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
-    return (mix(rows ^ salt) >> np.uint64(20)).astype(np.int64) & (BUCKETS - 1)
+    out = np.empty(rows.shape, dtype=np.int32)
+    for i, row in enumerate(rows):
+        salt = np.uint64(i * 0x9E3779B97F4A7C15 & 2**64 - 1)
+        out[i] = (mix(row ^ salt) >> np.uint64(20)).astype(np.int64) & (BUCKETS - 1)
+    return out
 
 
 def marginals(evidence: np.ndarray, first: np.ndarray, moves: np.ndarray) -> np.ndarray:
