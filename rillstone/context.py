@@ -66,6 +66,14 @@ class IngestContext:
     publish_share: float = 0.25
     # False leaves the catalog alone and works on paths only.
     register_tables: bool = True
+    # True formats the archive anew when a key is declared that the table does not hold.
+    refill: bool = False
+    # Bytes of archive in one formatting batch: a long backlog is worked off in pieces.
+    formatting_batch_bytes: int = 2**40
+    # One Kafka partition may hold much of the topic; this bounds what one task reads.
+    records_per_task: int = 1_000_000
+    # How much older than the newest one a record file may be and still be read.
+    record_file_age: str = "36500d"
 
     def __post_init__(self) -> None:
         check_keys(self.keys, self.source_schema)
@@ -75,10 +83,15 @@ class IngestContext:
         return split_keys(self.topic["primary_keys"])
 
     @property
-    def rate_limit(self) -> int | None:
-        limit = self.job.get("max_offsets_per_trigger")
+    def file_limit(self) -> int | None:
+        """Record files in a batch; Kafka's limit, in records, is another setting."""
+        limit = self.job.get("max_files_per_trigger")
         return None if limit is None else int(limit)
 
+    @property
+    def default_transform(self) -> bool:
+        return self.hooks.transform is default_transform
+
     @property
     def timeout_seconds(self) -> float | None:
         return self.generic.get("query_poll_timeout_seconds")
@@ -109,9 +122,8 @@ class IngestContext:
     def latest_table_name(self) -> str:
         return f"{self.table_name}_latest"
 
-    @property
-    def snapshot_table_name(self) -> str:
-        return f"{self.table_name}_snapshot"
+    def snapshot_table_name(self, run: int) -> str:
+        return f"{self.table_name}_snapshot_{run}"
 
     @property
     def snapshot_path(self) -> str:
@@ -140,6 +152,15 @@ class IngestContext:
         """Columns of the formatted table, including ones no longer declared."""
         return f"{self.state_path}.table_schema.json"
 
+    @property
+    def layout_path(self) -> str:
+        """Messages as archived, lifted key columns, and the keys in force."""
+        return f"{self.state_path}.layout.json"
+
+    @property
+    def progress_path(self) -> str:
+        return f"{self.state_path}.progress"
+
 
 def config_root(generic: Mapping[str, Any]) -> str:
     """Folder of the topic documents: a path as it stands, or a prefix in a bucket."""

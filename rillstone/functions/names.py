@@ -22,6 +22,8 @@ ACCEPTED = "accepted"
 MALFORMED = "malformed"
 NULL_VALUE = "null_value"
 MISSING_REQUIRED = "missing_required"
+MISSING_KEY = "missing_key"
+NOT_CASTABLE = "not_castable"
 
 RESERVED = frozenset(
     {TIMESTAMP, VALUE_RAW, CURRENT, VALID_TO, OUTCOME, BATCH_ID, RUN_ID, CORRUPT, *POSITION}

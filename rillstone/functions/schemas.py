@@ -7,7 +7,8 @@ import json
 import re
 from typing import Any, NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.functions import names
@@ -17,6 +18,9 @@ REF_PATTERN = r"REF_\w+"
 REF_PREFIX = "REF_"
 REF_NAME = "REF_NAME"
 
+# Steps into arrays and maps.
+ELEMENT, KEY, VALUE = "element", "key", "value"
+
 
 def from_document(document: dict[str, Any]) -> T.StructType:
     """Schema from Spark's JSON form; refuses reserved names and names that Spark,
@@ -45,75 +49,89 @@ def extend_target(schema: T.StructType) -> T.StructType:
 
 
 class Change(NamedTuple):
-    path: str
+    """A difference; ``steps`` lead to it through fields, ``element``, ``key``, ``value``."""
+
+    steps: tuple[str, ...]
     kind: str
     old_type: str | None
     new_type: str | None
 
+    @property
+    def path(self) -> str:
+        return ".".join(self.steps) or "*"
+
 
 CHANGE_SCHEMA = "path string, kind string, old_type string, new_type string"
 
 
+def by_name(schema: T.StructType) -> dict[str, T.StructField]:
+    """Fields by name as Spark tells them apart, which ignores case."""
+    return {field.name.lower(): field for field in schema.fields}
+
+
 def diff(old: T.StructType, new: T.StructType) -> list[Change]:
     """Every difference between two declared schemas, in field order.
 
-    Kinds: ``added``, ``removed``, ``type_changed``, ``nullability``, ``order``.
+    Names are compared as Spark does, without case. Kinds: ``added``, ``removed``,
+    ``type_changed``, ``renamed`` (in case only), ``nullability``, ``order``.
     """
-    return _diff_struct(old, new, "")
+    return _diff_struct(old, new, ())
 
 
-def _diff_struct(old: T.StructType, new: T.StructType, prefix: str) -> list[Change]:
+def _diff_struct(old: T.StructType, new: T.StructType, at: tuple[str, ...]) -> list[Change]:
     changes: list[Change] = []
-    for before in old.fields:
-        path = prefix + before.name
-        if before.name not in new.names:
-            changes.append(Change(path, "removed", before.dataType.simpleString(), None))
+    before_of, after_of = by_name(old), by_name(new)
+    for name, before in before_of.items():
+        steps = (*at, before.name)
+        if name not in after_of:
+            changes.append(Change(steps, "removed", before.dataType.simpleString(), None))
             continue
-        after = new[before.name]
-        changes += _diff_type(before.dataType, after.dataType, path)
-        changes += _diff_null(before.nullable, after.nullable, path)
-    for after in new.fields:
-        if after.name not in old.names:
-            path = prefix + after.name
-            changes.append(Change(path, "added", None, after.dataType.simpleString()))
-    kept_old = [name for name in old.names if name in new.names]
-    kept_new = [name for name in new.names if name in old.names]
+        after = after_of[name]
+        if after.name != before.name:
+            changes.append(Change(steps, "renamed", before.name, after.name))
+        changes += _diff_type(before.dataType, after.dataType, steps)
+        changes += _diff_null(before.nullable, after.nullable, steps)
+    for name, after in after_of.items():
+        if name not in before_of:
+            changes.append(Change((*at, after.name), "added", None, after.dataType.simpleString()))
+    kept_old = [name for name in before_of if name in after_of]
+    kept_new = [name for name in after_of if name in before_of]
     if kept_old != kept_new:
-        where = prefix.rstrip(".") or "*"
-        changes.append(Change(where, "order", ",".join(kept_old), ",".join(kept_new)))
+        order = [",".join(of[name].name for name in kept) for of, kept in ((before_of, kept_old), (after_of, kept_new))]
+        changes.append(Change(at, "order", *order))
     return changes
 
 
-def _diff_type(old: T.DataType, new: T.DataType, path: str) -> list[Change]:
+def _diff_type(old: T.DataType, new: T.DataType, at: tuple[str, ...]) -> list[Change]:
     if isinstance(old, T.StructType) and isinstance(new, T.StructType):
-        return _diff_struct(old, new, path + ".")
+        return _diff_struct(old, new, at)
     if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
-        inner = path + ".element"
+        inner = (*at, ELEMENT)
         return _diff_type(old.elementType, new.elementType, inner) + _diff_null(
             old.containsNull, new.containsNull, inner
         )
     if isinstance(old, T.MapType) and isinstance(new, T.MapType):
-        inner = path + ".value"
+        inner = (*at, VALUE)
         return (
-            _diff_type(old.keyType, new.keyType, path + ".key")
+            _diff_type(old.keyType, new.keyType, (*at, KEY))
             + _diff_type(old.valueType, new.valueType, inner)
             + _diff_null(old.valueContainsNull, new.valueContainsNull, inner)
         )
     if old != new:
-        return [Change(path, "type_changed", old.simpleString(), new.simpleString())]
+        return [Change(at, "type_changed", old.simpleString(), new.simpleString())]
     return []
 
 
-def _diff_null(old: bool, new: bool, path: str) -> list[Change]:
+def _diff_null(old: bool, new: bool, at: tuple[str, ...]) -> list[Change]:
     if old == new:
         return []
     text = {True: "nullable", False: "required"}
-    return [Change(path, "nullability", text[old], text[new])]
+    return [Change(at, "nullability", text[old], text[new])]
 
 
 def diff_frame(spark: SparkSession, changes: list[Change]) -> DataFrame:
     """The difference report as a DataFrame."""
-    return spark.createDataFrame([tuple(change) for change in changes], CHANGE_SCHEMA)
+    return spark.createDataFrame([(c.path, *c[1:]) for c in changes], CHANGE_SCHEMA)
 
 
 class IncompatibleSchema(ValueError):
@@ -121,19 +139,20 @@ class IncompatibleSchema(ValueError):
 
 
 def require_compatible(changes: list[Change]) -> None:
-    bad = [change for change in changes if change.kind == "type_changed"]
+    bad = [change for change in changes if change.kind in ("type_changed", "renamed")]
     if bad:
         detail = "; ".join(f"{c.path}: {c.old_type} -> {c.new_type}" for c in bad)
-        raise IncompatibleSchema(f"type changes need a new table: {detail}")
+        raise IncompatibleSchema(f"changed types and names need a new table: {detail}")
 
 
 def merge(old: T.StructType, new: T.StructType) -> T.StructType:
     """Table schema after an evolution: old columns stay, new ones are appended."""
+    before_of, after_of = by_name(old), by_name(new)
     fields = [
-        _merge_field(before, new[before.name]) if before.name in new.names else before
-        for before in old.fields
+        _merge_field(before, after_of[name]) if name in after_of else before
+        for name, before in before_of.items()
     ]
-    added = [after for after in new.fields if after.name not in old.names]
+    added = [after for name, after in after_of.items() if name not in before_of]
     return T.StructType(fields + added)
 
 
@@ -158,6 +177,88 @@ def _merge_type(old: T.DataType, new: T.DataType) -> T.DataType:
     return old
 
 
+# ------------------------------------------------------------------ conversion
+
+
+def same_shape(have: T.DataType, want: T.DataType) -> bool:
+    """Equal but for what may be null."""
+    return have.simpleString() == want.simpleString()
+
+
+def shaped(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value in another type: fields meet by name, absent ones are NULL, surplus ones go.
+
+    A leaf that cannot be converted becomes NULL; ``loses`` tells where.
+    """
+    if same_shape(have, want):
+        return value
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        known = by_name(have)
+        fields = [
+            shaped(value.getField(known[f.name.lower()].name), known[f.name.lower()].dataType, f.dataType)
+            if f.name.lower() in known
+            else F.lit(None).cast(f.dataType)
+            for f in want.fields
+        ]
+        whole = F.struct(*[part.alias(f.name) for part, f in zip(fields, want.fields)])
+        return F.when(value.isNotNull(), whole)
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return F.transform(value, lambda x: shaped(x, have.elementType, want.elementType))
+    if isinstance(want, T.MapType) and isinstance(have, T.MapType):
+
+        def entry(e: Column) -> Column:
+            return F.struct(
+                shaped(e["key"], have.keyType, want.keyType).alias("key"),
+                shaped(e["value"], have.valueType, want.valueType).alias("value"),
+            )
+
+        return F.map_from_entries(F.transform(F.map_entries(value), entry))
+    _require_leaves(have, want)
+    return value.try_cast(want)
+
+
+def _require_leaves(have: T.DataType, want: T.DataType) -> None:
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    if isinstance(want, nested) or (isinstance(have, nested) and not isinstance(want, T.StringType)):
+        raise IncompatibleSchema(f"{have.simpleString()} cannot become {want.simpleString()}")
+
+
+def loses(value: Column, have: T.DataType, want: T.DataType) -> Column | None:
+    """True where a value that is there has no counterpart in the other type.
+
+    None where that cannot be.
+    """
+    if same_shape(have, want):
+        return None
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        known = by_name(have)
+        found = None
+        for f in want.fields:
+            if f.name.lower() in known:
+                own = known[f.name.lower()]
+                lost = loses(value.getField(own.name), own.dataType, f.dataType)
+                if lost is not None:
+                    found = lost if found is None else found | lost
+        return found
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return _some(value, have.elementType, want.elementType)
+    if isinstance(want, T.MapType) and isinstance(have, T.MapType):
+        parts = [
+            _some(F.map_keys(value), have.keyType, want.keyType),
+            _some(F.map_values(value), have.valueType, want.valueType),
+        ]
+        parts = [part for part in parts if part is not None]
+        return None if not parts else parts[0] if len(parts) == 1 else parts[0] | parts[1]
+    _require_leaves(have, want)
+    return value.isNotNull() & value.try_cast(want).isNull()
+
+
+def _some(items: Column, have: T.DataType, want: T.DataType) -> Column | None:
+    if loses(F.lit(None), have, want) is None:
+        return None
+    return F.coalesce(F.exists(items, lambda x: loses(x, have, want)), F.lit(False))
+
+
 # ------------------------------------------------------------ Avro declarations
 
 

@@ -13,8 +13,9 @@ from rillstone.operators.parse import parse_once
 def drift_report(texts: DataFrame, old: T.StructType, new: T.StructType) -> DataFrame:
     """Each difference of two declared schemas, with the messages that carry it.
 
-    ``messages`` counts messages with a value at the changed path. One parse and one
-    aggregation for all differences; only counters are shuffled.
+    ``messages`` counts messages with a value at the changed path, in arrays and maps
+    those with one in some element. One parse and one aggregation for all differences;
+    only counters are shuffled.
     """
     changes = schemas.diff(old, new)
     both = schemas.merge(old, new)
@@ -26,7 +27,7 @@ def drift_report(texts: DataFrame, old: T.StructType, new: T.StructType) -> Data
             "messages", F.lit(0).cast("bigint")
         )
     counts = [
-        F.count(_addressable(change.path, both)).alias(f"c{number}")
+        F.count_if(_present(F.col(names.VALUE), both, change.steps)).alias(f"c{number}")
         for number, change in enumerate(changes)
     ]
     entries = [
@@ -42,11 +43,16 @@ def drift_report(texts: DataFrame, old: T.StructType, new: T.StructType) -> Data
     return parsed.agg(*counts).select(F.inline(F.array(*entries)))
 
 
-def _addressable(path: str, schema: T.StructType) -> Column:
-    """The value at ``path``, or its nearest parent outside arrays and maps."""
-    column, current = F.col(names.VALUE), schema
-    for step in path.split("."):
-        if not isinstance(current, T.StructType) or step not in current.names:
-            break
-        column, current = column.getField(step), current[step].dataType
-    return column
+def _present(value: Column, kind: T.DataType, steps: tuple[str, ...]) -> Column:
+    """Whether a message has a value at the path: in arrays and maps, in some element."""
+    if not steps:
+        return value.isNotNull()
+    step, rest = steps[0], steps[1:]
+    if isinstance(kind, T.StructType):
+        field = schemas.by_name(kind)[step.lower()]
+        return _present(value.getField(field.name), field.dataType, rest)
+    if isinstance(kind, T.ArrayType):
+        return F.exists(value, lambda x: _present(x, kind.elementType, rest))
+    if step == schemas.KEY:
+        return F.exists(F.map_keys(value), lambda x: _present(x, kind.keyType, rest))
+    return F.exists(F.map_values(value), lambda x: _present(x, kind.valueType, rest))

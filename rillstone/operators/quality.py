@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillstone.functions import names
-from rillstone.functions.keys import KeyColumn, lift
+from rillstone.functions import names, schemas
+from rillstone.functions.keys import KeyColumn, field, lift
 from rillstone.operators.parse import parse_once, position_columns
 
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": names.CORRUPT}
@@ -21,11 +21,11 @@ def lacks_required(value: Column, declared: T.DataType) -> Column | None:
     """
     if isinstance(declared, T.StructType):
         checks = []
-        for field in declared.fields:
-            part = value.getField(field.name)
-            if not field.nullable:
+        for part_of in declared.fields:
+            part = value.getField(part_of.name)
+            if not part_of.nullable:
                 checks.append(part.isNull())
-            inner = lacks_required(part, field.dataType)
+            inner = lacks_required(part, part_of.dataType)
             if inner is not None:
                 checks.append(part.isNotNull() & inner)
         return _any(checks)
@@ -61,11 +61,18 @@ def _any_element(items: Column, declared: T.DataType, nullable: bool) -> Column
     return F.coalesce(F.exists(items, fails), F.lit(False))
 
 
-def classify(texts: DataFrame, schema: T.StructType, keys: list[KeyColumn]) -> DataFrame:
+def classify(
+    texts: DataFrame,
+    schema: T.StructType,
+    keys: list[KeyColumn],
+    target: T.StructType | None = None,
+) -> DataFrame:
     """Parse every message and give it an outcome; no row is lost.
 
     ``null_value``: NULL or blank message. ``malformed``: not JSON of the declared
-    types. ``missing_required``: a non-null field is absent. Else ``accepted``.
+    types. ``missing_required``: a non-null field is absent. ``missing_key``: a key is
+    NULL, so that the row would be a version of nothing. ``not_castable``: a value has
+    no counterpart in the ``target``'s type. Else ``accepted``. The first that holds counts.
     """
     position = position_columns(texts)
     reading = T.StructType([*schema.fields, T.StructField(names.CORRUPT, T.StringType())])
@@ -82,6 +89,12 @@ def classify(texts: DataFrame, schema: T.StructType, keys: list[KeyColumn]) -> D
     missing = lacks_required(value, schema)
     if missing is not None:
         outcome = outcome.when(missing, names.MISSING_REQUIRED)
+    for key in keys:
+        outcome = outcome.when(field(key.path).isNull(), names.MISSING_KEY)
+    if target is not None:
+        lost = schemas.loses(value, schema, target)
+        if lost is not None:
+            outcome = outcome.when(lost, names.NOT_CASTABLE)
     return parsed.select(
         names.TIMESTAMP,
         value.dropFields(names.CORRUPT).alias(names.VALUE),

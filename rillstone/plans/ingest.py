@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any, NamedTuple
@@ -11,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.context import HookRegistry, IngestContext, load_context
 from rillstone.plans.tables import Provisioned, provision, publish_latest, register_latest
-from rillstone.streaming.drain import drain, progress
+from rillstone.sources import documents
+from rillstone.streaming.drain import DrainTimeout, Reports, drain
 from rillstone.streaming.stages import ship_hook_code, start_formatting, start_landing
 
 
@@ -19,19 +21,37 @@ class Run(NamedTuple):
     provisioned: Provisioned
     landing: StreamingQuery
     formatting: StreamingQuery
+    reports: Reports
+    batches: dict[str, tuple[int, int]]  # first and last batch by query
 
-    def progress(self, spark: SparkSession) -> DataFrame:
-        return progress(spark, self.landing, self.formatting)
+    def progress(self) -> DataFrame:
+        """One row per batch with input; raises if a batch went by unseen."""
+        for name, (first, last) in self.batches.items():
+            self.reports.require(name, first, last)
+        return self.reports.frame()
 
 
 def run_ingest(ctx: IngestContext) -> Run:
-    """Ingest everything available now; a rerun continues from the checkpoints."""
+    """Ingest everything available now; a rerun continues from the checkpoints.
+
+    When landing takes too long, what has landed is formatted and published all the same
+    before the timeout is raised: each run makes headway, however long the backlog.
+    """
     provisioned = provision(ctx)
     ship_hook_code(ctx)
-    landing = start_landing(ctx)
-    drain(landing, ctx.timeout_seconds)
-    formatting = start_formatting(ctx)
-    drain(formatting, ctx.timeout_seconds)
+    reports = Reports(ctx.spark, f"{ctx.progress_path}/{uuid.uuid4().hex}")
+    batches: dict[str, tuple[int, int]] = {}
+    queries: list[StreamingQuery] = []
+    late: DrainTimeout | None = None
+    for stage, start in (("landing", start_landing), ("formatting", start_formatting)):
+        commits = f"{ctx.checkpoint(stage)}/commits"
+        first = documents.largest_number(ctx.spark, commits) + 1
+        queries.append(start(ctx))
+        try:
+            drain(queries[-1], ctx.timeout_seconds, reports)
+        except DrainTimeout as timeout:
+            late = late or timeout
+        batches[queries[-1].name] = (first, documents.largest_number(ctx.spark, commits))
     if ctx.hooks.write is None:
         publish_latest(ctx)
     if ctx.register_tables:
@@ -39,7 +59,9 @@ def run_ingest(ctx: IngestContext) -> Run:
         ctx.spark.catalog.refreshTable(ctx.raw_table_name)
         if ctx.hooks.write is None:
             register_latest(ctx)
-    return Run(provisioned, landing, formatting)
+    if late is not None:
+        raise late
+    return Run(provisioned, *queries, reports, batches)
 
 
 def run_topics(contexts: Iterable[IngestContext], at_once: int = 8) -> list[Run]:

@@ -6,12 +6,13 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rillstone.context import IngestContext
 from rillstone.functions import names
 from rillstone.functions.keys import key_names
 from rillstone.operators.versions import latest
-from rillstone.plans.tables import conform, formatted_schema
+from rillstone.plans.tables import conform, formatted_schema, open_run
 
 _ORDER = (names.TIMESTAMP, *names.POSITION)
 
@@ -52,7 +53,10 @@ def newest_in_batch(ctx: IngestContext, batch: DataFrame) -> DataFrame:
 
 
 def merge_write(ctx: IngestContext, batch: DataFrame, batch_id: int) -> None:
-    """``Hooks(write=merge_write)``: upsert each micro-batch into the table."""
+    """``Hooks(write=merge_write)``: upsert each micro-batch into the table.
+
+    The table has no partitions by run, which its rows do not belong to.
+    """
     rows = newest_in_batch(ctx, batch)
     source = re.sub(r"\W", "_", f"incoming_{ctx.resource_name}")
     rows.createOrReplaceTempView(source)
@@ -61,6 +65,9 @@ def merge_write(ctx: IngestContext, batch: DataFrame, batch_id: int) -> None:
     )
 
 
+merge_write.one_row_per_key = True
+
+
 def transaction_options(ctx: IngestContext, batch: DataFrame, batch_id: int) -> dict[str, str]:
     """Options by which Delta skips a batch it already holds.
 
@@ -73,6 +80,7 @@ def transaction_options(ctx: IngestContext, batch: DataFrame, batch_id: int) ->
 
 def append_write(ctx: IngestContext, batch: DataFrame, batch_id: int) -> None:
     """``Hooks(write=append_write)``: append each micro-batch exactly once."""
-    rows = conform(batch, formatted_schema(ctx, ctx.target_schema))
+    numbered = batch.withColumn(names.RUN_ID, F.lit(open_run(ctx)))
+    rows = conform(numbered, formatted_schema(ctx, ctx.target_schema))
     options = transaction_options(ctx, batch, batch_id)
     rows.write.format(ctx.table_format).mode("append").options(**options).save(ctx.table_path)

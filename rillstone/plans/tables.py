@@ -1,7 +1,8 @@
 """The tables of a topic: shapes, provisioning, reading, batch writing.
 
 Every topic has a raw archive ``<name>_src`` and a formatted table ``<name>``, both
-append-only. Rejected messages are partitions of the raw archive. Appended files
+append-only. The archive holds each message as it came and, if it was accepted, parsed.
+Rejected messages are partitions of the raw archive. Appended files
 cannot be updated, so the formatted table's ``current`` column stays NULL on disk
 and ``read_history`` resolves it.
 
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 
 from rillstone.context import IngestContext
 from rillstone.functions import names, schemas
-from rillstone.functions.keys import key_names, key_type
+from rillstone.functions.keys import field, key_names, key_type
 from rillstone.operators.versions import history, latest, merge_latest
 from rillstone.sources import documents
 
@@ -35,45 +36,76 @@ _POSITION_FIELDS = [
 # ---------------------------------------------------------------------- shapes
 
 
-def formatted_schema(ctx: IngestContext, target: T.StructType) -> T.StructType:
-    """Extended target, key columns that are not target fields, position, run."""
+def formatted_schema(
+    ctx: IngestContext, target: T.StructType, lifted: T.StructType | None = None
+) -> T.StructType:
+    """Extended target, key columns that are not target fields, position, run.
+
+    ``lifted`` are key columns of earlier declarations, which stay.
+    """
     extended = schemas.extend_target(target)
-    lifted = [
-        T.StructField(key.name, key_type(ctx.source_schema, key.path))
-        for key in ctx.keys
-        if key.name not in target.names
-    ]
+    columns = schemas.merge(lifted or T.StructType([]), lifted_keys(ctx))
+    beside = [f for name, f in schemas.by_name(columns).items() if name not in schemas.by_name(target)]
     run = T.StructField(names.RUN_ID, T.LongType())
-    return T.StructType([*extended.fields, *lifted, *_POSITION_FIELDS, run])
+    return T.StructType([*extended.fields, *beside, *_POSITION_FIELDS, run])
+
+
+def lifted_keys(ctx: IngestContext) -> T.StructType:
+    """The declared key columns, typed as in the messages."""
+    return T.StructType(
+        [T.StructField(key.name, key_type(ctx.source_schema, key.path)) for key in ctx.keys]
+    )
 
 
 def raw_schema(ctx: IngestContext) -> T.StructType:
-    """Record time, keys as strings, original text; position and outcome beside."""
+    """Record time, keys as strings, message as text and parsed; position and outcome."""
     return T.StructType(
         [
             T.StructField(names.TIMESTAMP, T.TimestampType()),
             *[T.StructField(name, T.StringType()) for name in key_names(ctx.keys)],
             T.StructField(names.VALUE_RAW, T.StringType()),
+            T.StructField(names.VALUE, _layout(ctx).source),
             *_POSITION_FIELDS,
             T.StructField(names.OUTCOME, T.StringType()),
         ]
     )
 
 
+class Layout(NamedTuple):
+    """What was applied to the tables beside the target."""
+
+    source: T.StructType  # messages as archived, with fields no longer declared
+    lifted: T.StructType  # key columns, with those of earlier declarations
+    keys: list[str]
+    refilling: bool  # the formatted table is being filled anew
+
+
+def _layout(ctx: IngestContext) -> Layout:
+    found = documents.read_json_if_present(ctx.spark, ctx.layout_path)
+    if found is None:
+        return Layout(ctx.source_schema, T.StructType([]), [], False)
+    source, lifted = (T.StructType.fromJson(found[part]) for part in ("source", "lifted"))
+    return Layout(source, lifted, found["keys"], found["refilling"])
+
+
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the table's columns, cast to its types; absent nullable ones are NULL."""
-    present = {name.lower() for name in rows.columns}
+    """Select the table's columns in its types; absent nullable ones are NULL.
+
+    Fields inside columns meet by name. What cannot be converted becomes NULL; landing has
+    set such messages aside.
+    """
+    present = schemas.by_name(rows.schema)
     missing = [f.name for f in schema.fields if f.name.lower() not in present and not f.nullable]
     if missing:
         raise ValueError(f"required columns are missing: {', '.join(missing)}")
-    return rows.select(
-        *[
-            (F.col(f"`{f.name}`") if f.name.lower() in present else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    columns = []
+    for f in schema.fields:
+        own = present.get(f.name.lower())
+        if own is None:
+            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+        else:
+            columns.append(schemas.shaped(F.col(f"`{own.name}`"), own.dataType, f.dataType).alias(f.name))
+    return rows.select(*columns)
 
 
 # ---------------------------------------------------------------- provisioning
@@ -85,43 +117,100 @@ class Provisioned(NamedTuple):
 
 
 def provision(ctx: IngestContext) -> Provisioned:
-    """Create the tables, or let the formatted one follow its declared schema.
+    """Create the tables, or let them follow their declared schemas and keys.
 
-    The schema is saved last: a failed attempt is repeated by the next run. A saved
-    schema that exists but cannot be read raises. The raw archive never evolves.
+    Everything is compared before anything is written: the target, the messages, key
+    columns with their types, and the keys. A refused change leaves the tables as they
+    are. What was applied is saved last, so that a failed attempt is repeated by the next
+    run. A saved document that exists but cannot be read raises.
     """
     spark = ctx.spark
     exists = table_exists(ctx)
     saved = read_saved_schema(ctx) if exists else None
-    if saved == ctx.target_schema:
-        if ctx.register_tables and not spark.catalog.tableExists(ctx.table_name):
-            register(ctx, stored_schema(ctx))
-        return Provisioned("unchanged", [])
+    before = _layout(ctx) if exists else Layout(ctx.source_schema, T.StructType([]), [], False)
+    after = _next_layout(ctx, before)
+    previous = documents.read_json_if_present(spark, ctx.table_schema_path) if exists else None
+    known = None if previous is None else T.StructType.fromJson(previous)
 
     changes = [] if saved is None else schemas.diff(saved, ctx.target_schema)
     schemas.require_compatible(changes)
-    previous = documents.read_json_if_present(spark, ctx.table_schema_path) if exists else None
     table = ctx.target_schema
-    if previous is not None:
-        before = T.StructType.fromJson(previous)
+    if known is not None:
         # A column dropped earlier may come back, but not with another type.
-        schemas.require_compatible(schemas.diff(before, ctx.target_schema))
-        table = schemas.merge(before, ctx.target_schema)
+        schemas.require_compatible(schemas.diff(known, ctx.target_schema))
+        table = schemas.merge(known, ctx.target_schema)
+    _require_lifted(after.lifted, table, known)
+    # Field by field, so that what cannot be converted is known before a message comes.
+    if ctx.default_transform:
+        schemas.loses(F.lit(None), ctx.source_schema, ctx.target_schema)
+    refill = before.refilling or _needs_refill(ctx, before, known)
+
+    if saved == ctx.target_schema and after == before:
+        if ctx.register_tables and not spark.catalog.tableExists(ctx.table_name):
+            register(ctx, stored_schema(ctx))
+        return Provisioned("unchanged", [])
+    if refill:
+        _write_layout(ctx, before._replace(refilling=True))
+        for path in (ctx.table_path, ctx.checkpoint("formatting"), ctx.snapshot_path, ctx.published_path):
+            documents.remove(spark, path)
 
+    wanted = formatted_schema(ctx, table, after.lifted)
     if ctx.table_format != "parquet":
-        _append_nothing(ctx, formatted_schema(ctx, table), ctx.table_path, names.RUN_ID)
+        partition = None if getattr(ctx.hooks.write, "one_row_per_key", False) else names.RUN_ID
+        _append_nothing(ctx, wanted, ctx.table_path, partition)
         if not _is_table(ctx, ctx.raw_path):
             _append_nothing(ctx, raw_schema(ctx), ctx.raw_path, names.OUTCOME)
     else:
         documents.make_directory(spark, ctx.table_path)
         documents.make_directory(spark, ctx.raw_path)
     documents.write_json(spark, ctx.table_schema_path, table.jsonValue())
+    _write_layout(ctx, after)
     if ctx.register_tables:
-        register(ctx, formatted_schema(ctx, table))
+        register(ctx, wanted)
     documents.write_json(spark, ctx.saved_schema_path, ctx.target_schema.jsonValue())
     return Provisioned("evolved" if exists else "created", changes)
 
 
+def _next_layout(ctx: IngestContext, before: Layout) -> Layout:
+    """What the layout becomes; refuses messages that the archive could not hold."""
+    schemas.require_compatible(schemas.diff(before.source, ctx.source_schema))
+    keys = lifted_keys(ctx)
+    schemas.require_compatible(schemas.diff(before.lifted, keys))
+    source = schemas.merge(before.source, ctx.source_schema)
+    return Layout(source, schemas.merge(before.lifted, keys), key_names(ctx.keys), False)
+
+
+def _require_lifted(lifted: T.StructType, table: T.StructType, known: T.StructType | None) -> None:
+    """Refuse a target field that would take the place of a key column of another type."""
+    fields = schemas.by_name(table)
+    stored = {} if known is None else schemas.by_name(known)
+    for name, key in schemas.by_name(lifted).items():
+        fresh = name in fields and name not in stored and known is not None
+        if fresh and not schemas.same_shape(fields[name].dataType, key.dataType):
+            change = schemas.Change((key.name,), "type_changed", key.dataType.simpleString(), fields[name].dataType.simpleString())
+            schemas.require_compatible([change])
+
+
+def _needs_refill(ctx: IngestContext, before: Layout, known: T.StructType | None) -> bool:
+    """Whether a key is declared now that stored rows do not carry."""
+    if known is None or not before.keys:
+        return False
+    held = {*schemas.by_name(known), *schemas.by_name(before.lifted)}
+    new = [key.name for key in ctx.keys if key.name.lower() not in held]
+    if new and not ctx.refill:
+        raise schemas.IncompatibleSchema(
+            f"rows of the table do not carry the new keys {', '.join(new)}; refill=True formats the archive anew"
+        )
+    return bool(new)
+
+
+def _write_layout(ctx: IngestContext, layout: Layout) -> None:
+    parts = {"source": layout.source.jsonValue(), "lifted": layout.lifted.jsonValue()}
+    documents.write_json(
+        ctx.spark, ctx.layout_path, {**parts, "keys": layout.keys, "refilling": layout.refilling}
+    )
+
+
 def table_exists(ctx: IngestContext) -> bool:
     return _is_table(ctx, ctx.table_path)
 
@@ -133,11 +222,12 @@ def _is_table(ctx: IngestContext, path: str) -> bool:
 
 
 def _append_nothing(
-    ctx: IngestContext, schema: T.StructType, path: str, partition: str
+    ctx: IngestContext, schema: T.StructType, path: str, partition: str | None
 ) -> None:
     """Create or widen a table by appending no rows of the wanted schema."""
-    nothing = ctx.spark.createDataFrame([], schema)
-    writer = nothing.write.format(ctx.table_format).partitionBy(partition)
+    writer = ctx.spark.createDataFrame([], schema).write.format(ctx.table_format)
+    if partition is not None:
+        writer = writer.partitionBy(partition)
     writer.mode("append").option("mergeSchema", "true").save(path)
 
 
@@ -152,9 +242,13 @@ def register_latest(ctx: IngestContext) -> None:
     spark, run = ctx.spark, open_run(ctx)
     columns = ", ".join(f"`{f.name}`" for f in _snapshot_schema(ctx) if f.name != names.CURRENT)
     if _snapshot_usable(ctx):
-        _register(ctx, ctx.snapshot_table_name, _snapshot_schema(ctx), _snapshot(ctx, run - 1))
-        spark.catalog.refreshTable(ctx.snapshot_table_name)
-        rows = f"SELECT {columns} FROM {ctx.snapshot_table_name}"
+        # Its name says which run it is of: by itself it lacks the rows since.
+        name = ctx.snapshot_table_name(run - 1)
+        _register(ctx, name, _snapshot_schema(ctx), _snapshot(ctx, run - 1))
+        spark.catalog.refreshTable(name)
+        if run >= 3:
+            spark.sql(f"DROP TABLE IF EXISTS {ctx.snapshot_table_name(run - 3)}")
+        rows = f"SELECT {columns} FROM {name}"
         if _has_rows(ctx, run):
             new = f"SELECT {columns} FROM {ctx.table_name} WHERE {names.RUN_ID} >= {run}"
             rows = _latest_sql(ctx, columns, f"{rows} UNION ALL {new}")
@@ -232,7 +326,7 @@ def read_path(spark: SparkSession, path: str, schema: T.StructType, fmt: str) ->
 def stored_schema(ctx: IngestContext) -> T.StructType:
     """Columns of the formatted table as it stands."""
     table = T.StructType.fromJson(documents.read_json(ctx.spark, ctx.table_schema_path))
-    return formatted_schema(ctx, table)
+    return formatted_schema(ctx, table, _layout(ctx).lifted)
 
 
 def _read_log(ctx: IngestContext) -> DataFrame:
@@ -245,14 +339,22 @@ def read_formatted(ctx: IngestContext) -> DataFrame:
 
 
 def read_archive(ctx: IngestContext) -> DataFrame:
-    """The raw archive with every outcome."""
-    return read_path(ctx.spark, ctx.raw_path, raw_schema(ctx), ctx.table_format)
+    """The raw archive with every outcome; keys come from the message where a file is
+    older than their declaration."""
+    rows = read_path(ctx.spark, ctx.raw_path, raw_schema(ctx), ctx.table_format)
+    archived = schemas.by_name(rows.schema[names.VALUE].dataType)
+    filled = {
+        key.name: F.coalesce(F.col(f"`{key.name}`"), field(key.path).cast("string"))
+        for key in ctx.keys
+        if key.path.split(".")[0].lower() in archived
+    }
+    return rows.withColumns(filled)
 
 
 def read_raw(ctx: IngestContext) -> DataFrame:
     """Accepted messages: record time, keys as strings, original text."""
     rows = read_archive(ctx).where(F.col(names.OUTCOME) == names.ACCEPTED)
-    return rows.drop(names.OUTCOME, *names.POSITION)
+    return rows.drop(names.OUTCOME, names.VALUE, *names.POSITION)
 
 
 def read_rejects(ctx: IngestContext) -> DataFrame:

@@ -51,15 +51,30 @@ def read_json_if_present(spark: SparkSession, path: str) -> Any | None:
 
 
 def write_json(spark: SparkSession, path: str, document: Any) -> None:
-    """Replace one document; a reader never sees half of it."""
-    fs, target = _locate(spark, path)
+    """Replace one document in one step: a reader finds the old one or the new one."""
+    fs, _ = _locate(spark, path)
     _, draft = _locate(spark, path + ".draft")
     stream = fs.create(draft, True)
     try:
         stream.write(bytearray(json.dumps(document).encode("utf-8")))
     finally:
         stream.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(draft, target):
-        raise OSError(f"cannot replace {path}")
+    _replace(spark, path + ".draft", path)
+
+
+def _replace(spark: SparkSession, draft: str, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs, target = _locate(spark, path)
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    context.rename(hadoop.Path(draft), target, options)
+
+
+def largest_number(spark: SparkSession, path: str) -> int:
+    """The largest of the file names below ``path`` that are numbers, or -1."""
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return -1
+    found = [status.getPath().getName() for status in fs.listStatus(target)]
+    return max((int(name) for name in found if name.isdigit()), default=-1)

@@ -32,13 +32,15 @@ MICROSECONDS = {
 def consumer_options(cluster: Mapping[str, Any], job: Mapping[str, Any]) -> dict[str, str]:
     """Topic, starting point, rate limit and group of the Kafka consumer."""
     # Option names of Spark's Kafka source.
-    return {
+    options = {
         "kafka.bootstrap.servers": cluster["bootstrap_servers"],
         "subscribe": job["kafka_topic_name"],
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(job["max_offsets_per_trigger"]),
         "kafka.group.id": cluster["consumer_group_id"],
     }
+    if job.get("max_offsets_per_trigger") is not None:
+        options["maxOffsetsPerTrigger"] = str(job["max_offsets_per_trigger"])
+    return options
 
 
 def credential_options(cluster: Mapping[str, Any]) -> dict[str, str]:
@@ -67,11 +69,13 @@ def credential_options(cluster: Mapping[str, Any]) -> dict[str, str]:
 RECORDS_PER_TASK = 1_000_000
 
 
-def kafka_options(cluster: Mapping[str, Any], job: Mapping[str, Any]) -> dict[str, str]:
+def kafka_options(
+    cluster: Mapping[str, Any], job: Mapping[str, Any], records_per_task: int = RECORDS_PER_TASK
+) -> dict[str, str]:
     return {
         **consumer_options(cluster, job),
         **credential_options(cluster),
-        "maxRecordsPerPartition": str(RECORDS_PER_TASK),
+        "maxRecordsPerPartition": str(records_per_task),
     }
 
 
@@ -79,10 +83,16 @@ def kafka_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def file_stream(spark: SparkSession, path: str, files_per_trigger: int | None) -> DataFrame:
-    """Stream of record files, read from the earliest on the first run."""
-    # By default files a week older than the newest one seen would be skipped.
-    reader = spark.readStream.schema(RECORD_SCHEMA).option("maxFileAge", "36500d")
+def file_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None, file_age: str = "36500d"
+) -> DataFrame:
+    """Stream of record files, read from the earliest on the first run.
+
+    Files older than the newest one seen by more than ``file_age`` are forgotten, and
+    skipped if they were never read; by default that is never, and the driver
+    remembers every file. A topic whose files arrive in order of time can do with less.
+    """
+    reader = spark.readStream.schema(RECORD_SCHEMA).option("maxFileAge", file_age)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)

@@ -1,32 +1,37 @@
 """The two streaming stages of a topic.
 
 ``start_landing``: records are parsed once, sorted into outcomes and appended to
-the raw archive, partitioned by outcome. ``start_formatting``: accepted messages of
-the archive go through the topic's transform into the formatted table.
+the raw archive, text and parsed message side by side, partitioned by outcome.
+``start_formatting``: parsed messages of the archive go through the topic's transform
+into the formatted table; the text is not read again.
 
-Both are chains of narrow projections into an exactly-once file sink: no shuffle,
-no state, no Python per row, and no watermark, which would drop old records when a
-topic is first read from its beginning.
+Both are chains of narrow projections into an exactly-once file sink: no shuffle, no
+sort, no state, no Python per row, and no watermark, which would drop old records when
+a topic is first read from its beginning.
 """
 
 from __future__ import annotations
 
 from functools import partial
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from rillstone.context import IngestContext
-from rillstone.functions import names
+from rillstone.functions import names, schemas
+from rillstone.functions.keys import lift
 from rillstone.operators.parse import reduce_records, structured
 from rillstone.operators.quality import classify
 from rillstone.plans import tables
 from rillstone.sources import records
 
-
-# Input of one formatting batch: a long backlog is worked off in restartable pieces.
-FORMATTING_BATCH_BYTES = 2**40
+# Files that a task writes side by side. With fewer partitions than that, the file
+# writer does not sort its rows by partition first: there are at most so many outcomes,
+# and one run number.
+OPEN_FILES = 8
+_starting = Lock()
 
 
 def ship_hook_code(ctx: IngestContext) -> None:
@@ -40,39 +45,47 @@ def ship_hook_code(ctx: IngestContext) -> None:
 def open_records(ctx: IngestContext) -> DataFrame:
     """The topic's record stream, limited per batch as configured."""
     if ctx.record_path is None:
-        return records.kafka_stream(ctx.spark, records.kafka_options(ctx.cluster, ctx.job))
-    return records.file_stream(ctx.spark, ctx.record_path, ctx.rate_limit)
+        options = records.kafka_options(ctx.cluster, ctx.job, ctx.records_per_task)
+        return records.kafka_stream(ctx.spark, options)
+    return records.file_stream(ctx.spark, ctx.record_path, ctx.file_limit, ctx.record_file_age)
 
 
 def landing_rows(ctx: IngestContext, record_rows: DataFrame) -> DataFrame:
     """Raw archive rows of Kafka-shaped records."""
     texts = reduce_records(record_rows)
     if ctx.dead_letters:
-        parsed = classify(texts, ctx.source_schema, ctx.keys)
+        # what another transform makes of a message is not known here
+        target = ctx.target_schema if ctx.default_transform else None
+        parsed = classify(texts, ctx.source_schema, ctx.keys, target)
     else:
         parsed = structured(texts, ctx.source_schema, ctx.keys).withColumn(
             names.OUTCOME, F.lit(names.ACCEPTED)
         )
-    return tables.conform(parsed.drop(names.VALUE), tables.raw_schema(ctx))
+    good = F.when(F.col(names.OUTCOME) == names.ACCEPTED, F.col(names.VALUE))
+    return tables.conform(parsed.withColumn(names.VALUE, good), tables.raw_schema(ctx))
 
 
 def formatted_rows(ctx: IngestContext, archive: DataFrame) -> DataFrame:
-    """Accepted archive rows, parsed and transformed."""
-    texts = archive.where(F.col(names.OUTCOME) == names.ACCEPTED).select(
-        names.TIMESTAMP, F.col(names.VALUE_RAW).alias(names.VALUE), *names.POSITION
+    """Accepted archive rows, transformed."""
+    kept = archive.where(F.col(names.OUTCOME) == names.ACCEPTED)
+    held = archive.schema[names.VALUE].dataType
+    value = schemas.shaped(F.col(names.VALUE), held, ctx.source_schema).alias(names.VALUE)
+    rows = kept.select(names.TIMESTAMP, value, names.VALUE_RAW, *names.POSITION)
+    rows = rows.select(
+        names.TIMESTAMP, names.VALUE, names.VALUE_RAW, *lift(ctx.keys), *names.POSITION
     )
-    return ctx.hooks.transform(ctx, structured(texts, ctx.source_schema, ctx.keys))
+    return ctx.hooks.transform(ctx, rows)
 
 
 def start_landing(ctx: IngestContext) -> StreamingQuery:
     rows = landing_rows(ctx, open_records(ctx))
     sink = _sink(ctx, rows, "landing").partitionBy(names.OUTCOME)
-    return sink.outputMode("append").start(ctx.raw_path)
+    return _start(ctx, sink.outputMode("append"), ctx.raw_path)
 
 
 def start_formatting(ctx: IngestContext) -> StreamingQuery:
     reader = ctx.spark.readStream.format(ctx.table_format).option(
-        "maxBytesPerTrigger", FORMATTING_BATCH_BYTES
+        "maxBytesPerTrigger", ctx.formatting_batch_bytes
     )
     if ctx.table_format == "parquet":
         reader = reader.schema(tables.raw_schema(ctx))
@@ -81,9 +94,27 @@ def start_formatting(ctx: IngestContext) -> StreamingQuery:
         sink = _sink(ctx, rows, "formatting").outputMode("update")
         return sink.foreachBatch(partial(ctx.hooks.write, ctx)).start()
     numbered = rows.withColumn(names.RUN_ID, F.lit(tables.open_run(ctx)))
-    shaped = tables.conform(numbered, tables.formatted_schema(ctx, ctx.target_schema))
+    shaped = tables.conform(numbered, tables.stored_schema(ctx))
     sink = _sink(ctx, shaped, "formatting").partitionBy(names.RUN_ID)
-    return sink.outputMode("append").start(ctx.table_path)
+    return _start(ctx, sink.outputMode("append"), ctx.table_path)
+
+
+def _start(ctx: IngestContext, sink: DataStreamWriter, path: str) -> StreamingQuery:
+    """Start a query whose tasks keep a file open for each partition.
+
+    A query takes a copy of the session's settings when it starts.
+    """
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    with _starting:
+        before = ctx.spark.conf.get(setting, None)
+        ctx.spark.conf.set(setting, OPEN_FILES)
+        try:
+            return sink.start(path)
+        finally:
+            if before is None:
+                ctx.spark.conf.unset(setting)
+            else:
+                ctx.spark.conf.set(setting, before)
 
 
 def _sink(ctx: IngestContext, rows: DataFrame, stage: str) -> DataStreamWriter:
