@@ -15,6 +15,7 @@ Training happens on a sample of labelled rows bounded by ``MOST_ROWS`` and
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -309,26 +310,23 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = MOST_ROWS) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Labelled texts, labels, and rows that each stands for: a bounded, hashed sample.
+def sample(docs: DataFrame, labels: DataFrame, rows: int = MOST_ROWS) -> DataFrame:
+    """``text``, ``toxic`` and ``share``, the rows that each stands for: a bounded, hashed sample.
 
     Of each class the ``rows`` documents with the smallest hashes of their ids, so long as
     their texts have ``MOST_BYTES`` together. A document with both labels is toxic.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where("toxic in (0, 1)")
-    total = dict(known.groupBy("toxic").count().collect())
+    total = known.groupBy("toxic").agg(F.count("*").alias("total"))
     order = F.xxhash64("doc_id")
     clean, bad = (known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(rows) for c in (0, 1))
-    some = clean.union(bad)
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    joined = text.join(F.broadcast(some), "doc_id")  # two times ``rows`` ids at most
+    joined = text.join(F.broadcast(clean.union(bad)), "doc_id")  # two times ``rows`` ids at most
     so_far = F.sum(F.octet_length("text")).over(Window.orderBy(order, "text"))
     found = joined.withColumn("so_far", so_far).where(F.col("so_far") <= MOST_BYTES)
-    got = found.select("text", "toxic").toArrow().to_pydict()
-    toxic = np.array(got["toxic"], dtype=bool)
-    share = np.where(toxic, total.get(1, 0) / max(1, toxic.sum()), total.get(0, 0) / max(1, (~toxic).sum()))
-    return got["text"], toxic, share
+    taken = F.count("*").over(Window.partitionBy("toxic"))
+    return found.join(total, "toxic").select("text", "toxic", (F.col("total") / taken).alias("share"))
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -376,10 +374,22 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
 
 
 def model_of(docs: DataFrame, labels: DataFrame, held_out: int | None = 0) -> Model:
-    """A model of the labelled documents whose CRC-32 remainder by 5 is not ``held_out``."""
+    """A model of the labelled documents whose CRC-32 remainder by 5 is not ``held_out``.
+
+    One task trains on the bounded sample; the driver sees the model only.
+    """
     if held_out is not None:
         labels = labels.where(remainder("doc_id", 5) != held_out)
-    return train(*sample(docs, labels))
+
+    def fit(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches_ for row in batch.to_pylist()]
+        rows.sort(key=lambda r: (r["text"], r["toxic"]))
+        toxic = np.array([r["toxic"] == 1 for r in rows], dtype=bool)
+        model = train([r["text"] for r in rows], toxic, np.array([r["share"] for r in rows]))
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    row = sample(docs, labels).coalesce(1).mapInArrow(fit, "model binary").first()
+    return pickle.loads(row.model) if row else Model()
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

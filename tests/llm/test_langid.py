@@ -20,7 +20,7 @@ def test_held_out_accuracy(spark):
 @pytest.fixture(scope="module")
 def model(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    return langid.train(*langid.sample(docs))
+    return langid.model_of(docs)
 
 
 def test_features_of_a_word():
@@ -49,11 +49,11 @@ def test_odd_rows(spark, model, odd_docs, no_docs):
 
 
 def test_nothing_learned(spark, odd_docs, no_docs):
-    model = langid.train(*langid.sample(no_docs))
+    model = langid.model_of(no_docs)
     assert {r.lang_pred for r in langid.identify(odd_docs, model).collect()} == {"und"}
 
 
 def test_sample_takes_as_many_of_each_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    _, languages = langid.sample(docs, rows=20)
+    languages = [r.lang for r in langid.sample(docs, rows=20).collect()]
     assert sorted(languages.count(x) for x in set(languages)) == [20] * 4

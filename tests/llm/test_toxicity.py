@@ -87,5 +87,8 @@ def test_without_both_labels(spark, odd_docs):
 
 def test_sample_is_bounded(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
-    texts, toxic, share = toxicity.sample(docs, labels, rows=40)
-    assert toxic.sum() <= 40 and (~toxic).sum() <= 40 and len(texts) == len(share)
+    rows = toxicity.sample(docs, labels, rows=40).collect()
+    by = {t: [r for r in rows if r.toxic == t] for t in (0, 1)}
+    assert 20 <= len(by[1]) <= 40 and 20 <= len(by[0]) <= 40
+    total = dict(labels.groupBy("toxic").count().collect())
+    assert all(r.share * len(by[r.toxic]) == pytest.approx(total[r.toxic]) for r in rows)
