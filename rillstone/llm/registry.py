@@ -28,7 +28,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_license_scan": ORACLE_OP1,
-    "op2_toxicity": op2_toxicity,
     "op3_embeddings": ORACLE_OP3,
     "op6_line_dedup": ORACLE_OP6,
 }
