@@ -30,6 +30,27 @@ ORACLES: dict[str, str] = {
     "tombstones": """
         SELECT CASE WHEN event_id % 50 = 0 THEN 'null_value' ELSE 'accepted' END AS outcome,
                count(*) AS n FROM events GROUP BY 1""",
+    "missing_key_rejects": (
+        "SELECT event_id, 'missing_key' AS reason FROM events WHERE event_id % 11 = 0"
+    ),
+    "cast_rejects": """
+        SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN user_id END AS v,
+               CASE WHEN event_id % 13 = 0 THEN 'not_castable' ELSE 'accepted' END AS outcome
+        FROM events""",
+    "nested_target_reorder": "SELECT event_id, user_id AS a, event_id AS b FROM events",
+    "nested_target_subset": """
+        SELECT event_id, event_type AS b, 2 AS parts, user_id AS a, CAST(NULL AS VARCHAR) AS c
+        FROM events""",
+    "key_change_refill": """
+        SELECT user_id, event_id, event_type FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "catalog_tables": """
+        WITH named AS (SELECT unnest(['demo_events', 'demo_events_latest', 'demo_events_src']) AS name)
+        SELECT 'before ' || name AS part, event_id, user_id, CAST(NULL AS VARCHAR) AS props
+        FROM events, named WHERE event_id % 2 = 0
+        UNION ALL
+        SELECT 'after ' || name, event_id, user_id, CASE WHEN event_id % 2 = 1 THEN props END
+        FROM events, named""",
     "required_fields": (
         "SELECT event_id, 'missing_required' AS reason FROM events WHERE event_id % 11 = 0"
     ),
@@ -48,15 +69,16 @@ ORACLES: dict[str, str] = {
                CASE WHEN lead(ts) OVER w IS NULL THEN 'Y' ELSE 'N' END AS current
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
     "lineitem_latest": """
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag,
-               l_shipdate AS timestamp
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+               l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, l_shipdate AS timestamp
         FROM lineitem
         QUALIFY row_number() OVER (
             PARTITION BY l_returnflag
             ORDER BY l_shipdate DESC, l_orderkey DESC, l_partkey DESC, l_suppkey DESC,
                      l_linenumber DESC) = 1""",
     "lineitem_history": """
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag,
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+               l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate,
                l_shipdate AS timestamp, lead(l_shipdate) OVER w AS valid_to,
                CASE WHEN lead(l_shipdate) OVER w IS NULL THEN 'Y' ELSE 'N' END AS current
         FROM lineitem WINDOW w AS (
@@ -72,6 +94,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'event_type', 'removed', 'string', NULL, count(event_type) FROM events
         UNION ALL SELECT 'meta.note', 'added', NULL, 'string',
                          count(CASE WHEN event_id % 3 = 0 THEN props END) FROM events
+        UNION ALL SELECT 'parts.element.kind', 'added', NULL, 'string',
+                         count(CASE WHEN event_id % 5 = 0 THEN event_type END) FROM events
         UNION ALL SELECT 'value', 'added', NULL, 'double', 0""",
     "schema_evolve_add_column": """
         SELECT event_id, user_id, CASE WHEN event_id % 2 = 0 THEN NULL ELSE props END AS props
@@ -86,20 +110,31 @@ ORACLES: dict[str, str] = {
         SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum
         FROM events GROUP BY event_type""",
     "write_hook": "SELECT event_id, user_id, value FROM events WHERE event_type = 'error'",
-    "stream_drain": "SELECT event_id, user_id, event_type FROM events",
-    "stream_restart": "SELECT event_id, user_id, ts AS timestamp FROM events",
+    "stream_drain": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "stream_restart": (
+        "SELECT event_id, ts, user_id, event_type, value, props, ts AS timestamp FROM events"
+    ),
+    "timeout_resume": (
+        "SELECT event_id, ts, user_id, event_type, value, props, ts AS timestamp FROM events"
+    ),
     "stream_latest": """
         SELECT user_id, event_id, ts, 'Y' AS current FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_rejects": """
-        SELECT ts AS timestamp, '{"event_id":' || event_id AS value_raw, 'malformed' AS reason
+        SELECT ts AS timestamp,
+               '{"event_id":' || event_id || ',"user_id":' || user_id ||
+               ',"event_type":"' || event_type || '"' AS value_raw,
+               'malformed' AS reason
         FROM events WHERE event_id % 97 = 0""",
     "stream_raw_archive": """
         SELECT o_orderdate AS timestamp, CAST(o_custkey AS VARCHAR) AS o_custkey,
                CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_totalprice FROM orders""",
-    "rate_limited_batches": (
-        "SELECT CAST(4 AS BIGINT) AS batches, count(*) AS n FROM events"
-    ),
+    "rate_limited_batches": """
+        SELECT n, count(*) AS batches
+        FROM (SELECT count(*) AS n FROM events GROUP BY event_id % 4) GROUP BY n""",
+    "progress_many_batches": """
+        SELECT n, count(*) AS batches
+        FROM (SELECT count(*) AS n FROM events GROUP BY event_id % 104) GROUP BY n""",
     "multi_topic_counts": """
         SELECT 'events' AS topic, count(*) AS n FROM events
         UNION ALL SELECT 'orders', count(*) FROM orders

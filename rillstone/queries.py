@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from contextlib import suppress
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +23,7 @@ from rillstone.plans import tables
 from rillstone.plans.ingest import run_ingest, run_topics
 from rillstone.sources import documents
 from rillstone.sources.records import envelope
+from rillstone.streaming.drain import DrainTimeout
 from rillstone.streaming.stages import formatted_rows, landing_rows
 from rillstone.workspace import new_folder
 
@@ -98,7 +102,9 @@ def topic_files(spark: SparkSession, sf_dir: str, table: str) -> int:
 
 
 def write_records(records: DataFrame, path: str, files: int) -> None:
-    records.repartition(files, "offset").write.mode("append").parquet(path)
+    """Record files, dealt by offset."""
+    dealt = records.repartitionById(files, F.pmod("offset", F.lit(files)).cast("int"))
+    dealt.write.mode("append").parquet(path)
 
 
 def topic_context(
@@ -109,7 +115,9 @@ def topic_context(
     primary_keys: str,
     *,
     target: T.StructType | None = None,
-    rate_limit: int | None = None,
+    file_limit: int | None = None,
+    timeout: float | None = None,
+    database: str = "demo",
     hooks: Hooks | None = None,
     **options: Any,
 ) -> IngestContext:
@@ -122,8 +130,9 @@ def topic_context(
     if target is not None:
         documents.write_json(spark, f"{home}/target_schema.json", target.jsonValue())
     job = {"env": "dev", "source": "demo", "topic_name": topic, "kafka_topic_name": topic}
-    if rate_limit is not None:
-        job["max_offsets_per_trigger"] = rate_limit
+    if file_limit is not None:
+        job["max_files_per_trigger"] = file_limit
+    options = {"register_tables": False, **options}
     return load_context(
         spark,
         job,
@@ -131,12 +140,12 @@ def topic_context(
             "s3_config_prefix": f"{folder}/conf",
             "formatted_checkpoint_prefix": f"{folder}/checkpoints",
             "formatted_table_prefix": f"{folder}/tables",
-            "formatted_table_catalog": "demo",
+            "formatted_table_catalog": database,
+            "query_poll_timeout_seconds": timeout,
         },
         {"resource_name_prefix": "demo"},
         {("demo", topic): hooks} if hooks else {},
         record_path=f"{folder}/records/{topic}",
-        register_tables=False,
         **options,
     )
 
@@ -288,6 +297,15 @@ def tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_out.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
+@query
+def missing_key_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without their user, who is the key."""
+    user = F.when(F.col("event_id") % 11 != 0, F.col("user_id")).alias("user_id")
+    schema = struct(event_id=LONG, user_id=LONG)
+    found = rejects(classify(event_texts(spark, sf_dir, ["event_id", user]), schema, USER_KEY))
+    return found.select(F.col("record_offset").alias("event_id"), "reason")
+
+
 @query
 def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.when(F.col("event_id") % 11 != 0, F.col("user_id")).alias("user_id")
@@ -359,7 +377,17 @@ def history_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 ITEM_KEY = split_keys("l_returnflag")
 ITEM_TIE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 ITEM = struct(
-    l_orderkey=LONG, l_partkey=LONG, l_suppkey=LONG, l_linenumber=INT, l_returnflag=TEXT
+    l_orderkey=LONG,
+    l_partkey=LONG,
+    l_suppkey=LONG,
+    l_linenumber=INT,
+    l_quantity=DOUBLE,
+    l_extendedprice=DOUBLE,
+    l_discount=DOUBLE,
+    l_tax=DOUBLE,
+    l_returnflag=TEXT,
+    l_linestatus=TEXT,
+    l_shipdate=TIME,
 )
 
 
@@ -390,7 +418,6 @@ def lineitem_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         key_names(ITEM_KEY),
         tie=ITEM_TIE,
         hot_rows=1000,
-        slice_seconds=30 * 86400,
     )
     return versions.select(*ITEM.names, naive("timestamp"), naive("valid_to"), "current")
 
@@ -427,9 +454,22 @@ def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("user_id", F.when(F.col("event_id") % 3 == 0, F.col("props")).alias("note")).alias(
             "meta"
         ),
+        F.array(
+            F.struct("user_id", F.lit(None).cast("string").alias("kind")),
+            F.struct("user_id", F.when(F.col("event_id") % 5 == 0, F.col("event_type")).alias("kind")),
+        ).alias("parts"),
     ]
-    old = struct(event_id=LONG, user_id=TEXT, event_type=TEXT, meta=struct(user_id=LONG))
-    new = struct(event_id=LONG, user_id=LONG, meta=struct(user_id=LONG, note=TEXT), value=DOUBLE)
+    part = struct(user_id=LONG)
+    old = struct(
+        event_id=LONG, user_id=TEXT, event_type=TEXT, meta=part, parts=T.ArrayType(part)
+    )
+    new = struct(
+        event_id=LONG,
+        user_id=LONG,
+        meta=struct(user_id=LONG, note=TEXT),
+        parts=T.ArrayType(struct(user_id=LONG, kind=TEXT)),
+        value=DOUBLE,
+    )
     return drift_report(event_texts(spark, sf_dir, payload), old, new)
 
 
@@ -463,6 +503,105 @@ def target_schema_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*kept).withColumn("timestamp", naive("timestamp"))
 
 
+def nested_target(
+    spark: SparkSession, sf_dir: str, payload: list[Column | str], source: T.StructType, target: T.StructType
+) -> DataFrame:
+    """Events with a payload of their own, through a whole run into another shape."""
+    ctx = event_context(spark, new_folder(spark, "nested"), schema=source, target=target)
+    records = event_records(read(spark, sf_dir, "events"), payload)
+    write_records(records, ctx.record_path, topic_files(spark, sf_dir, "events"))
+    run_ingest(ctx)
+    return tables.read_formatted(ctx)
+
+
+@query
+def nested_target_reorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of a struct declared in another order: they meet by name."""
+    payload = ["event_id", F.struct(F.col("user_id").alias("a"), F.col("event_id").alias("b")).alias("m")]
+    source = struct(event_id=LONG, m=struct(a=LONG, b=LONG))
+    target = struct(event_id=LONG, m=struct(b=LONG, a=LONG))
+    rows = nested_target(spark, sf_dir, payload, source, target)
+    return rows.select("event_id", F.col("m.a").alias("a"), F.col("m.b").alias("b"))
+
+
+@query
+def nested_target_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fewer fields within a struct and within the elements of an array, one of them new."""
+    pair = F.struct(F.col("user_id").alias("a"), F.col("event_type").alias("b"))
+    payload = ["event_id", pair.alias("m"), F.array(pair, pair).alias("s")]
+    inner = struct(a=LONG, b=TEXT)
+    source = struct(event_id=LONG, m=inner, s=T.ArrayType(inner))
+    target = struct(event_id=LONG, m=struct(b=TEXT), s=T.ArrayType(struct(a=LONG, c=TEXT)))
+    rows = nested_target(spark, sf_dir, payload, source, target)
+    return rows.select(
+        "event_id",
+        F.col("m.b").alias("b"),
+        F.size("s").alias("parts"),
+        F.element_at("s", 2).getField("a").alias("a"),
+        F.element_at("s", 1).getField("c").alias("c"),
+    )
+
+
+@query
+def key_change_refill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even events under a key of the table, then all under one that only messages carry."""
+    folder = new_folder(spark, "rekeyed")
+    events = read(spark, sf_dir, "events")
+    target = struct(event_id=LONG, event_type=TEXT)
+    for rest, key in enumerate(("event_id", "user_id")):
+        ctx = event_context(spark, folder, primary_keys=key, target=target, refill=True)
+        part = event_records(events.where(F.col("event_id") % 2 == rest))
+        write_records(part, ctx.record_path, topic_files(spark, sf_dir, "events"))
+        run_ingest(ctx)
+    return tables.read_latest(ctx).select("user_id", "event_id", "event_type")
+
+
+@query
+def cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text in the messages is a number in the table; some texts are none."""
+    text = F.when(F.col("event_id") % 13 == 0, F.lit("n/a")).otherwise(F.col("user_id").cast("string"))
+    ctx = event_context(
+        spark,
+        new_folder(spark, "cast"),
+        schema=struct(event_id=LONG, v=TEXT),
+        target=struct(event_id=LONG, v=LONG),
+    )
+    records = event_records(read(spark, sf_dir, "events"), ["event_id", text.alias("v")])
+    write_records(records, ctx.record_path, topic_files(spark, sf_dir, "events"))
+    run_ingest(ctx)
+    good = tables.read_formatted(ctx).select("event_id", "v", F.lit("accepted").alias("outcome"))
+    event_id = F.get_json_object("value_raw", "$.event_id").cast("long").alias("event_id")
+    bad = tables.read_rejects(ctx).select(event_id, F.lit(None).cast("long").alias("v"), "reason")
+    return good.union(bad)
+
+
+@query
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered tables by name, before and after a column is added."""
+    folder = new_folder(spark, "catalog")
+    database = f"catalog_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/db'")
+    events = read(spark, sf_dir, "events")
+    parts = []
+    declared = (struct(event_id=LONG, user_id=LONG), struct(event_id=LONG, user_id=LONG, props=TEXT))
+    for rest, schema in enumerate(declared):
+        ctx = event_context(spark, folder, schema=schema, database=database, register_tables=True)
+        part = event_records(events.where(F.col("event_id") % 2 == rest), schema.names)
+        write_records(part, ctx.record_path, topic_files(spark, sf_dir, "events"))
+        run_ingest(ctx)
+        props = "props" if rest else "CAST(NULL AS STRING) AS props"
+        raw = "CAST(event_id AS BIGINT) AS event_id, CAST(get_json_object(value_raw, '$.user_id') AS BIGINT) AS user_id"
+        for name, columns in (
+            (ctx.table_name, f"event_id, user_id, {props}"),
+            (ctx.latest_table_name, f"event_id, user_id, {props}"),
+            (ctx.raw_table_name, f"{raw}, get_json_object(value_raw, '$.props') AS props"),
+        ):
+            label = f"{'after' if rest else 'before'} {name.removeprefix(database + '.')}"
+            rows = spark.sql(f"SELECT '{label}' AS part, {columns} FROM {name}")
+            parts.append(stored(spark, rows, "seen").drop("batch_id"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Declarations used by the two queries below.
 AVRO_EVENT = {
     "type": "record",
@@ -514,16 +653,16 @@ def avro_declared_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four batches by range of ids, each written twice."""
     folder = new_folder(spark, "replay")
-    events = read(spark, sf_dir, "events")
-    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    texts = event_texts(spark, sf_dir)
+    rows = stored(spark, flatten(accepted(classify(texts, EVENT, EVENT_KEY))), "accepted")
+    rows = rows.drop("batch_id")
+    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
     width = (high - low) // 4 + 1
     for batch_id in range(4):
         first = low + batch_id * width
-        part = events.where(F.col("event_id").between(first, first + width - 1))
-        texts = reduce_records(event_records(part))
-        rows = flatten(accepted(classify(texts, EVENT, EVENT_KEY)))
+        part = rows.where(F.col("event_id").between(first, first + width - 1))
         for _ in range(2):
-            tables.write_batch(rows, folder, batch_id)
+            tables.write_batch(part, folder, batch_id)
     batches = tables.read_batches(spark, folder, rows.schema)
     return batches.groupBy("event_type").agg(
         F.count("*").alias("n"), F.sum("event_id").alias("id_sum")
@@ -553,7 +692,7 @@ def stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = topic_files(spark, sf_dir, "events")
     write_records(event_records(read(spark, sf_dir, "events")), ctx.record_path, files)
     run_ingest(ctx)
-    return tables.read_formatted(ctx).select("event_id", "user_id", "event_type")
+    return tables.read_formatted(ctx).select(*EVENT_FIELDS)
 
 
 @query
@@ -567,7 +706,21 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_records(event_records(part), ctx.record_path, files)
         run_ingest(ctx)
     run_ingest(ctx)
-    return tables.read_formatted(ctx).select("event_id", "user_id", naive("timestamp"))
+    return tables.read_formatted(ctx).select(*EVENT_FIELDS, naive("timestamp"))
+
+
+@query
+def timeout_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is stopped for its time, and one that goes on: every event once."""
+    folder = new_folder(spark, "timeout")
+    hurried = event_context(spark, folder, file_limit=1, timeout=1.0)
+    files = topic_files(spark, sf_dir, "events")
+    write_records(event_records(read(spark, sf_dir, "events")), hurried.record_path, files)
+    with suppress(DrainTimeout):
+        run_ingest(hurried)
+    ctx = event_context(spark, folder, file_limit=1)
+    run_ingest(ctx)
+    return tables.read_formatted(ctx).select(*EVENT_FIELDS, naive("timestamp"))
 
 
 @query
@@ -588,7 +741,10 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broken messages leave the stream as dead letters with their text."""
     ctx = event_context(spark, new_folder(spark, "rejects"))
     tail = F.when(F.col("event_id") % 97 == 0, F.lit("")).otherwise(F.lit("}"))
-    message = F.concat(F.lit('{"event_id":'), F.col("event_id"), tail)
+    message = F.concat(
+        F.lit('{"event_id":'), "event_id", F.lit(',"user_id":'), "user_id",
+        F.lit(',"event_type":"'), "event_type", F.lit('"'), tail,
+    )
     files = topic_files(spark, sf_dir, "events")
     write_records(event_records(read(spark, sf_dir, "events"), message), ctx.record_path, files)
     run_ingest(ctx)
@@ -617,17 +773,24 @@ def stream_raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_sizes(spark: SparkSession, sf_dir: str, files: int) -> DataFrame:
+    """How many landing batches had so many rows, with one file in each."""
+    ctx = event_context(spark, new_folder(spark, "rate"), file_limit=1)
+    write_records(event_records(read(spark, sf_dir, "events")), ctx.record_path, files)
+    batches = run_ingest(ctx).progress().where(F.col("query").endswith(".landing"))
+    return batches.groupBy(F.col("input_rows").alias("n")).agg(F.count("*").alias("batches"))
+
+
 @query
 def rate_limited_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rate limit of a quarter of the files gives four batches."""
-    folder = new_folder(spark, "rate")
-    files = topic_files(spark, sf_dir, "events")
-    ctx = event_context(spark, folder, rate_limit=files // 4)
-    write_records(event_records(read(spark, sf_dir, "events")), ctx.record_path, files)
-    run = run_ingest(ctx)
-    batches = run.progress(spark).where(F.col("query").endswith(".landing"))
-    counted = tables.read_formatted(ctx).agg(F.count("*").alias("n"))
-    return counted.select(F.lit(batches.count()).cast("bigint").alias("batches"), "n")
+    """Four files, one in a batch."""
+    return batch_sizes(spark, sf_dir, 4)
+
+
+@query
+def progress_many_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More batches than Spark retains reports of."""
+    return batch_sizes(spark, sf_dir, 104)
 
 
 @query
