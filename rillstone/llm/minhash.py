@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.llm.graph import components
-from rillstone.llm.shared import Words, batches, cut, mix, runs, shingles, table
+from rillstone.llm.shared import LOWER, UPPER, Words, batches, cut, mix, runs, shingles, table
 
 #: Values in a sketch.
 K = 48
@@ -305,3 +305,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85) -> DataFr
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at a Jaccard index of 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: The same in SQL: all pairs that share a shingle, and what they reach.
+ORACLE_OP9 = f"""
+with recursive doc as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents),
+shingle as (
+  select distinct doc_id, unnest(case
+    when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from doc),
+size as (select doc_id, count(*) as n from shingle group by doc_id),
+pair as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from shingle a join shingle b using (s)
+  where a.doc_id <> b.doc_id group by all),
+link as (
+  select x, y from pair join size p on p.doc_id = x join size q on q.doc_id = y
+  where 100 * c >= 85 * (p.n + q.n - c)),
+reach(x, y) as (select doc_id, doc_id from doc union select reach.x, link.y from reach join link on reach.y = link.x),
+root as (select x, min(y) as component_id from reach group by x)
+select doc.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc.doc_id = component_id as kept
+from doc left join size using (doc_id) join root on x = doc.doc_id
+"""

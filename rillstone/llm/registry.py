@@ -9,7 +9,7 @@ from rillstone.llm.hpylm import op5_lm_scores
 from rillstone.llm.langid import op4_language
 from rillstone.llm.licenses import ORACLE_OP1, op1_license_scan
 from rillstone.llm.linededup import ORACLE_OP6, op6_line_dedup
-from rillstone.llm.minhash import op9_minhash
+from rillstone.llm.minhash import ORACLE_OP9, op9_minhash
 from rillstone.llm.sharding import op10_sharding
 from rillstone.llm.toxicity import op2_toxicity
 
@@ -30,4 +30,5 @@ ORACLES = {
     "op1_license_scan": ORACLE_OP1,
     "op3_embeddings": ORACLE_OP3,
     "op6_line_dedup": ORACLE_OP6,
+    "op9_minhash": ORACLE_OP9,
 }
