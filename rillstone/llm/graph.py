@@ -15,6 +15,10 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     )
 
 
+#: Edges that a task works on, about. What few tasks hold is shuffled by few tasks.
+EDGES = 100_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` for every node of the edges ``u``, ``v`` but the roots.
 
@@ -30,17 +34,17 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before = _state(edges)
     while before[0]:
+        tasks = -(-before[0] // EDGES)
+        edges = edges.coalesce(tasks)
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).coalesce(tasks)
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.union(least.where("m < u").select("u", F.col("m").alias("v"))).where("u > v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(least.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        edges = cut(small)
+        large = large.coalesce(tasks).union(least.where("m < u").select("u", F.col("m").alias("v")))
+        large = large.where("u > v").distinct().coalesce(tasks)
+        least = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
+        small = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.coalesce(tasks).union(least.select("u", F.col("m").alias("v")))
+        edges = cut(small.distinct().coalesce(tasks))
         after = _state(edges)
         if after == before:
             break
