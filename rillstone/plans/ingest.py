@@ -14,7 +14,12 @@ from rillstone.context import HookRegistry, IngestContext, load_context
 from rillstone.plans.tables import Provisioned, provision, publish_latest, register_latest
 from rillstone.sources import documents
 from rillstone.streaming.drain import DrainTimeout, Reports, drain
-from rillstone.streaming.stages import ship_hook_code, start_formatting, start_landing
+from rillstone.streaming.stages import (
+    files_side_by_side,
+    ship_hook_code,
+    start_formatting,
+    start_landing,
+)
 
 
 class Run(NamedTuple):
@@ -37,6 +42,11 @@ def run_ingest(ctx: IngestContext) -> Run:
     When landing takes too long, what has landed is formatted and published all the same
     before the timeout is raised: each run makes headway, however long the backlog.
     """
+    with files_side_by_side(ctx.spark):
+        return _run(ctx)
+
+
+def _run(ctx: IngestContext) -> Run:
     provisioned = provision(ctx)
     ship_hook_code(ctx)
     reports = Reports(ctx.spark, f"{ctx.progress_path}/{uuid.uuid4().hex}")

@@ -12,10 +12,12 @@ a topic is first read from its beginning.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import partial
 from threading import Lock
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -31,7 +33,7 @@ from rillstone.sources import records
 # writer does not sort its rows by partition first: there are at most so many outcomes,
 # and one run number.
 OPEN_FILES = 8
-_starting = Lock()
+_counting, _running, _before = Lock(), [], []
 
 
 def ship_hook_code(ctx: IngestContext) -> None:
@@ -80,7 +82,7 @@ def formatted_rows(ctx: IngestContext, archive: DataFrame) -> DataFrame:
 def start_landing(ctx: IngestContext) -> StreamingQuery:
     rows = landing_rows(ctx, open_records(ctx))
     sink = _sink(ctx, rows, "landing").partitionBy(names.OUTCOME)
-    return _start(ctx, sink.outputMode("append"), ctx.raw_path)
+    return sink.outputMode("append").start(ctx.raw_path)
 
 
 def start_formatting(ctx: IngestContext) -> StreamingQuery:
@@ -96,25 +98,33 @@ def start_formatting(ctx: IngestContext) -> StreamingQuery:
     numbered = rows.withColumn(names.RUN_ID, F.lit(tables.open_run(ctx)))
     shaped = tables.conform(numbered, tables.stored_schema(ctx))
     sink = _sink(ctx, shaped, "formatting").partitionBy(names.RUN_ID)
-    return _start(ctx, sink.outputMode("append"), ctx.table_path)
+    return sink.outputMode("append").start(ctx.table_path)
 
 
-def _start(ctx: IngestContext, sink: DataStreamWriter, path: str) -> StreamingQuery:
-    """Start a query whose tasks keep a file open for each partition.
+@contextmanager
+def files_side_by_side(spark: SparkSession) -> Iterator[None]:
+    """While in here, tasks of file sinks keep a file open for each partition.
 
-    A query takes a copy of the session's settings when it starts.
+    The sink reads the setting of the session at each batch; it is set back when the last
+    run that needs it ends.
     """
     setting = "spark.sql.maxConcurrentOutputFileWriters"
-    with _starting:
-        before = ctx.spark.conf.get(setting, None)
-        ctx.spark.conf.set(setting, OPEN_FILES)
-        try:
-            return sink.start(path)
-        finally:
-            if before is None:
-                ctx.spark.conf.unset(setting)
-            else:
-                ctx.spark.conf.set(setting, before)
+    with _counting:
+        if not _running:
+            _before.append(spark.conf.get(setting, None))
+            spark.conf.set(setting, OPEN_FILES)
+        _running.append(setting)
+    try:
+        yield
+    finally:
+        with _counting:
+            _running.pop()
+            if not _running:
+                before = _before.pop()
+                if before is None:
+                    spark.conf.unset(setting)
+                else:
+                    spark.conf.set(setting, before)
 
 
 def _sink(ctx: IngestContext, rows: DataFrame, stage: str) -> DataStreamWriter:
