@@ -62,8 +62,9 @@ class IngestContext:
     table_format: str = "parquet"
     # False makes one bad message fail the run instead of becoming a reject.
     dead_letters: bool = True
-    # New rows, as a share of the snapshot's bytes, that make a new snapshot worth it.
-    publish_share: float = 0.25
+    # New rows, as a share of the snapshot's bytes, that make a new snapshot worth it. None
+    # writes none: for topics of ever new keys, whose snapshot would be the table again.
+    publish_share: float | None = 0.25
     # False leaves the catalog alone and works on paths only.
     register_tables: bool = True
     # True formats the archive anew when a key is declared that the table does not hold.

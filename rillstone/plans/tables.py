@@ -413,7 +413,7 @@ def publish_latest(ctx: IngestContext) -> bool:
     snapshot stays for readers, the one before it goes.
     """
     run = open_run(ctx)
-    if not _has_rows(ctx, run):
+    if ctx.publish_share is None or not _has_rows(ctx, run):
         return False
     if _snapshot_usable(ctx):
         new = documents.size(ctx.spark, f"{ctx.table_path}/{names.RUN_ID}={run}")

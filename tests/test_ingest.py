@@ -377,6 +377,15 @@ def test_snapshot_waits_for_its_share_of_new_rows(spark, tmp_path):
     assert {row.id: row.n for row in tables.read_latest(ctx).collect()} == newest
 
 
+def test_snapshots_can_be_switched_off(spark, tmp_path):
+    ctx = context(spark, tmp_path, publish_share=None)
+    for number in range(3):
+        send(ctx, message(number % 2, f"n{number}"), offset=number, at=10 * number)
+        run_ingest(ctx)
+    assert tables.open_run(ctx) == 0
+    assert {row.id: row.n for row in tables.read_latest(ctx).collect()} == {0: "n2", 1: "n1"}
+
+
 def test_snapshot_by_other_keys_is_not_reused(spark, tmp_path):
     ctx = context(spark, tmp_path)
     send(ctx, message(1, "a"), message(1, "b"))
