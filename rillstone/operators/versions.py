@@ -63,14 +63,11 @@ def history(
     keys, tie = list(keys), list(tie)
     hot = _hot_keys(rows, keys, hot_rows)
     if hot.isEmpty():
-        found = _by_window(rows, keys, tie, time)
-    else:
-        crowded = _join_same(rows, hot, keys, "left_semi")
-        bounds = _written(_bounds(crowded, keys, time, slices), "bounds")
-        usual = _by_window(_join_same(rows, hot, keys, "left_anti"), keys, tie, time)
-        found = usual.unionByName(_by_instant(crowded, bounds, keys, tie, time))
-    ended = F.col(names.VALID_TO).isNotNull()
-    return found.withColumn(names.CURRENT, F.when(ended, F.lit("N")).otherwise(F.lit("Y")))
+        return _by_window(rows, keys, tie, time)
+    crowded = _join_same(rows, hot, keys, "left_semi")
+    bounds = _written(_bounds(crowded, keys, time, slices), "bounds")
+    usual = _by_window(_join_same(rows, hot, keys, "left_anti"), keys, tie, time)
+    return usual.unionByName(_by_instant(crowded, bounds, keys, tie, time))
 
 
 def _written(small: DataFrame, label: str) -> DataFrame:
@@ -90,8 +87,19 @@ def _by_window(rows: DataFrame, keys: list[str], tie: list[str], time: str) -> D
     """``valid_to`` by one window; rows at one position share that of the last of them."""
     in_order = Window.partitionBy(*keys).orderBy(time, *tie)
     at_position = in_order.rangeBetween(Window.currentRow, Window.currentRow)
-    following = rows.withColumn("__next", F.lead(time).over(in_order))
-    return following.withColumn(names.VALID_TO, F.last("__next").over(at_position)).drop("__next")
+    # within a struct, a next version without a time is not the same as none
+    following = rows.withColumn("__next", F.lead(F.struct(time)).over(in_order))
+    following = following.withColumn("__next", F.last("__next").over(at_position))
+    until = F.col("__next")[time].alias(names.VALID_TO)
+    return following.select(*_all(rows), until, _current(F.col("__next").isNull()))
+
+
+def _all(rows: DataFrame) -> list[Column]:
+    return [F.col(f"`{name}`") for name in rows.columns]
+
+
+def _current(newest: Column) -> Column:
+    return F.when(newest, F.lit("Y")).otherwise(F.lit("N")).alias(names.CURRENT)
 
 
 def _bounds(rows: DataFrame, keys: list[str], time: str, slices: int) -> DataFrame:
@@ -150,8 +158,10 @@ def _by_instant(
         .select(*keys, time, last, following)
     )
     matched = _join_same(rows, ends, [*keys, time], "left")
-    valid_to = F.when(order.eqNullSafe(F.col(last)), F.col(following)).otherwise(F.col(time))
-    return matched.withColumn(names.VALID_TO, valid_to).drop(last, following)
+    final = order.eqNullSafe(F.col(last))
+    valid_to = F.when(final, F.col(following)).otherwise(F.col(time))
+    newest = final & F.col(following).isNull()
+    return matched.select(*_all(rows), valid_to.alias(names.VALID_TO), _current(newest))
 
 
 def _join_same(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
