@@ -44,7 +44,7 @@ def history(
     tie: Sequence[str] = names.POSITION,
     time: str = names.TIMESTAMP,
     hot_rows: int = 1_000_000,
-    slices: int = STEPS * STEPS,
+    slices: int = STEPS * 8,
 ) -> DataFrame:
     """Every version with ``valid_to`` and ``current``.
 
@@ -65,7 +65,8 @@ def history(
     if hot.isEmpty():
         return _by_window(rows, keys, tie, time)
     crowded = _join_same(rows, hot, keys, "left_semi")
-    bounds = _written(_bounds(crowded, keys, time, slices), "bounds")
+    # a few slices for each measure of rows by which a key counts as hot
+    bounds = _written(_bounds(crowded, keys, time, slices, -(-hot_rows // 4)), "bounds")
     usual = _by_window(_join_same(rows, hot, keys, "left_anti"), keys, tie, time)
     return usual.unionByName(_by_instant(crowded, bounds, keys, tie, time))
 
@@ -102,21 +103,31 @@ def _current(newest: Column) -> Column:
     return F.when(newest, F.lit("Y")).otherwise(F.lit("N")).alias(names.CURRENT)
 
 
-def _bounds(rows: DataFrame, keys: list[str], time: str, slices: int) -> DataFrame:
-    """For each key, the times that cut its rows into slices of about equal counts."""
+def _bounds(
+    rows: DataFrame, keys: list[str], time: str, slices: int, slice_rows: int = 1
+) -> DataFrame:
+    """For each key, the times that cut its rows into slices of about equal counts.
+
+    At most ``slices``, and no more than give each ``slice_rows``. ``__steps`` has every
+    ``STEPS``-th cut.
+    """
     shares = [(i + 1) / slices for i in range(slices - 1)] or [0.5]
-    found = F.percentile_approx(time, shares, 10 * max(slices, 100))
-    cuts = F.array_sort(F.array_distinct(found)).alias("__cuts")
-    return rows.groupBy(*keys).agg(cuts)
+    found = F.percentile_approx(time, shares, 8 * max(slices, 100))
+    stride = F.greatest(F.lit(1), F.floor(F.lit(slices) * slice_rows / F.col("__rows")))
+    counted = rows.groupBy(*keys).agg(found.alias("__found"), F.count("*").alias("__rows"))
+    cuts = F.array_sort(F.array_distinct(_each("__found", stride)))
+    counted = counted.withColumn("__cuts", cuts)
+    return counted.select(*keys, "__cuts", _each("__cuts", F.lit(STEPS)).alias("__steps"))
+
+
+def _each(array: str, stride: Column) -> Column:
+    return F.filter(array, lambda _, i: F.pmod(i + 1, stride) == 0)
 
 
 def _slice_of(time: str) -> Column:
     """How many of the cuts a time has reached, by steps of ``STEPS`` and then single ones."""
     at = F.col(time)
-    coarse = F.filter(
-        "__cuts", lambda cut, i: (F.pmod(i + 1, F.lit(STEPS)) == 0) & (cut <= at)
-    )
-    begun = F.size(coarse) * STEPS
+    begun = F.size(F.filter("__steps", lambda cut: cut <= at)) * STEPS
     fine = F.filter(F.slice("__cuts", begun + 1, F.lit(STEPS)), lambda cut: cut <= at)
     return F.when(at.isNull() | F.col("__cuts").isNull(), 0).otherwise(begun + F.size(fine))
 
