@@ -48,6 +48,19 @@ def remainder(doc_id: str | Column, parts: int) -> Column:
     return F.when(F.col(doc_id).isNull() if isinstance(doc_id, str) else doc_id.isNull(), 0).otherwise(crc)
 
 
+def stretches(text: Column, key: Column, parts: int, size: int) -> Column:
+    """The text, or of one longer than ``parts * size`` characters a bounded share of it.
+
+    That is a stretch of ``size`` characters out of each of ``parts`` equal parts, at a place
+    that the hash of the key picks, in their order and parted by line feeds.
+    """
+    part = F.floor(F.length(text) / F.lit(parts))
+    room = F.greatest(part - F.lit(size) + 1, F.lit(1))
+    at = [F.lit(i) * part + F.pmod(F.xxhash64(key, F.lit(i)), room) + 1 for i in range(parts)]
+    pieces = [F.substring(text, a.cast("int"), F.lit(size)) for a in at]
+    return F.when(F.length(text) > parts * size, F.concat_ws("\n", *pieces)).otherwise(text)
+
+
 # -- vectorised words -----------------------------------------------------------------
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)

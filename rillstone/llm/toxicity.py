@@ -9,13 +9,14 @@ sums give each token's marginal probability; a document's score is a logistic fu
 of its expected number of toxic tokens, of its length and of its largest marginal,
 fitted on the labelled documents.
 
-Training happens on a sample of labelled rows bounded by ``MOST_ROWS`` and
-``MOST_BYTES``; scoring covers every document whole.
+Training happens on a sample of labelled documents bounded by ``MOST_ROWS`` and
+``MOST_BYTES`` of each class; scoring covers every document whole.
 """
 
 from __future__ import annotations
 
 import pickle
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rillstone.llm.shared import Words, batches, mix, remainder, shingles, span_hashes, table
+from rillstone.llm.shared import Words, batches, mix, remainder, shingles, span_hashes, stretches, table
 
-#: Labelled rows of each class, and bytes of text, that a model is trained on at most.
-MOST_ROWS, MOST_BYTES = 2_000, 8 << 20
+#: Labelled documents, and bytes of text, of each class that a model is trained on at most.
+MOST_ROWS, MOST_BYTES = 2_000, 12 << 20
+#: Stretches, and characters of each, that a longer text is trained on.
+PARTS, PART = 8, 8_192
 #: Tokens that the random field's gradient runs over at most, and its steps.
 MOST_TOKENS, STEPS = 500_000, 40
 #: Hashed weights of each kind.
@@ -314,17 +317,24 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = MOST_ROWS) -> DataFra
     """``text``, ``toxic`` and ``share``, the rows that each stands for: a bounded, hashed sample.
 
     Of each class the ``rows`` documents with the smallest hashes of their ids, so long as
-    their texts have ``MOST_BYTES`` together. A document with both labels is toxic.
+    the class's texts have ``MOST_BYTES`` together; no class takes from the other's. A text
+    of over ``PARTS * PART`` characters counts by stretches, so that none fills the sample.
+    A document with both labels is toxic; of rows that share an id one is taken.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where("toxic in (0, 1)")
     total = known.groupBy("toxic").agg(F.count("*").alias("total"))
     order = F.xxhash64("doc_id")
     clean, bad = (known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(rows) for c in (0, 1))
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    joined = text.join(F.broadcast(clean.union(bad)), "doc_id")  # two times ``rows`` ids at most
-    so_far = F.sum(F.octet_length("text")).over(Window.orderBy(order, "text"))
-    found = joined.withColumn("so_far", so_far).where(F.col("so_far") <= MOST_BYTES)
+    text = F.coalesce("text", F.lit(""))
+    part = stretches(text, F.col("doc_id"), PARTS, PART).alias("part")
+    joined = docs.select("doc_id", F.xxhash64(text).alias("of"), text.alias("text")).join(
+        F.broadcast(clean.union(bad)), "doc_id"
+    )  # two times ``rows`` ids at most
+    joined = joined.select("doc_id", "toxic", "of", part)
+    one = joined.groupBy("doc_id", "toxic").agg(F.min(F.struct("of", "part"))["part"].alias("text"))
+    so_far = F.sum(F.octet_length("text")).over(Window.partitionBy("toxic").orderBy(order, "doc_id"))
+    found = one.withColumn("so_far", so_far).where(F.col("so_far") <= MOST_BYTES)
     taken = F.count("*").over(Window.partitionBy("toxic"))
     return found.join(total, "toxic").select("text", "toxic", (F.col("total") / taken).alias("share"))
 
@@ -376,7 +386,8 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
 def model_of(docs: DataFrame, labels: DataFrame, held_out: int | None = 0) -> Model:
     """A model of the labelled documents whose CRC-32 remainder by 5 is not ``held_out``.
 
-    One task trains on the bounded sample; the driver sees the model only.
+    One task trains on the bounded sample; the driver sees the model only. Where documents
+    of both labels are known and nothing was learned from them, a warning says so.
     """
     if held_out is not None:
         labels = labels.where(remainder("doc_id", 5) != held_out)
@@ -389,7 +400,10 @@ def model_of(docs: DataFrame, labels: DataFrame, held_out: int | None = 0) -> Mo
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     row = sample(docs, labels).coalesce(1).mapInArrow(fit, "model binary").first()
-    return pickle.loads(row.model) if row else Model()
+    model = pickle.loads(row.model) if row else Model()
+    if not model.now.any() and labels.where("doc_id is not null and toxic in (0, 1)").select("toxic").distinct().count() == 2:
+        warnings.warn("no toxic words learned from labels of both classes: all scores are near 0", stacklevel=2)
+    return model
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

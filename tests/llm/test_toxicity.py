@@ -2,6 +2,7 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rillstone.llm import toxicity
 
@@ -92,3 +93,30 @@ def test_sample_is_bounded(spark):
     assert 20 <= len(by[1]) <= 40 and 20 <= len(by[0]) <= 40
     total = dict(labels.groupBy("toxic").count().collect())
     assert all(r.share * len(by[r.toxic]) == pytest.approx(total[r.toxic]) for r in rows)
+
+
+def test_a_rare_class_and_a_long_text_are_sampled(spark, monkeypatch):
+    """1 % toxic; the text that comes first in the sample's order has 10 MB; an id repeats."""
+    monkeypatch.setattr(toxicity, "MOST_BYTES", 1 << 20)
+    ids = spark.range(20_000).orderBy(F.xxhash64("id")).limit(2).collect()
+    first, second = (r.id for r in ids)
+    body = F.expr("concat('text ', id, repeat(' of some length', 150))")
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), body.alias("text"))
+    long_ = spark.range(1).select(F.lit(first).alias("doc_id"), F.expr("repeat('a long text ', 900000)").alias("text"))
+    copies = spark.range(500).select(F.lit(second).alias("doc_id"), F.expr("concat('copy ', id)").alias("text"))
+    docs = docs.where(~F.col("doc_id").isin(first, second)).union(long_).union(copies)
+    labels = spark.range(20_000).selectExpr("id as doc_id", "int(id % 100 = 7) as toxic")
+    rows = toxicity.sample(docs, labels).collect()
+    by = {t: [r.text for r in rows if r.toxic == t] for t in (0, 1)}
+    assert len(by[1]) == 200 and len(by[0]) >= 350
+    assert sum(t.startswith("copy") for t in by[0] + by[1]) == 1
+    part = [t for t in by[0] + by[1] if "a long text" in t]
+    assert [len(t) for t in part] == [toxicity.PARTS * (toxicity.PART + 1) - 1]
+    assert all(sum(map(len, x)) <= 1 << 20 for x in by.values())
+
+
+def test_nothing_learned_is_told(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    with pytest.warns(UserWarning, match="no toxic words learned"):
+        toxicity.model_of(docs, labels)
