@@ -21,10 +21,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rillstone.llm.shared import Words, batches, cut, mix, remainder, span_hashes, table
+from rillstone.llm.shared import Words, batches, cut, mix, remainder, span_hashes, stretches, table
 
 #: Documents of each language, and bytes of text, that a model is trained on at most.
 MOST_ROWS, MOST_BYTES = 1_000, 16 << 20
+#: Stretches, and characters of each, that a longer text is sampled by; there are as many snippets.
+PARTS, PART = 3, 1_024
 #: Sampled ids that are broadcast at most; more of them are joined by shuffling.
 MOST_SENT = 200_000
 #: Hashed features, their dimension, lengths of byte runs.
@@ -111,13 +113,16 @@ def train(texts: list[str], languages: list[str], seed: int = 11) -> Model:
     snippets, labels, aside = [], [], []
     for text, label in zip(texts, y):
         words = text.split()
-        for _ in range(3):
+        for _ in range(PARTS):
             at = int(rng.integers(0, max(1, len(words) - SNIPPET + 1)))
             size = int(rng.integers(3, SNIPPET + 1))
             snippets.append(" ".join(words[at : at + size]))
             labels.append(label)
-        aside += [rng.random() < 0.2] * 3
+        aside += [rng.random() < 0.2] * PARTS
     label, aside = np.array(labels), np.array(aside)
+    for k in range(len(known)):  # a language whose texts were all set aside would not be learned
+        if aside[label == k].all():
+            aside[label == k] = False
 
     words, form, ids, begins = features(snippets)
     embedding = rng.uniform(-1, 1, (BUCKETS, DIMENSION)) / DIMENSION
@@ -176,22 +181,29 @@ def _within(begins: np.ndarray, forms: np.ndarray) -> np.ndarray:
 def sample(docs: DataFrame, rows: int = MOST_ROWS) -> DataFrame:
     """``text`` and ``lang`` of labelled documents: a bounded, hashed sample.
 
-    Of each language the ``rows`` documents with the smallest hashes of their ids, so long
-    as all texts have ``MOST_BYTES`` together.
+    Of each language the ``rows`` documents with the smallest hashes of their ids. The
+    languages take turns: the first document of each, then the second of each, so long as
+    all texts have ``MOST_BYTES`` together; each language's first document is always taken.
+    A text of over ``PARTS * PART`` characters counts by stretches, so that none fills the
+    sample. Of rows that share an id and a language one is taken.
     """
     order = F.xxhash64("doc_id")
     named = docs.where("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang")
-    # a hash below this leaves three times the rows wanted of each language, however many it has
-    total = named.groupBy("lang").agg(F.count("*").alias("total"))
+    # a hash below this leaves three times the ids wanted of each language, however many it has
+    total = named.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("total"))
     share = (order / F.lit(2.0**63) + 1) / 2
-    near = named.join(total, "lang").where(share < 3.0 * rows / F.col("total")).drop("total")
+    # the counts are one row for each language; a join by shuffling would gather its ids in a task
+    near = named.join(F.broadcast(total), "lang").where(share < 3.0 * rows / F.col("total")).drop("total").distinct()
     place = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    ids = cut(near.withColumn("place", place).where(F.col("place") <= rows).select("doc_id", "lang").distinct())
+    ids = cut(near.withColumn("place", place).where(F.col("place") <= rows))
     few = ids.count() <= MOST_SENT
+    part = stretches(F.col("text"), F.col("doc_id"), PARTS, PART).alias("part")
     found = docs.select("doc_id", "lang", "text").where("text is not null")
     found = found.join(F.broadcast(ids) if few else ids, ["doc_id", "lang"])
-    so_far = F.sum(F.octet_length("text")).over(Window.orderBy(order, "lang", "text"))
-    return found.withColumn("so_far", so_far).where(F.col("so_far") <= MOST_BYTES).select("text", "lang")
+    found = found.select("doc_id", "lang", "place", F.xxhash64("text").alias("of"), part)
+    one = found.groupBy("lang", "place").agg(F.min(F.struct("of", "part"))["part"].alias("text"))
+    so_far = F.sum(F.octet_length("text")).over(Window.orderBy("place", F.xxhash64("lang"), "lang"))
+    return one.withColumn("so_far", so_far).where((F.col("so_far") <= MOST_BYTES) | (F.col("place") == 1)).select("text", "lang")
 
 
 def model_of(docs: DataFrame) -> Model:

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rillstone.llm import langid
 
@@ -57,3 +58,33 @@ def test_sample_takes_as_many_of_each_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     languages = [r.lang for r in langid.sample(docs, rows=20).collect()]
     assert sorted(languages.count(x) for x in set(languages)) == [20] * 4
+
+
+def test_rare_languages_and_a_long_text_are_sampled(spark, monkeypatch):
+    """Shares from 1/2 to 1/4096; the text that is first in the order is larger than the bound."""
+    monkeypatch.setattr(langid, "MOST_BYTES", 1 << 20)
+    n = 8192
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('l', least(12, int(log2(8192 / (id + 1))))) as lang", "concat('text ', id, repeat(' of some length', 150)) as text")
+    first = docs.orderBy(F.xxhash64("doc_id")).first().doc_id
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == first, F.expr("repeat('a long text ', 200000)")).otherwise(F.col("text")))
+    copied = docs.where("lang = 'l0'").limit(1).select("doc_id", "lang", F.explode(F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: F.concat(F.lit("copy "), i.cast("string")))).alias("text"))
+    held = dict(docs.groupBy("lang").count().collect())
+    assert min(held.values()) <= 2 and max(held.values()) == n // 2
+    rows = langid.sample(docs.union(copied)).collect()
+    got = {x: [r.text for r in rows if r.lang == x] for x in held}
+    fair = min(len(x) for lang, x in got.items() if len(x) < held[lang])
+    assert all(len(x) == held[lang] or len(x) in (fair, fair + 1) for lang, x in got.items()) and fair >= 50
+    assert sum(t.startswith("copy") for x in got.values() for t in x) <= 1
+    assert 0.98 * (1 << 20) <= sum(len(t) for x in got.values() for t in x) <= 1 << 20
+    assert max(len(t) for x in got.values() for t in x) == langid.PARTS * (langid.PART + 1) - 1
+
+
+def test_a_language_with_one_document_is_learned():
+    rng = np.random.default_rng(5)
+    say = lambda words, n: " ".join(rng.choice(words.split(), n))
+    one, other = "the thing that was here and there", "und der die das ist nicht ein"
+    texts = [*(say(one, 80) for _ in range(40)), say(other, 80)]
+    for seed in range(12):
+        model = langid.train(texts, ["en"] * 40 + ["de"], seed=seed)
+        logits, _ = langid._logits([say(one, 40), say(other, 40)], model)
+        assert logits.argmax(axis=1).tolist() == [1, 0]
