@@ -223,6 +223,20 @@ def _token_labels(all_ids: np.ndarray, words: Words, toxic: np.ndarray, weight:
     return out & toxic[text]
 
 
+def _chosen(length: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """The rows of tokens that the gradient runs over, ``MOST_TOKENS`` tokens at most.
+
+    Rows are picked by hash. Each class has half of the bound, and what the other leaves.
+    """
+    order = np.argsort(mix(np.arange(1, len(length) + 1)), kind="stable")
+    out = np.zeros(len(length), dtype=bool)
+    for of in (toxic, ~toxic):
+        most = max(MOST_TOKENS // 2, MOST_TOKENS - int(length[~of].sum()))
+        mine = order[of[order]]
+        out[mine[np.cumsum(length[mine]) <= most]] = True
+    return out
+
+
 def train(texts: list[str], toxic: np.ndarray, share: np.ndarray | None = None, steps: int = STEPS) -> Model:
     """A model of labelled texts; ``share`` has how many rows each text stands for.
 
@@ -236,16 +250,14 @@ def train(texts: list[str], toxic: np.ndarray, share: np.ndarray | None = None,
     ids, weight = token_ids(words), _weights(words)
     label = _token_labels(ids, words, toxic, weight)
 
-    # rows of up to 64 tokens; those of toxic texts first, then others up to the bound
+    # rows of up to 64 tokens
     text = words.text_of()
-    order = np.argsort(~toxic[text], kind="stable")[:MOST_TOKENS]
-    chosen = np.zeros(len(text), dtype=bool)
-    chosen[order] = True
     starts = np.flatnonzero((np.arange(len(text)) - words.first[:-1][text]) % 64 == 0)
-    starts = starts[chosen[starts]]
+    length = np.minimum(64, words.first[1:][text[starts]] - starts)
+    chosen = _chosen(length, toxic[text[starts]])
+    starts, length = starts[chosen], length[chosen]
     if not len(starts) or not label.any():
         return model
-    length = np.minimum(64, words.first[1:][text[starts]] - starts)
     at = np.minimum(starts[:, None] + np.arange(64), len(text) - 1)
     real = np.arange(64) < length[:, None]
     y = label[at] & real

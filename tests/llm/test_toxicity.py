@@ -120,3 +120,34 @@ def test_nothing_learned_is_told(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
     with pytest.warns(UserWarning, match="no toxic words learned"):
         toxicity.model_of(docs, labels)
+
+
+def test_both_classes_train_the_field_at_its_bound(spark, monkeypatch):
+    """The bound is below the toxic texts' tokens; accuracy is that on held-out documents."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    held = toxicity.remainder("doc_id", 5) == 0
+    rows = sorted(toxicity.sample(docs, labels.where(~held)).collect(), key=lambda r: (r.text, r.toxic))
+    toxic = np.array([r.toxic == 1 for r in rows])
+    tokens = sum(len(r.text.split()) for r in rows if r.toxic)
+    most = tokens // 2
+    monkeypatch.setattr(toxicity, "MOST_TOKENS", most)
+    seen, pairs = [], toxicity._pairs
+    monkeypatch.setattr(toxicity, "_pairs", lambda e, n, m: seen.append(int(n.sum())) or pairs(e, n, m))
+    monkeypatch.setattr(toxicity, "_chosen", lambda n, t, f=toxicity._chosen: seen.append([int(n[f(n, t) & (t == c)].sum()) for c in (0, 1)]) or f(n, t))
+    model = toxicity.train([r.text for r in rows], toxic, np.array([r.share for r in rows]))
+    assert all(0.99 * most / 2 <= n <= most / 2 for n in seen[0]) and set(seen[1:]) == {sum(seen[0])}
+    scored = toxicity.score(docs.where(held), model).join(labels, "doc_id").toPandas()
+    predicted = scored.score >= 0.5
+    print("held-out accuracy", (predicted == scored.toxic).mean(), "clean predicted toxic", predicted[scored.toxic == 0].mean(), "of", len(scored))
+    assert (predicted == scored.toxic).mean() >= 0.98 and predicted[scored.toxic == 0].mean() <= 0.005
+
+
+def test_rows_of_tokens_are_bounded(monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_TOKENS", 640)
+    length, toxic = np.full(40, 64), np.arange(40) < 20
+    both = toxicity._chosen(length, toxic)
+    assert both[:20].sum() == both[20:].sum() == 5
+    few = toxicity._chosen(length, np.arange(40) < 2)
+    assert few[:2].all() and few[2:].sum() == 8
+    # not the first ones only
+    assert both[10:20].any() and both[30:].any()
