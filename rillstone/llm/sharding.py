@@ -140,17 +140,12 @@ def write_shards(placed: DataFrame, path: str) -> None:
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of equal counts; a null text has 8 bytes and CRC 0."""
+    placed = shuffle_shards(table(spark, sf_dir, "documents"), 24)
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = table(spark, sf_dir, "documents").select(
+    return placed.select(
         "doc_id",
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
-    )
-    placed = shuffle_shards(rows, 24)
-    return placed.select(
-        "doc_id",
-        "size",
-        "text_crc32",
         F.lit("rows").alias("law"),
         "shard",
         "slot",

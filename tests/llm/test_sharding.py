@@ -90,3 +90,13 @@ def test_query(spark):
 def test_plan_is_native(spark):
     plan = sharding.op10_sharding(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_shards_whole_documents(spark, monkeypatch):
+    taken = []
+    shuffle = sharding.shuffle_shards
+    monkeypatch.setattr(sharding, "shuffle_shards", lambda rows, *a, **k: taken.append(rows) or shuffle(rows, *a, **k))
+    sf = "/root/testdata/sf0.001"
+    sharding.op10_sharding(spark, sf)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert taken[0].columns == docs.columns and taken[0].exceptAll(docs).isEmpty()
