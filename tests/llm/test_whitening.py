@@ -1,0 +1,111 @@
+import numpy as np
+import pytest
+
+from rillstone.llm import whitening
+
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def whole(rows):
+    return np.array([[int(np.floor(1024 * x)) + 100_000 for x in e] for e in rows], dtype=object)
+
+
+def check(out, rows, most=8):
+    """Against the eigenvectors of numpy, and exact deviations."""
+    x = whole([e for _, e in rows])
+    n, sums = len(x), x.sum(axis=0)
+    f = (x - np.array([s / n for s in sums])).astype(float)
+    values, vectors = np.linalg.eigh(f.T @ f / n)
+    values, vectors = values[::-1][:most], vectors[:, ::-1][:, :most]
+    got = {}
+    for r in out.collect():
+        got.setdefault((r.vec_id, r.component), []).append(r)
+    assert sum(map(len, got.values())) == n * len(values)
+    for c, (value, vector) in enumerate(zip(values, vectors.T), 1):
+        want = f @ vector / np.sqrt(value)
+        have = np.array([got[i, c][0].whitened for i, _ in rows])
+        assert np.abs(have - want * np.sign(have @ want)).max() < 1e-6
+    deviations = ((x * n - sums) ** 2).sum(axis=1).tolist()
+    for (i, _), exact in zip(rows, deviations):
+        for r in got[i, 1]:
+            assert r.n == n and r.deviation_exact == exact and r.deviation == (exact if exact < 1 << 63 else None)
+            assert abs(r.explained - values[0] / np.trace(f.T @ f / n)) < 1e-9 and 0 <= r.identity_error < 1e-9
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, e, 1) for i, e in rows], SCHEMA)
+
+
+@pytest.mark.parametrize("scale", [1, 1000])
+def test_against_numpy(spark, scale):
+    rng = np.random.default_rng(scale)
+    spread = rng.normal(0, 1, (10, 10)) * scale
+    rows = [(i, (rng.normal(0, 1, 10) @ spread + 3).tolist()) for i in range(200)]
+    rows += [(5, rows[5][1]), (None, rows[6][1])]  # a repeated row, and one without an id
+    check(whitening.whiten(frame(spark, rows).repartition(7)), rows)
+
+
+def test_deviations_beyond_a_long(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(0, 1, 4) * 1e5).tolist()) for i in range(3000)]
+    check(whitening.whiten(frame(spark, rows), 4), rows, 4)
+
+
+def test_as_many_components_as_there_are(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 1, 3).tolist()) for i in range(40)]
+    check(whitening.whiten(frame(spark, rows)), rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])], [(1, None), (2, [])]])
+def test_without_variance(spark, rows):
+    out = whitening.whiten(frame(spark, rows))
+    assert out.count() == 0 and out.columns[:7] == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+
+
+def test_components_without_variance_are_left_out(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x), 2.0 * float(x), 7.0]) for i, x in enumerate(rng.integers(-9, 9, 50))]
+    assert {r.component for r in whitening.whiten(frame(spark, rows)).collect()} == {1}
+
+
+def test_unusable_vectors_and_clashing_names(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(0, 1, 4).tolist()) for i in range(30)]
+    bad = [(91, None), (92, []), (93, [1.0] * 3), (94, [1.0, None, 1.0, 1.0]), (95, [float("nan")] * 4), (96, [float("inf")] * 4)]
+    mixed = frame(spark, rows + bad)
+    for name in ("component", "n", "d", "i", "j", "x", "count", "whitened"):
+        mixed = mixed.selectExpr("*", f"'c' as {name}")
+    check(whitening.whiten(mixed), rows)
+
+
+def test_huge_entries_do_not_crash(spark):
+    out = whitening.whiten(frame(spark, [(1, [1e308, -1e308]), (2, [0.0, 1e-300]), (3, [-1e308, 5.0])]))
+    assert out.where("whitened is null or isnan(whitened)").count() == 0 and out.count() == 6
+
+
+@pytest.mark.parametrize("rank", [1, 3, 12])
+def test_factor_and_rotations(rank):
+    rng = np.random.default_rng(rank)
+    half = rng.normal(0, 1, (12, rank)) * 10.0 ** rng.integers(-3, 4, (12, 1))
+    a = half @ half.T
+    factor, order = whitening.pivoted_cholesky(a)
+    assert factor.shape[1] == rank and np.allclose(factor @ factor.T, a, rtol=1e-9, atol=1e-9 * a.max())
+    assert np.abs(np.triu(factor[order], 1)).max(initial=0) == 0
+    found = whitening.decompose(a)
+    want = np.linalg.eigvalsh(a)[::-1][:rank]
+    assert np.allclose(found.values, want, rtol=1e-6, atol=1e-12 * want[0])
+    assert np.abs(found.vectors.T @ found.vectors - np.eye(rank)).max() < 1e-12
+
+
+@pytest.mark.parametrize("most", [3, 1 << 20, 1 << 33])
+def test_products_are_exact(most):
+    y = np.random.default_rng(1).integers(-most, most, (300, 5))
+    want = y.astype(object).T @ y.astype(object)
+    assert (whitening.products(y) == want).all()
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    check(whitening.op12_whitening(spark, sf), rows)
