@@ -10,8 +10,11 @@ from rillstone.llm.langid import op4_language
 from rillstone.llm.licenses import ORACLE_OP1, op1_license_scan
 from rillstone.llm.linededup import ORACLE_OP6, op6_line_dedup
 from rillstone.llm.minhash import ORACLE_OP9, op9_minhash
+from rillstone.llm.patricia import ORACLE_OP13, op13_exact_dedup
 from rillstone.llm.sharding import op10_sharding
 from rillstone.llm.toxicity import op2_toxicity
+from rillstone.llm.vafile import ORACLE_OP11, op11_clustering
+from rillstone.llm.whitening import op12_whitening
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_minhash": op9_minhash,
     "op10_sharding": op10_sharding,
+    "op11_clustering": op11_clustering,
+    "op12_whitening": op12_whitening,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLES = {
@@ -31,4 +37,6 @@ ORACLES = {
     "op3_embeddings": ORACLE_OP3,
     "op6_line_dedup": ORACLE_OP6,
     "op9_minhash": ORACLE_OP9,
+    "op11_clustering": ORACLE_OP11,
+    "op13_exact_dedup": ORACLE_OP13,
 }
