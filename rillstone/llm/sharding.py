@@ -1,10 +1,12 @@
 """A uniform shuffle of documents into shards of exact sizes.
 
-Rows lie in blocks. A communication matrix says how many rows of each block go to each
-part of a shard; it is drawn from the hypergeometric law that a uniform shuffle of all
-rows would give it. Each block then permutes its own rows and deals them out by the
-matrix, and each part of a shard permutes what it was sent. No task sees more than one
-block or one part of a shard, and the sizes of shards are exact whatever the keys are.
+Rows lie in blocks, the partitions as they are read. A communication matrix says how many
+rows of each block go to each shard; it is drawn from the hypergeometric law that a uniform
+shuffle of all rows would give it. Each block then permutes its own rows and deals them out by
+the matrix, and the rows of a shard, exchanged once, are permuted again. A shard of any
+size is permuted by several tasks: a random part for each row, and a random order within the part,
+make a random order of the whole. No task sees more than a block or a part, and the sizes of shards are
+exact whatever the keys are.
 """
 
 from __future__ import annotations
@@ -15,11 +17,13 @@ from pyspark.sql import functions as F
 
 from rillstone.llm.shared import cut, table
 
-#: Rows that a block, or a part of a shard, is meant to have.
-ROWS_PER_BLOCK = 20_000
-#: Blocks, and parts of shards, at most: the matrix has no more than their product
-#: of entries (4 million) at any size of the input.
-MOST_BLOCKS = 2048
+#: Rows that a part of a shard is meant to have. The number of parts, each a task, grows with
+#: the rows.
+ROWS_PER_PART = 8192
+#: Bytes of the matrix at most, which is broadcast: beyond it, neighbouring blocks are joined.
+MOST_BYTES = 64 << 20
+#: Rows up to which numpy draws from the law.
+NUMPY_ROWS = 10**9
 
 
 def hypergeometric(draw: float, good: int, bad: int, taken: int) -> int:
@@ -34,7 +38,7 @@ def hypergeometric(draw: float, good: int, bad: int, taken: int) -> int:
     total = good + bad
     mode = (taken + 1) * (good + 1) // (total + 2)
     spread = np.sqrt(taken * (good / total) * (bad / total) * max(1, total - taken) / max(1, total - 1))
-    reach = int(12 * spread) + 40
+    reach = int(9 * spread) + 40  # what lies beyond has less than 2^-53 of the weight
     first, last = max(low, mode - reach), min(high, mode + reach)
     k = np.arange(first, last, dtype=np.float64)
     ratio = np.log(good - k) + np.log(taken - k) - np.log(k + 1) - np.log(bad - taken + k + 1)
@@ -45,32 +49,45 @@ def hypergeometric(draw: float, good: int, bad: int, taken: int) -> int:
 
 def communication_matrix(rng: np.random.Generator, rows: list[int], columns: list[int]) -> np.ndarray:
     """Counts with the given sums of rows and columns, as a uniform shuffle gives them."""
-    if sum(rows) != sum(columns):
+    rows, columns = np.array(rows, dtype=np.int64), np.array(columns, dtype=np.int64)
+    if rows.sum() != columns.sum():
         raise ValueError("rows and columns of the matrix must have the same sum")
-    left = [int(c) for c in columns]
+    if len(rows) > 1 and columns.sum() >= NUMPY_ROWS:  # the upper half of the rows, then each half by itself
+        half = len(rows) // 2
+        upper = _dealt(rng, columns, int(rows[:half].sum()))
+        halves = ((rows[:half], upper), (rows[half:], columns - upper))
+        return np.concatenate([communication_matrix(rng, r, c) for r, c in halves])
     out = np.zeros((len(rows), len(columns)), dtype=np.int64)
-    for i, of_row in enumerate(rows):
-        rest, taken = sum(left), int(of_row)
-        for j, room in enumerate(left):
-            if not taken:
-                break
-            got = hypergeometric(rng.random(), room, rest - room, taken)
-            out[i, j] = got
-            rest -= room
-            left[j] -= got
-            taken -= got
+    for i, taken in enumerate(rows[:-1]):
+        out[i] = rng.multivariate_hypergeometric(columns, taken, method="marginals")
+        columns = columns - out[i]
+    out[-1:] = columns  # the last row gets what is left
     return out
 
 
-def _at(seed: int, salt: int, key: str) -> Column:
-    return F.xxhash64(F.lit(seed * 1_000 + salt), F.col(key))
+def _dealt(rng: np.random.Generator, columns: np.ndarray, taken: int) -> np.ndarray:
+    """How many rows of each column are among ``taken`` rows, of any number."""
+    out, rest = np.zeros_like(columns), int(columns.sum())
+    for j, room in enumerate(columns.tolist()):
+        out[j] = hypergeometric(rng.random(), room, rest - room, taken)
+        rest, taken = rest - room, taken - int(out[j])
+    return out
+
+
+def _at(seed: int, salt: int) -> Column:
+    return F.xxhash64(F.lit(seed * 1_000 + salt), F.col("_id"))
+
+
+#: ``monotonically_increasing_id`` has the partition above these bits and the place in it below.
+_PLACE_BITS = 33
 
 
 def shuffle_shards(
     rows: DataFrame,
     shards: int = 24,
     seed: int = 7,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_part: int = ROWS_PER_PART,
+    most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
     """All rows with ``shard`` and ``slot``, a uniformly random place.
 
@@ -80,53 +97,69 @@ def shuffle_shards(
     Columns of the input that are called ``shard`` or ``slot`` are replaced. An empty
     input gives an empty result.
     """
-    if shards < 1 or rows_per_block < 1:
-        raise ValueError("shards and rows_per_block must be positive")
-    spark = rows.sparkSession
+    if shards < 1 or rows_per_part < 1:
+        raise ValueError("shards and rows_per_part must be positive")
     names = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
     packed = F.struct(*[rows[c] for c in names]).alias("_row")
-    kept = cut(rows.select(packed)).withColumn("_id", F.monotonically_increasing_id())
-    total = kept.count()
-    blocks = min(MOST_BLOCKS, max(shards, -(-total // rows_per_block)))
-    parts = max(1, min(MOST_BLOCKS // shards, -(-total // (shards * rows_per_block))))
-    kept = kept.withColumn("_block", F.pmod(_at(seed, 1, "_id"), F.lit(blocks)).cast("int"))
-    held = dict(kept.groupBy("_block").count().collect())  # at most MOST_BLOCKS rows
-    of_block = [held.get(b, 0) for b in range(blocks)]
+    written = cut(rows.select(packed))
+    kept, held = _blocks(written)
+    most = max(1, most_bytes // (8 * shards))
+    if len(held) > most:
+        kept, held = _blocks(written.coalesce(most))
+    total = sum(held.values())
 
     rng = np.random.default_rng(seed)
     larger = set(rng.permutation(shards)[: total % shards].tolist())
     of_shard = [total // shards + (s in larger) for s in range(shards)]
-    of_part = [n * (p + 1) // parts - n * p // parts for n in of_shard for p in range(parts)]
-    matrix = communication_matrix(rng, of_block, of_part)
-    plan = _plan(spark, matrix, shards, parts)
-
-    local = Window.partitionBy("_block").orderBy(_at(seed, 2, "_id"), "_id")
-    dealt = (
-        kept.withColumn("_place", F.row_number().over(local) - 1)
-        .join(F.broadcast(plan), "_block")
-        .withColumn("shard", F.size(F.filter("_shard_ends", lambda e: e <= F.col("_place"))))
-        .withColumn("_ends", F.get(F.col("_part_ends"), F.col("shard")))
-        .withColumn("_part", F.size(F.filter("_ends", lambda e: e <= F.col("_place"))))
-        .select("_row", "_id", "shard", "_part")
-    )
-    within = Window.partitionBy("shard", "_part").orderBy(_at(seed, 3, "_id"), "_id")
-    size = F.get(F.array(*[F.lit(n).cast("long") for n in of_shard]), F.col("shard"))
-    start = F.floor(size * F.col("_part") / F.lit(parts)) if parts > 1 else F.lit(0)
-    slot = start.cast("long") + F.row_number().over(within) - 1
+    blocks = sorted(held)
+    matrix = communication_matrix(rng, [held[b] for b in blocks], of_shard) if total else np.zeros((0, shards), np.int64)
+    # a row of ``shards`` numbers for each block: no more than ``most_bytes``
+    plan = F.broadcast(_plan(rows.sparkSession, blocks, matrix))
+
+    parts = max(1, -(-total // (shards * rows_per_part)))
+    row = ["_row"] if parts == 1 else ["_row", "_part"]
+    dealt = _dealt_out(kept, plan, seed, parts)
+    by = ["shard", *row[1:]]
+    dealt = dealt.select("_row", "_id", *by).repartition(shards * parts, *by)
+    within = Window.partitionBy(*by).orderBy(_at(seed, 3), "_id")
+    slot = F.row_number().over(within) - 1
+    if parts > 1:
+        counts = _dealt_out(kept.select("_id"), plan, seed, parts).groupBy(*by).agg(F.count("*").alias("_n"))
+        before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.select(*by, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        dealt = dealt.join(starts, by)
+        slot = F.col("_start") + slot
     return dealt.withColumn("slot", slot.cast("long")).select(
         *[F.col("_row").getField(c).alias(c) for c in names], "shard", "slot"
     )
 
 
-def _plan(spark: SparkSession, matrix: np.ndarray, shards: int, parts: int) -> DataFrame:
-    """For each block, up to which place its rows go to each shard and part."""
-    ends = np.cumsum(matrix, axis=1).reshape(len(matrix), shards, parts)
-    return spark.createDataFrame(
-        [(b, ends[b, :, -1].tolist(), ends[b].tolist()) for b in range(len(matrix))],
-        "_block int, _shard_ends array<long>, _part_ends array<array<long>>",
+def _blocks(written: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """The rows with an id, and the number of rows of each partition that has any."""
+    kept = written.withColumn("_id", F.monotonically_increasing_id())
+    counts = kept.groupBy(F.shiftright("_id", _PLACE_BITS).alias("block")).count()
+    return kept, {int(b): n for b, n in counts.collect()}  # a row for each partition
+
+
+def _dealt_out(kept: DataFrame, plan: DataFrame, seed: int, parts: int) -> DataFrame:
+    """Every row with its shard, by its place in a random order of its block, and a random part."""
+    place = F.monotonically_increasing_id()
+    permuted = kept.withColumn("_draw", _at(seed, 2)).sortWithinPartitions("_draw", "_id")
+    return (
+        permuted.withColumn("_place", place.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)))
+        .withColumn("_block", F.shiftright("_id", _PLACE_BITS))
+        .join(plan, "_block")
+        .withColumn("shard", F.size(F.filter("_ends", lambda e: e <= F.col("_place"))))
+        .withColumn("_part", F.pmod(_at(seed, 1), F.lit(parts)).cast("int"))
     )
 
 
+def _plan(spark: SparkSession, blocks: list[int], matrix: np.ndarray) -> DataFrame:
+    """For each block, up to which place its rows go to each shard."""
+    ends = np.cumsum(matrix, axis=1).tolist()
+    return spark.createDataFrame(list(zip(blocks, ends)), "_block long, _ends array<long>")
+
+
 def write_shards(placed: DataFrame, path: str) -> None:
     """Write a folder for each shard, its rows in the order of their slots."""
     (

@@ -31,10 +31,10 @@ def test_draws_follow_the_hypergeometric_law(good, bad, taken):
     assert ours.min() >= max(0, taken - bad) and ours.max() <= min(taken, good)
 
 
-@pytest.mark.parametrize("per_block", [20_000, 7])
-def test_shards_are_exact_and_slots_have_no_gaps(spark, per_block):
+@pytest.mark.parametrize("per_part", [8192, 7])
+def test_shards_are_exact_and_slots_have_no_gaps(spark, per_part):
     rows = spark.range(1003).selectExpr("id % 5 as id", "'x' as shard")
-    got = sharding.shuffle_shards(rows, 6, rows_per_block=per_block).collect()
+    got = sharding.shuffle_shards(rows, 6, rows_per_part=per_part).collect()
     assert Counter(r.id for r in got) == Counter(i % 5 for i in range(1003))
     by = {}
     for r in got:
@@ -48,7 +48,7 @@ def test_places_are_uniform(spark):
     together = Counter()
     where = Counter()
     for seed in range(40):
-        got = {r.id: r.shard for r in sharding.shuffle_shards(spark.range(12), 3, seed=seed, rows_per_block=4).collect()}
+        got = {r.id: r.shard for r in sharding.shuffle_shards(spark.range(12), 3, seed=seed, rows_per_part=4).collect()}
         where.update((i, s) for i, s in got.items())
         together[got[0] == got[1]] += 1
     assert max(where.values()) <= 28 and min(where[i, s] for i in range(12) for s in range(3)) >= 2
