@@ -21,6 +21,7 @@ from rillstone.llm.shared import cut, table
 #: the rows.
 ROWS_PER_PART = 8192
 #: Bytes of the matrix at most, which is broadcast: beyond it, neighbouring blocks are joined.
+#: The same holds for where parts begin: beyond it, that table is not broadcast.
 MOST_BYTES = 64 << 20
 #: Rows up to which numpy draws from the law.
 NUMPY_ROWS = 10**9
@@ -127,7 +128,8 @@ def shuffle_shards(
         counts = _dealt_out(kept.select("_id"), plan, seed, parts).groupBy(*by).agg(F.count("*").alias("_n"))
         before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
         starts = counts.select(*by, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-        dealt = dealt.join(starts, by)
+        # three numbers for each part; more of them than may be broadcast meet in a shuffle join
+        dealt = dealt.join(F.broadcast(starts) if 24 * shards * parts <= most_bytes else starts, by)
         slot = F.col("_start") + slot
     return dealt.withColumn("slot", slot.cast("long")).select(
         *[F.col("_row").getField(c).alias(c) for c in names], "shard", "slot"

@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import Counter
 
@@ -60,6 +61,36 @@ def test_same_input_same_result(spark):
     assert once == {tuple(r) for r in sharding.shuffle_shards(spark.range(100), 4).collect()}
 
 
+def test_many_blocks_and_parts(spark):
+    """Blocks are joined, and starts of parts are not broadcast, where they would exceed the bound."""
+    rows = spark.range(0, 500, 1, 40).selectExpr("id % 3 as id")
+    got = sharding.shuffle_shards(rows, 3, rows_per_part=10, most_bytes=8 * 3 * 5).collect()
+    assert Counter(r.id for r in got) == Counter(i % 3 for i in range(500))
+    for s, n in ((0, 167), (1, 167), (2, 167)):
+        slots = sorted(r.slot for r in got if r.shard == s)
+        assert slots == list(range(len(slots))) and abs(len(slots) - n) <= 1
+
+
+def test_documents_are_exchanged_once(spark):
+    placed = sharding.shuffle_shards(spark.range(1000), 4, rows_per_part=50)
+    placed.collect()
+    plan = placed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    whole = [line for line in plan.split("\n") if "Exchange" in line and "_row" in line]
+    assert len(re.findall("Exchange hashpartitioning[(]shard", plan)) <= 3 and "SortMergeJoin" not in plan
+    assert len(whole) <= 1 and plan.count("+- *") >= 0 and "Sort [_draw" in plan
+
+
+@pytest.mark.parametrize("blocks,each", [(5000, 20_000), (300, 10_000_000)])
+def test_matrices_of_many_blocks(blocks, each):
+    columns = [blocks * each // 24] * 24
+    columns[0] += blocks * each - sum(columns)
+    made = sharding.communication_matrix(np.random.default_rng(5), [each] * blocks, columns)
+    assert (made.sum(axis=1) == each).all() and made.sum(axis=0).tolist() == columns
+    share = made / each
+    spread = np.sqrt((1 / 24) * (23 / 24) / each)
+    assert abs(share.std() / spread - 1) < 0.05
+
+
 def test_empty(spark, no_docs):
     assert sharding.shuffle_shards(no_docs, 3).count() == 0
 
