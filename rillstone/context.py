@@ -25,8 +25,9 @@ class Hooks:
     """User code of one topic, on whole DataFrames.
 
     ``transform(ctx, rows)`` shapes accepted rows for the formatted table.
-    ``write(ctx, batch, batch_id)`` replaces the default append; Spark may call it
-    twice for one batch, so it has to be idempotent per ``batch_id``.
+    ``write(ctx, batch, batch_id)`` gets the rows of each run in the table's shape, after
+    they are appended; on Delta it replaces the append and gets each micro-batch. It may be
+    called twice with the same rows, so it has to be idempotent per ``batch_id``.
     """
 
     transform: Callable[[IngestContext, DataFrame], DataFrame] = default_transform
@@ -65,7 +66,14 @@ class IngestContext:
     # New rows, as a share of the snapshot's bytes, that make a new snapshot worth it. None
     # writes none: for topics of ever new keys, whose snapshot would be the table again.
     publish_share: float | None = 0.25
-    # False leaves the catalog alone and works on paths only.
+    # Buckets by key of the snapshot and the history. A run rewrites those that its keys fall
+    # into, each by one task; some hundred megabytes are a good size for one.
+    buckets: int = 16
+    # True keeps the history beside the snapshot: its intervals are stored, and only those of
+    # keys with new rows are settled again. None is stored where no snapshot is.
+    store_history: bool = False
+    # False registers no tables. For the time of a rewrite the old buckets are in the
+    # catalog's current database all the same.
     register_tables: bool = True
     # True formats the archive anew when a key is declared that the table does not hold.
     refill: bool = False
@@ -130,6 +138,10 @@ class IngestContext:
     def snapshot_path(self) -> str:
         return f"{self.table_path}_snapshot"
 
+    @property
+    def history_path(self) -> str:
+        return f"{self.table_path}_history"
+
     @property
     def state_path(self) -> str:
         prefix = self.generic["formatted_checkpoint_prefix"]
@@ -145,9 +157,14 @@ class IngestContext:
 
     @property
     def published_path(self) -> str:
-        """Number of the last snapshot of latest rows, and its keys."""
+        """The last published run, its keys, and where their buckets lie."""
         return f"{self.state_path}.published.json"
 
+    @property
+    def delivered_path(self) -> str:
+        """The runs that the ``write`` hook has been given."""
+        return f"{self.state_path}.delivered.json"
+
     @property
     def table_schema_path(self) -> str:
         """Columns of the formatted table, including ones no longer declared."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.functions import names, schemas
-from rillstone.operators.parse import parse_once
+from rillstone.operators.parse import once
 
 
 def drift_report(texts: DataFrame, old: T.StructType, new: T.StructType) -> DataFrame:
@@ -20,7 +20,7 @@ def drift_report(texts: DataFrame, old: T.StructType, new: T.StructType) -> Data
     changes = schemas.diff(old, new)
     both = schemas.merge(old, new)
     parsed = texts.select(
-        parse_once(F.col(names.VALUE), both, {"mode": "PERMISSIVE"}).alias(names.VALUE)
+        once(F.from_json(F.col(names.VALUE), both, {"mode": "PERMISSIVE"})).alias(names.VALUE)
     )
     if not changes:
         return schemas.diff_frame(texts.sparkSession, []).withColumn(

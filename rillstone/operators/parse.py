@@ -22,14 +22,27 @@ def reduce_records(records: DataFrame) -> DataFrame:
     )
 
 
-def parse_once(text: Column, schema: T.StructType, options: dict[str, str]) -> Column:
-    """``from_json`` as a one-element ``explode``.
+def once(value: Column) -> Column:
+    """An expression as a one-element ``explode``.
 
     Catalyst copies a projected expression into any filter above it, and would
     parse every message twice. A generator's output is never copied, so the
     parse runs once whatever is selected or filtered later.
     """
-    return F.explode(F.array(F.from_json(text, schema, options)))
+    return F.explode(F.array(value))
+
+
+def is_whole(text: Column) -> Column:
+    """Whether the text is one JSON value and nothing else; NULL or false where it is not.
+
+    ``from_json`` stops behind the first value. Within brackets the text must be the only
+    element of an array, which whatever follows it breaks; but for a closing bracket, behind
+    which nothing is read. That cannot stand within braces, and is looked for only in
+    texts that hold one. Neither builds values.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    braced = F.json_object_keys(F.concat(F.lit('{"":'), text, F.lit("}")))
+    return alone & (~F.contains(text, F.lit("]")) | braced.isNotNull())
 
 
 def position_columns(df: DataFrame) -> list[str]:
@@ -46,7 +59,7 @@ def structured(texts: DataFrame, schema: T.StructType, keys: list[KeyColumn]) ->
         names.TIMESTAMP,
         F.col(names.VALUE).alias(names.VALUE_RAW),
         *position,
-        parse_once(F.col(names.VALUE), schema, {"mode": "FAILFAST"}).alias(names.VALUE),
+        once(F.from_json(F.col(names.VALUE), schema, {"mode": "FAILFAST"})).alias(names.VALUE),
     )
     return parsed.select(
         names.TIMESTAMP, names.VALUE, names.VALUE_RAW, *lift(keys), *position

@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from rillstone.functions import names, schemas
 from rillstone.functions.keys import KeyColumn, field, lift
-from rillstone.operators.parse import parse_once, position_columns
+from rillstone.operators.parse import is_whole, once, position_columns
 
+_SEEN, _PARSED, _WHOLE = "__seen", "__parsed", "__whole"
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": names.CORRUPT}
 
 
@@ -70,21 +71,25 @@ def classify(
     """Parse every message and give it an outcome; no row is lost.
 
     ``null_value``: NULL or blank message. ``malformed``: not JSON of the declared
-    types. ``missing_required``: a non-null field is absent. ``missing_key``: a key is
+    types, or more than one JSON value. ``missing_required``: a non-null field is absent. ``missing_key``: a key is
     NULL, so that the row would be a version of nothing. ``not_castable``: a value has
     no counterpart in the ``target``'s type. Else ``accepted``. The first that holds counts.
     """
     position = position_columns(texts)
     reading = T.StructType([*schema.fields, T.StructField(names.CORRUPT, T.StringType())])
-    parsed = texts.select(
+    text = F.col(names.VALUE)
+    seen = F.struct(F.from_json(text, reading, _OPTIONS).alias(_PARSED), is_whole(text).alias(_WHOLE))
+    read = texts.select(names.TIMESTAMP, text.alias(names.VALUE_RAW), *position, once(seen).alias(_SEEN))
+    parsed = read.select(
         names.TIMESTAMP,
-        F.col(names.VALUE).alias(names.VALUE_RAW),
+        names.VALUE_RAW,
         *position,
-        parse_once(F.col(names.VALUE), reading, _OPTIONS).alias(names.VALUE),
+        F.col(_SEEN).getField(_PARSED).alias(names.VALUE),
+        F.col(_SEEN).getField(_WHOLE).alias(_WHOLE),
     )
     value = F.col(names.VALUE)
     outcome = F.when(value.isNull(), names.NULL_VALUE).when(
-        value.getField(names.CORRUPT).isNotNull(), names.MALFORMED
+        value.getField(names.CORRUPT).isNotNull() | ~F.coalesce(_WHOLE, F.lit(False)), names.MALFORMED
     )
     missing = lacks_required(value, schema)
     if missing is not None:

@@ -27,6 +27,9 @@ ORACLES: dict[str, str] = {
     "deadletter_accepted": (
         "SELECT event_id, user_id, event_type, value FROM events WHERE event_id % 97 <> 0"
     ),
+    "trailing_text_rejects": """
+        SELECT event_id, CASE WHEN event_id % 20 IN (0, 2, 3, 4, 5, 6, 7) THEN 'malformed'
+               ELSE 'accepted' END AS outcome FROM events""",
     "tombstones": """
         SELECT CASE WHEN event_id % 50 = 0 THEN 'null_value' ELSE 'accepted' END AS outcome,
                count(*) AS n FROM events GROUP BY 1""",
@@ -88,6 +91,39 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, turn, role, text, lead(turn) OVER w AS next_turn,
                CASE WHEN lead(turn) OVER w IS NULL THEN 'Y' ELSE 'N' END AS current
         FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
+    "bucketed_latest": """
+        SELECT event_id, ts, user_id, event_type, value, props, ts AS timestamp, 'Y' AS current
+        FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "history_incremental": """
+        SELECT event_id, ts, user_id, event_type, value, props, ts AS timestamp,
+               lead(ts) OVER w AS valid_to,
+               CASE WHEN lead(ts) OVER w IS NULL THEN 'Y' ELSE 'N' END AS current
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+    "observed_fields": """
+        WITH e AS (SELECT event_id AS i FROM events WHERE event_id % 97 <> 0),
+        f AS (
+          SELECT '' AS path, 'unreadable' AS kind, NULL AS declared_type, NULL AS observed_type,
+                 (SELECT count(*) FROM events WHERE event_id % 97 = 0) AS messages
+          UNION ALL SELECT 'event_id', 'as_declared', 'bigint', 'BIGINT', (SELECT count(*) FROM e)
+          UNION ALL SELECT 'user_id', 'as_declared', 'bigint', 'BIGINT', (SELECT count(*) FROM e WHERE i % 5 <> 0)
+          UNION ALL SELECT 'user_id', 'other_type', 'bigint', 'STRING', (SELECT count(*) FROM e WHERE i % 5 = 0)
+          UNION ALL SELECT 'event_type', 'as_declared', 'string', 'STRING', (SELECT count(*) FROM e WHERE i % 7 <> 0)
+          UNION ALL SELECT 'event_type', 'as_declared', 'string', 'VOID', (SELECT count(*) FROM e WHERE i % 7 = 0)
+          UNION ALL SELECT 'value', 'unseen', 'double', NULL, 0
+          UNION ALL SELECT unnest(['meta', 'meta.more']), 'undeclared', NULL, 'OBJECT', (SELECT count(*) FROM e WHERE i % 3 = 0)
+          UNION ALL SELECT 'meta.source', 'undeclared', NULL, 'STRING', (SELECT count(*) FROM e WHERE i % 3 = 0)
+          UNION ALL SELECT 'meta.more.a b', 'undeclared', NULL, 'BIGINT', (SELECT count(*) FROM e WHERE i % 3 = 0)
+          UNION ALL SELECT 'parts', 'as_declared', 'array<struct<kind:string>>', 'ARRAY', (SELECT count(*) FROM e WHERE i % 4 = 0)
+          UNION ALL SELECT 'parts[]', 'as_declared', 'struct<kind:string>', 'OBJECT', (SELECT count(*) FROM e WHERE i % 4 = 0)
+          UNION ALL SELECT 'parts[].kind', 'as_declared', 'string', 'BIGINT', (SELECT count(*) FROM e WHERE i % 4 = 0)
+          UNION ALL SELECT 'parts[].note', 'undeclared', NULL, 'STRING', (SELECT count(*) FROM e WHERE i % 4 = 0)
+          UNION ALL SELECT 'tags', 'as_declared', 'map<string,bigint>', 'OBJECT', (SELECT count(*) FROM e WHERE i % 6 = 0)
+          UNION ALL SELECT 'tags{}', 'other_type', 'bigint', 'DECIMAL', (SELECT count(*) FROM e WHERE i % 6 = 0))
+        SELECT path, kind, declared_type, observed_type,
+               count(*) FILTER (WHERE observed_type <> 'VOID') OVER (PARTITION BY path) AS types,
+               messages, messages / (SELECT count(*) FROM events) AS share
+        FROM f WHERE messages > 0 OR kind = 'unseen'""",
     "schema_diff": """
         SELECT 'user_id' AS path, 'type_changed' AS kind, 'string' AS old_type,
                'bigint' AS new_type, count(user_id) AS messages FROM events
@@ -110,6 +146,22 @@ ORACLES: dict[str, str] = {
         SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum
         FROM events GROUP BY event_type""",
     "write_hook": "SELECT event_id, user_id, value FROM events WHERE event_type = 'error'",
+    "write_hook_run": """
+        SELECT event_id, user_id, value, event_id % 2 AS batch_id
+        FROM events WHERE event_type = 'error'""",
+    "offset_gaps": """
+        WITH sent AS (
+          SELECT CAST(event_id % 4 AS INTEGER) AS p, event_id // 4 AS o FROM events
+          WHERE event_id % 4 = 3 OR NOT ((event_id // 4) % 1000 BETWEEN 100 AND 119 OR (event_id // 4) % 1000 = 777)),
+        lost AS (SELECT p, o, lag(o) OVER (PARTITION BY p ORDER BY o) AS b FROM sent),
+        twice AS (
+          SELECT p, o, CASE WHEN o % 500 = 42 THEN 2 ELSE 1 END AS n FROM sent
+          WHERE p < 2 AND o % 500 BETWEEN 40 AND 45),
+        runs AS (SELECT *, o - row_number() OVER (PARTITION BY p ORDER BY o) AS g FROM twice)
+        SELECT p AS record_partition, 'lost' AS kind, b + 1 AS first_offset, o - 1 AS last_offset,
+               CAST(0 AS BIGINT) AS rows FROM lost WHERE o > b + 1
+        UNION ALL
+        SELECT p, 'repeated', min(o), max(o), CAST(sum(n) AS BIGINT) FROM runs GROUP BY p, g""",
     "stream_drain": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_restart": (
         "SELECT event_id, ts, user_id, event_type, value, props, ts AS timestamp FROM events"

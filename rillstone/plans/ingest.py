@@ -11,7 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.context import HookRegistry, IngestContext, load_context
-from rillstone.plans.tables import Provisioned, provision, publish_latest, register_latest
+from rillstone.plans.tables import (
+    Provisioned,
+    deliver,
+    hook_in_stream,
+    provision,
+    publish_latest,
+    register_latest,
+)
 from rillstone.sources import documents
 from rillstone.streaming.drain import DrainTimeout, Reports, drain
 from rillstone.streaming.stages import (
@@ -64,6 +71,8 @@ def _run(ctx: IngestContext) -> Run:
         batches[queries[-1].name] = (first, documents.largest_number(ctx.spark, commits))
     if ctx.hooks.write is None:
         publish_latest(ctx)
+    elif not hook_in_stream(ctx):
+        deliver(ctx)
     if ctx.register_tables:
         ctx.spark.catalog.refreshTable(ctx.table_name)
         ctx.spark.catalog.refreshTable(ctx.raw_table_name)

@@ -6,15 +6,19 @@ Rejected messages are partitions of the raw archive. Appended files
 cannot be updated, so the formatted table's ``current`` column stays NULL on disk
 and ``read_history`` resolves it.
 
-Beside it lies a snapshot of the latest row of every key. The formatted table is
-partitioned by snapshot number, so that the next snapshot needs the previous one and
-the rows since, not the whole log. It is written once those rows amount to a share of
-the snapshot: keys that are mostly new would else rewrite everything in every run.
-Readers of latest rows merge the snapshot with the rows since.
+Beside it lies a snapshot of the latest row of every key, and, where it is asked for, the
+history: every version with its interval. Both are parted into buckets by key. The formatted
+table is partitioned by run number, so that the next snapshot needs the rows since the last
+one and the buckets of their keys, not the whole log; of the history only the versions of
+these keys are settled anew, so that a late row splits the interval it falls into. Buckets are
+written once the new rows amount to a share of them: keys that are mostly new would else
+rewrite everything in every run. Readers merge the buckets with the rows since.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +29,7 @@ from rillstone.context import IngestContext
 from rillstone.functions import names, schemas
 from rillstone.functions.keys import field, key_names, key_type
 from rillstone.operators.versions import history, latest, merge_latest
+from rillstone.plans import buckets
 from rillstone.sources import documents
 
 _POSITION_FIELDS = [
@@ -151,7 +156,7 @@ def provision(ctx: IngestContext) -> Provisioned:
         return Provisioned("unchanged", [])
     if refill:
         _write_layout(ctx, before._replace(refilling=True))
-        for path in (ctx.table_path, ctx.checkpoint("formatting"), ctx.snapshot_path, ctx.published_path):
+        for path in (ctx.table_path, ctx.checkpoint("formatting"), ctx.snapshot_path, ctx.history_path, ctx.published_path):
             documents.remove(spark, path)
 
     wanted = formatted_schema(ctx, table, after.lifted)
@@ -239,18 +244,19 @@ def register(ctx: IngestContext, formatted: T.StructType) -> None:
 
 def register_latest(ctx: IngestContext) -> None:
     """Let the view of latest rows follow the snapshot and the rows since."""
-    spark, run = ctx.spark, open_run(ctx)
+    spark, state = ctx.spark, _published(ctx)
     columns = ", ".join(f"`{f.name}`" for f in _snapshot_schema(ctx) if f.name != names.CURRENT)
-    if _snapshot_usable(ctx):
+    if _usable(ctx, state):
         # Its name says which run it is of: by itself it lacks the rows since.
-        name = ctx.snapshot_table_name(run - 1)
-        _register(ctx, name, _snapshot_schema(ctx), _snapshot(ctx, run - 1))
-        spark.catalog.refreshTable(name)
-        if run >= 3:
-            spark.sql(f"DROP TABLE IF EXISTS {ctx.snapshot_table_name(run - 3)}")
+        name = ctx.snapshot_table_name(state.run)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        snapshot = _latest_buckets(ctx)
+        buckets.create_table(snapshot, name, f"{snapshot.path}.declared", state.latest)
+        if state.older >= 0:
+            spark.sql(f"DROP TABLE IF EXISTS {ctx.snapshot_table_name(state.older)}")
         rows = f"SELECT {columns} FROM {name}"
-        if _has_rows(ctx, run):
-            new = f"SELECT {columns} FROM {ctx.table_name} WHERE {names.RUN_ID} >= {run}"
+        if _rows_since(ctx, state.run):
+            new = f"SELECT {columns} FROM {ctx.table_name} WHERE {names.RUN_ID} > {state.run}"
             rows = _latest_sql(ctx, columns, f"{rows} UNION ALL {new}")
     else:
         rows = _latest_sql(ctx, columns, f"SELECT {columns} FROM {ctx.table_name}")
@@ -274,7 +280,7 @@ def _register(
     spark = ctx.spark
     if ctx.table_format != "parquet" and partition is not None:
         create = f"CREATE TABLE IF NOT EXISTS {name} USING {ctx.table_format} LOCATION"
-        spark.sql(f"{create} {_quoted(path)}")
+        spark.sql(f"{create} {buckets.quoted(path)}")
         return
     if spark.catalog.tableExists(name):
         if spark.catalog.getTable(name).tableType != "EXTERNAL":
@@ -293,13 +299,9 @@ def _register(
     # files and not the declared ones; hence the location is set afterwards.
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema.fields)}) USING parquet {layout} "
-        f"LOCATION {_quoted(path + '.declared')}"
+        f"LOCATION {buckets.quoted(path + '.declared')}"
     )
-    spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(path)}")
-
-
-def _quoted(path: str) -> str:
-    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {buckets.quoted(path)}")
 
 
 def _ddl(fields: list[T.StructField]) -> str:
@@ -365,71 +367,266 @@ def read_rejects(ctx: IngestContext) -> DataFrame:
 
 def read_latest(ctx: IngestContext) -> DataFrame:
     """The newest row of every key: the snapshot, and rows not yet published."""
-    run = open_run(ctx)
-    keys, order = key_names(ctx.keys), [names.TIMESTAMP, *names.POSITION]
-    new = _read_log(ctx).where(F.col(names.RUN_ID) >= run).drop(names.RUN_ID)
-    if not _snapshot_usable(ctx):
-        rows = latest(read_formatted(ctx), keys, order)
+    state = _published(ctx)
+    if not _usable(ctx, state):
+        rows = latest(read_formatted(ctx), key_names(ctx.keys), _ORDER)
     else:
-        rows = ctx.spark.read.schema(_snapshot_schema(ctx)).parquet(_snapshot(ctx, run - 1))
-        if _has_rows(ctx, run):
-            rows = merge_latest(rows, new, keys, order)
+        rows = _with_rows_since(ctx, state, _latest_buckets(ctx), state.latest, _newest)
     return rows.withColumn(names.CURRENT, F.lit("Y"))
 
 
-def open_run(ctx: IngestContext) -> int:
-    """Number under which rows are appended that are not in the snapshot yet."""
-    return _published(ctx)[names.RUN_ID] + 1
+def read_history(ctx: IngestContext) -> DataFrame:
+    """Every row with ``valid_to`` and ``current`` resolved.
+
+    Stored intervals are read as they are; those of keys with rows not yet published are settled
+    anew. A topic that stores no history (``store_history``) settles the whole log.
+    """
+    state = _published(ctx)
+    if state.history is None or not _usable(ctx, state):
+        return history(read_formatted(ctx).drop(names.CURRENT), key_names(ctx.keys))
+    return _with_rows_since(ctx, state, _history_buckets(ctx), state.history, _settled)
+
+
+def _with_rows_since(ctx, state: Published, of: buckets.Buckets, held: buckets.Held, merge) -> DataFrame:
+    """Buckets without new rows as they are, and the others merged with them."""
+    if not _rows_since(ctx, state.run):
+        return buckets.read(of, held)
+    new = _log_since(ctx, state.run)
+    slots = set(buckets.touched(new, of.keys, of.count).slots)
+    resting = buckets.read(of, {slot: run for slot, run in held.items() if slot not in slots})
+    old = buckets.read(of, {slot: run for slot, run in held.items() if slot in slots})
+    return resting.unionByName(merge(ctx, old, new))
+
+
+def _newest(ctx: IngestContext, old: DataFrame, new: DataFrame) -> DataFrame:
+    return merge_latest(old, new, key_names(ctx.keys), _ORDER)
+
+
+def _settled(ctx: IngestContext, old: DataFrame, new: DataFrame) -> DataFrame:
+    """Versions of the keys that have new rows anew, all others as they were."""
+    keys = key_names(ctx.keys)
+    theirs = new.select(*keys).distinct()
+    return _spliced(old, _join_keys(old, theirs, "left_anti"), _join_keys(old, theirs, "left_semi"), new, keys)
+
+
+def _spliced(old: DataFrame, others: DataFrame, same: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    versions = history(same.drop(names.VALID_TO, names.CURRENT).unionByName(new.drop(names.CURRENT)), keys)
+    return others.unionByName(versions.select(*old.columns))
+
+
+def _join_keys(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The rows whose key is among these, or is not; NULL matches NULL."""
+    named = keys.withColumnsRenamed({name: f"__k_{name}" for name in keys.columns})
+    same = [rows[name].eqNullSafe(named[f"__k_{name}"]) for name in keys.columns]
+    return rows.join(named, reduce(and_, same), how)
 
 
-def _snapshot_usable(ctx: IngestContext) -> bool:
-    """Whether there is a snapshot, and by the present keys."""
-    return _published(ctx)["keys"] == key_names(ctx.keys)
+def _log_since(ctx: IngestContext, run: int) -> DataFrame:
+    return _read_log(ctx).where(F.col(names.RUN_ID) > run).drop(names.RUN_ID)
+
+
+_ORDER = [names.TIMESTAMP, *names.POSITION]
+
+
+# ------------------------------------------------------------------ publishing
+
+
+class Published(NamedTuple):
+    """What the buckets hold: rows up to a run, by which keys, and where they lie."""
+
+    run: int = -1
+    keys: list[str] = []
+    count: int = 0
+    latest: dict[int, int] = {}
+    history: dict[int, int] | None = None
+    null_keys: bool = False  # a key of some row is NULL
+    before: dict = {}  # what was held before, which readers may still use
+    previous: int = -1  # the run published before, and the one before that
+    older: int = -1
+
+
+def _published(ctx: IngestContext) -> Published:
+    found = documents.read_json_if_present(ctx.spark, ctx.published_path) or {}
+    state = Published(**{name: found[name] for name in Published._fields if name in found})
+    by_slot = {
+        name: None if held is None else {int(slot): run for slot, run in held.items()}
+        for name, held in (("latest", state.latest), ("history", state.history))
+    }
+    return state._replace(**by_slot)
+
+
+def _usable(ctx: IngestContext, state: Published) -> bool:
+    """Whether there are buckets, by the present keys and as many as are asked for."""
+    return state.run >= 0 and state.keys == key_names(ctx.keys) and state.count == ctx.buckets
+
+
+def open_run(ctx: IngestContext) -> int:
+    """Number under which rows are appended: that of no run published or delivered yet."""
+    return max(_published(ctx).run, delivered_runs(ctx).closed) + 1
 
 
-def _published(ctx: IngestContext) -> dict:
-    """Last published run and the keys of its snapshot."""
-    found = documents.read_json_if_present(ctx.spark, ctx.published_path)
-    return {names.RUN_ID: -1, "keys": []} if found is None else found
+def _runs(ctx: IngestContext) -> list[int]:
+    """The runs that have rows in the formatted table."""
+    found = documents.names(ctx.spark, ctx.table_path)
+    marked = [name.removeprefix(f"{names.RUN_ID}=") for name in found if name.startswith(f"{names.RUN_ID}=")]
+    return sorted(int(number) for number in marked if number.isdigit())
 
 
-def _snapshot(ctx: IngestContext, run: int) -> str:
-    return f"{ctx.snapshot_path}/{names.RUN_ID}={run}"
+def _rows_since(ctx: IngestContext, run: int) -> list[int]:
+    """The runs after this one that have rows."""
+    return [number for number in _runs(ctx) if number > run]
 
 
 def _snapshot_schema(ctx: IngestContext) -> T.StructType:
     return T.StructType([f for f in stored_schema(ctx).fields if f.name != names.RUN_ID])
 
 
-def _has_rows(ctx: IngestContext, run: int) -> bool:
-    return documents.exists(ctx.spark, f"{ctx.table_path}/{names.RUN_ID}={run}")
+def _history_schema(ctx: IngestContext) -> T.StructType:
+    rows = [f for f in _snapshot_schema(ctx).fields if f.name != names.CURRENT]
+    return T.StructType(
+        [*rows, T.StructField(names.VALID_TO, T.TimestampType()), T.StructField(names.CURRENT, T.StringType())]
+    )
+
+
+def _latest_buckets(ctx: IngestContext) -> buckets.Buckets:
+    keys = tuple(key_names(ctx.keys))
+    return buckets.Buckets(ctx.spark, ctx.snapshot_path, _snapshot_schema(ctx), keys, ctx.buckets)
+
+
+def _history_buckets(ctx: IngestContext) -> buckets.Buckets:
+    return _latest_buckets(ctx)._replace(path=ctx.history_path, schema=_history_schema(ctx))
 
 
 def publish_latest(ctx: IngestContext) -> bool:
-    """Write the next snapshot of latest rows, once enough rows are new.
+    """Write the buckets that new rows touch, once there are enough of these.
 
-    The published number is replaced last. An attempt that dies earlier leaves the
-    number open: later rows join it and the snapshot is written again. The previous
-    snapshot stays for readers, the one before it goes.
+    The document that names the buckets is replaced last. An attempt that dies earlier leaves
+    the number open: later rows join it and the buckets are written again. What was published
+    before stays for readers, what lies further back goes.
     """
-    run = open_run(ctx)
-    if ctx.publish_share is None or not _has_rows(ctx, run):
+    state = _published(ctx)
+    since = _rows_since(ctx, state.run)
+    if ctx.publish_share is None or not since:
         return False
-    if _snapshot_usable(ctx):
-        new = documents.size(ctx.spark, f"{ctx.table_path}/{names.RUN_ID}={run}")
-        if new < ctx.publish_share * documents.size(ctx.spark, _snapshot(ctx, run - 1)):
+    usable = _usable(ctx, state) and (state.history is not None or not ctx.store_history)
+    new = _log_since(ctx, state.run if usable else -1)
+    keys = key_names(ctx.keys)
+    found = buckets.touched(new, keys, ctx.buckets)
+    if not found.slots:
+        return False
+    nulls = found.null_keys or usable and state.null_keys
+    kinds = {"latest": (_latest_buckets(ctx), _write_latest)}
+    if ctx.store_history:
+        kinds["history"] = (_history_buckets(ctx), _write_history)
+    held = {name: dict(getattr(state, name) or {}) if usable else {} for name in kinds}
+    theirs = {name: {s: r for s, r in held[name].items() if s in set(found.slots)} for name in kinds}
+    if usable:
+        added = sum(documents.size(ctx.spark, f"{ctx.table_path}/{names.RUN_ID}={run}") for run in since)
+        if added < ctx.publish_share * buckets.size(_latest_buckets(ctx), theirs["latest"]):
             return False
-    read_latest(ctx).write.mode("overwrite").parquet(_snapshot(ctx, run))
-    published = {names.RUN_ID: run, "keys": key_names(ctx.keys)}
-    documents.write_json(ctx.spark, ctx.published_path, published)
-    documents.remove(ctx.spark, _snapshot(ctx, run - 2))
+    run = max(since)
+    for name, (of, write) in kinds.items():
+        write(ctx, of, run, theirs[name], new, nulls)
+    after = {name: {**held[name], **dict.fromkeys(found.slots, run)} for name in kinds}
+    before = {name: dict(getattr(state, name) or {}) for name in ("latest", "history")}
+    document = Published(
+        run, keys, ctx.buckets, after["latest"], after.get("history"), nulls, before, state.run, state.previous
+    )
+    documents.write_json(ctx.spark, ctx.published_path, document._asdict())
+    places = {"latest": _latest_buckets(ctx), "history": _history_buckets(ctx)}
+    for name, further in state.before.items():
+        old = {int(slot): number for slot, number in further.items()}
+        buckets.clean(places[name], old, before[name], after.get(name, {}))
     return True
 
 
-def read_history(ctx: IngestContext) -> DataFrame:
-    """Every row with ``valid_to`` and ``current`` resolved."""
-    rows = read_formatted(ctx).drop(names.CURRENT)
-    return history(rows, key_names(ctx.keys))
+def _write_latest(ctx, of: buckets.Buckets, run: int, held: buckets.Held, new: DataFrame, nulls: bool) -> None:
+    """The newer of each key's old and new row; only new rows are shuffled.
+
+    Rows with NULL in a key meet no other in a join of equal keys. Where there are any, the old rows
+    of the touched buckets are shuffled too.
+    """
+    keys = list(of.keys)
+    newest = latest(new, keys, _ORDER).withColumn(names.CURRENT, F.lit("Y"))
+    if not held or nulls:
+        rows = newest if not held else merge_latest(buckets.read(of, held), newest, keys, _ORDER)
+        buckets.write(of, run, rows.repartition(of.count, *keys))
+        return
+    with buckets.bucketed(of, held) as old:
+        whole = F.struct(*[F.col(f"`{f.name}`") for f in of.schema.fields])
+        fresh = newest.repartition(of.count, *keys).select(
+            whole.alias("__new"), *[F.col(f"`{key}`").alias(f"__k_{key}") for key in keys]
+        )
+        known = old.select(whole.alias("__old"), *[F.col(f"`{key}`") for key in keys])
+        same = [known[key] == fresh[f"__k_{key}"] for key in keys]
+        met = known.join(fresh.hint("shuffle_hash"), reduce(and_, same), "full_outer")
+        version = {side: F.struct(*[F.col(side)[name] for name in _ORDER]) for side in ("__old", "__new")}
+        newer = F.col("__old").isNull() | F.col("__new").isNotNull() & (version["__new"] > version["__old"])
+        kept = F.when(newer, F.col("__new")).otherwise(F.col("__old"))
+        buckets.write(of, run, met.select(kept.alias("__row")).select("__row.*"))
+
+
+def _write_history(ctx, of: buckets.Buckets, run: int, held: buckets.Held, new: DataFrame, nulls: bool) -> None:
+    """Versions of keys with new rows anew; all others pass without a shuffle."""
+    keys = list(of.keys)
+    if not held:
+        versions = history(new.drop(names.CURRENT), keys)
+        buckets.write(of, run, versions.repartition(of.count, *keys))
+        return
+    if nulls:
+        buckets.write(of, run, _settled(ctx, buckets.read(of, held), new).repartition(of.count, *keys))
+        return
+    with buckets.bucketed(of, held) as old:
+        theirs = new.select(*keys).distinct().repartition(of.count, *keys).hint("shuffle_hash")
+        others, same = old.join(theirs, keys, "left_anti"), old.join(theirs, keys, "left_semi")
+        versions = history(same.drop(names.VALID_TO, names.CURRENT).unionByName(new.drop(names.CURRENT)), keys)
+        spread = versions.select(*old.columns).repartition(of.count, *keys)
+        buckets.write(of, run, others.select(*old.columns).unionByName(spread))
+
+
+# ---------------------------------------------------------------- delivering
+
+
+class Delivered(NamedTuple):
+    """Runs that are closed to new rows, and those that the hook has written."""
+
+    closed: int = -1
+    written: int = -1
+
+
+def hook_in_stream(ctx: IngestContext) -> bool:
+    """Whether the stream calls the ``write`` hook itself, for each micro-batch.
+
+    That takes a callback from Spark and a table that takes part of a batch back, as Delta does.
+    """
+    return ctx.hooks.write is not None and ctx.table_format != "parquet"
+
+
+def delivered_runs(ctx: IngestContext) -> Delivered:
+    found = documents.read_json_if_present(ctx.spark, ctx.delivered_path)
+    return Delivered() if found is None else Delivered(**found)
+
+
+def deliver(ctx: IngestContext) -> list[int]:
+    """Hand the rows of every run that is not written yet to the ``write`` hook.
+
+    First the open run is closed: later rows get the next number, so that a run that is
+    handed over again, because the last attempt died, has the very same rows. Then the
+    hook gets one closed run after the other, and a ledger notes each once the hook has
+    returned. A hook that replaces what it wrote under a number gives each row once.
+    """
+    state = delivered_runs(ctx)
+    waiting = _rows_since(ctx, state.written)
+    if not waiting:
+        return []
+    state = state._replace(closed=max(state.closed, *waiting))
+    documents.write_json(ctx.spark, ctx.delivered_path, state._asdict())
+    for run in waiting:
+        rows = _read_log(ctx).where(F.col(names.RUN_ID) == run).drop(names.RUN_ID)
+        ctx.hooks.write(ctx, rows, run)
+        state = state._replace(written=run)
+        documents.write_json(ctx.spark, ctx.delivered_path, state._asdict())
+    return waiting
 
 
 # --------------------------------------------------------------- batch writing

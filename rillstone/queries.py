@@ -16,13 +16,15 @@ from rillstone.context import Hooks, IngestContext, load_context
 from rillstone.functions import schemas
 from rillstone.functions.keys import key_names, split_keys
 from rillstone.operators.drift import drift_report
+from rillstone.operators.observed import observed_fields as fields_seen
+from rillstone.operators.offsets import offset_report
 from rillstone.operators.parse import flatten, raw_rows, reduce_records, structured
 from rillstone.operators.quality import accepted, classify, rejects
 from rillstone.operators.versions import history, latest, merge_latest
 from rillstone.plans import tables
 from rillstone.plans.ingest import run_ingest, run_topics
 from rillstone.sources import documents
-from rillstone.sources.records import envelope
+from rillstone.sources.records import MICROSECONDS, envelope
 from rillstone.streaming.drain import DrainTimeout
 from rillstone.streaming.stages import formatted_rows, landing_rows
 from rillstone.workspace import new_folder
@@ -314,6 +316,18 @@ def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("record_offset").alias("event_id"), "reason")
 
 
+@query
+def trailing_text_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole events, some with something behind them that a JSON parser does not reach."""
+    whole = F.to_json(F.struct(*EVENT_FIELDS), MICROSECONDS)
+    tails = ("x", " " , "{}", "]", "}", ",", ',{"event_id":1}', "] , [2", "\n")
+    message = whole
+    for number, tail in enumerate(tails):
+        message = F.when(F.col("event_id") % 20 == number, F.concat(whole, F.lit(tail))).otherwise(message)
+    found = classify(event_texts(spark, sf_dir, message), EVENT, EVENT_KEY)
+    return found.select(F.col("record_offset").alias("event_id"), "outcome")
+
+
 # ----------------------------------------------------------------- versions
 
 
@@ -441,6 +455,39 @@ def conversation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def in_batches(spark: SparkSession, sf_dir: str, ctx: IngestContext, batch: Column, batches: int) -> None:
+    """All events, in so many runs."""
+    events = read(spark, sf_dir, "events").withColumn("__batch", batch)
+    files = topic_files(spark, sf_dir, "events")
+    for number in range(batches):
+        part = events.where(F.col("__batch") == number).drop("__batch")
+        write_records(event_records(part), ctx.record_path, files)
+        run_ingest(ctx)
+
+
+@query
+def bucketed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most events, then those of a tenth of the users: buckets of their keys are written again."""
+    ctx = event_context(
+        spark, new_folder(spark, "buckets"), primary_keys="user_id", publish_share=0.0, buckets=8
+    )
+    late = (F.col("user_id") % 10 == 0) & (F.col("event_id") % 2 == 0)
+    in_batches(spark, sf_dir, ctx, late.cast("int"), 2)
+    return tables.read_latest(ctx).select(*EVENT_FIELDS, naive("timestamp"), "current")
+
+
+@query
+def history_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in four runs, in no order of time: intervals are stored and split by late rows."""
+    ctx = event_context(
+        spark, new_folder(spark, "intervals"), primary_keys="user_id",
+        publish_share=0.0, buckets=8, store_history=True,
+    )
+    in_batches(spark, sf_dir, ctx, F.pmod(F.col("event_id") * 7 + 3, F.lit(4)), 4)
+    rows = tables.read_history(ctx)
+    return rows.select(*EVENT_FIELDS, naive("timestamp"), naive("valid_to"), "current")
+
+
 # ------------------------------------------------------------------ schemas
 
 
@@ -473,6 +520,26 @@ def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_report(event_texts(spark, sf_dir, payload), old, new)
 
 
+@query
+def observed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that messages carry, declared or not, in all their types."""
+    rest = lambda n: F.col("event_id") % n
+    user = F.when(rest(5) == 0, F.concat(F.lit('"u'), "user_id", F.lit('"'))).otherwise(F.col("user_id").cast("string"))
+    message = F.concat(
+        F.lit('{"event_id":'), "event_id", F.lit(',"user_id":'), user,
+        F.lit(',"event_type":'), F.when(rest(7) == 0, F.lit("null")).otherwise(F.concat(F.lit('"'), "event_type", F.lit('"'))),
+        F.when(rest(3) == 0, F.lit(',"meta":{"source":"web","more":{"a b":1}}')).otherwise(F.lit("")),
+        F.when(rest(4) == 0, F.lit(',"parts":[{"kind":1},{"kind":2,"note":"n"}]')).otherwise(F.lit("")),
+        F.when(rest(6) == 0, F.concat(F.lit(',"tags":{"t'), rest(50).cast("string"), F.lit('":1.5}'))).otherwise(F.lit("")),
+        F.when(rest(97) != 0, F.lit("}")).otherwise(F.lit("")),
+    )
+    declared = struct(
+        event_id=LONG, user_id=LONG, event_type=TEXT, value=DOUBLE,
+        parts=T.ArrayType(struct(kind=TEXT)), tags=T.MapType(TEXT, LONG),
+    )
+    return fields_seen(event_texts(spark, sf_dir, message), declared)
+
+
 @query
 def schema_evolve_add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even events arrive under a declaration without props, the others with it."""
@@ -686,6 +753,46 @@ def write_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_rows.select("event_id", "user_id", "value")
 
 
+@query
+def write_hook_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run calls the hook; the first one dies between the hook and its ledger, and more
+    events come before the next: every error once."""
+    folder = new_folder(spark, "hook-run")
+    calls = []
+
+    def write(ctx: IngestContext, batch: DataFrame, batch_id: int) -> None:
+        errors = batch.where(F.col("event_type") == "error")
+        tables.write_batch(errors, f"{folder}/errors", batch_id)
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise InterruptedError("killed before the ledger is written")
+
+    ctx = event_context(spark, folder, hooks=Hooks(write=write))
+    with suppress(InterruptedError):
+        in_batches(spark, sf_dir, ctx, F.pmod("event_id", F.lit(2)) * 2, 1)
+    rest = event_records(read(spark, sf_dir, "events").where("event_id % 2 <> 0"))
+    write_records(rest, ctx.record_path, topic_files(spark, sf_dir, "events"))
+    run_ingest(ctx)
+    stored_rows = tables.read_batches(spark, f"{folder}/errors", tables.read_formatted(ctx).schema)
+    return stored_rows.select("event_id", "user_id", "value", "batch_id")
+
+
+@query
+def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in four record partitions, some offsets lost and some sent again."""
+    ctx = event_context(spark, new_folder(spark, "offsets"))
+    partition, offset = F.pmod("offset", F.lit(4)), F.expr("offset div 4")
+    records = event_records(read(spark, sf_dir, "events"))
+    records = records.withColumns({"partition": partition.cast("int"), "offset": offset})
+    sent = F.col("offset") % 1000
+    records = records.where(~sent.between(100, 119) & (sent != 777) | (F.col("partition") == 3))
+    again = records.where((F.col("offset") % 500).between(40, 45) & (F.col("partition") < 2))
+    records = records.unionByName(again).unionByName(again.where("offset % 500 = 42"))
+    write_records(records, ctx.record_path, topic_files(spark, sf_dir, "events"))
+    run_ingest(ctx)
+    return offset_report(tables.read_archive(ctx), block=64)
+
+
 @query
 def stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = event_context(spark, new_folder(spark, "drain"))

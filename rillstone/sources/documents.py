@@ -71,10 +71,12 @@ def _replace(spark: SparkSession, draft: str, path: str) -> None:
     context.rename(hadoop.Path(draft), target, options)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below ``path``; none where there is nothing."""
+    fs, target = _locate(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
+
+
 def largest_number(spark: SparkSession, path: str) -> int:
     """The largest of the file names below ``path`` that are numbers, or -1."""
-    fs, target = _locate(spark, path)
-    if not fs.exists(target):
-        return -1
-    found = [status.getPath().getName() for status in fs.listStatus(target)]
-    return max((int(name) for name in found if name.isdigit()), default=-1)
+    return max((int(name) for name in names(spark, path) if name.isdigit()), default=-1)

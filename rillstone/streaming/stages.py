@@ -92,7 +92,7 @@ def start_formatting(ctx: IngestContext) -> StreamingQuery:
     if ctx.table_format == "parquet":
         reader = reader.schema(tables.raw_schema(ctx))
     rows = formatted_rows(ctx, reader.load(ctx.raw_path))
-    if ctx.hooks.write is not None:
+    if tables.hook_in_stream(ctx):
         sink = _sink(ctx, rows, "formatting").outputMode("update")
         return sink.foreachBatch(partial(ctx.hooks.write, ctx)).start()
     numbered = rows.withColumn(names.RUN_ID, F.lit(tables.open_run(ctx)))

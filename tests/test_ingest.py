@@ -326,8 +326,11 @@ def test_snapshot_of_latest_rows(spark, tmp_path, monkeypatch):
         run_ingest(ctx)
         expected[2] = (f"b{number}", "Y")
         assert (newest(), tables.open_run(ctx)) == (expected, number)
-    kept = sorted(p.name for p in (tmp_path / "tables" / "pre_demo_events_snapshot").iterdir())
-    assert kept == ["run_id=2", "run_id=3"]
+    published = documents.read_json(spark, ctx.published_path)
+    named = {(slot, run) for held in (published["latest"], published["before"]["latest"]) for slot, run in held.items()}
+    folders = (tmp_path / "tables" / "pre_demo_events_snapshot").glob("run=*/__slot=*")
+    kept = {(p.name.removeprefix("__slot="), int(p.parent.name.removeprefix("run="))) for p in folders}
+    assert kept == named and max(run for _, run in kept) == 3
     everything = tables.latest(
         tables.read_formatted(ctx), ["id"], ["timestamp", "record_partition", "record_offset"]
     )
@@ -596,7 +599,7 @@ def test_transform_must_keep_required_columns(spark, tmp_path):
 
 
 def test_write_hook_is_handed_to_foreach_batch(spark, tmp_path, monkeypatch):
-    """The stream is wired to the hook; the hook itself is called directly, as
+    """On Delta the stream is wired to the hook; the hook itself is called directly, as
     running foreachBatch would open a callback port."""
     handed = []
 
@@ -608,6 +611,8 @@ def test_write_hook_is_handed_to_foreach_batch(spark, tmp_path, monkeypatch):
         tables.write_batch(batch, f"{ctx.table_path}/custom", batch_id)
 
     monkeypatch.setattr(DataStreamWriter, "foreachBatch", foreach_batch)
+    for module in ("tables", "ingest"):
+        monkeypatch.setattr(f"rillstone.plans.{module}.hook_in_stream", lambda ctx: True)
     ctx = context(spark, tmp_path, registry={("src", "demo_events"): Hooks(write=write)})
     send(ctx, message(1), message(2), "oops")
     run_ingest(ctx)

@@ -52,9 +52,18 @@ CASES = {
     "tombstone": (None, "null_value", (None, None, None)),
     "other case": ('{"ID":1,"n":"x"}', "missing_required", (None, "x", None)),
     "duplicate key": ('{"id":1,"id":2,"n":"x"}', "accepted", (2, "x", None)),
-    # Text after the first object goes unnoticed; the raw archive keeps it.
-    "trailing text": ('{"id":1} trailing', "accepted", (1, None, None)),
-    "two objects": ('{"id":1}{"id":2}', "accepted", (1, None, None)),
+    # Spark's parser stops behind the first value.
+    "trailing text": ('{"id":1} trailing', "malformed", (1, None, None)),
+    "two objects": ('{"id":1}{"id":2}', "malformed", (1, None, None)),
+    "two objects in a list": ('{"id":1},{"id":2}', "malformed", (1, None, None)),
+    "trailing comma": ('{"id":1},', "malformed", (1, None, None)),
+    "closing bracket": ('{"id":1}]', "malformed", (1, None, None)),
+    "closing bracket and more": ('{"id":1}] , [2', "malformed", (1, None, None)),
+    "closing brace": ('{"id":1}}x', "malformed", (1, None, None)),
+    "brace, bracket": ('{"id":1}}]', "malformed", (1, None, None)),
+    "comment": ('{"id":1}//x', "malformed", (1, None, None)),
+    "brackets within": ('{"id":1,"n":"]}x","z":[[1],[]]}', "accepted", (1, "]}x", None)),
+    "blanks around": (' \n{"id":1}\t ', "accepted", (1, None, None)),
     "single quotes": ("{'id':1}", "accepted", (1, None, None)),
     "own corrupt field": ('{"id":1,"_corrupt_record":"x"}', "accepted", (1, None, None)),
 }
