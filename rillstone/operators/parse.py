@@ -32,17 +32,23 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def is_whole(text: Column) -> Column:
-    """Whether the text is one JSON value and nothing else; NULL or false where it is not.
+def as_only_element(text: Column, name: str) -> Column:
+    """The text as the one element of an array, so that the parse sees what stands behind it.
 
-    ``from_json`` stops behind the first value. Within brackets the text must be the only
-    element of an array, which whatever follows it breaks; but for a closing bracket, behind
-    which nothing is read. That cannot stand within braces, and is looked for only in
-    texts that hold one. Neither builds values.
+    ``from_json`` stops behind the first value. Here, text that follows breaks the array, or makes
+    a second element of it; but for a closing bracket, behind which the rest may be
+    anything: see ``closes_nothing``.
     """
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    braced = F.json_object_keys(F.concat(F.lit('{"":'), text, F.lit("}")))
-    return alone & (~F.contains(text, F.lit("]")) | braced.isNotNull())
+    return F.concat(F.lit(f'{{"{name}":['), text, F.lit("]}"))
+
+
+def closes_nothing(text: Column) -> Column:
+    """Whether a text that begins with a JSON value does not go on with a closing bracket.
+
+    As the value of a field, the text may be followed by a closing brace or a further field,
+    but not by a bracket. Only tokens are read, and only texts with a bracket need this.
+    """
+    return F.json_object_keys(F.concat(F.lit('{"":'), text, F.lit("}"))).isNotNull()
 
 
 def position_columns(df: DataFrame) -> list[str]:

@@ -8,9 +8,11 @@ from pyspark.sql import types as T
 
 from rillstone.functions import names, schemas
 from rillstone.functions.keys import KeyColumn, field, lift
-from rillstone.operators.parse import is_whole, once, position_columns
+from rillstone.operators.parse import as_only_element, closes_nothing, once, position_columns
 
-_SEEN, _PARSED, _WHOLE = "__seen", "__parsed", "__whole"
+_SEEN, _ONLY, _BROKEN = "__seen", "__only", "__broken"
+# What counts as blank: no character above the space.
+_BLANK = r"^[\x00-\x20]*$"
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": names.CORRUPT}
 
 
@@ -76,21 +78,28 @@ def classify(
     no counterpart in the ``target``'s type. Else ``accepted``. The first that holds counts.
     """
     position = position_columns(texts)
-    reading = T.StructType([*schema.fields, T.StructField(names.CORRUPT, T.StringType())])
     text = F.col(names.VALUE)
-    seen = F.struct(F.from_json(text, reading, _OPTIONS).alias(_PARSED), is_whole(text).alias(_WHOLE))
-    read = texts.select(names.TIMESTAMP, text.alias(names.VALUE_RAW), *position, once(seen).alias(_SEEN))
+    reading = T.StructType(
+        [T.StructField(_ONLY, T.ArrayType(schema)), T.StructField(names.CORRUPT, T.StringType())]
+    )
+    read = texts.select(
+        names.TIMESTAMP,
+        text.alias(names.VALUE_RAW),
+        *position,
+        once(F.from_json(as_only_element(text, _ONLY), reading, _OPTIONS)).alias(_SEEN),
+    )
+    elements, text = F.col(_SEEN).getField(_ONLY), F.col(names.VALUE_RAW)
     parsed = read.select(
         names.TIMESTAMP,
+        F.get(elements, F.lit(0)).alias(names.VALUE),
         names.VALUE_RAW,
         *position,
-        F.col(_SEEN).getField(_PARSED).alias(names.VALUE),
-        F.col(_SEEN).getField(_WHOLE).alias(_WHOLE),
+        (F.col(_SEEN).getField(names.CORRUPT).isNotNull() | (F.size(elements) != 1)).alias(_BROKEN),
     )
     value = F.col(names.VALUE)
-    outcome = F.when(value.isNull(), names.NULL_VALUE).when(
-        value.getField(names.CORRUPT).isNotNull() | ~F.coalesce(_WHOLE, F.lit(False)), names.MALFORMED
-    )
+    blank = text.isNull() | value.isNull() & text.rlike(_BLANK)
+    broken = F.col(_BROKEN) | value.isNull() | F.contains(text, F.lit("]")) & ~closes_nothing(text)
+    outcome = F.when(blank, names.NULL_VALUE).when(broken, names.MALFORMED)
     missing = lacks_required(value, schema)
     if missing is not None:
         outcome = outcome.when(missing, names.MISSING_REQUIRED)
@@ -102,7 +111,7 @@ def classify(
             outcome = outcome.when(lost, names.NOT_CASTABLE)
     return parsed.select(
         names.TIMESTAMP,
-        value.dropFields(names.CORRUPT).alias(names.VALUE),
+        names.VALUE,
         names.VALUE_RAW,
         *lift(keys),
         *position,
