@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,6 +83,8 @@ class IngestContext:
     records_per_task: int = 1_000_000
     # How much older than the newest one a record file may be and still be read.
     record_file_age: str = "36500d"
+    # Times that the topic began anew after it lost a checkpoint; found by each run.
+    epoch: int = 0
 
     def __post_init__(self) -> None:
         check_keys(self.keys, self.source_schema)
@@ -115,17 +117,29 @@ class IngestContext:
     def table_name(self) -> str:
         return f"{self.generic['formatted_table_catalog']}.{self.resource_name}"
 
+    def at(self, epoch: int) -> IngestContext:
+        """The same topic in another epoch."""
+        return replace(self, epoch=epoch)
+
     @property
-    def table_path(self) -> str:
+    def _of_epoch(self) -> str:
+        return f".{self.epoch}" if self.epoch else ""
+
+    @property
+    def _base_path(self) -> str:
         return f"{self.generic['formatted_table_prefix']}/{self.resource_name}"
 
+    @property
+    def table_path(self) -> str:
+        return self._base_path + (self._of_epoch if self.table_format == "parquet" else "")
+
     @property
     def raw_table_name(self) -> str:
         return f"{self.table_name}_src"
 
     @property
     def raw_path(self) -> str:
-        return f"{self.table_path}_src"
+        return f"{self._base_path}_src" + (self._of_epoch if self.table_format == "parquet" else "")
 
     @property
     def latest_table_name(self) -> str:
@@ -136,11 +150,11 @@ class IngestContext:
 
     @property
     def snapshot_path(self) -> str:
-        return f"{self.table_path}_snapshot"
+        return f"{self._base_path}_snapshot"
 
     @property
     def history_path(self) -> str:
-        return f"{self.table_path}_history"
+        return f"{self._base_path}_history"
 
     @property
     def state_path(self) -> str:
@@ -148,7 +162,7 @@ class IngestContext:
         return f"{prefix}/{self.job['source']}/{self.job['topic_name']}"
 
     def checkpoint(self, stage: str) -> str:
-        return f"{self.state_path}/{stage}"
+        return f"{self.state_path}/{stage}{self._of_epoch}"
 
     @property
     def saved_schema_path(self) -> str:
@@ -175,6 +189,16 @@ class IngestContext:
         """Messages as archived, lifted key columns, and the keys in force."""
         return f"{self.state_path}.layout.json"
 
+    @property
+    def epoch_path(self) -> str:
+        """The present epoch, if it is not the first."""
+        return f"{self.state_path}.epoch.json"
+
+    @property
+    def stored_path(self) -> str:
+        """Ranges of offsets that were stored when the epoch began."""
+        return f"{self.state_path}.stored/{self.epoch}"
+
     @property
     def progress_path(self) -> str:
         return f"{self.state_path}.progress"

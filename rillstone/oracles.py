@@ -162,6 +162,8 @@ ORACLES: dict[str, str] = {
                CAST(0 AS BIGINT) AS rows FROM lost WHERE o > b + 1
         UNION ALL
         SELECT p, 'repeated', min(o), max(o), CAST(sum(n) AS BIGINT) FROM runs GROUP BY p, g""",
+    "checkpoint_reset": """
+        SELECT event_id, unnest(['archive', 'log']) AS place FROM events""",
     "stream_drain": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_restart": (
         "SELECT event_id, ts, user_id, event_type, value, props, ts AS timestamp FROM events"

@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.context import HookRegistry, IngestContext, load_context
+from rillstone.plans.recovery import recover
 from rillstone.plans.tables import (
     Provisioned,
     deliver,
+    epochs,
     hook_in_stream,
     provision,
     publish_latest,
+    refresh,
     register_latest,
 )
 from rillstone.sources import documents
@@ -54,16 +57,19 @@ def run_ingest(ctx: IngestContext) -> Run:
 
 
 def _run(ctx: IngestContext) -> Run:
+    ctx = recover(ctx)
     provisioned = provision(ctx)
     ship_hook_code(ctx)
     reports = Reports(ctx.spark, f"{ctx.progress_path}/{uuid.uuid4().hex}")
     batches: dict[str, tuple[int, int]] = {}
     queries: list[StreamingQuery] = []
     late: DrainTimeout | None = None
-    for stage, start in (("landing", start_landing), ("formatting", start_formatting)):
-        commits = f"{ctx.checkpoint(stage)}/commits"
+    stages = [(ctx, "landing", start_landing)]
+    stages += [(each, "formatting", start_formatting) for each in epochs(ctx)]
+    for each, stage, start in stages:
+        commits = f"{each.checkpoint(stage)}/commits"
         first = documents.largest_number(ctx.spark, commits) + 1
-        queries.append(start(ctx))
+        queries.append(start(each))
         try:
             drain(queries[-1], ctx.timeout_seconds, reports)
         except DrainTimeout as timeout:
@@ -74,13 +80,12 @@ def _run(ctx: IngestContext) -> Run:
     elif not hook_in_stream(ctx):
         deliver(ctx)
     if ctx.register_tables:
-        ctx.spark.catalog.refreshTable(ctx.table_name)
-        ctx.spark.catalog.refreshTable(ctx.raw_table_name)
+        refresh(ctx)
         if ctx.hooks.write is None:
             register_latest(ctx)
     if late is not None:
         raise late
-    return Run(provisioned, *queries, reports, batches)
+    return Run(provisioned, queries[0], queries[-1], reports, batches)
 
 
 def run_topics(contexts: Iterable[IngestContext], at_once: int = 8) -> list[Run]:

@@ -113,6 +113,20 @@ def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select(*columns)
 
 
+# --------------------------------------------------------------------- epochs
+
+
+def epochs(ctx: IngestContext) -> list[IngestContext]:
+    """The topic in every epoch that it has folders of, the present one last."""
+    found = documents.read_json_if_present(ctx.spark, ctx.epoch_path)
+    last = 0 if found is None else found["epoch"]
+    return [ctx.at(epoch) for epoch in range(last + 1)] if ctx.table_format == "parquet" else [ctx.at(last)]
+
+
+def write_epoch(ctx: IngestContext) -> None:
+    documents.write_json(ctx.spark, ctx.epoch_path, {"epoch": ctx.epoch})
+
+
 # ---------------------------------------------------------------- provisioning
 
 
@@ -151,12 +165,15 @@ def provision(ctx: IngestContext) -> Provisioned:
     refill = before.refilling or _needs_refill(ctx, before, known)
 
     if saved == ctx.target_schema and after == before:
-        if ctx.register_tables and not spark.catalog.tableExists(ctx.table_name):
+        if ctx.register_tables and not _registered(ctx):
             register(ctx, stored_schema(ctx))
         return Provisioned("unchanged", [])
     if refill:
         _write_layout(ctx, before._replace(refilling=True))
-        for path in (ctx.table_path, ctx.checkpoint("formatting"), ctx.snapshot_path, ctx.history_path, ctx.published_path):
+        for each in epochs(ctx):
+            documents.remove(spark, each.table_path)
+            documents.remove(spark, each.checkpoint("formatting"))
+        for path in (ctx.snapshot_path, ctx.history_path, ctx.published_path):
             documents.remove(spark, path)
 
     wanted = formatted_schema(ctx, table, after.lifted)
@@ -166,8 +183,9 @@ def provision(ctx: IngestContext) -> Provisioned:
         if not _is_table(ctx, ctx.raw_path):
             _append_nothing(ctx, raw_schema(ctx), ctx.raw_path, names.OUTCOME)
     else:
-        documents.make_directory(spark, ctx.table_path)
-        documents.make_directory(spark, ctx.raw_path)
+        for each in epochs(ctx):
+            documents.make_directory(spark, each.table_path)
+            documents.make_directory(spark, each.raw_path)
     documents.write_json(spark, ctx.table_schema_path, table.jsonValue())
     _write_layout(ctx, after)
     if ctx.register_tables:
@@ -216,8 +234,13 @@ def _write_layout(ctx: IngestContext, layout: Layout) -> None:
     )
 
 
+def fill_anew(ctx: IngestContext) -> None:
+    """Let the next provisioning empty the log, so that the archive is formatted again."""
+    _write_layout(ctx, _layout(ctx)._replace(refilling=True))
+
+
 def table_exists(ctx: IngestContext) -> bool:
-    return _is_table(ctx, ctx.table_path)
+    return _is_table(ctx, ctx.at(0).table_path)
 
 
 def _is_table(ctx: IngestContext, path: str) -> bool:
@@ -237,9 +260,40 @@ def _append_nothing(
 
 
 def register(ctx: IngestContext, formatted: T.StructType) -> None:
-    """Make both tables known to the catalog, following added columns."""
-    _register(ctx, ctx.table_name, formatted, ctx.table_path, names.RUN_ID)
-    _register(ctx, ctx.raw_table_name, raw_schema(ctx), ctx.raw_path, names.OUTCOME)
+    """Make both tables known to the catalog, following added columns.
+
+    A topic of several epochs has a table for each, and views of them all.
+    """
+    all_ = epochs(ctx)
+    for name, schema, place, partition in (
+        (ctx.table_name, formatted, lambda e: e.table_path, names.RUN_ID),
+        (ctx.raw_table_name, raw_schema(ctx), lambda e: e.raw_path, names.OUTCOME),
+    ):
+        if len(all_) == 1:
+            _register(ctx, name, schema, place(ctx), partition)
+            continue
+        for each in all_:
+            _register(ctx, f"{name}_{each.epoch}", schema, place(each), partition)
+        if ctx.spark.catalog.tableExists(name) and ctx.spark.catalog.getTable(name).tableType == "EXTERNAL":
+            ctx.spark.sql(f"DROP TABLE {name}")
+        columns = ", ".join(f"`{f.name}`" for f in schema.fields)
+        parts = " UNION ALL ".join(f"SELECT {columns} FROM {name}_{each.epoch}" for each in all_)
+        ctx.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {parts}")
+
+
+def _registered(ctx: IngestContext) -> bool:
+    last = epochs(ctx)[-1].epoch
+    wanted = [ctx.table_name] if not last else [ctx.table_name, f"{ctx.table_name}_{last}"]
+    return all(ctx.spark.catalog.tableExists(name) for name in wanted)
+
+
+def refresh(ctx: IngestContext) -> None:
+    """Let the catalog see the files of the last run."""
+    of_epochs = epochs(ctx)
+    suffixes = [""] if len(of_epochs) == 1 else [f"_{each.epoch}" for each in of_epochs]
+    for name in (ctx.table_name, ctx.raw_table_name):
+        for suffix in suffixes:
+            ctx.spark.catalog.refreshTable(name + suffix)
 
 
 def register_latest(ctx: IngestContext) -> None:
@@ -332,7 +386,9 @@ def stored_schema(ctx: IngestContext) -> T.StructType:
 
 
 def _read_log(ctx: IngestContext) -> DataFrame:
-    return read_path(ctx.spark, ctx.table_path, stored_schema(ctx), ctx.table_format)
+    schema = stored_schema(ctx)
+    parts = [read_path(ctx.spark, each.table_path, schema, ctx.table_format) for each in epochs(ctx)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_formatted(ctx: IngestContext) -> DataFrame:
@@ -343,7 +399,9 @@ def read_formatted(ctx: IngestContext) -> DataFrame:
 def read_archive(ctx: IngestContext) -> DataFrame:
     """The raw archive with every outcome; keys come from the message where a file is
     older than their declaration."""
-    rows = read_path(ctx.spark, ctx.raw_path, raw_schema(ctx), ctx.table_format)
+    schema = raw_schema(ctx)
+    parts = [read_path(ctx.spark, each.raw_path, schema, ctx.table_format) for each in epochs(ctx)]
+    rows = reduce(DataFrame.unionByName, parts)
     archived = schemas.by_name(rows.schema[names.VALUE].dataType)
     filled = {
         key.name: F.coalesce(F.col(f"`{key.name}`"), field(key.path).cast("string"))
@@ -467,9 +525,15 @@ def open_run(ctx: IngestContext) -> int:
 
 def _runs(ctx: IngestContext) -> list[int]:
     """The runs that have rows in the formatted table."""
-    found = documents.names(ctx.spark, ctx.table_path)
+    found = [name for each in epochs(ctx) for name in documents.names(ctx.spark, each.table_path)]
     marked = [name.removeprefix(f"{names.RUN_ID}=") for name in found if name.startswith(f"{names.RUN_ID}=")]
-    return sorted(int(number) for number in marked if number.isdigit())
+    return sorted({int(number) for number in marked if number.isdigit()})
+
+
+def _bytes(ctx: IngestContext, runs: list[int]) -> int:
+    """Bytes of the rows of these runs."""
+    folders = [f"{each.table_path}/{names.RUN_ID}={run}" for each in epochs(ctx) for run in runs]
+    return sum(documents.size(ctx.spark, folder) for folder in folders if documents.exists(ctx.spark, folder))
 
 
 def _rows_since(ctx: IngestContext, run: int) -> list[int]:
@@ -521,8 +585,7 @@ def publish_latest(ctx: IngestContext) -> bool:
     held = {name: dict(getattr(state, name) or {}) if usable else {} for name in kinds}
     theirs = {name: {s: r for s, r in held[name].items() if s in set(found.slots)} for name in kinds}
     if usable:
-        added = sum(documents.size(ctx.spark, f"{ctx.table_path}/{names.RUN_ID}={run}") for run in since)
-        if added < ctx.publish_share * buckets.size(_latest_buckets(ctx), theirs["latest"]):
+        if _bytes(ctx, since) < ctx.publish_share * buckets.size(_latest_buckets(ctx), theirs["latest"]):
             return False
     run = max(since)
     for name, (of, write) in kinds.items():

@@ -793,6 +793,24 @@ def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_report(tables.read_archive(ctx), block=64)
 
 
+@query
+def checkpoint_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two thirds of the events, all checkpoints lost, the rest among records sent again:
+    every event once, in the log and in the archive."""
+    folder = new_folder(spark, "reset")
+    ctx = event_context(spark, folder)
+    events = read(spark, sf_dir, "events")
+    files = topic_files(spark, sf_dir, "events")
+    write_records(event_records(events.where("event_id % 3 <> 1")), ctx.record_path, files)
+    run_ingest(ctx)
+    documents.remove(spark, ctx.state_path)
+    write_records(event_records(events.where("event_id % 3 <> 0")), ctx.record_path, files)
+    run_ingest(ctx)
+    raw = tables.read_raw(ctx).select(F.col("event_id").cast("long").alias("event_id"), F.lit("archive").alias("place"))
+    rows = tables.read_formatted(ctx).select("event_id", F.lit("log").alias("place"))
+    return raw.unionByName(rows)
+
+
 @query
 def stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = event_context(spark, new_folder(spark, "drain"))

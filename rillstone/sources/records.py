@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -29,8 +30,18 @@ MICROSECONDS = {
 }
 
 
-def consumer_options(cluster: Mapping[str, Any], job: Mapping[str, Any]) -> dict[str, str]:
-    """Topic, starting point, rate limit and group of the Kafka consumer."""
+# Fixed value: what Kafka's option takes as the earliest offset of a partition.
+EARLIEST = -2
+
+
+def consumer_options(
+    cluster: Mapping[str, Any], job: Mapping[str, Any], positions: Mapping[str, int] | None = None
+) -> dict[str, str]:
+    """Topic, starting point, rate limit and group of the Kafka consumer.
+
+    With ``positions``, partitions go on there. Kafka wants all partitions named: those
+    below ``kafka_partitions`` that have no position start from the earliest.
+    """
     # Option names of Spark's Kafka source.
     options = {
         "kafka.bootstrap.servers": cluster["bootstrap_servers"],
@@ -38,6 +49,10 @@ def consumer_options(cluster: Mapping[str, Any], job: Mapping[str, Any]) -> dict
         "startingOffsets": "earliest",
         "kafka.group.id": cluster["consumer_group_id"],
     }
+    if positions:
+        known = {str(number): EARLIEST for number in range(int(job.get("kafka_partitions", 0)))}
+        starts = {job["kafka_topic_name"]: {**known, **positions}}
+        options["startingOffsets"] = json.dumps(starts, sort_keys=True)
     if job.get("max_offsets_per_trigger") is not None:
         options["maxOffsetsPerTrigger"] = str(job["max_offsets_per_trigger"])
     return options
@@ -70,10 +85,13 @@ RECORDS_PER_TASK = 1_000_000
 
 
 def kafka_options(
-    cluster: Mapping[str, Any], job: Mapping[str, Any], records_per_task: int = RECORDS_PER_TASK
+    cluster: Mapping[str, Any],
+    job: Mapping[str, Any],
+    records_per_task: int = RECORDS_PER_TASK,
+    positions: Mapping[str, int] | None = None,
 ) -> dict[str, str]:
     return {
-        **consumer_options(cluster, job),
+        **consumer_options(cluster, job, positions),
         **credential_options(cluster),
         "maxRecordsPerPartition": str(records_per_task),
     }

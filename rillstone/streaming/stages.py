@@ -26,7 +26,7 @@ from rillstone.functions import names, schemas
 from rillstone.functions.keys import lift
 from rillstone.operators.parse import reduce_records, structured
 from rillstone.operators.quality import classify
-from rillstone.plans import tables
+from rillstone.plans import recovery, tables
 from rillstone.sources import records
 
 # Files that a task writes side by side. With fewer partitions than that, the file
@@ -47,9 +47,12 @@ def ship_hook_code(ctx: IngestContext) -> None:
 def open_records(ctx: IngestContext) -> DataFrame:
     """The topic's record stream, limited per batch as configured."""
     if ctx.record_path is None:
-        options = records.kafka_options(ctx.cluster, ctx.job, ctx.records_per_task)
-        return records.kafka_stream(ctx.spark, options)
-    return records.file_stream(ctx.spark, ctx.record_path, ctx.file_limit, ctx.record_file_age)
+        positions = recovery.starting_positions(ctx)
+        options = records.kafka_options(ctx.cluster, ctx.job, ctx.records_per_task, positions)
+        stream = records.kafka_stream(ctx.spark, options)
+    else:
+        stream = records.file_stream(ctx.spark, ctx.record_path, ctx.file_limit, ctx.record_file_age)
+    return recovery.not_stored(ctx, stream)
 
 
 def landing_rows(ctx: IngestContext, record_rows: DataFrame) -> DataFrame:
@@ -130,7 +133,7 @@ def files_side_by_side(spark: SparkSession) -> Iterator[None]:
 def _sink(ctx: IngestContext, rows: DataFrame, stage: str) -> DataStreamWriter:
     return (
         rows.writeStream.format(ctx.table_format)
-        .queryName(f"{ctx.resource_name}.{stage}")
+        .queryName(f"{ctx.resource_name}.{stage}" + (f".{ctx.epoch}" if ctx.epoch else ""))
         .option("checkpointLocation", ctx.checkpoint(stage))
         .trigger(availableNow=True)
     )
