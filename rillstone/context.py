@@ -156,6 +156,15 @@ class IngestContext:
     def history_path(self) -> str:
         return f"{self._base_path}_history"
 
+    @property
+    def redriven_path(self) -> str:
+        return f"{self._base_path}_redriven"
+
+    @property
+    def redriven_document(self) -> str:
+        """The run that the rows of each redrive belong to."""
+        return f"{self.state_path}.redriven.json"
+
     @property
     def state_path(self) -> str:
         prefix = self.generic["formatted_checkpoint_prefix"]

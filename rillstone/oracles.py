@@ -30,6 +30,11 @@ ORACLES: dict[str, str] = {
     "trailing_text_rejects": """
         SELECT event_id, CASE WHEN event_id % 20 IN (0, 2, 3, 4, 5, 6, 7) THEN 'malformed'
                ELSE 'accepted' END AS outcome FROM events""",
+    "reject_redrive": """
+        SELECT event_id, CASE WHEN event_id % 97 <> 0 AND event_id % 11 <> 0 THEN user_id END AS user_id,
+               CASE WHEN event_id % 97 <> 0 THEN event_type END AS event_type,
+               CASE WHEN event_id % 97 = 0 THEN 'malformed' ELSE 'accepted' END AS outcome
+        FROM events""",
     "tombstones": """
         SELECT CASE WHEN event_id % 50 = 0 THEN 'null_value' ELSE 'accepted' END AS outcome,
                count(*) AS n FROM events GROUP BY 1""",

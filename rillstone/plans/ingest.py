@@ -75,6 +75,14 @@ def _run(ctx: IngestContext) -> Run:
         except DrainTimeout as timeout:
             late = late or timeout
         batches[queries[-1].name] = (first, documents.largest_number(ctx.spark, commits))
+    publish(ctx)
+    if late is not None:
+        raise late
+    return Run(provisioned, queries[0], queries[-1], reports, batches)
+
+
+def publish(ctx: IngestContext) -> None:
+    """What follows new rows: buckets or the hook, and the catalog."""
     if ctx.hooks.write is None:
         publish_latest(ctx)
     elif not hook_in_stream(ctx):
@@ -83,9 +91,6 @@ def _run(ctx: IngestContext) -> Run:
         refresh(ctx)
         if ctx.hooks.write is None:
             register_latest(ctx)
-    if late is not None:
-        raise late
-    return Run(provisioned, queries[0], queries[-1], reports, batches)
 
 
 def run_topics(contexts: Iterable[IngestContext], at_once: int = 8) -> list[Run]:

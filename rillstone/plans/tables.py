@@ -173,7 +173,7 @@ def provision(ctx: IngestContext) -> Provisioned:
         for each in epochs(ctx):
             documents.remove(spark, each.table_path)
             documents.remove(spark, each.checkpoint("formatting"))
-        for path in (ctx.snapshot_path, ctx.history_path, ctx.published_path):
+        for path in (ctx.snapshot_path, ctx.history_path, ctx.published_path, ctx.redriven_document, ctx.redriven_path):
             documents.remove(spark, path)
 
     wanted = formatted_schema(ctx, table, after.lifted)
@@ -388,9 +388,34 @@ def stored_schema(ctx: IngestContext) -> T.StructType:
 def _read_log(ctx: IngestContext) -> DataFrame:
     schema = stored_schema(ctx)
     parts = [read_path(ctx.spark, each.table_path, schema, ctx.table_format) for each in epochs(ctx)]
+    folders = [redrive_folder(ctx, number) for number in range(len(redriven(ctx)))]
+    parts += [ctx.spark.read.schema(schema).parquet(*folders)] if folders else []
     return reduce(DataFrame.unionByName, parts)
 
 
+def redriven(ctx: IngestContext) -> list[int]:
+    """The run that the rows of each redrive belong to."""
+    return documents.read_json_if_present(ctx.spark, ctx.redriven_document) or []
+
+
+def redrive_folder(ctx: IngestContext, number: int) -> str:
+    return f"{ctx.redriven_path}/redrive={number}"
+
+
+def _redriven_rows(ctx: IngestContext, rows: DataFrame, how: str) -> DataFrame:
+    """Rows whose position was redriven, or was not."""
+    folders = [redrive_folder(ctx, number) for number in range(len(redriven(ctx)))]
+    if not folders:
+        return rows if how == "left_anti" else rows.limit(0)
+    ledger = ctx.spark.read.schema(T.StructType(_POSITION_FIELDS)).parquet(*folders)
+    return rows.join(ledger, list(names.POSITION), how).select(*rows.columns)
+
+
+def waiting_rejects(ctx: IngestContext) -> DataFrame:
+    """Archive rows that were rejected and not accepted since."""
+    return _redriven_rows(ctx, read_archive(ctx).where(F.col(names.OUTCOME) != names.ACCEPTED), "left_anti")
+
+
 def read_formatted(ctx: IngestContext) -> DataFrame:
     """All accepted rows, as appended."""
     return _read_log(ctx).drop(names.RUN_ID)
@@ -412,14 +437,21 @@ def read_archive(ctx: IngestContext) -> DataFrame:
 
 
 def read_raw(ctx: IngestContext) -> DataFrame:
-    """Accepted messages: record time, keys as strings, original text."""
-    rows = read_archive(ctx).where(F.col(names.OUTCOME) == names.ACCEPTED)
+    """Accepted messages, redriven ones too: record time, keys as strings, original text.
+
+    Keys of redriven messages are in the log; here they are those found when they landed.
+    """
+    archive = read_archive(ctx)
+    rows = archive.where(F.col(names.OUTCOME) == names.ACCEPTED)
+    if redriven(ctx):
+        rejected = archive.where(F.col(names.OUTCOME) != names.ACCEPTED)
+        rows = rows.unionByName(_redriven_rows(ctx, rejected, "left_semi"))
     return rows.drop(names.OUTCOME, names.VALUE, *names.POSITION)
 
 
 def read_rejects(ctx: IngestContext) -> DataFrame:
-    """Dead letters: record time, original text, reason."""
-    rows = read_archive(ctx).where(F.col(names.OUTCOME) != names.ACCEPTED)
+    """Dead letters that no redrive accepted: record time, original text, reason."""
+    rows = waiting_rejects(ctx)
     return rows.select(names.TIMESTAMP, names.VALUE_RAW, F.col(names.OUTCOME).alias("reason"))
 
 
@@ -527,12 +559,13 @@ def _runs(ctx: IngestContext) -> list[int]:
     """The runs that have rows in the formatted table."""
     found = [name for each in epochs(ctx) for name in documents.names(ctx.spark, each.table_path)]
     marked = [name.removeprefix(f"{names.RUN_ID}=") for name in found if name.startswith(f"{names.RUN_ID}=")]
-    return sorted({int(number) for number in marked if number.isdigit()})
+    return sorted({*(int(number) for number in marked if number.isdigit()), *redriven(ctx)})
 
 
 def _bytes(ctx: IngestContext, runs: list[int]) -> int:
     """Bytes of the rows of these runs."""
     folders = [f"{each.table_path}/{names.RUN_ID}={run}" for each in epochs(ctx) for run in runs]
+    folders += [redrive_folder(ctx, number) for number, run in enumerate(redriven(ctx)) if run in runs]
     return sum(documents.size(ctx.spark, folder) for folder in folders if documents.exists(ctx.spark, folder))
 
 

@@ -23,6 +23,7 @@ from rillstone.operators.quality import accepted, classify, rejects
 from rillstone.operators.versions import history, latest, merge_latest
 from rillstone.plans import tables
 from rillstone.plans.ingest import run_ingest, run_topics
+from rillstone.plans.redrive import redrive
 from rillstone.sources import documents
 from rillstone.sources.records import MICROSECONDS, envelope
 from rillstone.streaming.drain import DrainTimeout
@@ -328,6 +329,30 @@ def trailing_text_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("record_offset").alias("event_id"), "outcome")
 
 
+@query
+def reject_redrive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some events lack a required user, some are broken. A redrive under the same declaration, and
+    two under one that lets the user be absent: each event is accepted or rejected, once."""
+    folder = new_folder(spark, "redrive")
+    user = F.when(F.col("event_id") % 11 != 0, F.col("user_id")).alias("user_id")
+    whole = F.to_json(F.struct("event_id", user, "event_type"))
+    message = F.when(F.col("event_id") % 97 == 0, F.concat(whole, F.lit("}"))).otherwise(whole)
+    fields = {"event_id": LONG, "user_id": LONG, "event_type": TEXT}
+    ctx = event_context(spark, folder, schema=struct(required=("user_id",), **fields))
+    write_records(event_records(read(spark, sf_dir, "events"), message), ctx.record_path, topic_files(spark, sf_dir, "events"))
+    run_ingest(ctx)
+    redrive(ctx)
+    ctx = event_context(spark, folder, schema=struct(**fields))
+    for _ in range(2):
+        redrive(ctx)
+    good = tables.read_formatted(ctx).select("event_id", "user_id", "event_type", F.lit("accepted").alias("outcome"))
+    event_id = F.get_json_object("value_raw", "$.event_id").cast("long").alias("event_id")
+    bad = tables.read_rejects(ctx).select(
+        event_id, F.lit(None).cast("long").alias("user_id"), F.lit(None).cast("string").alias("event_type"), "reason"
+    )
+    return good.union(bad)
+
+
 # ----------------------------------------------------------------- versions
 
 

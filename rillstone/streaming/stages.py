@@ -57,7 +57,11 @@ def open_records(ctx: IngestContext) -> DataFrame:
 
 def landing_rows(ctx: IngestContext, record_rows: DataFrame) -> DataFrame:
     """Raw archive rows of Kafka-shaped records."""
-    texts = reduce_records(record_rows)
+    return archived(ctx, reduce_records(record_rows))
+
+
+def archived(ctx: IngestContext, texts: DataFrame) -> DataFrame:
+    """Raw archive rows of message texts."""
     if ctx.dead_letters:
         # what another transform makes of a message is not known here
         target = ctx.target_schema if ctx.default_transform else None

@@ -1,0 +1,158 @@
+"""Lost checkpoints, and messages that get another try."""
+
+import dataclasses
+import json
+
+import pytest
+from pyspark.sql import types as T
+from test_buckets import rows_of
+from test_ingest import SCHEMA, context, message, send
+
+from rillstone.context import Hooks
+from rillstone.plans import redrive as redriving
+from rillstone.plans import tables
+from rillstone.plans.ingest import run_ingest
+from rillstone.plans.recovery import recover, starting_positions
+from rillstone.plans.redrive import redrive
+from rillstone.sources import documents, records
+
+
+def ids(ctx):
+    return sorted(r.id for r in tables.read_formatted(ctx).collect())
+
+
+@pytest.mark.parametrize("lost", [("landing",), ("landing", "formatting"), ("formatting",)])
+def test_a_topic_goes_on_without_its_checkpoint(spark, tmp_path, lost):
+    ctx = context(spark, tmp_path, store_history=True)
+    for start in (0, 10):
+        send(ctx, message(start), message(start + 1), "oops", offset=start, at=start)
+        run_ingest(ctx)
+    for stage in lost:
+        documents.remove(spark, ctx.checkpoint(stage))
+    for start in (20, 30):
+        # among them a message that lies between stored ones
+        send(ctx, message(start), message(start + 2), offset=start, at=start)
+        run_ingest(ctx)
+    send(ctx, message(5, "between"), offset=5, at=5)
+    run_ingest(ctx)
+    assert ids(ctx) == [0, 1, 5, 10, 11, 20, 22, 30, 32]
+    assert tables.read_rejects(ctx).count() == 2 and tables.read_raw(ctx).count() == 9
+    assert sorted(r.id for r in tables.read_latest(ctx).collect()) == ids(ctx)
+    assert tables.read_history(ctx).count() == 9
+
+
+def test_lost_twice(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    for number in range(3):
+        send(ctx, message(number), offset=number)
+        run_ingest(ctx)
+        documents.remove(spark, ctx.state_path)
+    send(ctx, message(9), offset=9)
+    run_ingest(ctx)
+    assert ids(ctx) == [0, 1, 2, 9] and recover(ctx).epoch == 3
+
+
+def test_an_older_checkpoint_is_a_lost_one(spark, tmp_path):
+    """One that was put back from a copy would count batches that are there already."""
+    ctx = context(spark, tmp_path)
+    for number in range(2):
+        send(ctx, message(number), offset=number)
+        run_ingest(ctx)
+    for part in ("offsets", "commits", "sources/0"):
+        documents.remove(spark, f"{ctx.checkpoint('landing')}/{part}/1")
+    send(ctx, message(7), offset=7)
+    run_ingest(ctx)
+    assert ids(ctx) == [0, 1, 7]
+
+
+def test_nothing_lost_is_no_new_epoch(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    assert recover(ctx).epoch == 0
+    send(ctx, message(1))
+    run_ingest(ctx)
+    assert recover(ctx).epoch == 0 and not documents.exists(spark, ctx.epoch_path)
+
+
+def test_dying_before_the_epoch_is_noted(spark, tmp_path, monkeypatch):
+    ctx = context(spark, tmp_path)
+    send(ctx, message(1))
+    run_ingest(ctx)
+    documents.remove(spark, ctx.state_path)
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "write_epoch", lambda ctx: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_ingest(ctx)
+    send(ctx, message(2), offset=2)
+    run_ingest(ctx)
+    assert ids(ctx) == [1, 2]
+
+
+def test_catalog_names_cover_all_epochs(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS demo")
+    ctx = context(spark, tmp_path, topic="epochs", register_tables=True)
+    for number in range(2):
+        send(ctx, message(number), offset=number)
+        run_ingest(ctx)
+        assert spark.table(ctx.table_name).count() == spark.table(ctx.raw_table_name).count() == number + 1
+        assert spark.table(ctx.latest_table_name).count() == number + 1
+        documents.remove(spark, ctx.state_path)
+
+
+def test_kafka_goes_on_behind_what_is_stored(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    send(ctx, message(1), message(2), offset=40)
+    run_ingest(ctx)
+    documents.remove(spark, ctx.state_path)
+    assert starting_positions(recover(ctx)) == {"0": 42} and starting_positions(ctx) is None
+    cluster = {"bootstrap_servers": "b:1", "consumer_group_id": "g"}
+    job = {"kafka_topic_name": "t", "kafka_partitions": 2}
+    options = records.consumer_options(cluster, job, {"0": 42})
+    assert json.loads(options["startingOffsets"]) == {"t": {"0": 42, "1": -2}}
+    assert records.consumer_options(cluster, job)["startingOffsets"] == "earliest"
+
+
+# --------------------------------------------------------------------- redrive
+
+NEEDS = T.StructType([SCHEMA["id"], T.StructField("n", T.StringType(), False)])
+
+
+def test_redrive(spark, tmp_path):
+    ctx = context(spark, tmp_path, schema=NEEDS, store_history=True)
+    send(ctx, message(1), '{"id":2}', '{"id":3}', "oops", '{"id":1}', at=0)
+    run_ingest(ctx)
+    assert redrive(ctx) == 0
+    ctx = context(spark, tmp_path, store_history=True)
+    assert redrive(ctx) == 3 and redrive(ctx) == 0
+    assert ids(ctx) == [1, 1, 2, 3]
+    assert [r.value_raw for r in tables.read_rejects(ctx).collect()] == ["oops"]
+    assert tables.read_raw(ctx).count() == 4
+    assert rows_of(tables.read_latest(ctx), "id", "n") == [(1, None), (2, None), (3, None)]
+    assert tables.read_history(ctx).where("current = 'N'").count() == 1
+    send(ctx, message(2, "later"), offset=9, at=90)
+    run_ingest(ctx)
+    assert ids(ctx) == [1, 1, 2, 2, 3]
+    assert (2, "later") in rows_of(tables.read_latest(ctx), "id", "n")
+
+
+def test_redrive_that_dies_is_done_again(spark, tmp_path, monkeypatch):
+    ctx = context(spark, tmp_path, schema=NEEDS)
+    send(ctx, '{"id":2}', message(1))
+    run_ingest(ctx)
+    ctx = context(spark, tmp_path)
+    with monkeypatch.context() as broken:
+        broken.setattr(redriving.documents, "write_json", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            redrive(ctx)
+    run_ingest(ctx)
+    assert ids(ctx) == [1] and tables.read_rejects(ctx).count() == 1
+    assert redrive(ctx) == 1 and ids(ctx) == [1, 2] and tables.read_rejects(ctx).count() == 0
+
+
+def test_redriven_rows_reach_the_hook(spark, tmp_path):
+    calls = []
+    hooks = Hooks(write=lambda ctx, batch, number: calls.append((number, sorted(r.id for r in batch.collect()))))
+    ctx = dataclasses.replace(context(spark, tmp_path, schema=NEEDS), hooks=hooks)
+    send(ctx, message(1), '{"id":2}')
+    run_ingest(ctx)
+    redrive(dataclasses.replace(context(spark, tmp_path), hooks=hooks))
+    assert calls == [(0, [1]), (1, [2])]
