@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import base64
 import copy
+import datetime
+import decimal
 import json
 import re
 from typing import Any, NamedTuple
@@ -310,4 +313,131 @@ def from_avro(spark: SparkSession, schema: dict[str, Any]) -> T.StructType:
     jvm = spark._jvm
     avro = jvm.org.apache.avro.Schema.Parser().parse(json.dumps(schema))
     converted = jvm.org.apache.spark.sql.avro.SchemaConverters.toSqlType(avro).dataType()
-    return from_document(json.loads(converted.json()))
+    return from_document(json.loads(_annotated(converted, schema)))
+
+
+# Field metadata: names under which writers knew a field, and its default as JSON.
+ALIASES, DEFAULT = "avro.aliases", "avro.default"
+
+
+def _annotated(converted: Any, schema: dict[str, Any]) -> str:
+    """The converted type as JSON, with the aliases and defaults of the declaration."""
+    found = json.loads(converted.json())
+    _annotate(found, schema, {})
+    return json.dumps(found)
+
+
+def _annotate(found: Any, schema: Any, named: dict[str, Any]) -> None:
+    schema = _one_type(schema, named)
+    if not isinstance(schema, dict):
+        return
+    if schema.get("name"):
+        named[schema["name"]] = schema
+    if schema["type"] == "record":
+        for field, declared in zip(found["fields"], schema["fields"]):
+            # a record that contains itself has been refused by the converter
+            _annotate(field["type"], declared["type"], named)
+            if declared.get("aliases"):
+                field["metadata"][ALIASES] = list(declared["aliases"])
+            if declared.get("default") is not None:
+                field["metadata"][DEFAULT] = json.dumps(_as_message(declared["default"], declared["type"], named))
+    elif schema["type"] == "array":
+        _annotate(found["elementType"], schema["items"], named)
+    elif schema["type"] == "map":
+        _annotate(found["valueType"], schema["values"], named)
+    elif isinstance(schema["type"], (dict, list)):
+        _annotate(found, schema["type"], named)
+
+
+def _one_type(schema: Any, named: dict[str, Any]) -> Any:
+    """The type itself: of a union the member that is not null, of a name what it stands for."""
+    if isinstance(schema, list):
+        members = [part for part in schema if part != "null"]
+        return _one_type(members[0], named) if members else "null"
+    return named.get(schema, schema) if isinstance(schema, str) else schema
+
+
+def _as_message(default: Any, schema: Any, named: dict[str, Any]) -> Any:
+    """A default in the form that messages have: Avro gives times as numbers and bytes as text."""
+    kind = _one_type(schema, named)
+    logical = kind.get("logicalType") if isinstance(kind, dict) else None
+    base = kind["type"] if isinstance(kind, dict) else kind
+    if logical == "date":
+        return (datetime.date(1970, 1, 1) + datetime.timedelta(days=default)).isoformat()
+    if logical and "timestamp" in logical:
+        unit = 1000 if logical.endswith("millis") else 1
+        moment = datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=default * unit)
+        return moment.isoformat(timespec="microseconds") + ("" if logical.startswith("local") else "Z")
+    if logical == "decimal":
+        unscaled = int.from_bytes(default.encode("latin-1"), "big", signed=True)
+        return str(decimal.Decimal(unscaled).scaleb(-kind.get("scale", 0)))
+    if base in ("bytes", "fixed"):
+        return base64.b64encode(default.encode("latin-1")).decode()
+    if base == "record":
+        parts = {f["name"]: f for f in kind["fields"]}
+        return {name: _as_message(part, parts[name]["type"], named) for name, part in default.items() if name in parts}
+    if base == "array":
+        return [_as_message(part, kind["items"], named) for part in default]
+    if base == "map":
+        return {name: _as_message(part, kind["values"], named) for name, part in default.items()}
+    return default
+
+
+# ---------------------------------------------------- from a writer to the reader
+
+
+def _has_rules(kind: T.DataType) -> bool:
+    """Whether a field at some depth has aliases or a default."""
+    if isinstance(kind, T.StructType):
+        return any({ALIASES, DEFAULT} & {*(f.metadata or {})} or _has_rules(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_rules(kind.elementType)
+    return isinstance(kind, T.MapType) and _has_rules(kind.valueType)
+
+
+def written(kind: T.DataType) -> T.DataType:
+    """The declared type with a field for each name that a writer may have used."""
+    if isinstance(kind, T.StructType):
+        taken, fields = {*by_name(kind)}, []
+        for f in kind.fields:
+            own = written(f.dataType)
+            fields.append(T.StructField(f.name, own, f.nullable))
+            for alias in (f.metadata or {}).get(ALIASES, []):
+                if alias.lower() not in taken:
+                    taken.add(alias.lower())
+                    fields.append(T.StructField(alias, own))
+        return T.StructType(fields)
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(written(kind.elementType), kind.containsNull)
+    if isinstance(kind, T.MapType):
+        return T.MapType(kind.keyType, written(kind.valueType), kind.valueContainsNull)
+    return kind
+
+
+def resolved(value: Column, kind: T.DataType) -> Column:
+    """A value as written, as the reader declares it.
+
+    A field has the value found under its own name, or else under the first of its aliases
+    that has one, or else its default; at any depth, where the record around it is there. A
+    message does not tell a null from an absent field: both get the default. Numbers were
+    parsed in the reader's type, which widens those of a narrower writer.
+    """
+    if not _has_rules(kind):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: resolved(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, x: resolved(x, kind.valueType))
+    present, parts = by_name(written(kind)), []
+    declared = {*by_name(kind)}
+    for f in kind.fields:
+        rules = f.metadata or {}
+        names = [f.name] + [a for a in rules.get(ALIASES, []) if a.lower() not in declared]
+        found = [resolved(value.getField(present[name.lower()].name), f.dataType) for name in names]
+        if DEFAULT in rules:
+            wrapped = F.lit(f'{{"d":{rules[DEFAULT]}}}')
+            # the default, too, is as some writer would have written it
+            given = F.from_json(wrapped, T.StructType([T.StructField("d", written(f.dataType))])).getField("d")
+            found.append(resolved(given, f.dataType))
+        parts.append((F.coalesce(*found) if len(found) > 1 else found[0]).alias(f.name))
+    return F.when(value.isNotNull(), F.struct(*parts))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillstone.functions import names
+from rillstone.functions import names, schemas
 from rillstone.functions.keys import KeyColumn, key_names, lift
 
 
@@ -65,9 +65,11 @@ def structured(texts: DataFrame, schema: T.StructType, keys: list[KeyColumn]) ->
         names.TIMESTAMP,
         F.col(names.VALUE).alias(names.VALUE_RAW),
         *position,
-        once(F.from_json(F.col(names.VALUE), schema, {"mode": "FAILFAST"})).alias(names.VALUE),
+        once(F.from_json(F.col(names.VALUE), schemas.written(schema), {"mode": "FAILFAST"})).alias(names.VALUE),
     )
-    return parsed.select(
+    value = schemas.resolved(F.col(names.VALUE), schema).alias(names.VALUE)
+    resolved = parsed.select(names.TIMESTAMP, value, names.VALUE_RAW, *position)
+    return resolved.select(
         names.TIMESTAMP, names.VALUE, names.VALUE_RAW, *lift(keys), *position
     )
 

@@ -80,7 +80,7 @@ def classify(
     position = position_columns(texts)
     text = F.col(names.VALUE)
     reading = T.StructType(
-        [T.StructField(_ONLY, T.ArrayType(schema)), T.StructField(names.CORRUPT, T.StringType())]
+        [T.StructField(_ONLY, T.ArrayType(schemas.written(schema))), T.StructField(names.CORRUPT, T.StringType())]
     )
     read = texts.select(
         names.TIMESTAMP,
@@ -91,7 +91,7 @@ def classify(
     elements, text = F.col(_SEEN).getField(_ONLY), F.col(names.VALUE_RAW)
     parsed = read.select(
         names.TIMESTAMP,
-        F.get(elements, F.lit(0)).alias(names.VALUE),
+        schemas.resolved(F.get(elements, F.lit(0)), schema).alias(names.VALUE),
         names.VALUE_RAW,
         *position,
         (F.col(_SEEN).getField(names.CORRUPT).isNotNull() | (F.size(elements) != 1)).alias(_BROKEN),

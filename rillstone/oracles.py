@@ -147,6 +147,12 @@ ORACLES: dict[str, str] = {
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
     "ref_type_expansion": "SELECT event_id, user_id AS user_ref_id FROM events",
     "avro_declared_schema": "SELECT event_id, user_id, event_type, value FROM events",
+    "avro_resolution": """
+        SELECT event_id, user_id, CASE WHEN event_id % 3 = 0 THEN 'unknown' ELSE event_type END AS event_type,
+               CASE WHEN event_id % 3 = 0 THEN floor(value) ELSE value END AS value,
+               CASE WHEN event_id % 3 = 1 THEN 'none' ELSE event_type END AS kind,
+               CASE WHEN event_id % 3 = 2 THEN 1 ELSE 7 END AS n, 1 AS parts
+        FROM events""",
     "replay_idempotent": """
         SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum
         FROM events GROUP BY event_type""",

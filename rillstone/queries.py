@@ -738,6 +738,50 @@ def avro_declared_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted_rows(ctx, archive).select("event_id", "user_id", "event_type", "value")
 
 
+AVRO_READER = {
+    "type": "record",
+    "name": "Event",
+    "fields": [
+        {"name": "event_id", "type": "long"},
+        {"name": "user_id", "type": ["null", "long"], "aliases": ["account", "uid"]},
+        {"name": "event_type", "type": "string", "default": "unknown"},
+        {"name": "value", "type": ["null", "double"]},
+        {
+            "name": "parts",
+            "type": {"type": "array", "items": {
+                "type": "record", "name": "Part", "fields": [
+                    {"name": "kind", "type": "string", "aliases": ["k"]},
+                    {"name": "n", "type": "int", "default": 7},
+                ],
+            }},
+            "default": [{"kind": "none"}],
+        },
+    ],
+}
+
+
+@query
+def avro_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three writers of one topic: old names, whole numbers and fields left out, read as declared."""
+    payload = F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(
+        "event_id", F.col("user_id").alias("uid"), F.floor("value").alias("value"),
+        F.array(F.struct(F.col("event_type").alias("k"))).alias("parts"),
+    ))).when(F.col("event_id") % 3 == 1, F.to_json(F.struct(
+        "event_id", F.col("user_id").alias("account"), "event_type", "value",
+    ))).otherwise(F.to_json(F.struct(
+        "event_id", "user_id", "event_type", "value",
+        F.array(F.struct(F.col("event_type").alias("kind"), F.lit(1).alias("n"))).alias("parts"),
+    )))
+    ctx = event_context(spark, new_folder(spark, "resolution"), schema=AVRO_READER)
+    archive = landing_rows(ctx, event_records(read(spark, sf_dir, "events"), payload))
+    rows = formatted_rows(ctx, archive)
+    part = F.get("parts", F.lit(0))
+    return rows.select(
+        "event_id", "user_id", "event_type", "value",
+        part["kind"].alias("kind"), part["n"].alias("n"), F.size("parts").alias("parts"),
+    )
+
+
 # ---------------------------------------------------------- batches and streams
 
 

@@ -1,8 +1,12 @@
 """Keys, declared schemas, their differences, and Avro declarations."""
 
+import datetime as dt
+import decimal
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.functions import schemas
@@ -163,8 +167,8 @@ def test_expand_refs():
     assert (c["type"], d["type"]) == ("MYREF_Party", "see REF_Party")
 
 
-def record(*fields):
-    return {"type": "record", "name": "R", "fields": [{"name": n, "type": t} for n, t in fields]}
+def record(*fields, name="Whole"):
+    return {"type": "record", "name": name, "fields": [{"name": n, "type": t} for n, t in fields]}
 
 
 def test_from_avro(spark):
@@ -208,3 +212,59 @@ def test_from_avro_with_a_reference_used_twice(spark):
 def test_unions_without_one_json_form(spark, kind):
     with pytest.raises(ValueError, match="union"):
         schemas.from_avro(spark, record(("f", kind)))
+
+
+def parsed_as(spark, schema, *messages):
+    declared = schemas.from_avro(spark, schema)
+    reading = T.StructType([T.StructField("v", schemas.written(declared))])
+    texts = spark.createDataFrame([(f'{{"v":{m}}}',) for m in messages], "t string")
+    value = F.from_json("t", reading, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})["v"]
+    return [r[0] for r in texts.select(schemas.resolved(value, declared)).collect()]
+
+
+def test_names_and_defaults_of_writers(spark):
+    inner = record(("b", "long"), ("c", "string"), name="In")
+    inner["fields"][0]["aliases"] = ["old", "older"]
+    inner["fields"][1]["default"] = "none"
+    schema = record(("a", ["null", inner]), ("l", {"type": "array", "items": "In"}), ("m", {"type": "map", "values": "In"}))
+    got = parsed_as(
+        spark, schema,
+        '{"a":{"older":1},"l":[{"old":2,"c":"x"},{"b":3,"old":4}],"m":{"k":{"older":5,"old":6}}}', '{"a":null}', "{}", "null",
+    )
+    whole = got[0].asDict(recursive=True)
+    assert whole == {
+        "a": {"b": 1, "c": "none"},
+        "l": [{"b": 2, "c": "x"}, {"b": 3, "c": "none"}],
+        "m": {"k": {"b": 6, "c": "none"}},
+    }
+    # a record that is not there has no defaults inside
+    assert got[1].asDict() == got[2].asDict() == {"a": None, "l": None, "m": None} and got[3] is None
+
+
+def test_defaults_of_every_type(spark):
+    defaults = {
+        "i": ("int", 3), "d": ("double", 1.5), "b": ("boolean", True), "s": ("string", 'a"b'),
+        "y": ("bytes", "ÿ\u0001"), "day": ({"type": "int", "logicalType": "date"}, 19_000),
+        "ts": ({"type": "long", "logicalType": "local-timestamp-millis"}, 1_700_000_000_123),
+        "dec": ({"type": "bytes", "logicalType": "decimal", "precision": 6, "scale": 2}, "\u0001\u0000"),
+        "l": ({"type": "array", "items": "int"}, [1, 2]), "m": ({"type": "map", "values": "string"}, {"k": "v"}),
+        "r": (record(("x", "int"), ("y", ["null", "int"]), name="R"), {"x": 9}), "u": (["long", "null"], 8),
+        "n": (["null", "long"], None),
+    }
+    schema = record(*[(name, kind) for name, (kind, _) in defaults.items()])
+    for f in schema["fields"]:
+        f["default"] = defaults[f["name"]][1]
+        if f["name"] == "r":
+            f["type"]["fields"][1]["default"] = None
+    got = parsed_as(spark, schema, "{}")[0].asDict(recursive=True)
+    assert got == {
+        "i": 3, "d": 1.5, "b": True, "s": 'a"b', "y": bytearray(b"\xff\x01"), "day": dt.date(2022, 1, 8),
+        "ts": dt.datetime(2023, 11, 14, 22, 13, 20, 123000), "dec": decimal.Decimal("2.56"), "l": [1, 2],
+        "m": {"k": "v"}, "r": {"x": 9, "y": None}, "u": 8, "n": None,
+    }
+
+
+def test_without_rules_values_stay(spark):
+    declared = schemas.from_avro(spark, record(("a", "long"), ("b", ["null", "string"])))
+    value = F.col("v")
+    assert schemas.resolved(value, declared) is value and schemas.written(declared).simpleString() == declared.simpleString()
