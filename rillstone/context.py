@@ -83,6 +83,8 @@ class IngestContext:
     records_per_task: int = 1_000_000
     # How much older than the newest one a record file may be and still be read.
     record_file_age: str = "36500d"
+    # Name of the archive that several topics land in by one stream; None: one of its own.
+    shared: str | None = None
     # Times that the topic began anew after it lost a checkpoint; found by each run.
     epoch: int = 0
 
@@ -139,8 +141,19 @@ class IngestContext:
 
     @property
     def raw_path(self) -> str:
+        if self.shared is not None:
+            return f"{self.generic['formatted_table_prefix']}/{self.shared}_src"
         return f"{self._base_path}_src" + (self._of_epoch if self.table_format == "parquet" else "")
 
+    @property
+    def shared_table_name(self) -> str:
+        return f"{self.generic['formatted_table_catalog']}.{self.shared}_src"
+
+    @property
+    def topic_label(self) -> str:
+        """The topic's name among others: its partition and its column of a shared archive."""
+        return normal_topic(self.job["topic_name"])
+
     @property
     def latest_table_name(self) -> str:
         return f"{self.table_name}_latest"
@@ -171,6 +184,8 @@ class IngestContext:
         return f"{prefix}/{self.job['source']}/{self.job['topic_name']}"
 
     def checkpoint(self, stage: str) -> str:
+        if self.shared is not None and stage == "landing":
+            return f"{self.generic['formatted_checkpoint_prefix']}/{self.shared}/{stage}"
         return f"{self.state_path}/{stage}{self._of_epoch}"
 
     @property

@@ -7,6 +7,7 @@ VALUE_RAW = "value_raw"
 CURRENT = "current"
 VALID_TO = "valid_to"
 OUTCOME = "outcome"
+TOPIC = "topic"
 BATCH_ID = "batch_id"
 RUN_ID = "run_id"
 CORRUPT = "_corrupt_record"
@@ -24,6 +25,7 @@ NULL_VALUE = "null_value"
 MISSING_REQUIRED = "missing_required"
 MISSING_KEY = "missing_key"
 NOT_CASTABLE = "not_castable"
+UNDECLARED_TOPIC = "undeclared_topic"
 
 RESERVED = frozenset(
     {TIMESTAMP, VALUE_RAW, CURRENT, VALID_TO, OUTCOME, BATCH_ID, RUN_ID, CORRUPT, *POSITION}

@@ -10,15 +10,16 @@ from rillstone.functions import names, schemas
 from rillstone.functions.keys import KeyColumn, key_names, lift
 
 
-def reduce_records(records: DataFrame) -> DataFrame:
-    """Record time and message text, with the record's position when it has one."""
+def reduce_records(records: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
+    """Record time and message text, with the record's position when it has one, and the
+    ``kept`` columns."""
     position = [
         F.col(source).alias(target)
         for source, target in zip(("partition", "offset"), names.POSITION)
         if source in records.columns
     ]
     return records.select(
-        names.TIMESTAMP, F.col(names.VALUE).cast("string").alias(names.VALUE), *position
+        names.TIMESTAMP, F.col(names.VALUE).cast("string").alias(names.VALUE), *position, *kept
     )
 
 

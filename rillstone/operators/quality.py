@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +66,47 @@ def _any_element(items: Column, declared: T.DataType, nullable: bool) -> Column
     return F.coalesce(F.exists(items, fails), F.lit(False))
 
 
+def seen(text: Column, schema: T.StructType) -> Column:
+    """A message as parsed, with whatever follows it; for ``value_of`` and ``outcome_of``."""
+    only = T.StructField(_ONLY, T.ArrayType(schemas.written(schema)))
+    reading = T.StructType([only, T.StructField(names.CORRUPT, T.StringType())])
+    return F.from_json(as_only_element(text, _ONLY), reading, _OPTIONS)
+
+
+def value_of(parsed: Column, schema: T.StructType) -> Column:
+    """The message as declared; NULL where it is none."""
+    return schemas.resolved(F.get(parsed.getField(_ONLY), F.lit(0)), schema)
+
+
+def is_broken(parsed: Column) -> Column:
+    return parsed.getField(names.CORRUPT).isNotNull() | (F.size(parsed.getField(_ONLY)) != 1)
+
+
+def outcome_of(
+    value: str,
+    broken: Column,
+    text: Column,
+    schema: T.StructType,
+    keys: list[KeyColumn],
+    target: T.StructType | None,
+) -> Column:
+    """The outcome of a message whose value is the named column; the first that holds counts."""
+    parsed = F.col(f"`{value}`")
+    blank = text.isNull() | parsed.isNull() & text.rlike(_BLANK)
+    broken = broken | parsed.isNull() | F.contains(text, F.lit("]")) & ~closes_nothing(text)
+    outcome = F.when(blank, names.NULL_VALUE).when(broken, names.MALFORMED)
+    missing = lacks_required(parsed, schema)
+    if missing is not None:
+        outcome = outcome.when(missing, names.MISSING_REQUIRED)
+    for key in keys:
+        outcome = outcome.when(field(key.path, value).isNull(), names.MISSING_KEY)
+    if target is not None:
+        lost = schemas.loses(parsed, schema, target)
+        if lost is not None:
+            outcome = outcome.when(lost, names.NOT_CASTABLE)
+    return outcome.otherwise(names.ACCEPTED)
+
+
 def classify(
     texts: DataFrame,
     schema: T.StructType,
@@ -73,50 +116,66 @@ def classify(
     """Parse every message and give it an outcome; no row is lost.
 
     ``null_value``: NULL or blank message. ``malformed``: not JSON of the declared
-    types, or more than one JSON value. ``missing_required``: a non-null field is absent. ``missing_key``: a key is
-    NULL, so that the row would be a version of nothing. ``not_castable``: a value has
-    no counterpart in the ``target``'s type. Else ``accepted``. The first that holds counts.
+    types, or more than one JSON value. ``missing_required``: a non-null field is absent.
+    ``missing_key``: a key is NULL, so that the row would be a version of nothing.
+    ``not_castable``: a value has no counterpart in the ``target``'s type. Else
+    ``accepted``. The first that holds counts.
     """
     position = position_columns(texts)
-    text = F.col(names.VALUE)
-    reading = T.StructType(
-        [T.StructField(_ONLY, T.ArrayType(schemas.written(schema))), T.StructField(names.CORRUPT, T.StringType())]
-    )
     read = texts.select(
         names.TIMESTAMP,
-        text.alias(names.VALUE_RAW),
+        F.col(names.VALUE).alias(names.VALUE_RAW),
         *position,
-        once(F.from_json(as_only_element(text, _ONLY), reading, _OPTIONS)).alias(_SEEN),
+        once(seen(F.col(names.VALUE), schema)).alias(_SEEN),
     )
-    elements, text = F.col(_SEEN).getField(_ONLY), F.col(names.VALUE_RAW)
     parsed = read.select(
         names.TIMESTAMP,
-        schemas.resolved(F.get(elements, F.lit(0)), schema).alias(names.VALUE),
+        value_of(F.col(_SEEN), schema).alias(names.VALUE),
         names.VALUE_RAW,
         *position,
-        (F.col(_SEEN).getField(names.CORRUPT).isNotNull() | (F.size(elements) != 1)).alias(_BROKEN),
+        is_broken(F.col(_SEEN)).alias(_BROKEN),
     )
-    value = F.col(names.VALUE)
-    blank = text.isNull() | value.isNull() & text.rlike(_BLANK)
-    broken = F.col(_BROKEN) | value.isNull() | F.contains(text, F.lit("]")) & ~closes_nothing(text)
-    outcome = F.when(blank, names.NULL_VALUE).when(broken, names.MALFORMED)
-    missing = lacks_required(value, schema)
-    if missing is not None:
-        outcome = outcome.when(missing, names.MISSING_REQUIRED)
-    for key in keys:
-        outcome = outcome.when(field(key.path).isNull(), names.MISSING_KEY)
-    if target is not None:
-        lost = schemas.loses(value, schema, target)
-        if lost is not None:
-            outcome = outcome.when(lost, names.NOT_CASTABLE)
+    text = F.col(names.VALUE_RAW)
+    outcome = outcome_of(names.VALUE, F.col(_BROKEN), text, schema, keys, target)
     return parsed.select(
-        names.TIMESTAMP,
-        names.VALUE,
-        names.VALUE_RAW,
-        *lift(keys),
-        *position,
-        outcome.otherwise(names.ACCEPTED).alias(names.OUTCOME),
+        names.TIMESTAMP, names.VALUE, names.VALUE_RAW, *lift(keys), *position, outcome.alias(names.OUTCOME)
+    )
+
+
+class Topic(NamedTuple):
+    """How the messages of one topic are declared, and the column that they become."""
+
+    name: str
+    column: str
+    schema: T.StructType
+    keys: list[KeyColumn]
+    target: T.StructType | None
+
+
+def classify_topics(texts: DataFrame, topics: list[Topic]) -> DataFrame:
+    """``classify`` for records of several topics, told by the column ``topic``.
+
+    Each message is parsed once, by its own topic's declaration, into the topic's column; the
+    others are NULL. Messages of a topic that is not declared are ``undeclared_topic``.
+    """
+    position, topic = position_columns(texts), F.col(names.TOPIC)
+    parses = [F.when(topic == t.name, seen(F.col(names.VALUE), t.schema)).alias(t.column) for t in topics]
+    carried = [names.TIMESTAMP, names.TOPIC, *position]
+    read = texts.select(
+        *carried, F.col(names.VALUE).alias(names.VALUE_RAW), once(F.struct(*parses)).alias(_SEEN)
     )
+    broken, values = F.lit(None).cast("boolean"), []
+    for t in topics:
+        parsed = F.col(_SEEN).getField(t.column)
+        values.append(F.when(topic == t.name, value_of(parsed, t.schema)).alias(t.column))
+        broken = F.when(topic == t.name, is_broken(parsed)).otherwise(broken)
+    apart = read.select(*carried, names.VALUE_RAW, *values, broken.alias(_BROKEN))
+    outcome = F.lit(names.UNDECLARED_TOPIC)
+    for t in topics:
+        own = outcome_of(t.column, F.col(_BROKEN), F.col(names.VALUE_RAW), t.schema, t.keys, t.target)
+        outcome = F.when(topic == t.name, own).otherwise(outcome)
+    columns = [F.col(f"`{t.column}`") for t in topics]
+    return apart.select(*carried, names.VALUE_RAW, *columns, outcome.alias(names.OUTCOME))
 
 
 def accepted(classified: DataFrame) -> DataFrame:

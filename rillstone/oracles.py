@@ -204,4 +204,14 @@ ORACLES: dict[str, str] = {
         SELECT 'events' AS topic, count(*) AS n FROM events
         UNION ALL SELECT 'orders', count(*) FROM orders
         UNION ALL SELECT 'customer', count(*) FROM customer""",
+    "topic_pattern_counts": """
+        WITH t AS (
+          SELECT 'events' AS topic, true AS good, 'accepted' AS outcome FROM events
+          UNION ALL SELECT 'orders', true, 'accepted' FROM orders
+          UNION ALL SELECT 'customer', c_custkey % 13 <> 0,
+                           CASE WHEN c_custkey % 13 = 0 THEN 'malformed' ELSE 'accepted' END FROM customer
+          UNION ALL SELECT 'supplier', NULL, 'undeclared_topic' FROM supplier)
+        SELECT topic, CASE WHEN good THEN 'formatted' ELSE outcome END AS place, count(*) AS n
+        FROM t WHERE good IS NOT NULL GROUP BY 1, 2
+        UNION ALL SELECT topic, 'archived ' || outcome, count(*) FROM t GROUP BY 1, 2""",
 }

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.context import HookRegistry, IngestContext, load_context
-from rillstone.plans.recovery import recover
+from rillstone.plans.recovery import recover, recover_log, require_checkpoint
 from rillstone.plans.tables import (
     Provisioned,
     deliver,
@@ -21,14 +22,18 @@ from rillstone.plans.tables import (
     publish_latest,
     refresh,
     register_latest,
+    register_shared,
+    shared_schema,
 )
 from rillstone.sources import documents
 from rillstone.streaming.drain import DrainTimeout, Reports, drain
 from rillstone.streaming.stages import (
     files_side_by_side,
+    open_records,
     ship_hook_code,
     start_formatting,
     start_landing,
+    start_shared_landing,
 )
 
 
@@ -60,25 +65,88 @@ def _run(ctx: IngestContext) -> Run:
     ctx = recover(ctx)
     provisioned = provision(ctx)
     ship_hook_code(ctx)
-    reports = Reports(ctx.spark, f"{ctx.progress_path}/{uuid.uuid4().hex}")
-    batches: dict[str, tuple[int, int]] = {}
-    queries: list[StreamingQuery] = []
-    late: DrainTimeout | None = None
-    stages = [(ctx, "landing", start_landing)]
-    stages += [(each, "formatting", start_formatting) for each in epochs(ctx)]
-    for each, stage, start in stages:
-        commits = f"{each.checkpoint(stage)}/commits"
+    drained = _Drained(ctx)
+    landing = drained.stage(ctx, "landing", start_landing)
+    formatting = [drained.stage(each, "formatting", start_formatting) for each in epochs(ctx)]
+    publish(ctx)
+    if drained.late is not None:
+        raise drained.late
+    return Run(provisioned, landing, formatting[-1], drained.reports, drained.batches)
+
+
+class _Drained:
+    """Stages that were drained one after the other, and what they reported."""
+
+    def __init__(self, ctx: IngestContext):
+        self.reports = Reports(ctx.spark, f"{ctx.progress_path}/{uuid.uuid4().hex}")
+        self.batches: dict[str, tuple[int, int]] = {}
+        self.late: DrainTimeout | None = None
+
+    def stage(self, ctx: IngestContext, stage: str, start: Callable[[IngestContext], StreamingQuery]) -> StreamingQuery:
+        commits = f"{ctx.checkpoint(stage)}/commits"
         first = documents.largest_number(ctx.spark, commits) + 1
-        queries.append(start(each))
+        query = start(ctx)
         try:
-            drain(queries[-1], ctx.timeout_seconds, reports)
+            drain(query, ctx.timeout_seconds, self.reports)
         except DrainTimeout as timeout:
-            late = late or timeout
-        batches[queries[-1].name] = (first, documents.largest_number(ctx.spark, commits))
-    publish(ctx)
-    if late is not None:
-        raise late
-    return Run(provisioned, queries[0], queries[-1], reports, batches)
+            self.late = self.late or timeout
+        self.batches[query.name] = (first, documents.largest_number(ctx.spark, commits))
+        return query
+
+
+def run_pattern(
+    contexts: Iterable[IngestContext], name: str, record_path: str | None = None, at_once: int = 8
+) -> list[Run]:
+    """Ingest several topics that land by one stream, in one archive called ``name``.
+
+    The stream reads every topic that the first context's ``kafka_topic_pattern`` matches, or
+    the record files below ``record_path``, whatever topics they hold; each message is parsed by
+    its own topic's declaration, and messages of other topics are archived as rejects.
+    Formatting goes by topic, side by side. A shared landing that lost its checkpoint
+    raises: which topic's offsets are stored is not told apart there.
+    """
+    contexts = [replace(ctx, shared=name, record_path=record_path) for ctx in contexts]
+    first = contexts[0]
+    labels = [ctx.topic_label for ctx in contexts]
+    reserved = {*shared_schema([]).names}
+    if len({*labels}) != len(labels) or reserved & {*labels}:
+        raise ValueError(f"topics cannot share an archive: {', '.join(labels)}")
+    require_checkpoint(first)
+    with files_side_by_side(first.spark):
+        for ctx in contexts:
+            recover_log(ctx)
+            ship_hook_code(ctx)
+        provisioned = [provision(ctx) for ctx in contexts]
+        drained = _Drained(first)
+        records = open_records(first)
+        landing = drained.stage(first, "landing", lambda _: start_shared_landing(contexts, records))
+
+        def format_one(ctx: IngestContext) -> tuple[_Drained, StreamingQuery]:
+            own = _Drained(ctx)
+            query = own.stage(ctx, "formatting", start_formatting)
+            publish(ctx)
+            return own, query
+
+        if first.register_tables:
+            register_shared(contexts)
+        with ThreadPoolExecutor(at_once) as pool:
+            formatted = [pool.submit(format_one, ctx) for ctx in contexts]
+    _raise_any([each.exception() for each in formatted])
+    late = [own.late for own in (drained, *(each.result()[0] for each in formatted)) if own.late is not None]
+    if late:
+        raise late[0]
+    done = [each.result() for each in formatted]
+    return [
+        Run(was, landing, query, own.reports, own.batches) for was, (own, query) in zip(provisioned, done)
+    ]
+
+
+def _raise_any(errors: list[BaseException | None]) -> None:
+    errors = [error for error in errors if error is not None]
+    if len(errors) == 1:
+        raise errors[0]
+    if errors:
+        raise ExceptionGroup("topics failed", errors)
 
 
 def publish(ctx: IngestContext) -> None:
@@ -105,11 +173,7 @@ def run_topics(contexts: Iterable[IngestContext], at_once: int = 8) -> list[Run]
         raise ValueError("two topics share one table")
     with ThreadPoolExecutor(at_once) as pool:
         runs = [pool.submit(run_ingest, ctx) for ctx in contexts]
-    errors = [run.exception() for run in runs if run.exception() is not None]
-    if len(errors) == 1:
-        raise errors[0]
-    if errors:
-        raise ExceptionGroup("topics failed", errors)
+    _raise_any([run.exception() for run in runs])
     return [run.result() for run in runs]
 
 

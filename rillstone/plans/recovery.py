@@ -29,12 +29,28 @@ def recover(ctx: IngestContext) -> IngestContext:
     ctx = epochs[-1]
     if not tables.table_exists(ctx):
         return ctx
-    if ctx.table_format == "parquet" and any(_lags(e, "formatting", e.table_path) for e in epochs):
-        tables.fill_anew(ctx)
+    recover_log(ctx)
     lost = _lags(ctx, "landing", ctx.raw_path) if ctx.table_format == "parquet" else _unread(ctx)
     return _next_epoch(ctx) if lost else ctx
 
 
+def recover_log(ctx: IngestContext) -> None:
+    """Let the archive be formatted again if the checkpoint of that is lost."""
+    lost = ctx.table_format == "parquet" and tables.table_exists(ctx)
+    if lost and any(_lags(each, "formatting", each.table_path) for each in tables.epochs(ctx)):
+        tables.fill_anew(ctx)
+
+
+class LostCheckpoint(RuntimeError):
+    """An archive holds batches that its stream does not know of."""
+
+
+def require_checkpoint(ctx: IngestContext) -> None:
+    """Refuse to land into an archive whose checkpoint is lost: batches would be dropped."""
+    if ctx.table_format == "parquet" and _lags(ctx, "landing", ctx.raw_path):
+        raise LostCheckpoint(f"{ctx.checkpoint('landing')} lags behind {ctx.raw_path}")
+
+
 def _lags(ctx: IngestContext, stage: str, path: str) -> bool:
     """Whether a sink holds batches that its stream's checkpoint does not know."""
     held = [name.split(".")[0] for name in documents.names(ctx.spark, f"{path}/_spark_metadata")]

@@ -76,6 +76,42 @@ def raw_schema(ctx: IngestContext) -> T.StructType:
     )
 
 
+def archive_schema(ctx: IngestContext) -> T.StructType:
+    """What is read of the archive's files: of a shared one, the topic's own column."""
+    if ctx.shared is None:
+        return raw_schema(ctx)
+    return shared_schema([(ctx.topic_label, _layout(ctx).source)])
+
+
+def shared_schema(values: list[tuple[str, T.StructType]]) -> T.StructType:
+    """An archive of several topics: one column of parsed messages for each."""
+    return T.StructType(
+        [
+            T.StructField(names.TIMESTAMP, T.TimestampType()),
+            T.StructField(names.VALUE_RAW, T.StringType()),
+            *[T.StructField(column, kind) for column, kind in values],
+            *_POSITION_FIELDS,
+            T.StructField(names.TOPIC, T.StringType()),
+            T.StructField(names.OUTCOME, T.StringType()),
+        ]
+    )
+
+
+def archived_type(ctx: IngestContext) -> T.StructType:
+    """Messages as archived, with fields no longer declared."""
+    return _layout(ctx).source
+
+
+def own_rows(ctx: IngestContext, files: DataFrame) -> DataFrame:
+    """The topic's rows of an archive's files, in the shape of an archive of its own."""
+    if ctx.shared is None:
+        return files
+    rows = files.where(F.col(names.TOPIC) == ctx.topic_label)
+    rows = rows.withColumnRenamed(ctx.topic_label, names.VALUE)
+    keys = [F.lit(None).cast("string").alias(name) for name in key_names(ctx.keys)]
+    return rows.select("*", *keys).select(*raw_schema(ctx).names)
+
+
 class Layout(NamedTuple):
     """What was applied to the tables beside the target."""
 
@@ -265,10 +301,10 @@ def register(ctx: IngestContext, formatted: T.StructType) -> None:
     A topic of several epochs has a table for each, and views of them all.
     """
     all_ = epochs(ctx)
-    for name, schema, place, partition in (
-        (ctx.table_name, formatted, lambda e: e.table_path, names.RUN_ID),
-        (ctx.raw_table_name, raw_schema(ctx), lambda e: e.raw_path, names.OUTCOME),
-    ):
+    parts = [(ctx.table_name, formatted, lambda e: e.table_path, names.RUN_ID)]
+    if ctx.shared is None:
+        parts.append((ctx.raw_table_name, raw_schema(ctx), lambda e: e.raw_path, names.OUTCOME))
+    for name, schema, place, partition in parts:
         if len(all_) == 1:
             _register(ctx, name, schema, place(ctx), partition)
             continue
@@ -281,6 +317,25 @@ def register(ctx: IngestContext, formatted: T.StructType) -> None:
         ctx.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {parts}")
 
 
+def register_shared(contexts: list[IngestContext]) -> None:
+    """The archive of several topics as a table, and each topic's part of it as a view."""
+    first = contexts[0]
+    schema = shared_schema([(ctx.topic_label, _layout(ctx).source) for ctx in contexts])
+    _register(first, first.shared_table_name, schema, first.raw_path, f"{names.TOPIC}, {names.OUTCOME}")
+    first.spark.catalog.refreshTable(first.shared_table_name)
+    for ctx in contexts:
+        keys = [f"CAST(`{ctx.topic_label}`.{_quoted_path(key.path)} AS STRING) AS `{key.name}`" for key in ctx.keys]
+        columns = [names.TIMESTAMP, *keys, names.VALUE_RAW, f"`{ctx.topic_label}` AS {names.VALUE}", *names.POSITION, names.OUTCOME]
+        ctx.spark.sql(
+            f"CREATE OR REPLACE VIEW {ctx.raw_table_name} AS SELECT {', '.join(columns)} "
+            f"FROM {ctx.shared_table_name} WHERE {names.TOPIC} = {buckets.quoted(ctx.topic_label)}"
+        )
+
+
+def _quoted_path(path: str) -> str:
+    return ".".join(f"`{step}`" for step in path.split("."))
+
+
 def _registered(ctx: IngestContext) -> bool:
     last = epochs(ctx)[-1].epoch
     wanted = [ctx.table_name] if not last else [ctx.table_name, f"{ctx.table_name}_{last}"]
@@ -291,7 +346,7 @@ def refresh(ctx: IngestContext) -> None:
     """Let the catalog see the files of the last run."""
     of_epochs = epochs(ctx)
     suffixes = [""] if len(of_epochs) == 1 else [f"_{each.epoch}" for each in of_epochs]
-    for name in (ctx.table_name, ctx.raw_table_name):
+    for name in (ctx.table_name, ctx.raw_table_name) if ctx.shared is None else (ctx.table_name,):
         for suffix in suffixes:
             ctx.spark.catalog.refreshTable(name + suffix)
 
@@ -424,9 +479,9 @@ def read_formatted(ctx: IngestContext) -> DataFrame:
 def read_archive(ctx: IngestContext) -> DataFrame:
     """The raw archive with every outcome; keys come from the message where a file is
     older than their declaration."""
-    schema = raw_schema(ctx)
-    parts = [read_path(ctx.spark, each.raw_path, schema, ctx.table_format) for each in epochs(ctx)]
-    rows = reduce(DataFrame.unionByName, parts)
+    schema, all_ = archive_schema(ctx), epochs(ctx) if ctx.shared is None else [ctx]
+    parts = [read_path(ctx.spark, each.raw_path, schema, ctx.table_format) for each in all_]
+    rows = own_rows(ctx, reduce(DataFrame.unionByName, parts))
     archived = schemas.by_name(rows.schema[names.VALUE].dataType)
     filled = {
         key.name: F.coalesce(F.col(f"`{key.name}`"), field(key.path).cast("string"))

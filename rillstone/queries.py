@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from contextlib import suppress
+from dataclasses import replace
 from functools import reduce
 from typing import Any
 
@@ -22,7 +23,7 @@ from rillstone.operators.parse import flatten, raw_rows, reduce_records, structu
 from rillstone.operators.quality import accepted, classify, rejects
 from rillstone.operators.versions import history, latest, merge_latest
 from rillstone.plans import tables
-from rillstone.plans.ingest import run_ingest, run_topics
+from rillstone.plans.ingest import run_ingest, run_pattern, run_topics
 from rillstone.plans.redrive import redrive
 from rillstone.sources import documents
 from rillstone.sources.records import MICROSECONDS, envelope
@@ -1011,3 +1012,34 @@ def multi_topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         for ctx in contexts
     ]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query
+def topic_pattern_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three declared topics and one that is not, landed by a single stream."""
+    folder = new_folder(spark, "pattern")
+    topics = [
+        ("events", EVENT, "event_id", F.col("ts")),
+        ("orders", ORDER, "o_orderkey", F.col("o_orderdate")),
+        ("customer", CUSTOMER, "c_custkey", F.timestamp_seconds("c_custkey")),
+        ("supplier", struct(s_suppkey=LONG), "s_suppkey", F.timestamp_seconds("s_suppkey")),
+    ]
+    contexts = []
+    for topic, schema, key, time in topics:
+        records = envelope(
+            read(spark, sf_dir, topic), schema.names, time=time, offset=F.col(key), topic=topic
+        )
+        if topic == "customer":  # every 13th message is not what it should be
+            broken = F.when(F.col("offset") % 13 == 0, F.lit("[]").cast("binary")).otherwise(F.col("value"))
+            records = records.withColumn("value", broken)
+        write_records(records, f"{folder}/records/all", topic_files(spark, sf_dir, topic))
+        if topic != "supplier":
+            contexts.append(topic_context(spark, folder, topic, schema, key))
+    run_pattern(contexts, "everything", f"{folder}/records/all")
+    label = lambda ctx: F.lit(ctx.topic_label).alias("topic")
+    shared = [replace(ctx, shared="everything") for ctx in contexts]
+    parts = [tables.read_formatted(ctx).select(label(ctx), F.lit("formatted").alias("place")) for ctx in shared]
+    parts += [tables.read_rejects(ctx).select(label(ctx), F.col("reason").alias("place")) for ctx in shared]
+    archive = spark.read.schema(tables.shared_schema([])).parquet(shared[0].raw_path)
+    parts.append(archive.select("topic", F.concat(F.lit("archived "), "outcome").alias("place")))
+    return reduce(DataFrame.union, parts).groupBy("topic", "place").agg(F.count("*").alias("n"))

@@ -39,7 +39,8 @@ def consumer_options(
 ) -> dict[str, str]:
     """Topic, starting point, rate limit and group of the Kafka consumer.
 
-    With ``positions``, partitions go on there. Kafka wants all partitions named: those
+    ``kafka_topic_pattern`` subscribes to every topic that it matches, instead of one. With
+    ``positions``, partitions go on there. Kafka wants all partitions named: those
     below ``kafka_partitions`` that have no position start from the earliest.
     """
     # Option names of Spark's Kafka source.
@@ -49,6 +50,9 @@ def consumer_options(
         "startingOffsets": "earliest",
         "kafka.group.id": cluster["consumer_group_id"],
     }
+    if job.get("kafka_topic_pattern"):
+        del options["subscribe"]
+        options["subscribePattern"] = job["kafka_topic_pattern"]
     if positions:
         known = {str(number): EARLIEST for number in range(int(job.get("kafka_partitions", 0)))}
         starts = {job["kafka_topic_name"]: {**known, **positions}}

@@ -25,7 +25,7 @@ from rillstone.context import IngestContext
 from rillstone.functions import names, schemas
 from rillstone.functions.keys import lift
 from rillstone.operators.parse import reduce_records, structured
-from rillstone.operators.quality import classify
+from rillstone.operators.quality import Topic, classify, classify_topics
 from rillstone.plans import recovery, tables
 from rillstone.sources import records
 
@@ -34,6 +34,7 @@ from rillstone.sources import records
 # and one run number.
 OPEN_FILES = 8
 _counting, _running, _before = Lock(), [], []
+_TOPIC = "__topic"
 
 
 def ship_hook_code(ctx: IngestContext) -> None:
@@ -92,13 +93,49 @@ def start_landing(ctx: IngestContext) -> StreamingQuery:
     return sink.outputMode("append").start(ctx.raw_path)
 
 
+def topic_rows(contexts: list[IngestContext], record_rows: DataFrame) -> DataFrame:
+    """Rows of the archive that several topics share, of records of any topic."""
+    texts = reduce_records(record_rows.withColumnRenamed(names.TOPIC, _TOPIC), (_TOPIC,))
+    declared = [
+        Topic(
+            ctx.job["kafka_topic_name"], ctx.topic_label, ctx.source_schema, ctx.keys,
+            ctx.target_schema if ctx.default_transform else None,
+        )
+        for ctx in contexts
+    ]
+    rows = classify_topics(texts.withColumnRenamed(_TOPIC, names.TOPIC), declared)
+    good = F.col(names.OUTCOME) == names.ACCEPTED
+    values = {t.column: F.when(good, F.col(f"`{t.column}`")) for t in declared}
+    # one name for the partition and the table: in lower case, without dots
+    label = F.replace(F.lower(names.TOPIC), F.lit("."), F.lit("_"))
+    for t in declared:
+        label = F.when(F.col(names.TOPIC) == t.name, F.lit(t.column)).otherwise(label)
+    schema = tables.shared_schema([(t.column, tables.archived_type(ctx)) for t, ctx in zip(declared, contexts)])
+    return tables.conform(rows.withColumns({**values, names.TOPIC: label}), schema)
+
+
+def start_shared_landing(contexts: list[IngestContext], record_rows: DataFrame) -> StreamingQuery:
+    """One stream of all topics' records into their archive, by topic and outcome."""
+    first = contexts[0]
+    return (
+        topic_rows(contexts, record_rows)
+        .writeStream.format(first.table_format)
+        .queryName(f"{first.shared}.landing")
+        .option("checkpointLocation", first.checkpoint("landing"))
+        .trigger(availableNow=True)
+        .partitionBy(names.TOPIC, names.OUTCOME)
+        .outputMode("append")
+        .start(first.raw_path)
+    )
+
+
 def start_formatting(ctx: IngestContext) -> StreamingQuery:
     reader = ctx.spark.readStream.format(ctx.table_format).option(
         "maxBytesPerTrigger", ctx.formatting_batch_bytes
     )
     if ctx.table_format == "parquet":
-        reader = reader.schema(tables.raw_schema(ctx))
-    rows = formatted_rows(ctx, reader.load(ctx.raw_path))
+        reader = reader.schema(tables.archive_schema(ctx))
+    rows = formatted_rows(ctx, tables.own_rows(ctx, reader.load(ctx.raw_path)))
     if tables.hook_in_stream(ctx):
         sink = _sink(ctx, rows, "formatting").outputMode("update")
         return sink.foreachBatch(partial(ctx.hooks.write, ctx)).start()
