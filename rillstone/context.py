@@ -178,6 +178,15 @@ class IngestContext:
         """The run that the rows of each redrive belong to."""
         return f"{self.state_path}.redriven.json"
 
+    @property
+    def compacted_path(self) -> str:
+        return f"{self._base_path}_compacted"
+
+    @property
+    def compacted_document(self) -> str:
+        """Up to which run the log is rewritten by key, and in how many parts."""
+        return f"{self.state_path}.compacted.json"
+
     @property
     def state_path(self) -> str:
         prefix = self.generic["formatted_checkpoint_prefix"]

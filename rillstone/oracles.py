@@ -100,6 +100,12 @@ ORACLES: dict[str, str] = {
         SELECT event_id, ts, user_id, event_type, value, props, ts AS timestamp, 'Y' AS current
         FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "compacted_log": """
+        SELECT event_id, 'log' AS place FROM events
+        UNION ALL
+        SELECT event_id, 'latest' FROM (
+            SELECT event_id FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)""",
     "history_incremental": """
         SELECT event_id, ts, user_id, event_type, value, props, ts AS timestamp,
                lead(ts) OVER w AS valid_to,

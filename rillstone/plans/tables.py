@@ -209,7 +209,10 @@ def provision(ctx: IngestContext) -> Provisioned:
         for each in epochs(ctx):
             documents.remove(spark, each.table_path)
             documents.remove(spark, each.checkpoint("formatting"))
-        for path in (ctx.snapshot_path, ctx.history_path, ctx.published_path, ctx.redriven_document, ctx.redriven_path):
+        for path in (
+            ctx.snapshot_path, ctx.history_path, ctx.published_path, ctx.redriven_document, ctx.redriven_path,
+            ctx.compacted_document, ctx.compacted_path,
+        ):
             documents.remove(spark, path)
 
     wanted = formatted_schema(ctx, table, after.lifted)
@@ -441,13 +444,40 @@ def stored_schema(ctx: IngestContext) -> T.StructType:
 
 
 def _read_log(ctx: IngestContext) -> DataFrame:
-    schema = stored_schema(ctx)
-    parts = [read_path(ctx.spark, each.table_path, schema, ctx.table_format) for each in epochs(ctx)]
+    schema, state = stored_schema(ctx), compacted(ctx)
+    parts = [read_runs(ctx, state.upto)]
+    if state.parts:
+        rewritten = [compacted_folder(ctx, part) for part in range(state.parts)]
+        parts.append(ctx.spark.read.schema(schema).parquet(*rewritten))
     folders = [redrive_folder(ctx, number) for number in range(len(redriven(ctx)))]
     parts += [ctx.spark.read.schema(schema).parquet(*folders)] if folders else []
     return reduce(DataFrame.unionByName, parts)
 
 
+def read_runs(ctx: IngestContext, after: int, upto: int | None = None) -> DataFrame:
+    """Rows as the stream appended them, of the runs after one and up to another."""
+    schema, run = stored_schema(ctx), F.col(names.RUN_ID)
+    parts = [read_path(ctx.spark, each.table_path, schema, ctx.table_format) for each in epochs(ctx)]
+    rows = reduce(DataFrame.unionByName, parts)
+    rows = rows if after < 0 else rows.where(run > after)
+    return rows if upto is None else rows.where(run <= upto)
+
+
+class Compacted(NamedTuple):
+    """The last run that is rewritten by key, and the parts that rewritten rows lie in."""
+
+    upto: int = -1
+    parts: int = 0
+
+
+def compacted(ctx: IngestContext) -> Compacted:
+    return Compacted(**(documents.read_json_if_present(ctx.spark, ctx.compacted_document) or {}))
+
+
+def compacted_folder(ctx: IngestContext, part: int) -> str:
+    return f"{ctx.compacted_path}/part={part}"
+
+
 def redriven(ctx: IngestContext) -> list[int]:
     """The run that the rows of each redrive belong to."""
     return documents.read_json_if_present(ctx.spark, ctx.redriven_document) or []
@@ -610,23 +640,24 @@ def open_run(ctx: IngestContext) -> int:
     return max(_published(ctx).run, delivered_runs(ctx).closed) + 1
 
 
-def _runs(ctx: IngestContext) -> list[int]:
-    """The runs that have rows in the formatted table."""
+def log_runs(ctx: IngestContext) -> list[int]:
+    """The runs that the stream appended rows under, but for those whose files were removed."""
     found = [name for each in epochs(ctx) for name in documents.names(ctx.spark, each.table_path)]
     marked = [name.removeprefix(f"{names.RUN_ID}=") for name in found if name.startswith(f"{names.RUN_ID}=")]
-    return sorted({*(int(number) for number in marked if number.isdigit()), *redriven(ctx)})
+    return sorted({int(number) for number in marked if number.isdigit()})
 
 
-def _bytes(ctx: IngestContext, runs: list[int]) -> int:
-    """Bytes of the rows of these runs."""
+def log_bytes(ctx: IngestContext, runs: list[int]) -> int:
+    """Bytes of the rows of these runs, as appended."""
     folders = [f"{each.table_path}/{names.RUN_ID}={run}" for each in epochs(ctx) for run in runs]
     folders += [redrive_folder(ctx, number) for number, run in enumerate(redriven(ctx)) if run in runs]
     return sum(documents.size(ctx.spark, folder) for folder in folders if documents.exists(ctx.spark, folder))
 
 
 def _rows_since(ctx: IngestContext, run: int) -> list[int]:
-    """The runs after this one that have rows."""
-    return [number for number in _runs(ctx) if number > run]
+    """The runs after this one that have rows, in the log, rewritten or redriven."""
+    rewritten = range(run + 1, compacted(ctx).upto + 1)
+    return sorted({number for number in (*log_runs(ctx), *redriven(ctx), *rewritten) if number > run})
 
 
 def _snapshot_schema(ctx: IngestContext) -> T.StructType:
@@ -673,7 +704,7 @@ def publish_latest(ctx: IngestContext) -> bool:
     held = {name: dict(getattr(state, name) or {}) if usable else {} for name in kinds}
     theirs = {name: {s: r for s, r in held[name].items() if s in set(found.slots)} for name in kinds}
     if usable:
-        if _bytes(ctx, since) < ctx.publish_share * buckets.size(_latest_buckets(ctx), theirs["latest"]):
+        if log_bytes(ctx, since) < ctx.publish_share * buckets.size(_latest_buckets(ctx), theirs["latest"]):
             return False
     run = max(since)
     for name, (of, write) in kinds.items():
@@ -758,6 +789,13 @@ def delivered_runs(ctx: IngestContext) -> Delivered:
     return Delivered() if found is None else Delivered(**found)
 
 
+def close_runs(ctx: IngestContext, run: int) -> None:
+    """Let rows that come later belong to a run after this one."""
+    state = delivered_runs(ctx)
+    if state.closed < run:
+        documents.write_json(ctx.spark, ctx.delivered_path, state._replace(closed=run)._asdict())
+
+
 def deliver(ctx: IngestContext) -> list[int]:
     """Hand the rows of every run that is not written yet to the ``write`` hook.
 

@@ -23,6 +23,7 @@ from rillstone.operators.parse import flatten, raw_rows, reduce_records, structu
 from rillstone.operators.quality import accepted, classify, rejects
 from rillstone.operators.versions import history, latest, merge_latest
 from rillstone.plans import tables
+from rillstone.plans.compaction import compact
 from rillstone.plans.ingest import run_ingest, run_pattern, run_topics
 from rillstone.plans.redrive import redrive
 from rillstone.sources import documents
@@ -502,6 +503,18 @@ def bucketed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_latest(ctx).select(*EVENT_FIELDS, naive("timestamp"), "current")
 
 
+@query
+def compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three runs, rewritten by user after the second; the log and the latest rows."""
+    ctx = event_context(spark, new_folder(spark, "compact"), primary_keys="user_id", publish_share=100.0)
+    run = F.pmod("event_id", F.lit(3))
+    in_batches(spark, sf_dir, ctx, run, 2)
+    compact(ctx)
+    in_batches(spark, sf_dir, ctx, run - 2, 1)
+    newest = tables.read_latest(ctx).select("event_id", F.lit("latest").alias("place"))
+    return tables.read_formatted(ctx).select("event_id", F.lit("log").alias("place")).unionByName(newest)
+
+
 @query
 def history_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in four runs, in no order of time: intervals are stored and split by late rows."""

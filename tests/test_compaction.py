@@ -1,0 +1,89 @@
+"""The log rewritten by key."""
+
+import pathlib
+
+import pyarrow.parquet as pq
+import pytest
+from test_buckets import rows_of
+from test_ingest import context, message, send
+
+from rillstone.plans import tables
+from rillstone.plans.compaction import compact
+from rillstone.plans.ingest import run_ingest
+from rillstone.sources import documents
+
+
+def files(folder):
+    return sorted(pathlib.Path(folder).rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("share", [None, 0.0, 100.0])
+def test_rows_are_the_same_in_few_files(spark, tmp_path, share):
+    ctx = context(spark, tmp_path, publish_share=share, store_history=True, job={"max_files_per_trigger": 1})
+    for number in range(8):
+        send(ctx, *[message(i, f"n{number}") for i in range(20)], at=100 * number, offset=100 * number)
+    run_ingest(ctx)
+    before = rows_of(tables.read_formatted(ctx), "id", "n", "timestamp")
+    small = len(files(ctx.table_path))
+    assert compact(ctx) == 1 and compact(ctx) == 0
+    assert small >= 8 and len(files(ctx.compacted_path)) == 1 and not files(ctx.table_path)
+    assert rows_of(tables.read_formatted(ctx), "id", "n", "timestamp") == before
+    send(ctx, message(3, "later"), message(99, "new"), at=5000, offset=5000)
+    run_ingest(ctx)
+    assert len(before) + 2 == tables.read_formatted(ctx).count() == tables.read_history(ctx).count()
+    newest = {r.id: r.n for r in tables.read_latest(ctx).collect()}
+    assert newest == {**{i: "n7" for i in range(20)}, 3: "later", 99: "new"}
+    assert compact(ctx) == 1 and tables.read_formatted(ctx).count() == len(before) + 2
+    assert [p.parent.name for p in files(ctx.compacted_path)] == ["part=0", "part=1"]
+
+
+def test_a_key_is_found_in_one_row_group(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    for number in range(4):
+        send(ctx, *[message(2 * i, f"n{number}") for i in range(500)], at=number, offset=1000 * number)
+    run_ingest(ctx)
+    size = sum(p.stat().st_size for p in files(ctx.table_path))
+    compact(ctx, file_bytes=size // 5)
+    groups = []
+    for path in files(ctx.compacted_path):
+        meta = pq.ParquetFile(path).metadata
+        for g in range(meta.num_row_groups):
+            column = next(c for c in map(meta.row_group(g).column, range(meta.num_columns)) if c.path_in_schema == "id")
+            groups.append((column.statistics.min, column.statistics.max))
+    groups.sort()
+    assert len(groups) >= 4
+    assert all(a[1] <= b[0] for a, b in zip(groups, groups[1:]))  # ranges of keys that follow each other
+    found = tables.read_formatted(ctx).where("id = 402")
+    assert found.count() == 4 and "PushedFilters: [IsNotNull(id), EqualTo(id,402)]" in found._jdf.queryExecution().executedPlan().toString()
+    # a key that no row has, within the range of one file: its bloom filter tells
+    assert tables.read_formatted(ctx).where("id = 401").count() == 0
+
+
+def test_hot_keys_are_spread(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    send(ctx, *[message(1, f"n{i}") for i in range(2000)])
+    run_ingest(ctx)
+    size = sum(p.stat().st_size for p in files(ctx.table_path))
+    compact(ctx, file_bytes=size // 4)
+    assert len(files(ctx.compacted_path)) >= 3
+
+
+def test_dying_before_the_document(spark, tmp_path, monkeypatch):
+    ctx = context(spark, tmp_path)
+    send(ctx, message(1), message(2))
+    run_ingest(ctx)
+    replaced = documents.write_json
+    with monkeypatch.context() as broken:
+        broken.setattr(documents, "write_json", lambda s, p, d: 1 / 0 if "compacted" in p else replaced(s, p, d))
+        with pytest.raises(ZeroDivisionError):
+            compact(ctx)
+    assert tables.read_formatted(ctx).count() == 2
+    assert compact(ctx, remove=False) == 1 and tables.read_formatted(ctx).count() == 2
+    assert files(ctx.table_path)
+
+
+def test_nothing_to_do(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    send(ctx, "oops")
+    run_ingest(ctx)
+    assert compact(ctx) == 0
