@@ -12,6 +12,10 @@
    much as allowed are found with the target recall.
 4. Candidates are verified by their exact edit distance.
 
+Items of fewer than six words, which a run of three words under edits tells too little about, are
+found where all their words stand in a row. In scripts that are written without spaces every
+character is a word.
+
 Documents pass once per block of items, whole, and without a shuffle.
 """
 
@@ -25,14 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm.shared import Words, batches, mix, table
+from rillstone.llm.shared import Words, batches, mix, span_hashes, table, text_bytes
 
-#: Share of an item's words that may be edited; words that an item has at least.
+#: Share of an item's words that may be edited; words that an item has at least to be edited.
 EDITED, LEAST_WORDS = 0.2, 6
-#: Words of items in a block, whose index is broadcast, about.
-BLOCK_WORDS = 200_000
-#: Sampled positions in a key, keys of a walk, walks at most, recall at the edit bound.
-SAMPLED, KEYS, MOST_WALKS, RECALL = 3, 4, 48, 0.95
+#: Bytes of items in a block, whose index is broadcast; a longer item is a block by itself.
+BLOCK_BYTES = 1 << 20
+#: Sampled positions in a key, keys of a walk, recall at the edit bound. Walks beyond which
+#: that recall counts as out of reach, which raises.
+SAMPLED, KEYS, RECALL, MOST_WALKS = 3, 4, 0.95, 1024
+#: Windows that are looked at together.
+WINDOWS = 1 << 20
 #: Steps of a walk for each word of the window.
 STRETCH = 3
 BATCH_BYTES = 4 << 20
@@ -42,9 +49,43 @@ APART = bytes(b for b in range(128) if not chr(b).isalnum())
 MATCH = "array<struct<item_id:bigint,first_word:int,end_word:int,distance:int>>"
 
 
+class Tokens(Words):
+    """Words, and each character of a script without spaces as a word."""
+
+    def __init__(self, texts: list[str | None]):
+        super().__init__(texts, APART)
+        starts, size = _unspaced(self.data)
+        if not len(starts):
+            return
+        apart = np.zeros(256, dtype=bool)
+        apart[np.frombuffer(APART, dtype=np.uint8)] = True
+        gap = apart[self.data]
+        cuts = np.unique(np.concatenate([starts, starts + size]))
+        self.begin = np.union1d(self.begin, cuts[~gap[cuts]])
+        self.end = np.union1d(self.end, cuts[~gap[cuts - 1]])
+        _, offsets = text_bytes(texts)
+        self.first = np.searchsorted(self.begin, offsets)
+        self.hash = span_hashes(self.data, self.begin, self.end)
+
+
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where characters begin that are written without spaces, and their bytes.
+
+    Chinese characters and kana (U+3000 to U+9FFF, U+20000 to U+3FFFF), Thai and Lao (U+0E00
+    to U+0EFF), Burmese (U+1000 to U+109F) and Khmer (U+1780 to U+17FF).
+    """
+    after = np.append(data[1:], 0)
+    three = (data >= 0xE3) & (data <= 0xE9)
+    three |= (data == 0xE0) & (after >= 0xB8) & (after <= 0xBB)
+    three |= (data == 0xE1) & ((after == 0x80) | (after == 0x81) | (after == 0x82) | (after == 0x9E) | (after == 0x9F))
+    four = (data == 0xF0) & (after >= 0xA0) & (after <= 0xBF)
+    starts = np.flatnonzero(three | four)
+    return starts, np.where(four[starts], 4, 3)
+
+
 def allowed(n: int) -> int:
     """Edits that a passage of ``n`` words may have."""
-    return int(EDITED * n + 1e-9)
+    return int(EDITED * n + 1e-9) if n >= LEAST_WORDS else 0
 
 
 def grams(hashes: np.ndarray) -> np.ndarray:
@@ -92,6 +133,7 @@ class Index:
     walks: list[Walk]
     keys: np.ndarray
     key_item: np.ndarray
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by length: hashes of short items, and their ids
 
 
 def edited(item: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
@@ -127,24 +169,36 @@ def enough_walks(items: list[np.ndarray], recall: float = RECALL) -> list[Walk]:
             trial.setdefault(len(item), []).append((item, _fit(changed, len(item))))
     found = {n: np.zeros(len(pairs), bool) for n, pairs in trial.items()}
     walks: list[Walk] = []
-    while len(walks) < MOST_WALKS:
+    while True:
+        if len(walks) == MOST_WALKS:
+            raise RuntimeError(f"{MOST_WALKS} walks do not find edited items with a recall of {recall}")
         walks.append(Walk(len(walks)))
         for n, pairs in trial.items():
             a, b = (walks[-1].keys(np.stack(side)) for side in zip(*pairs))
             found[n] |= (a == b).any(axis=1)
         if not found or np.concatenate(list(found.values())).mean() >= recall:
-            break
-    return walks
+            return walks
+
+
+def _in_a_row(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each run of ``n`` words."""
+    count = max(0, len(hashes) - n + 1)
+    out = np.full(count, np.uint64(n))
+    for j in range(n):
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + hashes[j : j + count])
+    return out
 
 
 def build(rows: list[tuple[int, str]]) -> Index:
-    """The index of a block of items; those of fewer than six words are left out."""
-    words = Words([t for _, t in rows], APART)
-    kept = [
-        (int(rows[i][0]), words.hash[words.first[i] : words.first[i + 1]])
-        for i in range(len(rows))
-        if words.first[i + 1] - words.first[i] >= LEAST_WORDS
-    ]
+    """The index of a block of items; those without words are left out."""
+    words = Tokens([t for _, t in rows])
+    whole = [(int(rows[i][0]), words.hash[words.first[i] : words.first[i + 1]]) for i in range(len(rows))]
+    kept = [(id_, w) for id_, w in whole if len(w) >= LEAST_WORDS]
+    short = {}
+    for n in range(1, LEAST_WORDS):
+        few = sorted((int(_in_a_row(w, n)[0]), id_) for id_, w in whole if len(w) == n)
+        if few:
+            short[n] = (np.array([h for h, _ in few], dtype=np.uint64), np.array([i for _, i in few], dtype=np.int64))
     items = [w for _, w in kept]
     runs = [grams(w) for w in items]
     flat = np.concatenate([*runs, np.zeros(0, np.uint64)])
@@ -167,7 +221,7 @@ def build(rows: list[tuple[int, str]]) -> Index:
     by_key = np.argsort(all_keys, kind="stable")
     return Index(
         [i for i, _ in kept], items, flat[order], item[order], at[order], seen, walks,
-        all_keys[by_key], all_owner[by_key],
+        all_keys[by_key], all_owner[by_key], short,
     )
 
 
@@ -203,11 +257,36 @@ def edit_distance(item: np.ndarray, part: np.ndarray) -> tuple[int, int, int]:
 def matches(texts: list[str | None], index: Index) -> list[list[dict]]:
     """Passages of items in each text: item, its words from first to end, edit distance."""
     out: list[list[dict]] = [[] for _ in texts]
-    words = Words(texts, APART)
+    words = Tokens(texts)
+    _match_short(words, index, out)
     runs = grams(words.hash)
     hit = np.flatnonzero(index.seen[(runs >> np.uint64(42)).astype(np.int64)]) if len(index.items) else np.zeros(0, np.int64)
-    if not len(hit):
-        return out
+    found: set[tuple[int, int, int]] = set()
+    # a run that many items hold is looked at in parts
+    pairs = np.cumsum(np.searchsorted(index.grams, runs[hit], "right") - np.searchsorted(index.grams, runs[hit], "left"))
+    at = 0
+    while at < len(hit):
+        before = int(pairs[at - 1]) if at else 0
+        upto = max(at + 1, int(np.searchsorted(pairs, before + WINDOWS, side="right")))
+        _candidates(words, index, hit[at:upto], runs, found)
+        at = upto
+    _verified(words, index, found, out)
+    return out
+
+
+def _match_short(words: Words, index: Index, out: list[list[dict]]) -> None:
+    """Short items, wherever all their words stand in a row within one text."""
+    for n, (hashes, ids) in index.short.items():
+        of, place = _ranges(hashes, _in_a_row(words.hash, n))
+        text = np.searchsorted(words.first, of, side="right") - 1
+        inside = of + n <= words.first[text + 1] if len(of) else np.zeros(0, bool)
+        for t, at, which in zip(text[inside].tolist(), of[inside].tolist(), place[inside].tolist()):
+            first = at - int(words.first[t])
+            out[t].append({"item_id": int(ids[which]), "first_word": first, "end_word": first + n, "distance": 0})
+
+
+def _candidates(words: Words, index: Index, hit: np.ndarray, runs: np.ndarray, found: set[tuple[int, int, int]]) -> None:
+    """Add the windows at these runs whose sampled words equal an item's."""
     of, place = _ranges(index.grams, runs[hit])
     begin = hit[of] - index.gram_at[place]
     text = np.searchsorted(words.first, hit[of], side="right") - 1
@@ -215,7 +294,6 @@ def matches(texts: list[str | None], index: Index) -> list[list[dict]]:
     size = lengths[index.gram_item[place]]
     # windows, each once; a run may reach over the end of a text, which ends its window
     window = np.unique(np.stack([text, begin, size], axis=1), axis=0)
-    found: set[tuple[int, int, int]] = set()
     for n in np.unique(window[:, 2]):
         some = window[window[:, 2] == n]
         for at in range(0, len(some), 50_000):
@@ -228,6 +306,10 @@ def matches(texts: list[str | None], index: Index) -> list[list[dict]]:
                 of_key, place = _ranges(index.keys, keys.ravel())
                 for w, item in set(zip((of_key // KEYS).tolist(), index.key_item[place].tolist())):
                     found.add((int(here[w, 0]), int(here[w, 1]), item))
+
+
+def _verified(words: Words, index: Index, found: set[tuple[int, int, int]], out: list[list[dict]]) -> None:
+    """Add the candidates within the allowed edits, each passage once."""
     done: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for t, begin_, item in sorted(found):
         n = len(index.items[item])
@@ -240,22 +322,22 @@ def matches(texts: list[str | None], index: Index) -> list[list[dict]]:
             span = (a - low + first, a - low + end)
             done.setdefault((t, item), []).append(span)
             out[t].append({"item_id": index.ids[item], "first_word": span[0], "end_word": span[1], "distance": edits})
-    return out
 
 
 def find(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns and ``matches``: each item's passages in the text.
 
     Words are runs of ASCII letters and digits or other bytes beyond ASCII, A to Z in
-    lower case. A passage may differ from an item by a fifth of its words. Null and
-    empty texts match nothing, as do null items and those of fewer than six words; an
+    lower case; characters of scripts without spaces are words of their own. A passage may
+    differ from an item by a fifth of its words, and from one of fewer than six not at all.
+    Null and empty texts match nothing, as do null items and those without words; an
     empty benchmark matches nothing. Repeated rows give repeated results, repeated items
     one match each. Columns that are not kept are left out.
     """
     spark = docs.sparkSession
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
-    total = items.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_WORDS))
+    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text").distinct()
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // BLOCK_BYTES))
     names = [f"k{i}" for i in range(len(keep))]
     current = docs.select(
         *[F.col(c).alias(n) for n, c in zip(names, keep)], F.col("text").alias("t"),
@@ -263,7 +345,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id
     )
     schema = current.schema
     for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         index = spark.sparkContext.broadcast(build([tuple(r) for r in rows]))
         current = current.mapInArrow(_pass(index), schema)
     return current.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "matches")

@@ -70,7 +70,7 @@ def test_against_brute_force(spark, items):
     some = items[:60]
     index = decontaminate.build(some)
     found = decontaminate.matches(texts, index)
-    words = decontaminate.Words(texts, decontaminate.APART)
+    words = decontaminate.Tokens(texts)
     missed = wrong = total = 0
     for t in range(len(texts)):
         own = words.hash[words.first[t] : words.first[t + 1]]
@@ -82,6 +82,66 @@ def test_against_brute_force(spark, items):
     assert total >= 25 and wrong == 0 and missed <= 0.02 * total
 
 
+def found_in(spark, items, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.find(docs, bench).collect()
+    return {r.doc_id: sorted((m.item_id, m.first_word, m.end_word, m.distance) for m in r.matches) for r in rows}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5])
+def test_short_items_match_word_by_word(spark, n):
+    words = "Alpha beta, gamma-delta epsilon zeta".replace(",", "").replace("-", " ").split()[:n]
+    item = " ".join(words)
+    texts = [
+        item, f"x {item.upper()}. y", "x " + " q ".join(words) + " z", " ".join(words[:-1]), f"{item} {item}",
+        item[:-1], None, "", words[-1] + " " + " ".join(words[:-1]) if n > 1 else "none",
+    ]
+    got = found_in(spark, [(7, item), (7, item), (8, "other thing")], texts)
+    assert got[0] == [(7, 0, n, 0)] and got[1] == [(7, 1, 1 + n, 0)] and got[4] == [(7, 0, n, 0), (7, n, 2 * n, 0)]
+    assert got[2] == ([] if n > 1 else [(7, 1, 2, 0)])
+    assert not any(got[i] for i in (3, 5, 6, 7, 8))
+
+
+def test_a_short_item_does_not_reach_over_the_end_of_a_text(spark):
+    assert found_in(spark, [(1, "one two")], ["x one", "two y", "one two"]) == {0: [], 1: [], 2: [(1, 0, 2, 0)]}
+
+
+def test_scripts_without_spaces_go_by_characters(spark):
+    item = "天地玄黃宇宙洪荒日月盈昃辰宿列張"
+    edited = item[:5] + "新" + item[6:]
+    texts = ["前文" + item + "後文", "abc" + edited + " def", item[::-1], "天地玄", "ภาษาไทยเขียนติดกัน", "寒來暑往"]
+    got = found_in(spark, [(1, item), (2, "天地玄"), (3, "ไทย"), (4, "寒來")], texts)
+    assert (1, 2, 18, 0) in got[0] and (2, 2, 5, 0) in got[0]
+    assert [m[0] for m in got[1]] == [1, 2] and got[1][0][3] == 1
+    assert got[2] == [] and got[3] == [(2, 0, 3, 0)] and [m[0] for m in got[4]] == [3] and [m[0] for m in got[5]] == [4]
+
+
+def test_tokens_make_up_the_words(plain_words):
+    text = "abc漢字def ghi, ñandú カナ-x 한국어 말 𠀀𠀁z ไทย"
+    tokens = decontaminate.Tokens([text, "", "漢"])
+    words = [tokens.word(i).decode() for i in range(len(tokens))]
+    assert words == ["abc", "漢", "字", "def", "ghi", "ñandú", "カ", "ナ", "x", "한국어", "말", "𠀀", "𠀁", "z", "ไ", "ท", "ย", "漢"]
+    assert tokens.first.tolist() == [0, 17, 17, 18]
+
+
+def test_recall_out_of_reach_raises(monkeypatch):
+    monkeypatch.setattr(decontaminate, "MOST_WALKS", 2)
+    items = [np.arange(i, i + 40, dtype=np.uint64) * np.uint64(7919) for i in range(5)]
+    with pytest.raises(RuntimeError, match="recall"):
+        decontaminate.enough_walks(items, 1.1)
+
+
+def test_a_run_that_many_items_hold(items, monkeypatch):
+    many = [(i, f"one two three w{i} x{i} y{i} z{i} q{i}") for i in range(300)]
+    texts = ["a one two three b " * 20, many[17][1], "one two three w5 x5 y5 z5"]
+    index = decontaminate.build(many)
+    whole = decontaminate.matches(texts, index)
+    monkeypatch.setattr(decontaminate, "WINDOWS", 100)
+    assert decontaminate.matches(texts, index) == whole
+    assert [m["item_id"] for m in whole[1]] == [17] and [m["item_id"] for m in whole[2]] == [5] and whole[0] == []
+
+
 def test_planted_leaks_in_the_tables(spark, items):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     exact = {d.doc_id for d in docs for _, t in items if d.text and t in d.text}
@@ -92,14 +152,14 @@ def test_planted_leaks_in_the_tables(spark, items):
 def test_blocks_of_items(spark, items, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = {(r.doc_id, tuple(sorted(m.item_id for m in r.matches))) for r in decontaminate.find(docs, bench).collect()}
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 1500)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 9000)
     parts = {(r.doc_id, tuple(sorted(m.item_id for m in r.matches))) for r in decontaminate.find(docs, bench).collect()}
     assert whole == parts
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame(
-        [(1, None), (2, ""), (3, "too short an item"), (None, "one two three four five six"),
+        [(1, None), (2, ""), (3, "no such short item"), (6, "...!"), (None, "one two three four five six"),
          (4, "one two three four five six"), (4, "one two three four five six"), (5, "日 " * 9)],
         "item_id long, text string",
     )
