@@ -1,14 +1,23 @@
-"""Removal of globally repeated chunks of lines.
+"""Removal of globally repeated passages of lines.
 
 A line is a physical line or, within one, a sentence; every line keeps its ending, so that
 the lines of a text make up the text. A rolling hash over the hashes of two lines is
 taken at every line, and a chunk begins where it is smaller than at both neighbours.
 Boundaries thus depend on the lines around them alone: what is inserted before a passage
-does not shift those within it. A chunk of two lines or more that stands in several
-places stays at the first one and goes from all others.
+does not shift those within it.
 
-Chunks meet by a 64-bit key. Before anything is removed, the bytes of all chunks of a key
-are compared; a key under which different chunks meet removes none but equal ones.
+Chunks of two lines or more are seeds: a document is looked into when the first two lines
+of one of its chunks stand in several places. Within those documents matches grow line by line, to
+the edges of the passage: of any two lines in a row that stand in several places, the first
+place stays and all others go. What goes from a document in one piece has ``LEAST_BYTES``
+bytes at least. The first place of a line is never taken out, so that each line that goes
+still stands somewhere.
+
+Lines meet by 64-bit hashes. Before anything is removed, the bytes of all lines that met are
+compared; where different lines meet under one hash, none of them goes.
+
+Texts are moved once, and only those that something is found in. Bitmaps of a fixed size keep
+everything else out of the shuffles; what passes by chance is turned away by exact joins.
 """
 
 from __future__ import annotations
@@ -23,10 +32,12 @@ from rillstone.workspace import new_folder
 
 #: Up to and including a line feed, or the end of a sentence and its space, or the end.
 LINE = r"(?:[^\n.!?]++|[.!?](?! ))++(?:\n|[.!?] )?|\n|[.!?] "
-#: Lines, and bytes, that a chunk has at least to be removed.
+#: Lines of a chunk that is a seed, and bytes of what goes in one piece, at least.
 LEAST_LINES, LEAST_BYTES = 2, 40
 #: Of the rolling hash: multiplier and modulus.
 FACTOR, MODULUS = 31, 268_435_399
+#: Bits of a bitmap: 8 MB, whatever it is made of.
+BITS = 1 << 26
 
 
 def lines(text: Column) -> Column:
@@ -67,101 +78,164 @@ def _chunk(of_lines: str | Column, start: Column, stop: Column) -> Column:
     return F.array_join(F.slice(of_lines, start + 1, stop - start), "")
 
 
-def _key(chunk: Column) -> Column:
-    return F.xxhash64(chunk)
-
+def _hash(line: Column) -> Column:
+    return F.xxhash64(line)
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """For each document, by its id and the hash of its text: its chunks and their keys.
 
-    ``chunks`` has one entry for each removable chunk: first line, line behind the last,
-    and key.
-    """
+def hashed(docs: DataFrame) -> DataFrame:
+    """For each document, by its id and the hash of its text: the hashes of its lines, and
+    the indices of the lines that its chunks of two lines or more begin with."""
     known = docs.select(
         F.col("doc_id").alias("id"),
         F.xxhash64("text").alias("of"),
         F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("before"),
         lines(F.col("text")).alias("l"),
     ).withColumn("s", chunk_starts("l"))
-    spans = F.transform(
-        "s", lambda start, k: F.struct(start.alias("start"), F.coalesce(F.get("s", k + 1), F.size("l")).alias("stop"))
+    next_ = lambda k: F.coalesce(F.get("s", k + 1), F.size("l"))
+    seeds = F.filter("s", lambda start, k: next_(k) - start >= LEAST_LINES)
+    return known.select("id", "of", "before", F.transform("l", _hash).alias("h"), seeds.alias("seeds"))
+
+
+# -- bitmaps --------------------------------------------------------------------------
+
+
+def _bit(key: Column) -> Column:
+    return F.pmod(key, F.lit(BITS))
+
+
+def _bitmap(keys: DataFrame) -> DataFrame:
+    """A bit for each hash ``key``, in at most ``BITS`` / 32,768 rows of 4 KB."""
+    return keys.select(_bit(F.col("key")).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
     )
-    keyed = F.transform(
-        F.filter(spans, lambda c: c["stop"] - c["start"] >= LEAST_LINES),
-        lambda c: _let(
-            _chunk("l", c["start"], c["stop"]),
-            lambda text: F.struct(
-                c["start"].alias("start"), c["stop"].alias("stop"),
-                F.when(F.octet_length(text) >= LEAST_BYTES, _key(text)).alias("key"),
-            ),
-        ),
-    )
-    return known.select(
-        "id", "of", "before", F.size("l").alias("n_lines"),
-        F.filter(keyed, lambda c: c["key"].isNotNull()).alias("chunks"),
-    )
 
 
-def _place(doc_id: Column, start: Column) -> Column:
-    """Order of places: ids, null before all, then lines."""
-    low = F.coalesce(doc_id.cast("decimal(38,0)"), F.lit(str(-(2**63) - 1)).cast("decimal(38,0)"))
-    return (low * F.lit(10**10).cast("decimal(11,0)")).cast("decimal(38,0)") + start
+def _maybe(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows whose hash may be among the keys: all that are, and few others.
+
+    The bitmap is broadcast; its size is bounded by ``BITS``.
+    """
+    marked = rows.withColumn("bit", _bit(key)).withColumn("bucket", F.bitmap_bucket_number("bit"))
+    place = F.bitmap_bit_position("bit")
+    byte = F.expr("substring(bits, int(bitmap_bit_position(bit) div 8) + 1, 1)")
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    is_set = value.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (place % 8 + 1).cast("int"))) != 0
+    return marked.join(F.broadcast(_bitmap(keys)), "bucket").where(is_set).drop("bit", "bucket", "bits")
+
+
+def _doc_key() -> Column:
+    return F.xxhash64("id", "of")
+
+
+def _of_documents(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of the documents that are found, with what was found."""
+    near = _maybe(rows, _doc_key(), found.select(_doc_key().alias("key")))
+    other = found.withColumnsRenamed({"id": "i", "of": "t"})
+    return near.join(other, near["id"].eqNullSafe(other["i"]) & (near["of"] == other["t"])).drop("i", "t")
+
+
+# -- matches --------------------------------------------------------------------------
 
 
-def repeated(chunks: DataFrame) -> DataFrame:
-    """Per document, its chunks whose key stands elsewhere too, and whether here first."""
-    each = chunks.select("id", "of", F.explode("chunks").alias("c")).select("id", "of", "c.*")
-    each = each.withColumn("place", _place(F.col("id"), F.col("start")))
-    several = (
-        each.groupBy("key").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1").drop("n")
+def _several(rows: DataFrame) -> DataFrame:
+    """Hashes ``key`` that stand in more than one row."""
+    return rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+
+
+def seeded(known: DataFrame) -> DataFrame:
+    """Documents with a chunk whose first two lines stand elsewhere too: ``id``, ``of``."""
+    heads = F.transform("seeds", lambda i: F.xxhash64(F.get("h", i), F.get("h", i + 1)))
+    each = known.select("id", "of", F.explode(heads).alias("key"))
+    several = cut(_several(each))
+    near = _maybe(each, F.col("key"), several)
+    return near.join(several, "key", "left_semi").select("id", "of").distinct()
+
+
+def matched(known: DataFrame) -> DataFrame:
+    """Per document, its lines that begin a pair standing in several places: ``found``, with
+    the line's index and whether this place is the first."""
+    inside = cut(_of_documents(known.select("id", "of", "h"), cut(seeded(known))))
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.size("h") - 2),
+        lambda i: F.struct(i.alias("at"), F.get("h", i).alias("a"), F.get("h", i + 1).alias("b")),
     )
+    each = inside.where(F.size("h") > 1).select("id", "of", F.explode(pairs).alias("p")).select("id", "of", "p.*")
+    first = F.min(F.struct("id", "at")).alias("first")  # a null id comes before all others
+    several = cut(each.groupBy("a", "b").agg(F.count("*").alias("n"), first).where("n > 1").drop("n"))
+    pair = F.xxhash64("a", "b")
+    near = _maybe(each, pair, several.select(pair.alias("key")))
+    stays = F.struct("id", "at").eqNullSafe(F.col("first"))
     return (
-        each.join(several, "key")
-        .withColumn("stays", F.col("place") == F.col("first"))
+        near.join(several, ["a", "b"])
         .groupBy("id", "of")
-        .agg(F.collect_set(F.struct("start", "stop", "key", "stays")).alias("found"))
-    )  # a document's own chunks only
+        .agg(F.collect_set(F.struct("at", stays.alias("stays"))).alias("found"))
+    )  # a document's own lines only
 
 
-def _touched(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Documents with such chunks, with their lines' text, once for each id and text."""
-    mine = docs.select(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t"), "text")
-    same = mine["i"].eqNullSafe(found["id"]) & (mine["t"] == found["of"])
-    return mine.join(found, same).select("id", "of", "text", "found").dropDuplicates(["id", "of"])
+def _met(found: Column) -> Column:
+    """Indices of the lines in these pairs, in order, each once."""
+    both = F.concat(F.transform(found, lambda p: p["at"]), F.transform(found, lambda p: p["at"] + 1))
+    return F.array_sort(F.array_distinct(both))
 
 
 def _clashing(touched: DataFrame) -> DataFrame:
-    """Keys under which different bytes meet; there are hardly ever any."""
+    """Hashes under which different lines meet; there are hardly ever any."""
     spelled = _let(
         lines(F.col("text")),
-        lambda l: F.transform(
-            "found", lambda c: F.struct(c["key"].alias("key"), _chunk(l, c["start"], c["stop"]).alias("bytes"))
-        ),
-    )
-    each = touched.select(F.explode(spelled).alias("c")).select("c.*")
-    return each.distinct().groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+        lambda l: F.transform(_met(F.col("found")), lambda i: _let(
+            F.get(l, i), lambda x: F.struct(_hash(x).alias("key"), x.alias("bytes")))),
+    )
+    each = touched.select(F.explode(spelled).alias("c")).select("c.*").distinct()
+    return _several(each)
+
+
+def _without(touched: DataFrame, clashing: DataFrame) -> DataFrame:
+    """The same, where pairs with a line of a clashing hash are no matches."""
+    lines_of = _let(
+        lines(F.col("text")),
+        lambda l: F.transform("found", lambda p: F.struct(
+            p.alias("p"), _hash(F.get(l, p["at"])).alias("a"), _hash(F.get(l, p["at"] + 1)).alias("b"))),
+    )
+    each = touched.select("id", "of", F.explode(lines_of).alias("x")).select("id", "of", "x.*")
+    for side in ("a", "b"):
+        each = each.join(clashing.withColumnRenamed("key", side), side, "left_anti")
+    found = each.groupBy("id", "of").agg(F.collect_set("p").alias("found"))
+    mine = touched.drop("found").withColumnsRenamed({"id": "i", "of": "t"})
+    return mine.join(found, mine["i"].eqNullSafe(found["id"]) & (mine["t"] == found["of"])).select("id", "of", "text", "found")
+
+
+def _pieces(at: str, of_lines: str) -> Column:
+    """Runs of consecutive indices as ``start`` and ``stop``, but for those of few bytes."""
+    u = F.col(at)
+    starts = F.filter(u, lambda x, i: (i == 0) | (F.get(u, i - 1) != x - 1))
+    ends = F.filter(u, lambda x, i: (i == F.size(u) - 1) | (F.get(u, i + 1) != x + 1))
+    spans = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b + 1).alias("stop")))
+    return F.filter(spans, lambda c: F.octet_length(_chunk(of_lines, c["start"], c["stop"])) >= LEAST_BYTES)
 
 
 def clean(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All documents' chunks, and those documents that have repeated ones, cleaned.
+    """All documents' lines, and those documents that have repeated ones, cleaned.
 
-    First: ``id``, ``of`` (a hash of the text), ``before`` (its MD5), ``n_lines``,
-    ``chunks``. Second: ``id``, ``of``, ``cleaned``, ``n_removed`` lines, once for each id
+    First: ``id``, ``of`` (a hash of the text), ``before`` (its MD5), ``h`` (hashes of its lines),
+    ``seeds``. Second: ``id``, ``of``, ``cleaned``, ``n_removed`` lines, once for each id
     and text. Places are ordered by id, then line; a null id comes first. Rows that
     repeat an id and a text are one document, so that repeating a row removes nothing.
-    Null and empty texts have no lines. Other columns are not looked at.
+    Null and empty texts have no lines; texts of any length are taken whole. Pieces of fewer
+    than 40 bytes stay. Other columns are not looked at. An empty table gives empty ones.
     """
-    chunks = cut(chunked(docs))
+    known = cut(hashed(docs))
     path = new_folder(docs.sparkSession, f"lines-{uuid.uuid4().hex[:8]}")
-    _touched(docs, repeated(chunks)).write.parquet(path)
+    distinct = known.select("id", "of", "h", "seeds").dropDuplicates(["id", "of"])
+    mine = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("of"), "text")
+    _of_documents(mine, cut(matched(distinct))).dropDuplicates(["id", "of"]).write.parquet(path)
     touched = docs.sparkSession.read.parquet(path)
     clashing = cut(_clashing(touched))
-    gone = F.filter("found", lambda c: ~c["stays"])
     if not clashing.isEmpty():
         touched = _without(touched, clashing)
-    spans = F.transform(gone, lambda c: F.struct(c["start"], c["stop"]))
-    held = touched.withColumn("l", lines(F.col("text"))).withColumn("gone", F.array_sort(spans))
-    # lines between the spans that go: from the end of one to the start of the next
+    gone = _met(F.filter("found", lambda p: ~p["stays"]))
+    held = touched.withColumn("l", lines(F.col("text"))).withColumn("at", gone)
+    held = held.withColumn("gone", _pieces("at", "l"))
+    # lines between the pieces that go: from the end of one to the start of the next
     bounds = F.concat(
         F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"))), F.col("gone"),
         F.array(F.struct(F.size("l").alias("start"), F.size("l").alias("stop"))),
@@ -172,61 +246,44 @@ def clean(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         lambda i: _chunk("l", F.get("bounds", i - 1)["stop"], F.get("bounds", i)["start"]),
     )
     removed = F.aggregate("gone", F.lit(0), lambda n, c: n + c["stop"] - c["start"])
-    return chunks, held.select(
+    return known, held.select(
         "id", "of", F.array_join(kept, "").alias("cleaned"), removed.cast("long").alias("n_removed")
     )
 
 
-def _without(touched: DataFrame, clashing: DataFrame) -> DataFrame:
-    """The same, where chunks of clashing keys are told apart by their bytes."""
-    spelled = _let(
-        lines(F.col("text")),
-        lambda l: F.transform("found", lambda c: F.struct(c.alias("c"), _chunk(l, c["start"], c["stop"]).alias("bytes"))),
-    )
-    each = touched.select("id", "of", F.explode(spelled).alias("x")).select("id", "of", "x.*")
-    each = each.join(clashing, each["c.key"] == clashing["key"], "left").select(
-        "id", "of", "c", F.col("key").isNotNull().alias("clash"),
-        F.when(F.col("key").isNotNull(), F.col("bytes")).alias("bytes"),
-    )
-    place = _place(F.col("id"), F.col("c.start"))
-    first = each.where("clash").groupBy("c.key", "bytes").agg(F.min(place).alias("first"))
-    exact = (
-        each.where("clash").join(first, (F.col("c.key") == first["key"]) & (each["bytes"] == first["bytes"]))
-        .select("id", "of", F.struct(
-            F.col("c.start").alias("start"), F.col("c.stop").alias("stop"), F.col("c.key").alias("key"),
-            (place == F.col("first")).alias("stays")).alias("c"))
-    )
-    found = each.where("not clash").select("id", "of", "c").union(exact)
-    found = found.groupBy("id", "of").agg(F.collect_set("c").alias("found"))
-    mine = touched.drop("found")
-    same = mine["id"].eqNullSafe(found["id"]) & (mine["of"] == found["of"])
-    return mine.join(found, same).select(mine["id"], mine["of"], "text", "found")
-
-
-def cleaned_documents(docs: DataFrame) -> DataFrame:
+def cleaned_documents(docs: DataFrame, least_left: float = 0.0) -> DataFrame:
     """All documents with the same columns, their texts cleaned and ``n_chars`` counted anew.
 
-    Documents that nothing is left of are dropped; those that were null or empty stay.
+    Documents that nothing is left of are dropped, and those of which less than a share of
+    ``least_left`` of their bytes is: they are copies of others. Null and empty ones stay.
     """
     _, cleaned = clean(docs)
-    cleaned = cleaned.select(F.col("id").alias("i_"), F.col("of").alias("t_"), F.col("cleaned").alias("c_"))
-    same = docs["doc_id"].eqNullSafe(cleaned["i_"]) & (F.xxhash64(docs["text"]) == cleaned["t_"])
-    text = F.coalesce("c_", docs["text"])
-    new = {"text": text, "n_chars": F.when(F.col("c_").isNull(), docs["n_chars"]).otherwise(F.length("c_"))}
-    joined = docs.join(cleaned, same, "left").where("c_ is null or c_ <> ''")
-    return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
+    # input columns travel in one, so that no name of theirs meets one of these
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    row = packed["row"]
+    cleaned = cleaned.where("n_removed > 0")
+    same = row["doc_id"].eqNullSafe(cleaned["id"]) & (F.xxhash64(row["text"]) == cleaned["of"])
+    share = F.octet_length("cleaned") / F.octet_length(row["text"])
+    left = F.col("cleaned").isNull() | (F.col("cleaned") != "") & (share >= least_left)
+    joined = packed.join(cleaned, same, "left").where(left)
+    new = {
+        "text": F.coalesce("cleaned", row["text"]),
+        "n_chars": F.when(F.col("cleaned").isNull(), row["n_chars"]).otherwise(F.length("cleaned")),
+    }
+    return joined.select(*[(new[c] if c in new else row[c]).alias(c) for c in docs.columns])
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, removed lines and the cleaned text's MD5 of all documents."""
-    chunks, cleaned = clean(table(spark, sf_dir, "documents"))
+    known, cleaned = clean(table(spark, sf_dir, "documents"))
     after = cleaned.select(
         F.col("id").alias("i"), F.col("of").alias("t"), "n_removed", F.md5("cleaned").alias("after")
     )
-    same = chunks["id"].eqNullSafe(after["i"]) & (chunks["of"] == after["t"])
-    return chunks.join(after, same, "left").select(
+    rows = known.select("id", "of", "before", F.size("h").cast("long").alias("n_lines"))
+    same = rows["id"].eqNullSafe(after["i"]) & (rows["of"] == after["t"])
+    return rows.join(after, same, "left").select(
         F.col("id").alias("doc_id"),
-        F.col("n_lines").cast("long").alias("n_lines"),
+        "n_lines",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("after", "before").alias("cleaned_md5"),
     )
@@ -245,19 +302,23 @@ rolled as (
 started as (
   select *, list_filter(range(1, len(l) + 1),
     lambda i: i = 1 or (v[i] < v[i - 1] and v[i] < coalesce(v[i + 1], {MODULUS}))) as s from rolled),
-chunk as (
-  select r, doc_id, l, s[k] as start, coalesce(s[k + 1], len(l) + 1) as stop
-  from (select r, doc_id, l, s, unnest(range(1, len(s) + 1)) as k from started)),
-spelled as (
-  select r, doc_id, start, stop, array_to_string(l[start : stop - 1], '') as bytes from chunk),
-ranked as (
-  select *, row_number() over (partition by bytes order by doc_id nulls first, start) as place from spelled
-  where stop - start >= {LEAST_LINES} and strlen(bytes) >= {LEAST_BYTES}),
-gone as (select r, start, stop from ranked where place > 1),
-removed as (select r, sum(stop - start) as n from gone group by r),
-kept as (
-  select r, string_agg(bytes, '' order by start) as text from spelled
-  where (r, start) not in (select (r, start) from gone) group by r)
+seed as (
+  select r, l[s[k]] as a, l[s[k] + 1] as b
+  from (select r, l, s, unnest(range(1, len(s) + 1)) as k from started)
+  where coalesce(s[k + 1], len(l) + 1) - s[k] >= {LEAST_LINES}),
+seeded as (select distinct r from (select r, count(*) over (partition by a, b) as n from seed) where n > 1),
+pair as (
+  select r, doc_id, i, l[i] as a, l[i + 1] as b
+  from (select r, doc_id, l, unnest(range(1, len(l))) as i from doc where r in (select r from seeded))),
+ranked as (select *, row_number() over (partition by a, b order by doc_id nulls first, i) as place from pair),
+met as (select distinct r, unnest([i, i + 1]) as i from ranked where place > 1),
+line as (select r, i, l[i] as x from (select r, l, unnest(range(1, len(l) + 1)) as i from doc)),
+run as (
+  select r, i, x, i - row_number() over (partition by r order by i) as g from met join line using (r, i)),
+gone as (
+  select r, i from (select r, i, sum(strlen(x)) over (partition by r, g) as bytes from run) where bytes >= {LEAST_BYTES}),
+kept as (select r, string_agg(x, '' order by i) as text from line anti join gone using (r, i) group by r),
+removed as (select r, count(*) as n from gone group by r)
 select doc_id, len(l)::bigint as n_lines, coalesce(n, 0)::bigint as n_removed, md5(coalesce(kept.text, '')) as cleaned_md5
 from doc left join removed using (r) left join kept using (r)
 """

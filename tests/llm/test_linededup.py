@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -27,18 +28,31 @@ def plain_chunks(text):
 
 def plain_clean(docs):
     """The same by plain Python; docs are distinct (id, text)."""
-    seen, out = set(), {}
     order = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0))
-    for id_, text in order:
+    places = {}
+    for n, (_, text) in enumerate(order):
         u, chunks = plain_chunks(text)
-        kept = ""
         for a, b in chunks:
-            part = "".join(u[a:b])
-            removable = b - a >= 2 and len(part.encode()) >= linededup.LEAST_BYTES
-            if not (removable and part in seen):
+            if b - a >= 2:
+                places.setdefault((u[a], u[a + 1]), []).append(n)
+    seeded = {n for found in places.values() if len(found) > 1 for n in found}
+    seen, out = set(), {}
+    for n, (id_, text) in enumerate(order):
+        u = plain_lines(text)
+        met = set()
+        for i in range(len(u) - 1) if n in seeded else ():
+            if (u[i], u[i + 1]) in seen:
+                met |= {i, i + 1}
+            seen.add((u[i], u[i + 1]))
+        kept, i = "", 0
+        while i < len(u):
+            j = i
+            while j < len(u) and (j in met) == (i in met):
+                j += 1
+            part = "".join(u[i:j])
+            if i not in met or len(part.encode()) < linededup.LEAST_BYTES:
                 kept += part
-            if removable:
-                seen.add(part)
+            i = j
         out[id_] = kept
     return out
 
@@ -81,8 +95,7 @@ def test_a_shared_passage_goes_from_all_but_the_first(spark, docs):
     assert PASSAGE in got[1]
     lines = plain_lines(PASSAGE)
     for i in range(2, 9):
-        # what lies between the passage's edges and its first and last boundary stays
-        assert sum(s in got[i] for s in lines) <= 0.4 * len(lines)
+        assert not any(s in got[i] for s in lines)  # to the passage's edges
         assert got[i].startswith(f"Head {i}") and f"Really {i}." in got[i]
     assert got[20] == dict(docs)[20]
 
@@ -92,9 +105,65 @@ def test_lines_make_up_the_text(spark, odd_docs):
     assert all(r.a == r.b for r in frame.collect())
 
 
-def test_keys_that_clash_remove_only_equal_bytes(spark, docs, monkeypatch):
-    monkeypatch.setattr(linededup, "_key", lambda chunk: F.length(chunk) % 3)
-    assert cleaned(spark, docs) == plain_clean(docs)
+def test_lines_that_clash_stay(spark, docs, monkeypatch):
+    """Where different lines meet under a hash, none of them goes; others go as they did."""
+    plain = plain_clean(docs)
+    monkeypatch.setattr(linededup, "_hash", lambda line: F.length(line) % 3)
+    assert cleaned(spark, docs) == {i: text or "" for i, text in docs}
+    clash = {"Few ever do. ", "It would not eat. "}
+    monkeypatch.setattr(linededup, "_hash", lambda line: F.when(line.isin(*clash), F.lit(7)).otherwise(F.xxhash64(line)))
+    got = cleaned(spark, docs)
+    for i, text in docs:
+        assert all(x in got[i] for x in clash if x in (text or ""))
+        assert len(plain[i]) <= len(got[i]) <= len(text or "")
+    assert len(got[5]) < 0.4 * len(docs[4][1])
+
+
+@pytest.mark.parametrize("words,count", [(51, 5), (64, 6), (80, 8), (96, 12)])
+def test_planted_passages(spark, words, count):
+    """Passages of that many words in so many lines, each in two documents among others."""
+    rng = random.Random(words)
+
+    def line(n):
+        return " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n)).capitalize() + ". "
+
+    docs, planted = [], {}
+    for i in range(60):
+        sizes = [words // count + (k < words % count) for k in range(count)]
+        passage = "".join(line(n) for n in sizes)
+        for side in (0, 1):
+            docs.append((2 * i + side, "".join(line(9) for _ in range(10)) + passage + "".join(line(9) for _ in range(10))))
+        planted[2 * i + 1] = passage
+    got = cleaned(spark, docs)
+    assert got == plain_clean(docs)
+    share = sum(p not in got[i] and plain_lines(p)[0] not in got[i] for i, p in planted.items()) / len(planted)
+    assert share >= {5: 0.6, 6: 0.75, 8: 0.9, 12: 0.97}[count]
+    for i, text in docs:
+        assert len(plain_lines(got[i])) in (20, 20 + count)  # a passage goes whole, and nothing else
+
+
+def test_copies_are_dropped_by_what_is_left(spark):
+    own = " ".join(f"own{i}" for i in range(8)) + ". "
+    docs = [(1, PASSAGE), (2, PASSAGE + own), (3, own.replace("own", "else") * 3 + PASSAGE[:100]), (4, None), (5, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "length(text) as n_chars")
+    ids = lambda share: {r.doc_id for r in linededup.cleaned_documents(frame, share).collect()}
+    assert ids(0.0) == {1, 2, 3, 4, 5} and ids(0.2) == {1, 3, 4, 5}
+
+
+def test_names_within_may_be_columns(spark, docs):
+    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "length(text) as n_chars")
+    plain = {r.doc_id: r.text for r in linededup.cleaned_documents(frame).collect()}
+    for name in ("c_", "i_", "t_", "row", "cleaned", "h", "at", "found", "key", "bits", "bucket", "n_removed"):
+        frame = frame.withColumn(name, F.lit("c"))
+    got = linededup.cleaned_documents(frame)
+    assert got.columns == frame.columns and {r.doc_id: r.text for r in got.collect()} == plain
+
+
+def test_bitmaps_let_all_keys_through(spark):
+    keys = spark.range(0, 3000, 7).selectExpr("xxhash64(id) as key")
+    rows = spark.range(3000).selectExpr("id", "xxhash64(id) as k")
+    got = {r.id for r in linededup._maybe(rows, F.col("k"), keys).collect()}
+    assert set(range(0, 3000, 7)) <= got and len(got) < 440
 
 
 def test_repeated_rows_and_null_ids(spark, docs):
