@@ -17,7 +17,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half.
 
     The model is that of the operator's query: it learns from a bounded sample of the
-    labelled rows of the given tables.
+    labelled rows of the given tables. Null and empty texts are scored like all others,
+    repeated rows alike, texts of any length whole.
     """
     model = toxicity.model_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs.select(COLUMNS), model, keep=tuple(COLUMNS))
@@ -25,12 +26,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the chunks of lines that stand elsewhere first.
+    """Documents without the passages of lines that stand elsewhere first.
 
-    A document that has no text left is dropped: all of it is kept elsewhere. Documents
-    that were empty before stay.
+    A document of which less than a fifth is left is a copy, but for a few lines, of what is
+    kept elsewhere, and is dropped; what is left of it would be no near duplicate of
+    anything. Null and empty documents stay, repeated rows stay or go together, texts of any
+    length are taken whole.
     """
-    return linededup.cleaned_documents(docs.select(COLUMNS))
+    return linededup.cleaned_documents(docs.select(COLUMNS), least_left=0.2)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,13 +51,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of a benchmark item."""
+    """Documents that hold no passage of a benchmark item.
+
+    Null and empty texts hold none; repeated rows stay or go together, texts of any
+    length are taken whole.
+    """
     found = decontaminate.find(docs.select(COLUMNS), table(spark, sf_dir, "benchmark"), tuple(COLUMNS))
     return found.where(F.size("matches") == 0).select(COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the text decoded from them."""
+    """Token counts and digests of the ids and of the text decoded from them.
+
+    Null and empty texts have no tokens; repeated rows are repeated, long texts taken whole.
+    """
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
