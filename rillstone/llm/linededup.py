@@ -153,7 +153,7 @@ def seeded(known: DataFrame) -> DataFrame:
 
 def matched(known: DataFrame) -> DataFrame:
     """Per document, its lines that begin a pair standing in several places: ``found``, with
-    the line's index and whether this place is the first."""
+    the line's index, whether this place is the first, and whether that is in this document."""
     inside = cut(_of_documents(known.select("id", "of", "h"), cut(seeded(known))))
     pairs = F.transform(
         F.sequence(F.lit(0), F.size("h") - 2),
@@ -165,10 +165,11 @@ def matched(known: DataFrame) -> DataFrame:
     pair = F.xxhash64("a", "b")
     near = _maybe(each, pair, several.select(pair.alias("key")))
     stays = F.struct("id", "at").eqNullSafe(F.col("first"))
+    own = F.col("id").eqNullSafe(F.col("first.id"))
     return (
         near.join(several, ["a", "b"])
         .groupBy("id", "of")
-        .agg(F.collect_set(F.struct("at", stays.alias("stays"))).alias("found"))
+        .agg(F.collect_set(F.struct("at", stays.alias("stays"), own.alias("own"))).alias("found"))
     )  # a document's own lines only
 
 
@@ -217,8 +218,8 @@ def clean(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All documents' lines, and those documents that have repeated ones, cleaned.
 
     First: ``id``, ``of`` (a hash of the text), ``before`` (its MD5), ``h`` (hashes of its lines),
-    ``seeds``. Second: ``id``, ``of``, ``cleaned``, ``n_removed`` lines, once for each id
-    and text. Places are ordered by id, then line; a null id comes first. Rows that
+    ``seeds``. Second: ``id``, ``of``, ``cleaned``, ``n_removed`` lines and the bytes that are
+    ``copied`` from documents before it, once for each id and text. Places are ordered by id, then line; a null id comes first. Rows that
     repeat an id and a text are one document, so that repeating a row removes nothing.
     Null and empty texts have no lines; texts of any length are taken whole. Pieces of fewer
     than 40 bytes stay. Other columns are not looked at. An empty table gives empty ones.
@@ -246,16 +247,18 @@ def clean(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         lambda i: _chunk("l", F.get("bounds", i - 1)["stop"], F.get("bounds", i)["start"]),
     )
     removed = F.aggregate("gone", F.lit(0), lambda n, c: n + c["stop"] - c["start"])
+    elsewhere = _met(F.filter("found", lambda p: ~p["own"]))
+    copied = F.aggregate(elsewhere, F.lit(0).cast("long"), lambda n, i: n + F.octet_length(F.get("l", i)))
     return known, held.select(
-        "id", "of", F.array_join(kept, "").alias("cleaned"), removed.cast("long").alias("n_removed")
+        "id", "of", F.array_join(kept, "").alias("cleaned"), removed.cast("long").alias("n_removed"), copied.alias("copied")
     )
 
 
-def cleaned_documents(docs: DataFrame, least_left: float = 0.0) -> DataFrame:
+def cleaned_documents(docs: DataFrame, most_copied: float = 1.0) -> DataFrame:
     """All documents with the same columns, their texts cleaned and ``n_chars`` counted anew.
 
-    Documents that nothing is left of are dropped, and those of which less than a share of
-    ``least_left`` of their bytes is: they are copies of others. Null and empty ones stay.
+    Documents that nothing is left of are dropped, and those of which more than a share of
+    ``most_copied`` of their bytes stands in documents before them. Null and empty ones stay.
     """
     _, cleaned = clean(docs)
     # input columns travel in one, so that no name of theirs meets one of these
@@ -263,8 +266,8 @@ def cleaned_documents(docs: DataFrame, least_left: float = 0.0) -> DataFrame:
     row = packed["row"]
     cleaned = cleaned.where("n_removed > 0")
     same = row["doc_id"].eqNullSafe(cleaned["id"]) & (F.xxhash64(row["text"]) == cleaned["of"])
-    share = F.octet_length("cleaned") / F.octet_length(row["text"])
-    left = F.col("cleaned").isNull() | (F.col("cleaned") != "") & (share >= least_left)
+    few = F.col("copied") <= F.octet_length(row["text"]) * most_copied
+    left = F.col("cleaned").isNull() | (F.col("cleaned") != "") & few
     joined = packed.join(cleaned, same, "left").where(left)
     new = {
         "text": F.coalesce("cleaned", row["text"]),

@@ -41,7 +41,7 @@ def test_toxicity(spark, stages):
 
 def test_line_dedup(stages):
     before = texts(stages[1])
-    expected = plain_clean(before.items())
+    expected = plain_clean(before.items(), 0.8)
     assert texts(stages[2]) == {i: t if before[i] else before[i] for i, t in expected.items() if t or not before[i]}
 
 
