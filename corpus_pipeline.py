@@ -28,12 +28,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of lines that stand elsewhere first.
 
-    A document of which less than a fifth is left is a copy, but for a few lines, of what is
-    kept elsewhere, and is dropped; what is left of it would be no near duplicate of
-    anything. Null and empty documents stay, repeated rows stay or go together, texts of any
+    A document of which more than four fifths stand in documents before it is a copy but for a
+    few lines, and is dropped; what is left of it would be no near duplicate of anything. Null and empty documents stay, repeated rows stay or go together, texts of any
     length are taken whole.
     """
-    return linededup.cleaned_documents(docs.select(COLUMNS), least_left=0.2)
+    return linededup.cleaned_documents(docs.select(COLUMNS), most_copied=0.8)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
