@@ -151,25 +151,35 @@ def seeded(known: DataFrame) -> DataFrame:
     return near.join(several, "key", "left_semi").select("id", "of").distinct()
 
 
+def _pairs(h: str) -> Column:
+    """Every two lines in a row, by hash: ``key``, the first one's index ``at``, and whether
+    the pair is ``fresh``, the first of its kind in the document."""
+    each = F.transform(
+        F.sequence(F.lit(0), F.size(h) - 2),
+        lambda i: F.struct(F.xxhash64(F.get(h, i), F.get(h, i + 1)).alias("key"), i.alias("at")),
+    )
+    return _let(F.array_sort(each), lambda u: F.transform(u, lambda p, k: F.struct(
+        p["key"].alias("key"), p["at"].alias("at"), F.coalesce(F.get(u, k - 1)["key"] != p["key"], F.lit(True)).alias("fresh"))))
+
+
+#: Stands for a null id, which comes before all others.
+_NO_ID = -(2**63)
+
+
 def matched(known: DataFrame) -> DataFrame:
     """Per document, its lines that begin a pair standing in several places: ``found``, with
     the line's index, whether this place is the first, and whether that is in this document."""
     inside = cut(_of_documents(known.select("id", "of", "h"), cut(seeded(known))))
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size("h") - 2),
-        lambda i: F.struct(i.alias("at"), F.get("h", i).alias("a"), F.get("h", i + 1).alias("b")),
-    )
-    each = inside.where(F.size("h") > 1).select("id", "of", F.explode(pairs).alias("p")).select("id", "of", "p.*")
-    first = F.min(F.struct("id", "at")).alias("first")  # a null id comes before all others
-    several = cut(each.groupBy("a", "b").agg(F.count("*").alias("n"), first).where("n > 1").drop("n"))
-    pair = F.xxhash64("a", "b")
-    near = _maybe(each, pair, several.select(pair.alias("key")))
-    stays = F.struct("id", "at").eqNullSafe(F.col("first"))
-    own = F.col("id").eqNullSafe(F.col("first.id"))
+    each = inside.where(F.size("h") > 1).select("id", "of", F.explode(_pairs("h")).alias("p")).select("id", "of", "p.*")
+    place = F.coalesce(F.col("id"), F.lit(_NO_ID))
+    counted = each.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    several = cut(counted.where("n > 1").drop("n"))
+    near = _maybe(each, F.col("key"), several.select("key"))
+    own = place == F.col("first")
     return (
-        near.join(several, ["a", "b"])
+        near.join(several, "key")
         .groupBy("id", "of")
-        .agg(F.collect_set(F.struct("at", stays.alias("stays"), own.alias("own"))).alias("found"))
+        .agg(F.collect_set(F.struct("at", (own & F.col("fresh")).alias("stays"), own.alias("own"))).alias("found"))
     )  # a document's own lines only
 
 
@@ -180,25 +190,30 @@ def _met(found: Column) -> Column:
 
 
 def _clashing(touched: DataFrame) -> DataFrame:
-    """Hashes under which different lines meet; there are hardly ever any."""
+    """Hashes of lines and of pairs under which different ones meet; there are hardly ever any."""
     spelled = _let(
         lines(F.col("text")),
         lambda l: F.transform(_met(F.col("found")), lambda i: _let(
             F.get(l, i), lambda x: F.struct(_hash(x).alias("key"), x.alias("bytes")))),
     )
-    each = touched.select(F.explode(spelled).alias("c")).select("c.*").distinct()
-    return _several(each)
+    one = _several(touched.select(F.explode(spelled).alias("c")).select("c.*").distinct())
+    both = touched.select(F.explode(_spelled_pairs()).alias("c")).select("c.key", "c.a", "c.b").distinct()
+    return one.union(_several(both))
+
+
+def _spelled_pairs() -> Column:
+    """The pairs that were found, with the hash of each and of its lines."""
+    spelled = lambda p, a, b: F.struct(p.alias("p"), a.alias("a"), b.alias("b"), F.xxhash64(a, b).alias("key"))
+    return _let(
+        F.transform(lines(F.col("text")), _hash),
+        lambda h: F.transform("found", lambda p: spelled(p, F.get(h, p["at"]), F.get(h, p["at"] + 1))),
+    )
 
 
 def _without(touched: DataFrame, clashing: DataFrame) -> DataFrame:
-    """The same, where pairs with a line of a clashing hash are no matches."""
-    lines_of = _let(
-        lines(F.col("text")),
-        lambda l: F.transform("found", lambda p: F.struct(
-            p.alias("p"), _hash(F.get(l, p["at"])).alias("a"), _hash(F.get(l, p["at"] + 1)).alias("b"))),
-    )
-    each = touched.select("id", "of", F.explode(lines_of).alias("x")).select("id", "of", "x.*")
-    for side in ("a", "b"):
+    """The same, where what meets under a clashing hash is no match."""
+    each = touched.select("id", "of", F.explode(_spelled_pairs()).alias("x")).select("id", "of", "x.*")
+    for side in ("a", "b", "key"):
         each = each.join(clashing.withColumnRenamed("key", side), side, "left_anti")
     found = each.groupBy("id", "of").agg(F.collect_set("p").alias("found"))
     mine = touched.drop("found").withColumnsRenamed({"id": "i", "of": "t"})
@@ -226,9 +241,11 @@ def clean(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     known = cut(hashed(docs))
     path = new_folder(docs.sparkSession, f"lines-{uuid.uuid4().hex[:8]}")
-    distinct = known.select("id", "of", "h", "seeds").dropDuplicates(["id", "of"])
+    distinct = known.select("id", "of", "h", "seeds")
+    repeats = not distinct.groupBy("id", "of").count().where("count > 1").isEmpty()
+    once = lambda rows: rows.dropDuplicates(["id", "of"]) if repeats else rows
     mine = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("of"), "text")
-    _of_documents(mine, cut(matched(distinct))).dropDuplicates(["id", "of"]).write.parquet(path)
+    once(_of_documents(mine, cut(matched(once(distinct))))).write.option("compression", "zstd").parquet(path)
     touched = docs.sparkSession.read.parquet(path)
     clashing = cut(_clashing(touched))
     if not clashing.isEmpty():
