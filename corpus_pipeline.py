@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rillstone.llm import bpe, decontaminate, linededup, minhash, toxicity
 from rillstone.llm.shared import table
+from rillstone.sources.documents import remove
 from rillstone.workspace import new_folder
 
 #: The columns of documents, which all stages but the last return.
@@ -84,10 +85,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each result written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents, each result written as Parquet and read again.
+
+    What a stage has read is removed once its own result is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import isqrt
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql.window import Window
 from rillstone.functions import names
 from rillstone.workspace import new_folder
 
-# Quantiles are found in two steps of so many comparisons each.
+# Quantiles are found in two steps of so many comparisons each, at least.
 STEPS = 32
 
 
@@ -44,7 +45,7 @@ def history(
     tie: Sequence[str] = names.POSITION,
     time: str = names.TIMESTAMP,
     hot_rows: int = 1_000_000,
-    slices: int = STEPS * 8,
+    slices: int | None = None,
 ) -> DataFrame:
     """Every version with ``valid_to`` and ``current``.
 
@@ -62,13 +63,18 @@ def history(
         raise TypeError(f"{time!r} must be a timestamp")
     keys, tie = list(keys), list(tie)
     hot = _hot_keys(rows, keys, hot_rows)
-    if hot.isEmpty():
+    most = hot.agg(F.max("__count")).first()[0]
+    if most is None:
         return _by_window(rows, keys, tie, time)
+    # as many as the largest key has rows for; each is cut by steps of about their square root
+    slices = slices or max(STEPS * 8, -(-most // hot_rows))
+    steps = max(STEPS, isqrt(slices))
+    hot = hot.drop("__count")
     crowded = _join_same(rows, hot, keys, "left_semi")
     # a few slices for each measure of rows by which a key counts as hot
-    bounds = _written(_bounds(crowded, keys, time, slices, -(-hot_rows // 4)), "bounds")
+    bounds = _written(_bounds(crowded, keys, time, slices, -(-hot_rows // 4), steps), "bounds")
     usual = _by_window(_join_same(rows, hot, keys, "left_anti"), keys, tie, time)
-    return usual.unionByName(_by_instant(crowded, bounds, keys, tie, time))
+    return usual.unionByName(_by_instant(crowded, bounds, keys, tie, time, steps))
 
 
 def _written(small: DataFrame, label: str) -> DataFrame:
@@ -79,9 +85,9 @@ def _written(small: DataFrame, label: str) -> DataFrame:
 
 
 def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """The keys with so many rows; there are at most rows / ``hot_rows`` of them."""
+    """The keys with so many rows and their counts; at most rows / ``hot_rows`` of them."""
     counted = rows.groupBy(*keys).agg(F.count("*").alias("__count"))
-    return _written(counted.where(F.col("__count") >= hot_rows).select(*keys), "hot-keys")
+    return _written(counted.where(F.col("__count") >= hot_rows), "hot-keys")
 
 
 def _by_window(rows: DataFrame, keys: list[str], tie: list[str], time: str) -> DataFrame:
@@ -104,12 +110,12 @@ def _current(newest: Column) -> Column:
 
 
 def _bounds(
-    rows: DataFrame, keys: list[str], time: str, slices: int, slice_rows: int = 1
+    rows: DataFrame, keys: list[str], time: str, slices: int, slice_rows: int = 1, steps: int = STEPS
 ) -> DataFrame:
     """For each key, the times that cut its rows into slices of about equal counts.
 
     At most ``slices``, and no more than give each ``slice_rows``. ``__steps`` has every
-    ``STEPS``-th cut.
+    ``steps``-th cut.
     """
     shares = [(i + 1) / slices for i in range(slices - 1)] or [0.5]
     found = F.percentile_approx(time, shares, 8 * max(slices, 100))
@@ -117,23 +123,23 @@ def _bounds(
     counted = rows.groupBy(*keys).agg(found.alias("__found"), F.count("*").alias("__rows"))
     cuts = F.array_sort(F.array_distinct(_each("__found", stride)))
     counted = counted.withColumn("__cuts", cuts)
-    return counted.select(*keys, "__cuts", _each("__cuts", F.lit(STEPS)).alias("__steps"))
+    return counted.select(*keys, "__cuts", _each("__cuts", F.lit(steps)).alias("__steps"))
 
 
 def _each(array: str, stride: Column) -> Column:
     return F.filter(array, lambda _, i: F.pmod(i + 1, stride) == 0)
 
 
-def _slice_of(time: str) -> Column:
-    """How many of the cuts a time has reached, by steps of ``STEPS`` and then single ones."""
+def _slice_of(time: str, steps: int = STEPS) -> Column:
+    """How many of the cuts a time has reached, by so many at a time and then by single ones."""
     at = F.col(time)
-    begun = F.size(F.filter("__steps", lambda cut: cut <= at)) * STEPS
-    fine = F.filter(F.slice("__cuts", begun + 1, F.lit(STEPS)), lambda cut: cut <= at)
+    begun = F.size(F.filter("__steps", lambda cut: cut <= at)) * steps
+    fine = F.filter(F.slice("__cuts", begun + 1, F.lit(steps)), lambda cut: cut <= at)
     return F.when(at.isNull() | F.col("__cuts").isNull(), 0).otherwise(begun + F.size(fine))
 
 
 def _by_instant(
-    rows: DataFrame, bounds: DataFrame, keys: list[str], tie: list[str], time: str
+    rows: DataFrame, bounds: DataFrame, keys: list[str], tie: list[str], time: str, steps: int = STEPS
 ) -> DataFrame:
     """``valid_to`` of keys with any number of rows.
 
@@ -155,7 +161,7 @@ def _by_instant(
         .agg(F.max(last).alias(last))
     )
     instants = _join_same(instants, bounds, keys, "left").select(
-        *keys, _slice_of(time).alias(piece), time, last, F.col(time).alias(start), F.lit(0).alias(end)
+        *keys, _slice_of(time, steps).alias(piece), time, last, F.col(time).alias(start), F.lit(0).alias(end)
     )
     # One closing row per slice, carrying the first instant of the next slice.
     heads = instants.groupBy(*keys, piece).agg(F.min(time).alias(start))
