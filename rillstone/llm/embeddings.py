@@ -66,6 +66,8 @@ def bucket_codes(unit: np.ndarray, bits: int, tables: int) -> np.ndarray:
 
 def _units(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     rows = np.array([np.asarray(x, dtype=np.float64) for x in column.to_numpy(zero_copy_only=False)])
+    # by the largest component first: squares of very small or large ones are no numbers
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -115,13 +117,19 @@ def _usable(vector: Column) -> Column:
     )
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.98, bucket: int = BUCKET) -> DataFrame:
+def near_duplicates(
+    vectors: DataFrame, threshold: float = 0.98, bucket: int = BUCKET, recall: float = RECALL
+) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` for each row of ``vec_id``, ``embedding``, ``label``.
 
     Vectors are compared when their labels are equal and not null and they have as many
     components. Null or zero vectors, those with null or non-finite components and
     rows without an id link with nothing. Equal vectors of a label are linked with each
     other, one stands for all of them, and each counts. Other columns are left out.
+
+    Labels of more than ``bucket`` vectors are compared within buckets, in which a pair at the
+    threshold meets with probability ``recall``; with a recall of 1 they are compared whole, by
+    blocks, and no link can be missed but by the confidence bound.
     """
     rows = vectors.select("vec_id", "embedding", "label")
     usable = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & _usable(F.col("embedding"))
@@ -131,8 +139,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, bucket: int = B
         .agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     )
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    bits = max(0, math.ceil(math.log2(max(1, largest) / bucket)))
-    tables = tables_needed(bits, threshold)
+    bits = 0 if recall >= 1 else max(0, math.ceil(math.log2(max(1, largest) / bucket)))
+    tables = tables_needed(bits, threshold, recall)
     found = _compared(classes, bits, tables, threshold)
 
     more = found.groupBy("id", "label").agg(F.sum("links").alias("links"))

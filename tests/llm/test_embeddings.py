@@ -102,3 +102,36 @@ def test_empty_and_null_ids(spark):
         spark.createDataFrame([(None, [1.0, 2.0], 1), (3, [1.0, 2.0], 1), (3, [1.0, 2.0], 1)], "vec_id long, embedding array<float>, label int")
     ).collect()
     assert sorted((r.vec_id or -1, r.n_links, r.kept) for r in got) == [(-1, 0, True), (3, 1, True), (3, 1, True)]
+
+
+@pytest.mark.parametrize("scale", [1e-200, 1e-310, 1e200, 1.0])
+def test_doubles_of_any_size(spark, scale):
+    rows = [(1, [scale, scale], 1), (2, [scale, 1.0001 * scale], 1), (3, [-scale, scale], 1), (4, [scale, 0.5 * scale], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(frame).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4)}
+
+
+@pytest.fixture(scope="module")
+def whole_links(spark):
+    """Links of the vectors whose id is divisible by 50 with all vectors of the table."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    unit = np.array([r.embedding for r in rows], dtype=np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    label = np.array([r.label for r in rows])
+    found = {}
+    for i in range(0, len(rows), 50):
+        near = (unit @ unit[i] >= 0.98) & (label == label[i])
+        found[rows[i].vec_id] = int(near.sum()) - 1
+    return found
+
+
+@pytest.mark.parametrize("options", [{}, {"bucket": 16}, {"bucket": 16, "recall": 1.0}])
+def test_recall_on_the_table(spark, whole_links, options):
+    """Whole labels, buckets of a few vectors, and the exact way: all links of the queries."""
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(vectors, **options).collect()}
+    assert sum(whole_links.values()) > 0
+    have = sum(min(got[i], n) for i, n in whole_links.items())
+    assert all(got[i] <= n for i, n in whole_links.items())
+    assert have >= (0.999 if options.get("recall", 0) < 1 else 1.0) * sum(whole_links.values())
