@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +90,32 @@ def test_a_language_with_one_document_is_learned():
         model = langid.train(texts, ["en"] * 40 + ["de"], seed=seed)
         logits, _ = langid._logits([say(one, 40), say(other, 40)], model)
         assert logits.argmax(axis=1).tolist() == [1, 0]
+
+
+def plain_logits(text, model):
+    """Feature by feature: every word itself, and its byte runs between two spaces."""
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode()
+    total, n = np.zeros(len(model.languages)), 0
+    for word in re.findall(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+", lower):
+        edged = b" " + word + b" "
+        found = [word] + [edged[i : i + run] for run in langid.RUNS for i in range(len(edged) - run + 1)]
+        for gram in found:
+            hashed = langid.span_hashes(np.frombuffer(gram, np.uint8), np.array([0]), np.array([len(gram)]))
+            total += model.table[int(langid.mix(hashed)[0] >> np.uint64(13)) & (langid.BUCKETS - 1)]
+            n += 1
+    return total / max(n, 1) + model.bias
+
+
+def test_against_plain_scores(spark, model, odd_texts):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    texts = [t for t in [r.text for r in docs.collect()] + odd_texts if len(t or "") < 3000]
+    rows = langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text = texts[r.doc_id]
+        logits = plain_logits(text, model) * model.heat
+        p = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        if any(c.isalpha() for c in text or ""):
+            assert r.lang_pred == model.languages[int(p.argmax())] and abs(r.score - p.max()) < 1e-9
+        else:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
