@@ -16,7 +16,7 @@ still stands somewhere.
 Lines meet by 64-bit hashes. Before anything is removed, the bytes of all lines that met are
 compared; where different lines meet under one hash, none of them goes.
 
-Texts are moved once, and only those that something is found in. Bitmaps of a fixed size keep
+Texts are moved once, and only those that something is found in. Bitmaps of a bounded size keep
 everything else out of the shuffles; what passes by chance is turned away by exact joins.
 """
 
@@ -36,8 +36,8 @@ LINE = r"(?:[^\n.!?]++|[.!?](?! ))++(?:\n|[.!?] )?|\n|[.!?] "
 LEAST_LINES, LEAST_BYTES = 2, 40
 #: Of the rolling hash: multiplier and modulus.
 FACTOR, MODULUS = 31, 268_435_399
-#: Bits of a bitmap: 8 MB, whatever it is made of.
-BITS = 1 << 26
+#: Bits of a bitmap, whatever it is made of: a quarter of a million words of 64.
+BITS = 1 << 24
 
 
 def lines(text: Column) -> Column:
@@ -99,28 +99,17 @@ def hashed(docs: DataFrame) -> DataFrame:
 # -- bitmaps --------------------------------------------------------------------------
 
 
-def _bit(key: Column) -> Column:
-    return F.pmod(key, F.lit(BITS))
-
-
-def _bitmap(keys: DataFrame) -> DataFrame:
-    """A bit for each hash ``key``, in at most ``BITS`` / 32,768 rows of 4 KB."""
-    return keys.select(_bit(F.col("key")).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
-    )
-
-
 def _maybe(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    """The rows whose hash may be among the keys: all that are, and few others.
+    """The rows whose hash may be among the hashes ``key``: all that are, and few others.
 
-    The bitmap is broadcast; its size is bounded by ``BITS``.
+    The bitmap is broadcast as words of 64 bits; there are ``BITS`` / 64 of them at most.
     """
-    marked = rows.withColumn("bit", _bit(key)).withColumn("bucket", F.bitmap_bucket_number("bit"))
-    place = F.bitmap_bit_position("bit")
-    byte = F.expr("substring(bits, int(bitmap_bit_position(bit) div 8) + 1, 1)")
-    value = F.conv(F.hex(byte), 16, 10).cast("int")
-    is_set = value.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (place % 8 + 1).cast("int"))) != 0
-    return marked.join(F.broadcast(_bitmap(keys)), "bucket").where(is_set).drop("bit", "bucket", "bits")
+    bit = F.pmod(F.col("key"), F.lit(BITS))
+    words = keys.select(F.shiftright(bit, 6).alias("word"), F.pmod(bit, F.lit(64)).cast("int").alias("at")).groupBy("word")
+    words = words.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at"))).alias("bits"))
+    marked = rows.withColumn("bit", F.pmod(key, F.lit(BITS))).withColumn("word", F.shiftright("bit", 6))
+    here = F.call_function("shiftright", F.col("bits"), F.pmod("bit", F.lit(64)).cast("int"))
+    return marked.join(F.broadcast(words), "word").where(here.bitwiseAND(F.lit(1)) != 0).drop("bit", "word", "bits")
 
 
 def _doc_key() -> Column:
@@ -152,14 +141,11 @@ def seeded(known: DataFrame) -> DataFrame:
 
 
 def _pairs(h: str) -> Column:
-    """Every two lines in a row, by hash: ``key``, the first one's index ``at``, and whether
-    the pair is ``fresh``, the first of its kind in the document."""
-    each = F.transform(
+    """Every two lines in a row, by hash ``key`` and the first one's index ``at``."""
+    return F.transform(
         F.sequence(F.lit(0), F.size(h) - 2),
         lambda i: F.struct(F.xxhash64(F.get(h, i), F.get(h, i + 1)).alias("key"), i.alias("at")),
     )
-    return _let(F.array_sort(each), lambda u: F.transform(u, lambda p, k: F.struct(
-        p["key"].alias("key"), p["at"].alias("at"), F.coalesce(F.get(u, k - 1)["key"] != p["key"], F.lit(True)).alias("fresh"))))
 
 
 #: Stands for a null id, which comes before all others.
@@ -175,12 +161,17 @@ def matched(known: DataFrame) -> DataFrame:
     counted = each.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     several = cut(counted.where("n > 1").drop("n"))
     near = _maybe(each, F.col("key"), several.select("key"))
-    own = place == F.col("first")
-    return (
+    found = (
         near.join(several, "key")
+        .withColumn("own", place == F.col("first"))
         .groupBy("id", "of")
-        .agg(F.collect_set(F.struct("at", (own & F.col("fresh")).alias("stays"), own.alias("own"))).alias("found"))
+        .agg(F.array_sort(F.collect_set(F.struct("key", "at", "own"))).alias("found"))
     )  # a document's own lines only
+    # in order of keys and places, the first of a key is its first place in the document
+    marked = F.transform("found", lambda p, k: F.struct(
+        p["at"].alias("at"), p["own"].alias("own"),
+        (p["own"] & F.coalesce(F.get("found", k - 1)["key"] != p["key"], F.lit(True))).alias("stays")))
+    return found.withColumn("found", marked)
 
 
 def _met(found: Column) -> Column:
@@ -191,11 +182,8 @@ def _met(found: Column) -> Column:
 
 def _clashing(touched: DataFrame) -> DataFrame:
     """Hashes of lines and of pairs under which different ones meet; there are hardly ever any."""
-    spelled = _let(
-        lines(F.col("text")),
-        lambda l: F.transform(_met(F.col("found")), lambda i: _let(
-            F.get(l, i), lambda x: F.struct(_hash(x).alias("key"), x.alias("bytes")))),
-    )
+    spelled = F.transform(_met(F.col("found")), lambda i: F.struct(
+        _hash(F.get("l", i)).alias("key"), F.get("l", i).alias("bytes")))
     one = _several(touched.select(F.explode(spelled).alias("c")).select("c.*").distinct())
     both = touched.select(F.explode(_spelled_pairs()).alias("c")).select("c.key", "c.a", "c.b").distinct()
     return one.union(_several(both))
@@ -204,10 +192,7 @@ def _clashing(touched: DataFrame) -> DataFrame:
 def _spelled_pairs() -> Column:
     """The pairs that were found, with the hash of each and of its lines."""
     spelled = lambda p, a, b: F.struct(p.alias("p"), a.alias("a"), b.alias("b"), F.xxhash64(a, b).alias("key"))
-    return _let(
-        F.transform(lines(F.col("text")), _hash),
-        lambda h: F.transform("found", lambda p: spelled(p, F.get(h, p["at"]), F.get(h, p["at"] + 1))),
-    )
+    return F.transform("found", lambda p: spelled(p, _hash(F.get("l", p["at"])), _hash(F.get("l", p["at"] + 1))))
 
 
 def _without(touched: DataFrame, clashing: DataFrame) -> DataFrame:
@@ -217,7 +202,7 @@ def _without(touched: DataFrame, clashing: DataFrame) -> DataFrame:
         each = each.join(clashing.withColumnRenamed("key", side), side, "left_anti")
     found = each.groupBy("id", "of").agg(F.collect_set("p").alias("found"))
     mine = touched.drop("found").withColumnsRenamed({"id": "i", "of": "t"})
-    return mine.join(found, mine["i"].eqNullSafe(found["id"]) & (mine["t"] == found["of"])).select("id", "of", "text", "found")
+    return mine.join(found, mine["i"].eqNullSafe(found["id"]) & (mine["t"] == found["of"])).select("id", "of", "l", "found")
 
 
 def _pieces(at: str, of_lines: str) -> Column:
@@ -245,13 +230,14 @@ def clean(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     repeats = not distinct.groupBy("id", "of").count().where("count > 1").isEmpty()
     once = lambda rows: rows.dropDuplicates(["id", "of"]) if repeats else rows
     mine = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("of"), "text")
-    once(_of_documents(mine, cut(matched(once(distinct))))).write.option("compression", "zstd").parquet(path)
+    fetched = once(_of_documents(mine, cut(matched(once(distinct)))))
+    fetched.select("id", "of", lines(F.col("text")).alias("l"), "found").write.option("compression", "zstd").parquet(path)
     touched = docs.sparkSession.read.parquet(path)
     clashing = cut(_clashing(touched))
     if not clashing.isEmpty():
         touched = _without(touched, clashing)
     gone = _met(F.filter("found", lambda p: ~p["stays"]))
-    held = touched.withColumn("l", lines(F.col("text"))).withColumn("at", gone)
+    held = touched.withColumn("at", gone)
     held = held.withColumn("gone", _pieces("at", "l"))
     # lines between the pieces that go: from the end of one to the start of the next
     bounds = F.concat(
