@@ -5,7 +5,9 @@ templates share have a high inverse document frequency; they are the anchors. In
 text, the anchors found are looked up in the index, and each hit proposes where a
 template would have to begin. Hits that agree on a template and a beginning intersect
 there, and a label is given where the template's mandatory key phrase stands at its
-place. Everything is one projection: no shuffle, no join, whatever a text holds.
+place, unless the longer phrase of another template, which contains it, stands around it. All
+rare words of a text are looked up, not only the rarest, so that a text may hold any number of
+notices. Everything is one projection: no shuffle, no join, whatever a text holds.
 """
 
 from __future__ import annotations
@@ -56,12 +58,33 @@ TEMPLATES = (
              "permission is hereby granted free of charge"),
     Template("mpl-2.0", "mozilla public license version 2 0", "mozilla public license"),
     Template("reserved", "copyright all rights reserved", "all rights reserved"),
+    # what bodies of licences say
+    Template("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to",
+             "the software is provided as is without warranty of any kind express or implied"),
+    Template("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+             "redistributions of source code must retain the above copyright notice"),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+             "distribute this software for any purpose with or without fee is hereby granted"),
+    Template("apache-2.0", "you may not use this file except in compliance with the license", "may not use this file except in compliance with the license"),
+    Template("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+             "under the terms of the gnu general public license"),
+    Template("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation",
+             "under the terms of the gnu lesser general public license"),
+    Template("agpl", "under the terms of the gnu affero general public license as published by the free software foundation",
+             "under the terms of the gnu affero general public license"),
+    Template("mpl-2.0", "this source code form is subject to the terms of the mozilla public license",
+             "subject to the terms of the mozilla public license"),
+    # lines that name a licence by its short identifier
+    *(Template(label, f"spdx license identifier {name}", f"spdx license identifier {name}") for label, name in (
+        ("agpl", "agpl"), ("apache-2.0", "apache 2 0"), ("bsd", "bsd"), ("cc-by", "cc by"), ("cc-by-sa", "cc by sa"),
+        ("cc0", "cc0 1 0"), ("gpl", "gpl"), ("gpl-2.0", "gpl 2 0"), ("gpl-3.0", "gpl 3 0"), ("isc", "isc"), ("lgpl", "lgpl"),
+        ("mit", "mit"), ("mpl-2.0", "mpl 2 0"), ("unlicense", "unlicense"))),
     Template("unlicense", "this is free and unencumbered software released into the public domain",
              "unencumbered software released into the public domain"),
 )
 
 #: Words that are in more than this share of the templates anchor nothing.
-COMMON_SHARE = 0.5
+COMMON_SHARE = 0.8
 #: Anchors that must agree on a beginning (or all of a template's, where it has fewer).
 AGREEING = 2
 
@@ -77,8 +100,10 @@ def anchors() -> dict[str, float]:
     A word of a key phrase that is rare outside licences stays; short function words
     and numbers, which every text holds, do not.
     """
-    plain = set("a and any are by copy forms free in into is of or person released source "
-                "the this to under use version with without work 0 1 2 3 4".split())
+    plain = set("a above and any are as be but by can copy fee file following for forms form free from hereby if in "
+                "including into is it kind limited list may modify must not notice of or person provided purpose "
+                "released retain source subject terms that the this to under use version with without work you "
+                "0 1 2 3 4".split())
     rare = math.log((1 + len(TEMPLATES)) / (1 + COMMON_SHARE * len(TEMPLATES)))
     found = {w: x for w, x in _idf().items() if x >= rare and w not in plain}
     # the three words by which the base phrases are found
@@ -110,6 +135,19 @@ def phrase_offset(template: Template) -> int:
     return next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
 
 
+def containing() -> list[tuple[int, str, int]]:
+    """Template, a longer phrase of another label that contains its own, and where in it."""
+    out = set()
+    for t, template in enumerate(TEMPLATES):
+        own = template.phrase.split()
+        for other in TEMPLATES:
+            words = other.phrase.split()
+            for at in range(len(words) - len(own) + 1):
+                if len(words) > len(own) and other.label != template.label and words[at : at + len(own)] == own:
+                    out.add((t, other.phrase, at))
+    return sorted(out)
+
+
 def lower_ascii(text: Column) -> Column:
     """A to Z in lower case, so far as words of ASCII letters can tell.
 
@@ -149,7 +187,7 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
 
     Result: the kept columns, ``n_words``, ``base`` (the base phrases found: label and
     first word), ``notices`` (label, first word of the key phrase, score of each
-    template found) and ``score``, the largest share of a template's weight that was
+    template found, but for those within a longer phrase of another label) and ``score``, the largest share of a template's weight that was
     found at one place (0.5 at least where a base phrase stands, else 0). A null text
     counts as empty; an empty one has no words and no notices. Repeated rows give
     repeated results. Other columns, whatever their names, are left out.
@@ -201,11 +239,16 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
         head = F.get("found", j)
         return F.struct(head["t"].alias("t"), head["start"].alias("start"), (upto - j).alias("n"), share.alias("idf"))
 
+    longer = containing()
+
     def verified(c: Column) -> Column:
         ok = F.lit(False)
         for t, template in enumerate(TEMPLATES):
             place = c["start"] + phrase_offset(template)
             here_ok = (c["t"] == t) & (c["n"] >= _needed(t)) & _stands(F.col("w"), place, template.phrase)
+            for which, phrase, inside in longer:
+                if which == t:
+                    here_ok = here_ok & ~_stands(F.col("w"), place - inside, phrase)
             ok = ok | here_ok
         return ok
 
@@ -268,6 +311,7 @@ posting(word, t, pos, idf) as (values {_values(postings())}),
 template(t, label, plen, poff, phrase, needed, full_idf) as (values {_values([
     (t, x.label, len(x.phrase.split()), phrase_offset(x), x.phrase, _needed(t), _full(t))
     for t, x in enumerate(TEMPLATES)])}),
+longer(t, phrase, off, plen) as (values {_values([(t, x, at, len(x.split())) for t, x, at in containing()])}),
 base(phrase, label, plen) as (values {_values([(p, x, len(p.split())) for p, x in BASE.items()])}),
 word as (select r, unnest(w) as word, unnest(range(len(w))) as i from doc),
 start as (select r, t, i - pos as s, sum(idf) as idf, count(*) as n
@@ -275,7 +319,9 @@ start as (select r, t, i - pos as s, sum(idf) as idf, count(*) as n
 notice as (select start.r, template.label, least(1.0, idf / full_idf) as score
   from start join template using (t) join doc on doc.r = start.r
   where n >= needed and s + poff >= 0
-    and array_to_string(list_slice(w, s + poff + 1, s + poff + plen), ' ') = phrase),
+    and array_to_string(list_slice(w, s + poff + 1, s + poff + plen), ' ') = phrase
+    and not exists (select 1 from longer where longer.t = start.t and s + poff >= off
+      and array_to_string(list_slice(w, s + poff - off + 1, s + poff - off + longer.plen), ' ') = longer.phrase)),
 place as (select word.r, base.label, i
   from word join base on split_part(phrase, ' ', 1) = word join doc on doc.r = word.r
   where array_to_string(list_slice(w, i + 1, i + plen), ' ') = phrase),

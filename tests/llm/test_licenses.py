@@ -24,15 +24,37 @@ def test_notices(spark):
         "permission is hereby granted free of charge to any person",
     )
     assert "mit" in labels(got[0])
-    assert {"apache", "apache-2.0"} <= labels(got[1])
-    assert {"gpl", "gpl-3.0"} <= labels(got[2])
-    assert {"cc-by", "cc-by-nc"} <= labels(got[3])
+    # the longest phrase of a place; the base phrases stay
+    assert labels(got[1]) == {"apache-2.0"}
+    assert labels(got[2]) == {"gpl", "gpl-3.0"} and {n.label for n in got[2].notices} == {"gpl-3.0"}
+    assert labels(got[3]) == {"cc-by", "cc-by-nc"} and {n.label for n in got[3].notices} == {"cc-by-nc"}
     assert "reserved" in labels(got[4])
     assert not labels(got[5]) and got[5].score == 0
     assert "mit" in labels(got[6])
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_bodies_and_identifiers(spark):
+    got = rows(
+        spark,
+        "# SPDX-License-Identifier: Apache-2.0\nimport this",
+        "// SPDX-License-Identifier: GPL-3.0-or-later",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO",
+        "Redistributions of source code must retain the above copyright notice, this list",
+        "it under the terms of the GNU Lesser General Public License as published by",
+        "You may not use this file except in compliance with the License.",
+        "spdx identifier license mit; the software is as is",
+    )
+    assert [sorted(labels(got[i])) for i in range(7)] == [
+        ["apache-2.0"], ["gpl-3.0"], ["mit"], ["bsd"], ["gpl", "lgpl"], ["apache-2.0"], [],
+    ]
+
+
+def test_a_longer_phrase_hides_only_what_it_contains(spark):
+    got = rows(spark, "Apache License. And the Apache License, Version 2.0. " * 3)
+    assert sorted(n.label for n in got[0].notices) == ["apache"] * 3 + ["apache-2.0"] * 3
+
+
 def test_anchors_must_agree_on_a_place(spark):
     got = rows(spark, "apache one two license three version", "mit x x x license")
     assert not labels(got[0]) and not labels(got[1])
