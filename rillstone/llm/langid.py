@@ -190,10 +190,12 @@ def sample(docs: DataFrame, rows: int = MOST_ROWS) -> DataFrame:
     order = F.xxhash64("doc_id")
     named = docs.where("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang")
     # a hash below this leaves three times the ids wanted of each language, however many it has
-    total = named.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("total"))
+    total = cut(named.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("total")))
     share = (order / F.lit(2.0**63) + 1) / 2
-    # the counts are one row for each language; a join by shuffling would gather its ids in a task
-    near = named.join(F.broadcast(total), "lang").where(share < 3.0 * rows / F.col("total")).drop("total").distinct()
+    # one row for each language: a join by shuffling would gather its ids in a task, and is for
+    # tables in which lang is no language but as good as a key
+    counts = F.broadcast(total) if total.count() <= MOST_SENT else total
+    near = named.join(counts, "lang").where(share < 3.0 * rows / F.col("total")).drop("total").distinct()
     place = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
     ids = cut(near.withColumn("place", place).where(F.col("place") <= rows))
     few = ids.count() <= MOST_SENT
