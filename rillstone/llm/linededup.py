@@ -74,6 +74,15 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _with(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """The rows with a column that is computed once, whatever is made of it or filtered by it.
+
+    A projected expression may be copied to where it is used, into functions of each element
+    too; the output of a generator never is.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _chunk(of_lines: str | Column, start: Column, stop: Column) -> Column:
     return F.array_join(F.slice(of_lines, start + 1, stop - start), "")
 
@@ -168,10 +177,10 @@ def matched(known: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_set(F.struct("key", "at", "own"))).alias("found"))
     )  # a document's own lines only
     # in order of keys and places, the first of a key is its first place in the document
-    marked = F.transform("found", lambda p, k: F.struct(
+    marked = F.transform("once", lambda p, k: F.struct(
         p["at"].alias("at"), p["own"].alias("own"),
-        (p["own"] & F.coalesce(F.get("found", k - 1)["key"] != p["key"], F.lit(True))).alias("stays")))
-    return found.withColumn("found", marked)
+        (p["own"] & F.coalesce(F.get("once", k - 1)["key"] != p["key"], F.lit(True))).alias("stays")))
+    return _with(found, "once", F.col("found")).select("id", "of", marked.alias("found"))
 
 
 def _met(found: Column) -> Column:
@@ -237,24 +246,22 @@ def clean(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if not clashing.isEmpty():
         touched = _without(touched, clashing)
     gone = _met(F.filter("found", lambda p: ~p["stays"]))
-    held = touched.withColumn("at", gone)
-    held = held.withColumn("gone", _pieces("at", "l"))
+    held = _with(_with(touched, "at", gone), "gone", _pieces("at", "l"))
     # lines between the pieces that go: from the end of one to the start of the next
     bounds = F.concat(
         F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"))), F.col("gone"),
         F.array(F.struct(F.size("l").alias("start"), F.size("l").alias("stop"))),
     )
-    held = held.withColumn("bounds", bounds)
+    held = _with(held, "bounds", bounds)
     kept = F.transform(
         F.sequence(F.lit(1), F.size("bounds") - 1),
         lambda i: _chunk("l", F.get("bounds", i - 1)["stop"], F.get("bounds", i)["start"]),
     )
     removed = F.aggregate("gone", F.lit(0), lambda n, c: n + c["stop"] - c["start"])
-    elsewhere = _met(F.filter("found", lambda p: ~p["own"]))
-    copied = F.aggregate(elsewhere, F.lit(0).cast("long"), lambda n, i: n + F.octet_length(F.get("l", i)))
-    return known, held.select(
-        "id", "of", F.array_join(kept, "").alias("cleaned"), removed.cast("long").alias("n_removed"), copied.alias("copied")
-    )
+    held = _with(held, "elsewhere", _met(F.filter("found", lambda p: ~p["own"])))
+    copied = F.aggregate("elsewhere", F.lit(0).cast("long"), lambda n, i: n + F.octet_length(F.get("l", i)))
+    result = F.struct(F.array_join(kept, "").alias("cleaned"), removed.cast("long").alias("n_removed"), copied.alias("copied"))
+    return known, _with(held, "result", result).select("id", "of", "result.*")
 
 
 def cleaned_documents(docs: DataFrame, most_copied: float = 1.0) -> DataFrame:
