@@ -361,9 +361,10 @@ def register_latest(ctx: IngestContext) -> None:
     if _usable(ctx, state):
         # Its name says which run it is of: by itself it lacks the rows since.
         name = ctx.snapshot_table_name(state.run)
-        if not spark.catalog.tableExists(name):
-            snapshot = _latest_buckets(ctx)
-            buckets.create_table(snapshot, name, f"{snapshot.path}.declared", state.latest)
+        # anew each time: after a refill another snapshot has the same number
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        snapshot = _latest_buckets(ctx)
+        buckets.create_table(snapshot, name, f"{snapshot.path}.declared", state.latest)
         if state.older >= 0:
             spark.sql(f"DROP TABLE IF EXISTS {ctx.snapshot_table_name(state.older)}")
         rows = f"SELECT {columns} FROM {name}"
