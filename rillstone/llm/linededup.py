@@ -246,22 +246,24 @@ def clean(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if not clashing.isEmpty():
         touched = _without(touched, clashing)
     gone = _met(F.filter("found", lambda p: ~p["stays"]))
-    held = _with(_with(touched, "at", gone), "gone", _pieces("at", "l"))
+    elsewhere = _met(F.filter("found", lambda p: ~p["own"]))
+    held = _with(touched.select("id", "of", "l", "found"), "met", F.struct(gone.alias("at"), elsewhere.alias("elsewhere")))
+    held = held.select("id", "of", "l", "met.*")
+    held = _with(held, "gone", _pieces("at", "l"))
     # lines between the pieces that go: from the end of one to the start of the next
     bounds = F.concat(
         F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"))), F.col("gone"),
         F.array(F.struct(F.size("l").alias("start"), F.size("l").alias("stop"))),
     )
-    held = _with(held, "bounds", bounds)
-    kept = F.transform(
-        F.sequence(F.lit(1), F.size("bounds") - 1),
-        lambda i: _chunk("l", F.get("bounds", i - 1)["stop"], F.get("bounds", i)["start"]),
-    )
+    kept = _let(bounds, lambda found: F.transform(
+        F.sequence(F.lit(1), F.size(found) - 1),
+        lambda i: _chunk("l", F.get(found, i - 1)["stop"], F.get(found, i)["start"]),
+    ))
     removed = F.aggregate("gone", F.lit(0), lambda n, c: n + c["stop"] - c["start"])
-    held = _with(held, "elsewhere", _met(F.filter("found", lambda p: ~p["own"])))
     copied = F.aggregate("elsewhere", F.lit(0).cast("long"), lambda n, i: n + F.octet_length(F.get("l", i)))
-    result = F.struct(F.array_join(kept, "").alias("cleaned"), removed.cast("long").alias("n_removed"), copied.alias("copied"))
-    return known, _with(held, "result", result).select("id", "of", "result.*")
+    return known, held.select(
+        "id", "of", F.array_join(kept, "").alias("cleaned"), removed.cast("long").alias("n_removed"), copied.alias("copied")
+    )
 
 
 def cleaned_documents(docs: DataFrame, most_copied: float = 1.0) -> DataFrame:
