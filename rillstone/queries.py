@@ -106,10 +106,14 @@ def topic_files(spark: SparkSession, sf_dir: str, table: str) -> int:
     return 8 * (size // (8 * 64 * 2**20) + 1)
 
 
+# Messages of a row group of record files, before compression: what one task reads at least.
+GROUP_BYTES = 2**20
+
+
 def write_records(records: DataFrame, path: str, files: int) -> None:
-    """Record files, dealt by offset."""
+    """Record files, dealt by offset, in row groups that tasks can share."""
     dealt = records.repartitionById(files, F.pmod("offset", F.lit(files)).cast("int"))
-    dealt.write.mode("append").parquet(path)
+    dealt.write.mode("append").option("parquet.block.size", GROUP_BYTES).parquet(path)
 
 
 def topic_context(

@@ -33,6 +33,9 @@ from rillstone.sources import records
 # writer does not sort its rows by partition first: there are at most so many outcomes,
 # and one run number.
 OPEN_FILES = 8
+# A batch may be one file: its tasks read parts of it from this size on, by row groups. Spark's
+# own least size is 4 MB, so that one core would parse most files while others wait.
+PART_BYTES = 256 * 2**10
 _counting, _running, _before = Lock(), [], []
 _TOPIC = "__topic"
 
@@ -147,28 +150,33 @@ def start_formatting(ctx: IngestContext) -> StreamingQuery:
 
 @contextmanager
 def files_side_by_side(spark: SparkSession) -> Iterator[None]:
-    """While in here, tasks of file sinks keep a file open for each partition.
+    """While in here, tasks of file sinks keep a file open for each partition, and a file's parts
+    are read side by side.
 
-    The sink reads the setting of the session at each batch; it is set back when the last
-    run that needs it ends.
+    Streams read the settings of the session; they are set back when the last run that
+    needs them ends.
     """
-    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    settings = {
+        "spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES,
+        "spark.sql.files.openCostInBytes": PART_BYTES,
+    }
     with _counting:
         if not _running:
-            _before.append(spark.conf.get(setting, None))
-            spark.conf.set(setting, OPEN_FILES)
-        _running.append(setting)
+            _before.append({setting: spark.conf.get(setting, None) for setting in settings})
+            for setting, value in settings.items():
+                spark.conf.set(setting, value)
+        _running.append(spark)
     try:
         yield
     finally:
         with _counting:
             _running.pop()
             if not _running:
-                before = _before.pop()
-                if before is None:
-                    spark.conf.unset(setting)
-                else:
-                    spark.conf.set(setting, before)
+                for setting, before in _before.pop().items():
+                    if before is None:
+                        spark.conf.unset(setting)
+                    else:
+                        spark.conf.set(setting, before)
 
 
 def _sink(ctx: IngestContext, rows: DataFrame, stage: str) -> DataStreamWriter:

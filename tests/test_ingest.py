@@ -744,3 +744,22 @@ def test_append_write_names_query_and_batch(spark, tmp_path):
     written = spark.read.parquet(ctx.table_path)
     assert written.columns == tables.formatted_schema(ctx, ctx.target_schema).names
     assert ids(written) == [1, 2]
+
+
+def test_a_batch_of_one_file_is_shared_by_tasks(spark, tmp_path):
+    from rillstone import queries
+
+    settings = ("spark.sql.files.openCostInBytes", "spark.sql.maxConcurrentOutputFileWriters")
+    before = [spark.conf.get(name, None) for name in settings]
+    events = spark.range(40_000).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' AS ts", "id AS user_id", "md5(string(id)) AS event_type",
+        "0.5D AS value", "CAST(NULL AS STRING) AS props",
+    )
+    ctx = queries.event_context(spark, str(tmp_path), file_limit=1)
+    queries.write_records(queries.event_records(events), ctx.record_path, 1)
+    batches = run_ingest(ctx).progress().where(F.col("query").endswith(".landing")).collect()
+    assert [row.input_rows for row in batches] == [40_000]
+    landed = spark.read.parquet(ctx.raw_path)
+    assert landed.count() == landed.select("event_id").distinct().count() == 40_000
+    assert len(landed.inputFiles()) > 3
+    assert [spark.conf.get(name, None) for name in settings] == before
